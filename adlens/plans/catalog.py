@@ -59,3 +59,78 @@ REGISTRY["rpt_budget_over80"] = lambda spark, sf: reports.budget_over(load_star(
 REGISTRY["rpt_ctr_by_device"] = lambda spark, sf: reports.ctr_by_device(load_star(spark, sf))
 REGISTRY["rpt_top10_clicking_users"] = lambda spark, sf: reports.most_clicking_users(load_star(spark, sf), 10)
 REGISTRY["rpt_click_revenue_by_location"] = lambda spark, sf: reports.click_revenue_by_location(load_star(spark, sf))
+
+
+# ---- serving tables, reads, lookups (W1-W10, L1-L3, U1) -------------------
+
+from . import serving  # noqa: E402
+from ..operators.upsert import merge_upsert, upsert  # noqa: E402
+from ..functions import clean  # noqa: E402
+
+MONTH = "2024-01"
+REGION_COUNTRY = "AMERICA"
+
+REGISTRY["serve_campaign_performance"] = lambda spark, sf: serving.campaign_performance(load_star(spark, sf))
+REGISTRY["serve_campaign_performance_daily"] = lambda spark, sf: serving.campaign_performance_daily(load_star(spark, sf))
+REGISTRY["serve_advertisers"] = lambda spark, sf: serving.advertisers_by_month(load_star(spark, sf))
+REGISTRY["serve_user_history"] = lambda spark, sf: serving.user_history_rows(load_star(spark, sf)).drop("event_id")
+REGISTRY["upsert_user_history"] = lambda spark, sf: serving.user_history(load_star(spark, sf))
+REGISTRY["serve_most_active_users"] = lambda spark, sf: serving.most_active_users(load_star(spark, sf))
+REGISTRY["serve_advertisers_by_region"] = lambda spark, sf: serving.advertisers_by_region(load_star(spark, sf))
+REGISTRY["read_campaign_ctr"] = lambda spark, sf: serving.read_campaign_ctr(serving.campaign_performance(load_star(spark, sf)))
+REGISTRY["read_top5_advertisers"] = lambda spark, sf: serving.read_top_advertisers(
+    serving.advertisers_by_month(load_star(spark, sf)), MONTH, 5)
+REGISTRY["read_top10_users"] = lambda spark, sf: serving.read_top_users(
+    serving.most_active_users(load_star(spark, sf)), MONTH, 10)
+REGISTRY["read_top5_advertisers_country"] = lambda spark, sf: serving.read_top_advertisers_country(
+    serving.advertisers_by_region(load_star(spark, sf), trim_keys=True), MONTH, REGION_COUNTRY, 5)
+
+
+@register("read_user_last10_ads")
+def _read_user_last10_ads(spark, sf):
+    star = load_star(spark, sf)
+    hist = serving.user_history(star)
+    users = star.dim_user.select(clean.uuid5_key("user", F.col("user_id").try_cast("bigint")).alias("user_id"))
+    return serving.read_user_last_ads(hist, users, *WINDOW, n=10)
+
+
+@register("upsert_merge")
+def _upsert_merge(spark, sf):
+    """Two loads of the user history: days before the 15th, then an
+    overlapping batch from the 10th on; the second batch's rows replace the
+    first's for the keys they share."""
+    rows = serving.user_history_rows(load_star(spark, sf))
+    day = F.col("date_event")
+    first = upsert(rows.where(day < F.lit("2024-01-15").cast("date")), ["user_id", "date_event"], ["event_id"])
+    second = rows.where(day >= F.lit("2024-01-10").cast("date"))
+    return merge_upsert(first, second, ["user_id", "date_event"], ["event_id"]).drop("event_id")
+
+
+@register("lookup_campaign_performance")
+def _lookup_campaign(spark, sf):
+    star = load_star(spark, sf)
+    # every campaign id plus the id after the last one (an unknown key)
+    keys = star.dim_campaign.select("campaign_id").unionByName(
+        star.dim_campaign.agg((F.max("campaign_id") + 1).alias("campaign_id")))
+    return serving.campaign_lookup(star, keys)
+
+
+@register("lookup_advertiser_spend")
+def _lookup_advertiser(spark, sf):
+    star = load_star(spark, sf)
+    keys = star.dim_advertiser.select("advertiser_id").unionByName(
+        star.dim_advertiser.agg((F.max("advertiser_id") + 1).alias("advertiser_id")))
+    return serving.advertiser_lookup(star, keys)
+
+
+@register("lookup_user_engagements")
+def _lookup_user(spark, sf):
+    star = load_star(spark, sf)
+    out = serving.user_engagement_lookup(star, star.dim_user.select("user_id"))
+    return out.select("user_id", F.array_join("ads_engaged", ",").alias("ads_engaged"), "count")
+
+
+@register("uuid5_keys")
+def _uuid5_keys(spark, sf):
+    u = load_star(spark, sf).dim_user
+    return u.select("user_id", clean.uuid5_key("user", F.col("user_id").try_cast("bigint")).alias("user_uuid"))

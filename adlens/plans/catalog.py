@@ -134,3 +134,70 @@ def _lookup_user(spark, sf):
 def _uuid5_keys(spark, sf):
     u = load_star(spark, sf).dim_user
     return u.select("user_id", clean.uuid5_key("user", F.col("user_id").try_cast("bigint")).alias("user_uuid"))
+
+
+# ---- product reviews (V1-V22) ---------------------------------------------
+
+from . import reviews as rv  # noqa: E402
+
+MIN_REVIEWS = 25   # FIXTURES.md §B2: few verified rows per product at sf0.01
+READ_FROM, READ_TO = "1996-01-01", "1998-12-31"
+
+
+def _rv(spark, sf, strict=False):
+    return rv.load_clean_reviews(spark, sf, strict)
+
+
+REGISTRY["clean_reviews"] = lambda spark, sf: _rv(spark, sf)
+REGISTRY["clean_reviews_strict"] = lambda spark, sf: _rv(spark, sf, True)
+REGISTRY["product_metrics"] = lambda spark, sf: rv.product_metrics(_rv(spark, sf))
+REGISTRY["customer_review_counts"] = lambda spark, sf: rv.customer_review_counts(_rv(spark, sf))
+REGISTRY["product_monthly_reviews"] = lambda spark, sf: rv.product_monthly_reviews(_rv(spark, sf))
+REGISTRY["top5_products_rating"] = lambda spark, sf: rv.top_products_rating(
+    rv.product_metrics(_rv(spark, sf)), MIN_REVIEWS, 5)
+REGISTRY["customers_over_10"] = lambda spark, sf: rv.customers_over(rv.customer_review_counts(_rv(spark, sf)), 10)
+REGISTRY["avg_reviews_per_product"] = lambda spark, sf: rv.avg_reviews_per_product(rv.product_metrics(_rv(spark, sf)))
+REGISTRY["reviews_by_year"] = lambda spark, sf: rv.reviews_by_year(rv.product_monthly_reviews(_rv(spark, sf)))
+REGISTRY["top3_months"] = lambda spark, sf: rv.top_months(rv.product_monthly_reviews(_rv(spark, sf)), 3)
+REGISTRY["reviews_by_product"] = lambda spark, sf: rv.reviews_by_product(_rv(spark, sf, True))
+REGISTRY["reviews_by_product_rating"] = lambda spark, sf: rv.reviews_by_product_rating(_rv(spark, sf, True))
+REGISTRY["reviews_by_customer"] = lambda spark, sf: rv.reviews_by_customer(_rv(spark, sf, True))
+REGISTRY["top_products_by_period"] = lambda spark, sf: rv.top_products_by_period(_rv(spark, sf, True))
+REGISTRY["top_customers_verified_by_period"] = lambda spark, sf: rv.top_customers_verified_by_period(_rv(spark, sf, True))
+REGISTRY["top_haters_by_period"] = lambda spark, sf: rv.top_haters_by_period(_rv(spark, sf, True))
+REGISTRY["top_backers_by_period"] = lambda spark, sf: rv.top_backers_by_period(_rv(spark, sf, True))
+
+
+def _product_read(from_date=None, to_date=None):
+    def run(spark, sf):
+        t = rv.reviews_by_product(_rv(spark, sf, True))
+        return rv.read_reviews_product(t, t.select("product_id"), from_date, to_date, 100)
+    return run
+
+
+REGISTRY["read_reviews_product"] = _product_read()
+REGISTRY["read_reviews_product_from"] = _product_read(READ_FROM, None)
+REGISTRY["read_reviews_product_to"] = _product_read(None, READ_TO)
+REGISTRY["read_reviews_product_range"] = _product_read(READ_FROM, READ_TO)
+
+
+@register("read_reviews_product_rating")
+def _read_pr(spark, sf):
+    t = rv.reviews_by_product_rating(_rv(spark, sf, True))
+    return rv.read_reviews_product_rating(t, t.select("product_id", "star_rating"), 100)
+
+
+@register("read_reviews_customer")
+def _read_c(spark, sf):
+    t = rv.reviews_by_customer(_rv(spark, sf, True))
+    return rv.read_reviews_customer(t, t.select("customer_id"), 100)
+
+
+REGISTRY["read_top_items"] = lambda spark, sf: rv.read_top(
+    rv.top_products_by_period(_rv(spark, sf, True)), "review_count", "product_id", None, 10)
+REGISTRY["read_top_verified"] = lambda spark, sf: rv.read_top(
+    rv.top_customers_verified_by_period(_rv(spark, sf, True)), "verified_review_count", "customer_id", None, 10, "count")
+REGISTRY["read_top_haters"] = lambda spark, sf: rv.read_top(
+    rv.top_haters_by_period(_rv(spark, sf, True)), "low_rating_count", "customer_id", None, 10, "count")
+REGISTRY["read_top_backers"] = lambda spark, sf: rv.read_top(
+    rv.top_backers_by_period(_rv(spark, sf, True)), "high_rating_count", "customer_id", None, 10, "count")

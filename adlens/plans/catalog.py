@@ -201,3 +201,48 @@ REGISTRY["read_top_haters"] = lambda spark, sf: rv.read_top(
     rv.top_haters_by_period(_rv(spark, sf, True)), "low_rating_count", "customer_id", None, 10, "count")
 REGISTRY["read_top_backers"] = lambda spark, sf: rv.read_top(
     rv.top_backers_by_period(_rv(spark, sf, True)), "high_rating_count", "customer_id", None, 10, "count")
+
+
+# ---- nested documents (N1-N7) ---------------------------------------------
+
+from . import documents as docs_  # noqa: E402
+
+ADVERTISER = " Brand#13 "   # trimmed by the query, as in the source
+
+
+def _docs(spark, sf):
+    return docs_.load_user_documents(spark, sf)
+
+
+REGISTRY["user_documents"] = lambda spark, sf: docs_.flatten_documents(_docs(spark, sf))
+REGISTRY["user_sessions"] = lambda spark, sf: docs_.session_rows(load_star(spark, sf)).select(
+    "user_id", "session_id", "device", "start_time",
+    F.size("ad_interactions").cast("bigint").alias("n_interactions"))
+
+
+@register("doc_user_history")
+def _doc_user_history(spark, sf):
+    keys = reports.most_clicking_users(load_star(spark, sf), 10)
+    return docs_.flatten_documents(docs_.user_history(_docs(spark, sf), keys))
+
+
+REGISTRY["doc_last_sessions"] = lambda spark, sf: docs_.last_sessions(_docs(spark, sf), 5)
+REGISTRY["doc_clicks_per_hour"] = lambda spark, sf: docs_.clicks_per_hour(_docs(spark, sf), ADVERTISER, 0)
+REGISTRY["doc_clicks_per_hour_all"] = lambda spark, sf: docs_.clicks_per_hour(_docs(spark, sf), ADVERTISER, None)
+REGISTRY["doc_ad_fatigue"] = lambda spark, sf: docs_.ad_fatigue(_docs(spark, sf), 4).select(
+    "user_id", F.array_join(F.transform("ad_fatigue_ads", lambda x: x.cast("string")), ",").alias("ad_fatigue_ads"))
+REGISTRY["doc_top_categories"] = lambda spark, sf: docs_.top_categories(_docs(spark, sf), 3)
+
+
+@register("interests_split")
+def _interests_split(spark, sf):
+    prof = docs_.user_profiles(load_star(spark, sf))
+    return prof.select("user_id", F.posexplode(clean.split_list("interests")).alias("pos", "interest"))
+
+
+@register("user_documents_profiles")
+def _docs_profiles(spark, sf):
+    star = load_star(spark, sf)
+    d = docs_.build_user_documents(star, users=docs_.user_profiles(star))
+    return d.select("user_id", F.array_join("interests", ",").alias("interests"),
+                    F.size("sessions").cast("bigint").alias("n_sessions"))

@@ -246,3 +246,76 @@ def _docs_profiles(spark, sf):
     d = docs_.build_user_documents(star, users=docs_.user_profiles(star))
     return d.select("user_id", F.array_join("interests", ",").alias("interests"),
                     F.size("sessions").cast("bigint").alias("n_sessions"))
+
+
+# ---- sampling, integrity, denormalised rows, cleaning rules ---------------
+
+from ..operators import sampling  # noqa: E402
+from ..operators.quality import star_integrity  # noqa: E402
+from ..operators.star import denormalise  # noqa: E402
+from ..sources import fixtures  # noqa: E402
+
+SAMPLE_HEAD_N = 1000
+QUOTA, SEED = 2500, 42
+
+
+def _staging_cols(df):
+    return df.select("event_id", "user_id", "campaign_name", "event_ts",
+                     F.col("ad_cost").cast("double").alias("ad_cost"))
+
+
+REGISTRY["sample_head"] = lambda spark, sf: _staging_cols(sampling.head_sample(
+    fixtures.ad_staging(spark, sf), SAMPLE_HEAD_N, ["event_ts", "event_id"]))
+REGISTRY["sample_months"] = lambda spark, sf: sampling.distinct_months(fixtures.ad_staging(spark, sf), "event_ts")
+
+
+def _quota(spark, sf):
+    return sampling.stratified_quota(fixtures.ad_staging(spark, sf), sampling.month_of("event_ts"),
+                                     QUOTA, "event_id", SEED, "month")
+
+
+REGISTRY["sample_quota_month"] = lambda spark, sf: _staging_cols(_quota(spark, sf)).withColumn(
+    "month", sampling.month_of("event_ts"))
+REGISTRY["sample_distribution"] = lambda spark, sf: sampling.stratum_distribution(_quota(spark, sf), "month")
+REGISTRY["star_integrity"] = lambda spark, sf: star_integrity(load_star(spark, sf))
+
+
+@register("denormalised_events")
+def _denorm(spark, sf):
+    d = denormalise(load_star(spark, sf))
+    money = {"bid_amount", "ad_cost", "ad_revenue", "budget", "remaining_budget"}
+    return _money(d, money)
+
+
+@register("coerce_dates")
+def _coerce_dates(spark, sf):
+    s = fixtures.ad_staging(spark, sf)
+    return s.select("event_id", "click_timestamp", clean.coerce_ts_ntz("click_timestamp").alias("click_ts"))
+
+
+@register("ci_campaign_match")
+def _ci_match(spark, sf):
+    """Staging names upper-cased still find their campaign under a
+    case-insensitive collation."""
+    s = fixtures.ad_staging(spark, sf).select(F.upper("campaign_name").alias("shout"))
+    c = load_star(spark, sf).dim_campaign.select("campaign_id", "name")
+    j = s.join(c, clean.ci_key(F.col("shout")) == clean.ci_key(F.col("name")))
+    return j.groupBy("campaign_id", "name").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@register("date_from_day_offset")
+def _day_offset(spark, sf):
+    f = load_star(spark, sf).fact_event
+    off = F.unix_date(F.to_date("timestamp"))
+    return f.select("event_id", off.cast("int").alias("day_offset"),
+                    clean.date_from_day_offset(off).alias("event_date"))
+
+
+@register("parse_clicked_flags")
+def _clicked_flags(spark, sf):
+    """C5 over every stored flag spelling seen in staging, exact and
+    case-insensitive."""
+    s = fixtures.ad_staging(spark, sf)
+    return s.groupBy("was_clicked").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "was_clicked", "n_rows", clean.parse_clicked("was_clicked").alias("clicked"),
+        clean.parse_clicked("was_clicked", case_insensitive=True).alias("clicked_ci"))

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 CLICKED_VALUES = ("1", "TRUE", "true")
 # The zero date a MySQL DATETIME column holds for "no value".
 ZERO_DATETIME = "0000-00-00 00:00:00"
-# Falsy author values dropped by the stream consumer.
-FALSY_AUTHOR_TEXT = ("", "0", "0.0", "false")
+# Falsy author values dropped by the stream consumer, as JSON text.
+FALSY_AUTHOR_TEXT = ("", "0", "0.0", "-0", "-0.0", "false", "[]", "{}")
+# Characters Python's str.strip() removes (str.isspace), as a Java regex class.
+PY_WHITESPACE = (r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A"
+                 r"\u2028\u2029\u202F\u205F\u3000]")
 # DNS namespace UUID used for name-based (v5) UUIDs, as 32 hex digits.
 DNS_NAMESPACE_HEX = "6ba7b8109dad11d180b400c04fd430c8"
 
@@ -133,8 +136,9 @@ def clicked_from_ts(click_ts: str | Column) -> Column:
 
 
 def trim_all(c: str | Column) -> Column:
-    """Strip all leading/trailing whitespace (``trim`` strips spaces only)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Strip all leading/trailing whitespace as Python's ``strip()`` does
+    (``trim`` strips spaces only)."""
+    return F.regexp_replace(_col(c), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")
 
 
 def trim_dim(c: str | Column) -> Column:

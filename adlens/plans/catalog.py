@@ -319,3 +319,117 @@ def _clicked_flags(spark, sf):
     return s.groupBy("was_clicked").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "was_clicked", "n_rows", clean.parse_clicked("was_clicked").alias("clicked"),
         clean.parse_clicked("was_clicked", case_insensitive=True).alias("clicked_ci"))
+
+
+# ---- message stream, batch twins (T1-T4, S12-S14) --------------------------
+
+from ..operators.materialize import input_fingerprint, table_root, write_once  # noqa: E402
+from ..sources import io as io_  # noqa: E402
+from ..sources.tables import table_path  # noqa: E402
+from ..streaming import messages as msg  # noqa: E402
+
+
+def _io_root(spark, sf, *inputs):
+    fp = input_fingerprint(spark, [table_path(sf, t) for t in inputs])
+    return table_root(spark, "io", fp)
+
+
+def _messages(spark, sf):
+    return msg.to_messages(fixtures.tweets(spark, sf))
+
+
+def _topic(spark, sf):
+    """The produced messages written to a topic folder once, read back."""
+    from ..operators.materialize import path_exists
+    path = _io_root(spark, sf, "events", "documents") + "/topic_tweets"
+    if not path_exists(spark, path + "/_SUCCESS"):
+        msg.write_messages(_messages(spark, sf), path, mode="overwrite")
+    return msg.read_topic(spark, path)
+
+
+REGISTRY["produce_messages"] = lambda spark, sf: msg.parse_messages(_messages(spark, sf))
+REGISTRY["stream_tweets_clean"] = lambda spark, sf: msg.clean_messages(_topic(spark, sf))
+REGISTRY["stream_minute_files"] = lambda spark, sf: msg.split_rejects(
+    msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))[0]
+REGISTRY["tweet_minute_counts"] = lambda spark, sf: msg.minute_counts(
+    msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))
+REGISTRY["topic_count"] = lambda spark, sf: msg.topic_count(_topic(spark, sf))
+REGISTRY["topic_peek"] = lambda spark, sf: msg.topic_peek(_topic(spark, sf), 10).select(
+    "offset", "key", F.from_json("value", msg.MESSAGE_SCHEMA).alias("m")).select("offset", "key", "m.*")
+
+
+# ---- sources and sinks (S1-S4, S6, S7, S9) -----------------------------------
+
+from ..plans import documents as _d  # noqa: E402
+
+
+@register("src_reviews_csv")
+def _src_reviews_csv(spark, sf):
+    from ..operators.materialize import path_exists
+    path = _io_root(spark, sf, "lineitem", "orders", "part") + "/reviews_csv"
+    if not path_exists(spark, path + "/_SUCCESS"):
+        io_.write_csv(fixtures.reviews(spark, sf), path)
+    return io_.read_reviews_csv(spark, path)
+
+
+@register("src_reviews_infer")
+def _src_reviews_infer(spark, sf):
+    _src_reviews_csv(spark, sf)
+    return io_.read_reviews_csv(spark, _io_root(spark, sf, "lineitem", "orders", "part") + "/reviews_csv",
+                                infer=True)
+
+
+@register("stg_ad_events_load")
+def _stg_load(spark, sf):
+    from ..operators.materialize import path_exists
+    path = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/ad_events_csv"
+    if not path_exists(spark, path + "/_SUCCESS"):
+        io_.write_csv(fixtures.ad_staging(spark, sf), path)
+    return _money(io_.load_staging(spark, path), {"budget", "remaining_budget", "bid_amount", "ad_cost",
+                                                  "ad_revenue"})
+
+
+CAMPAIGN_COLS = ["advertiser_name", "campaign_name", "campaign_start_date", "campaign_end_date", "budget",
+                 "remaining_budget"]
+CAMPAIGN_SCHEMA = ("advertiser_name string, campaign_name string, campaign_start_date date, "
+                   "campaign_end_date date, budget decimal(12,2), remaining_budget decimal(12,2)")
+
+
+@register("staging_row_counts")
+def _row_counts(spark, sf):
+    s = fixtures.ad_staging(spark, sf)
+    root = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/replace_load"
+    return io_.replace_load(spark, {"stg_ad_events": (s, io_.STAGING_SCHEMA),
+                                    "stg_campaigns": (s.select(*CAMPAIGN_COLS).distinct(), CAMPAIGN_SCHEMA)},
+                            root)
+
+
+@register("sink_documents_roundtrip")
+def _sink_docs(spark, sf):
+    pm = rv.product_metrics(_rv(spark, sf))
+    path = _io_root(spark, sf, "lineitem", "orders", "part") + "/product_metrics_json"
+    io_.write_documents(pm, path, "json", "overwrite")
+    return io_.read_documents(spark, path, pm.schema)
+
+
+@register("sink_nested_roundtrip")
+def _sink_nested(spark, sf):
+    d = _docs(spark, sf)
+    path = table_root(spark, "io", input_fingerprint(spark, [table_path(sf, "events")]), "user_docs_json")
+    io_.write_documents(d, path, "json", "overwrite")
+    return _d.flatten_documents(io_.read_documents(spark, path, d.schema))
+
+
+@register("report_bundle")
+def _report_bundle(spark, sf):
+    star = load_star(spark, sf)
+    reps = {
+        "task1_top5_campaigns_ctr_30d": reports.top_campaigns_ctr(star, *WINDOW),
+        "task2_top10_advertisers_spend_engagement": reports.top_advertisers_spend(star, *WINDOW),
+        "task3_cpc_cpm_per_campaign": reports.cpc_cpm(star),
+        "task4_revenue_by_country": reports.revenue_by_country(star),
+        "task5_user_engagement_revenue_top20": reports.user_revenue_top(star),
+        "task6_budget_consumption_over80": reports.budget_over(star),
+        "task7_ctr_by_device": reports.ctr_by_device(star),
+    }
+    return io_.report_rows(reps)

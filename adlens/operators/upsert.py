@@ -19,8 +19,12 @@ from .materialize import path_exists
 
 
 def upsert(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per ``key``: the one with the greatest ``order`` (all remaining
+    columns when ``order`` is empty)."""
     rest = [c for c in df.columns if c not in key]
-    latest = F.max_by(F.struct(*rest), F.struct(*order))
+    if not rest:
+        return df.select(*key).distinct()
+    latest = F.max_by(F.struct(*rest), F.struct(*(order or rest)))
     return df.groupBy(*key).agg(latest.alias("_v")).select(*key, *[F.col(f"_v.{c}").alias(c) for c in rest])
 
 

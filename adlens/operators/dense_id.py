@@ -27,17 +27,34 @@ def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+# Up to this many rows a single sorted window is cheaper than the
+# distributed path (one task sorts them; the count that decides is one job).
+SMALL_DIM_ROWS = 1_000_000
+
+
 def with_dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str,
-                  start: int = 1, num_partitions: int | None = None) -> DataFrame:
+                  start: int = 1, num_partitions: int | None = None,
+                  small_rows: int | None = SMALL_DIM_ROWS) -> DataFrame:
     """Add ``id_col`` = ``start`` + rank of the row in ``order_by`` order.
 
     ``order_by`` must be a total order over ``df`` (add the natural key) for
-    the ids to be reproducible.
+    the ids to be reproducible. Frames of at most ``small_rows`` rows (checked
+    with a count) are numbered by one ``row_number()`` window; larger ones by
+    range partitions and per-partition offsets. ``small_rows=None`` always
+    takes the distributed path.
     """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if small_rows is not None and df.count() <= small_rows:
+        w = Window.orderBy(*keys)
+        return df.select((F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(id_col), *df.columns)
+    return _dense_id_distributed(df, keys, id_col, start, num_partitions)
+
+
+def _dense_id_distributed(df: DataFrame, keys: list[Column], id_col: str, start: int,
+                          num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or _num_partitions(df)
-    keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
                            (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos"))

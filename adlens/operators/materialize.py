@@ -44,11 +44,13 @@ def table_root(spark: SparkSession, *parts: str) -> str:
 
 
 def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-               partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``build()`` to ``path`` unless a committed copy exists; read it back."""
+               partition_by: Sequence[str] = (), schema=None) -> DataFrame:
+    """Write ``build()`` to ``path`` unless a committed copy exists; read it back
+    (with ``schema`` when given, e.g. to keep partition values as text)."""
     if not path_exists(spark, f"{path}/_SUCCESS"):
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-    return spark.read.parquet(path)
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    return r.parquet(path)

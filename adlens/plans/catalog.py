@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.star import load_star
+from ..operators.star import load_staging, load_star
 from ..oracle_sql import WINDOW
 from . import reports
 
@@ -159,18 +159,22 @@ REGISTRY["customers_over_10"] = lambda spark, sf: rv.customers_over(rv.customer_
 REGISTRY["avg_reviews_per_product"] = lambda spark, sf: rv.avg_reviews_per_product(rv.product_metrics(_rv(spark, sf)))
 REGISTRY["reviews_by_year"] = lambda spark, sf: rv.reviews_by_year(rv.product_monthly_reviews(_rv(spark, sf)))
 REGISTRY["top3_months"] = lambda spark, sf: rv.top_months(rv.product_monthly_reviews(_rv(spark, sf)), 3)
-REGISTRY["reviews_by_product"] = lambda spark, sf: rv.reviews_by_product(_rv(spark, sf, True))
-REGISTRY["reviews_by_product_rating"] = lambda spark, sf: rv.reviews_by_product_rating(_rv(spark, sf, True))
-REGISTRY["reviews_by_customer"] = lambda spark, sf: rv.reviews_by_customer(_rv(spark, sf, True))
-REGISTRY["top_products_by_period"] = lambda spark, sf: rv.top_products_by_period(_rv(spark, sf, True))
-REGISTRY["top_customers_verified_by_period"] = lambda spark, sf: rv.top_customers_verified_by_period(_rv(spark, sf, True))
-REGISTRY["top_haters_by_period"] = lambda spark, sf: rv.top_haters_by_period(_rv(spark, sf, True))
-REGISTRY["top_backers_by_period"] = lambda spark, sf: rv.top_backers_by_period(_rv(spark, sf, True))
+def _tbl(name):
+    return lambda spark, sf: rv.load_serving_table(spark, sf, name)
+
+
+REGISTRY["reviews_by_product"] = _tbl("reviews_by_product")
+REGISTRY["reviews_by_product_rating"] = _tbl("reviews_by_product_and_rating")
+REGISTRY["reviews_by_customer"] = _tbl("reviews_by_customer")
+REGISTRY["top_products_by_period"] = _tbl("top_products_by_period")
+REGISTRY["top_customers_verified_by_period"] = _tbl("top_customers_verified_by_period")
+REGISTRY["top_haters_by_period"] = _tbl("top_haters_by_period")
+REGISTRY["top_backers_by_period"] = _tbl("top_backers_by_period")
 
 
 def _product_read(from_date=None, to_date=None):
     def run(spark, sf):
-        t = rv.reviews_by_product(_rv(spark, sf, True))
+        t = rv.load_serving_table(spark, sf, "reviews_by_product")
         return rv.read_reviews_product(t, t.select("product_id"), from_date, to_date, 100)
     return run
 
@@ -183,24 +187,25 @@ REGISTRY["read_reviews_product_range"] = _product_read(READ_FROM, READ_TO)
 
 @register("read_reviews_product_rating")
 def _read_pr(spark, sf):
-    t = rv.reviews_by_product_rating(_rv(spark, sf, True))
+    t = rv.load_serving_table(spark, sf, "reviews_by_product_and_rating")
     return rv.read_reviews_product_rating(t, t.select("product_id", "star_rating"), 100)
 
 
 @register("read_reviews_customer")
 def _read_c(spark, sf):
-    t = rv.reviews_by_customer(_rv(spark, sf, True))
+    t = rv.load_serving_table(spark, sf, "reviews_by_customer")
     return rv.read_reviews_customer(t, t.select("customer_id"), 100)
 
 
 REGISTRY["read_top_items"] = lambda spark, sf: rv.read_top(
-    rv.top_products_by_period(_rv(spark, sf, True)), "review_count", "product_id", None, 10)
+    rv.load_serving_table(spark, sf, "top_products_by_period"), "review_count", "product_id", None, 10)
 REGISTRY["read_top_verified"] = lambda spark, sf: rv.read_top(
-    rv.top_customers_verified_by_period(_rv(spark, sf, True)), "verified_review_count", "customer_id", None, 10, "count")
+    rv.load_serving_table(spark, sf, "top_customers_verified_by_period"), "verified_review_count",
+    "customer_id", None, 10, "count")
 REGISTRY["read_top_haters"] = lambda spark, sf: rv.read_top(
-    rv.top_haters_by_period(_rv(spark, sf, True)), "low_rating_count", "customer_id", None, 10, "count")
+    rv.load_serving_table(spark, sf, "top_haters_by_period"), "low_rating_count", "customer_id", None, 10, "count")
 REGISTRY["read_top_backers"] = lambda spark, sf: rv.read_top(
-    rv.top_backers_by_period(_rv(spark, sf, True)), "high_rating_count", "customer_id", None, 10, "count")
+    rv.load_serving_table(spark, sf, "top_backers_by_period"), "high_rating_count", "customer_id", None, 10, "count")
 
 
 # ---- nested documents (N1-N7) ---------------------------------------------
@@ -215,9 +220,7 @@ def _docs(spark, sf):
 
 
 REGISTRY["user_documents"] = lambda spark, sf: docs_.flatten_documents(_docs(spark, sf))
-REGISTRY["user_sessions"] = lambda spark, sf: docs_.session_rows(load_star(spark, sf)).select(
-    "user_id", "session_id", "device", "start_time",
-    F.size("ad_interactions").cast("bigint").alias("n_interactions"))
+REGISTRY["user_sessions"] = lambda spark, sf: docs_.sessionize(load_star(spark, sf))
 
 
 @register("doc_user_history")
@@ -243,7 +246,7 @@ def _interests_split(spark, sf):
 @register("user_documents_profiles")
 def _docs_profiles(spark, sf):
     star = load_star(spark, sf)
-    d = docs_.build_user_documents(star, users=docs_.user_profiles(star))
+    d = docs_.with_profiles(_docs(spark, sf), docs_.user_profiles(star))
     return d.select("user_id", F.array_join("interests", ",").alias("interests"),
                     F.size("sessions").cast("bigint").alias("n_sessions"))
 
@@ -265,12 +268,12 @@ def _staging_cols(df):
 
 
 REGISTRY["sample_head"] = lambda spark, sf: _staging_cols(sampling.head_sample(
-    fixtures.ad_staging(spark, sf), SAMPLE_HEAD_N, ["event_ts", "event_id"]))
-REGISTRY["sample_months"] = lambda spark, sf: sampling.distinct_months(fixtures.ad_staging(spark, sf), "event_ts")
+    load_staging(spark, sf), SAMPLE_HEAD_N, ["event_ts", "event_id"]))
+REGISTRY["sample_months"] = lambda spark, sf: sampling.distinct_months(load_staging(spark, sf), "event_ts")
 
 
 def _quota(spark, sf):
-    return sampling.stratified_quota(fixtures.ad_staging(spark, sf), sampling.month_of("event_ts"),
+    return sampling.stratified_quota(load_staging(spark, sf), sampling.month_of("event_ts"),
                                      QUOTA, "event_id", SEED, "month")
 
 
@@ -289,7 +292,7 @@ def _denorm(spark, sf):
 
 @register("coerce_dates")
 def _coerce_dates(spark, sf):
-    s = fixtures.ad_staging(spark, sf)
+    s = load_staging(spark, sf)
     return s.select("event_id", "click_timestamp", clean.coerce_ts_ntz("click_timestamp").alias("click_ts"))
 
 
@@ -297,7 +300,7 @@ def _coerce_dates(spark, sf):
 def _ci_match(spark, sf):
     """Staging names upper-cased still find their campaign under a
     case-insensitive collation."""
-    s = fixtures.ad_staging(spark, sf).select(F.upper("campaign_name").alias("shout"))
+    s = load_staging(spark, sf).select(F.upper("campaign_name").alias("shout"))
     c = load_star(spark, sf).dim_campaign.select("campaign_id", "name")
     j = s.join(c, clean.ci_key(F.col("shout")) == clean.ci_key(F.col("name")))
     return j.groupBy("campaign_id", "name").agg(F.count(F.lit(1)).alias("n_events"))
@@ -315,7 +318,7 @@ def _day_offset(spark, sf):
 def _clicked_flags(spark, sf):
     """C5 over every stored flag spelling seen in staging, exact and
     case-insensitive."""
-    s = fixtures.ad_staging(spark, sf)
+    s = load_staging(spark, sf)
     return s.groupBy("was_clicked").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "was_clicked", "n_rows", clean.parse_clicked("was_clicked").alias("clicked"),
         clean.parse_clicked("was_clicked", case_insensitive=True).alias("clicked_ci"))
@@ -384,7 +387,7 @@ def _stg_load(spark, sf):
     from ..operators.materialize import path_exists
     path = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/ad_events_csv"
     if not path_exists(spark, path + "/_SUCCESS"):
-        io_.write_csv(fixtures.ad_staging(spark, sf), path)
+        io_.write_csv(load_staging(spark, sf), path)
     return _money(io_.load_staging(spark, path), {"budget", "remaining_budget", "bid_amount", "ad_cost",
                                                   "ad_revenue"})
 
@@ -397,7 +400,7 @@ CAMPAIGN_SCHEMA = ("advertiser_name string, campaign_name string, campaign_start
 
 @register("staging_row_counts")
 def _row_counts(spark, sf):
-    s = fixtures.ad_staging(spark, sf)
+    s = load_staging(spark, sf)
     root = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/replace_load"
     return io_.replace_load(spark, {"stg_ad_events": (s, io_.STAGING_SCHEMA),
                                     "stg_campaigns": (s.select(*CAMPAIGN_COLS).distinct(), CAMPAIGN_SCHEMA)},
@@ -414,10 +417,15 @@ def _sink_docs(spark, sf):
 
 @register("sink_nested_roundtrip")
 def _sink_nested(spark, sf):
+    """Append the documents to an (empty) collection and read them back.
+    Nested parquet here; ``fmt="json"`` or a document-store connector take
+    the same path."""
+    import uuid
     d = _docs(spark, sf)
-    path = table_root(spark, "io", input_fingerprint(spark, [table_path(sf, "events")]), "user_docs_json")
-    io_.write_documents(d, path, "json", "overwrite")
-    return _d.flatten_documents(io_.read_documents(spark, path, d.schema))
+    path = table_root(spark, "io", input_fingerprint(spark, [table_path(sf, "events")]),
+                      f"user_docs-{uuid.uuid4().hex[:8]}")
+    io_.write_documents(d, path, "parquet", "append")
+    return _d.flatten_documents(io_.read_documents(spark, path, d.schema, "parquet"))
 
 
 @register("report_bundle")

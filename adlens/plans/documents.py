@@ -57,6 +57,27 @@ def session_rows(star: Star, exact_targeting: bool = False) -> DataFrame:
         "_", F.col("user_id"), F.col("device"), F.date_format("session_date", "yyyy-MM-dd")))
 
 
+def sessionize(star: Star, exact_targeting: bool = False) -> DataFrame:
+    """The session rule alone, one row per (user, day, device) with its
+    start and size; plain aggregates, no arrays built."""
+    flat = denormalise(star, exact_targeting).where(
+        F.col("user_id").isNotNull() & F.col("device").isNotNull())
+    g = flat.groupBy("user_id", F.to_date("timestamp").alias("session_date"), "device").agg(
+        F.min("timestamp").alias("start_time"), F.count(F.lit(1)).alias("n_interactions"))
+    return g.select("user_id", F.concat_ws("_", "user_id", "device", F.date_format("session_date", "yyyy-MM-dd"))
+                    .alias("session_id"), "device", "start_time", "n_interactions")
+
+
+def with_profiles(docs: DataFrame, users: DataFrame) -> DataFrame:
+    """N1 profile fields (age, gender, interests) from a users frame, on
+    existing documents."""
+    d = docs.drop("age", "gender", "interests").join(
+        users.select("user_id", "age", "gender", "interests"), "user_id", "left")
+    return d.select("user_id", F.col("age").cast("int").alias("age"),
+                    F.coalesce(F.col("gender"), F.lit("")).alias("gender"), "location",
+                    clean.split_list(F.coalesce(F.col("interests"), F.lit(""))).alias("interests"), "sessions")
+
+
 def build_user_documents(star: Star, users: DataFrame | None = None,
                          exact_targeting: bool = False) -> DataFrame:
     """One nested document per user.
@@ -85,12 +106,21 @@ def build_user_documents(star: Star, users: DataFrame | None = None,
                        interests.alias("interests"), sessions.alias("sessions"))
 
 
-def load_user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of the test tables, materialised next to the star."""
+_DOCS_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
+def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """Documents of the test tables, materialised once per input."""
+    import uuid
+
     from ..operators.star import load_star, star_fingerprint
-    star = load_star(spark, sf_dir)
-    path = table_root(spark, "star", star_fingerprint(spark, sf_dir), "user_documents")
-    return write_once(spark, path, lambda: build_user_documents(star))
+    fp = star_fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, fp)
+    if rebuild or key not in _DOCS_CACHE:
+        star = load_star(spark, sf_dir)
+        path = table_root(spark, "user_documents", fp) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
+        _DOCS_CACHE[key] = write_once(spark, path, lambda: build_user_documents(star))
+    return _DOCS_CACHE[key]
 
 
 def flatten_documents(docs: DataFrame) -> DataFrame:

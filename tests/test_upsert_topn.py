@@ -56,8 +56,15 @@ def test_parameter_rules():
 
 def test_dense_ids_equal_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).cast("string").alias("name")).distinct()
-    ids = with_dense_id(df, ["name"], "id", num_partitions=7)
+    ids = with_dense_id(df, ["name"], "id", num_partitions=7, small_rows=None)
     ref = df.withColumn("rn", F.row_number().over(Window.orderBy("name")))
     got = ids.join(ref, "name")
     assert got.count() == df.count()
     assert got.where(F.col("id") != F.col("rn")).count() == 0
+
+
+def test_dense_ids_small_path_same_numbers(spark):
+    df = spark.range(0, 300).select((F.col("id") * 31 % 301).cast("string").alias("name"))
+    a = with_dense_id(df, ["name"], "id", small_rows=None)
+    b = with_dense_id(df, ["name"], "id")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -23,40 +23,6 @@ from ..operators.star import Star, denormalise
 from ..operators.topn import top_n_per
 
 
-def _interaction(f: DataFrame) -> Column:
-    """One ad interaction. ``event_id`` leads, so sorting
-    the structs orders interactions by event id, then targeting row."""
-    campaign = F.struct(
-        F.col("campaign_id"), F.col("campaign_name"), F.col("advertiser_name"),
-        F.col("start_date").cast("timestamp_ntz").alias("start_date"),
-        F.col("end_date").cast("timestamp_ntz").alias("end_date"),
-        F.col("budget").cast("double").alias("budget"),
-        F.col("remaining_budget").cast("double").alias("remaining_budget"),
-        F.struct("criteria", "interest", "country").alias("targeting"))
-    return F.struct(
-        F.col("event_id"), F.col("timestamp"), F.col("ad_slot_id"), campaign.alias("campaign"),
-        F.col("bid_amount").cast("double").alias("bid_amount"),
-        F.col("ad_cost").cast("double").alias("ad_cost"),
-        F.col("ad_revenue").cast("double").alias("ad_revenue"),
-        F.col("was_clicked"), F.col("click_timestamp"))
-
-
-def session_rows(star: Star, exact_targeting: bool = False) -> DataFrame:
-    """One row per (user, day, device) with its ordered interactions.
-
-    Rows with no user or device have no session (the source's group-by drops
-    NULL keys).
-    """
-    flat = denormalise(star, exact_targeting).where(
-        F.col("user_id").isNotNull() & F.col("device").isNotNull())
-    flat = flat.withColumn("session_date", F.to_date("timestamp"))
-    g = flat.groupBy("user_id", "location", "session_date", "device").agg(
-        F.min("timestamp").alias("start_time"),
-        F.array_sort(F.collect_list(_interaction(flat))).alias("ad_interactions"))
-    return g.withColumn("session_id", F.concat_ws(
-        "_", F.col("user_id"), F.col("device"), F.date_format("session_date", "yyyy-MM-dd")))
-
-
 def sessionize(star: Star, exact_targeting: bool = False) -> DataFrame:
     """The session rule alone, one row per (user, day, device) with its
     start and size; plain aggregates, no arrays built."""
@@ -78,32 +44,86 @@ def with_profiles(docs: DataFrame, users: DataFrame) -> DataFrame:
                     clean.split_list(F.coalesce(F.col("interests"), F.lit(""))).alias("interests"), "sessions")
 
 
+def _events_with_targets(star: Star, exact_targeting: bool) -> DataFrame:
+    """One row per fact event with its user, campaign and advertiser fields
+    and the sorted array of targeting rows the event fans out to (all rows
+    of its campaign, or its own row with ``exact_targeting``)."""
+    f = star.fact_event.alias("f")
+    u = star.dim_user.select("user_id", "device", "location")
+    c = star.dim_campaign.select(
+        "campaign_id", "advertiser_id", F.col("name").alias("campaign_name"), "start_date", "end_date",
+        "budget", "remaining_budget")
+    a = star.dim_advertiser.select("advertiser_id", F.col("name").alias("advertiser_name"))
+    target = F.struct("criteria", "interest", "country")
+    key = "targeting_id" if exact_targeting else "campaign_id"
+    targets = (star.dim_targeting.groupBy(key)
+               .agg(F.array_sort(F.collect_list(target)).alias("targets")))
+    ev = (f.join(u, "user_id", "left").join(c, "campaign_id", "left").join(a, "advertiser_id", "left")
+          .join(targets, key, "left"))
+    return ev.where(F.col("user_id").isNotNull() & F.col("device").isNotNull())
+
+
 def build_user_documents(star: Star, users: DataFrame | None = None,
                          exact_targeting: bool = False) -> DataFrame:
     """One nested document per user.
 
+    Sessions are ``(day, device)`` groups ordered by day then device; each
+    holds its interactions ordered by event id. As in the source, targeting
+    joins on the campaign only, so an event appears once per targeting row
+    of its campaign (``exact_targeting=True``: once). The two groupings
+    shuffle one compact row per *event* carrying its campaign's targeting
+    array; the repetition is applied in the final projection, so the shuffles
+    do not grow with the fan-out.
+
     ``users`` (user_id, age, gender, interests as comma text) fills the
     profile fields; without it they take the source's defaults (age NULL,
     gender '', interests ['']).
     """
-    s = session_rows(star, exact_targeting)
-    sess = F.struct("session_date", "device", "session_id", "start_time", "ad_interactions")
-    docs = s.groupBy("user_id", "location").agg(F.array_sort(F.collect_list(sess)).alias("_sessions"))
-    sessions = F.transform("_sessions", lambda x: F.struct(
-        x["session_id"].alias("session_id"), x["device"].alias("device"),
-        x["start_time"].alias("start_time"), x["ad_interactions"].alias("ad_interactions")))
+    ev = _events_with_targets(star, exact_targeting)
+    event = F.struct(
+        "event_id", "timestamp", "ad_slot_id", "campaign_id", "campaign_name", "advertiser_name",
+        F.col("start_date").cast("timestamp_ntz").alias("start_date"),
+        F.col("end_date").cast("timestamp_ntz").alias("end_date"),
+        F.col("budget").cast("double").alias("budget"),
+        F.col("remaining_budget").cast("double").alias("remaining_budget"),
+        F.col("bid_amount").cast("double").alias("bid_amount"),
+        F.col("ad_cost").cast("double").alias("ad_cost"),
+        F.col("ad_revenue").cast("double").alias("ad_revenue"),
+        clean.clicked_from_ts("click_timestamp").alias("was_clicked"), "click_timestamp", "targets")
+    sessions = (ev.groupBy("user_id", "location", F.to_date("timestamp").alias("session_date"), "device")
+                .agg(F.min("timestamp").alias("start_time"), F.array_sort(F.collect_list(event)).alias("events")))
+    sess = F.struct("session_date", "device", "user_id", "start_time", "events")
+    docs = sessions.groupBy("user_id", "location").agg(F.array_sort(F.collect_list(sess)).alias("_s"))
+
+    no_target = F.array(F.struct(F.lit(None).cast("string").alias("criteria"),
+                                 F.lit(None).cast("string").alias("interest"),
+                                 F.lit(None).cast("string").alias("country")))
+
+    def interactions_of(e):
+        ts = F.when(F.size(e["targets"]) > 0, e["targets"]).otherwise(no_target)
+        return F.transform(ts, lambda t: F.struct(
+            e["event_id"].alias("event_id"), e["timestamp"].alias("timestamp"),
+            e["ad_slot_id"].alias("ad_slot_id"),
+            F.struct(e["campaign_id"].alias("campaign_id"), e["campaign_name"].alias("campaign_name"),
+                     e["advertiser_name"].alias("advertiser_name"), e["start_date"].alias("start_date"),
+                     e["end_date"].alias("end_date"), e["budget"].alias("budget"),
+                     e["remaining_budget"].alias("remaining_budget"), t.alias("targeting")).alias("campaign"),
+            e["bid_amount"].alias("bid_amount"), e["ad_cost"].alias("ad_cost"),
+            e["ad_revenue"].alias("ad_revenue"), e["was_clicked"].alias("was_clicked"),
+            e["click_timestamp"].alias("click_timestamp")))
+
+    out_sessions = F.transform("_s", lambda x: F.struct(
+        F.concat_ws("_", x["user_id"], x["device"], F.date_format(x["session_date"], "yyyy-MM-dd"))
+         .alias("session_id"),
+        x["device"].alias("device"), x["start_time"].alias("start_time"),
+        F.flatten(F.transform(x["events"], interactions_of)).alias("ad_interactions")))
+    docs = docs.select("user_id", "location", out_sessions.alias("sessions"),
+                       F.lit(None).cast("int").alias("age"), F.lit("").alias("gender"),
+                       F.array(F.lit("")).alias("interests"))
     if users is not None:
-        docs = docs.join(users.select("user_id", "age", "gender", "interests"), "user_id", "left")
-        age = F.col("age").cast("int")
-        gender = F.coalesce(F.col("gender"), F.lit(""))
-        interests = clean.split_list(F.coalesce(F.col("interests"), F.lit("")))
-    else:
-        age = F.lit(None).cast("int")
-        gender = F.lit("")
-        interests = F.array(F.lit(""))
-    return docs.select("user_id", age.alias("age"), gender.alias("gender"),
-                       F.coalesce(F.col("location"), F.lit("")).alias("location"),
-                       interests.alias("interests"), sessions.alias("sessions"))
+        return with_profiles(docs, users)
+    return docs.select("user_id", "age", "gender", F.coalesce(F.col("location"), F.lit("")).alias("location"),
+                       "interests", "sessions")
 
 
 _DOCS_CACHE: dict[tuple[str, str], DataFrame] = {}

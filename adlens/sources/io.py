@@ -42,10 +42,16 @@ _CSV_OPTIONS = {
 }
 
 
+# Written NULLs are empty unquoted fields and empty strings are ``""``; on
+# read only the unquoted empty field may become NULL (the default nullValue
+# "" would turn ``""`` into NULL as well).
+_READ_NULL = "\u0000"
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, **options: str) -> DataFrame:
     """Header CSV, ``,`` separated, ``"`` quoted; explicit schema,
     or inferred types when ``schema`` is None."""
-    r = spark.read.options(**{**_CSV_OPTIONS, **options})
+    r = spark.read.options(**{**_CSV_OPTIONS, "nullValue": _READ_NULL, **options})
     r = r.schema(schema) if schema else r.option("inferSchema", "true")
     return r.csv(path)
 

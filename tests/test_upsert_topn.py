@@ -68,3 +68,14 @@ def test_dense_ids_small_path_same_numbers(spark):
     a = with_dense_id(df, ["name"], "id", small_rows=None)
     b = with_dense_id(df, ["name"], "id")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_quota_sample_exact_and_fallback(spark):
+    from adlens.operators import sampling
+    df = spark.range(0, 20000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5 == 0).cast("int").alias("g"))
+    brute = top_n_per(df.withColumn("stratum", F.col("g")).withColumn("_h", sampling.seeded_order("k", 7)),
+                      ["stratum"], [F.col("_h"), F.col("k")], 300).drop("_h")
+    want = set(map(tuple, brute.collect()))
+    for sig in (5.0, -50.0):   # -50 forces every stratum through the fallback
+        got = sampling.stratified_quota(df, "g", 300, "k", 7, "stratum", sigmas=sig)
+        assert set(map(tuple, got.collect())) == want

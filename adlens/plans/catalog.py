@@ -247,8 +247,9 @@ def _interests_split(spark, sf):
 def _docs_profiles(spark, sf):
     star = load_star(spark, sf)
     d = docs_.with_profiles(_docs(spark, sf), docs_.user_profiles(star))
-    return d.select("user_id", F.array_join("interests", ",").alias("interests"),
-                    F.size("sessions").cast("bigint").alias("n_sessions"))
+    frag = d.select("user_id", F.array_join("interests", ",").alias("interests"),
+                    F.explode("sessions").alias("s"))
+    return frag.groupBy("user_id", "interests").agg(F.count_distinct("s.session_id").alias("n_sessions"))
 
 
 # ---- sampling, integrity, denormalised rows, cleaning rules ---------------

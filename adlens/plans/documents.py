@@ -39,8 +39,10 @@ def with_profiles(docs: DataFrame, users: DataFrame) -> DataFrame:
     existing documents."""
     d = docs.drop("age", "gender", "interests").join(
         users.select("user_id", "age", "gender", "interests"), "user_id", "left")
-    return d.select("user_id", F.col("age").cast("int").alias("age"),
-                    F.coalesce(F.col("gender"), F.lit("")).alias("gender"), "location",
+    part = ["part"] if "part" in docs.columns else []
+    return d.select("user_id", *part, F.col("age").cast("int").alias("age"),
+                    F.coalesce(F.col("gender"), F.lit("")).alias("gender"),
+                    F.coalesce(F.col("location"), F.lit("")).alias("location"),
                     clean.split_list(F.coalesce(F.col("interests"), F.lit(""))).alias("interests"), "sessions")
 
 
@@ -63,9 +65,15 @@ def _events_with_targets(star: Star, exact_targeting: bool) -> DataFrame:
     return ev.where(F.col("user_id").isNotNull() & F.col("device").isNotNull())
 
 
+# Interactions one stored document part holds at most (about): users above
+# it are split into several parts so no single row or task grows with them.
+DOC_PART_INTERACTIONS = 100_000
+
+
 def build_user_documents(star: Star, users: DataFrame | None = None,
-                         exact_targeting: bool = False) -> DataFrame:
-    """One nested document per user.
+                         exact_targeting: bool = False,
+                         max_interactions: int | None = None) -> DataFrame:
+    """Nested per-user documents.
 
     Sessions are ``(day, device)`` groups ordered by day then device; each
     holds its interactions ordered by event id. As in the source, targeting
@@ -75,11 +83,30 @@ def build_user_documents(star: Star, users: DataFrame | None = None,
     array; the repetition is applied in the final projection, so the shuffles
     do not grow with the fan-out.
 
+    ``max_interactions=None`` gives one document per user (``part`` 0), the
+    source's layout. With a bound, a user with more interactions is split
+    into ``ceil(n / bound)`` parts by a hash of the event id (the bucket
+    pattern of document stores): every part holds about ``bound``
+    interactions, a session may appear in several parts (same id, same
+    start), and all parts of a user together hold exactly the user's
+    document. Users under the bound keep one part.
+
     ``users`` (user_id, age, gender, interests as comma text) fills the
     profile fields; without it they take the source's defaults (age NULL,
     gender '', interests ['']).
     """
     ev = _events_with_targets(star, exact_targeting)
+    ev = ev.withColumn("session_date", F.to_date("timestamp"))
+    skey = ["user_id", "session_date", "device"]
+    starts = ev.groupBy(*skey).agg(F.min("timestamp").alias("start_time"))
+    if max_interactions is None:
+        ev = ev.withColumn("part", F.lit(0))
+    else:
+        weight = F.greatest(F.coalesce(F.size("targets"), F.lit(0)), F.lit(1))
+        per_user = ev.groupBy("user_id").agg(F.sum(weight).alias("_n"))
+        n_parts = F.ceil(F.col("_n") / F.lit(float(max_interactions))).cast("long")
+        ev = (ev.join(per_user, "user_id")
+              .withColumn("part", F.pmod(F.xxhash64("event_id"), n_parts).cast("int")).drop("_n"))
     event = F.struct(
         "event_id", "timestamp", "ad_slot_id", "campaign_id", "campaign_name", "advertiser_name",
         F.col("start_date").cast("timestamp_ntz").alias("start_date"),
@@ -90,10 +117,11 @@ def build_user_documents(star: Star, users: DataFrame | None = None,
         F.col("ad_cost").cast("double").alias("ad_cost"),
         F.col("ad_revenue").cast("double").alias("ad_revenue"),
         clean.clicked_from_ts("click_timestamp").alias("was_clicked"), "click_timestamp", "targets")
-    sessions = (ev.groupBy("user_id", "location", F.to_date("timestamp").alias("session_date"), "device")
-                .agg(F.min("timestamp").alias("start_time"), F.array_sort(F.collect_list(event)).alias("events")))
+    sessions = (ev.groupBy("user_id", "location", "part", *skey[1:])
+                .agg(F.array_sort(F.collect_list(event)).alias("events"))
+                .join(starts, skey))
     sess = F.struct("session_date", "device", "user_id", "start_time", "events")
-    docs = sessions.groupBy("user_id", "location").agg(F.array_sort(F.collect_list(sess)).alias("_s"))
+    docs = sessions.groupBy("user_id", "location", "part").agg(F.array_sort(F.collect_list(sess)).alias("_s"))
 
     no_target = F.array(F.struct(F.lit(None).cast("string").alias("criteria"),
                                  F.lit(None).cast("string").alias("interest"),
@@ -117,13 +145,13 @@ def build_user_documents(star: Star, users: DataFrame | None = None,
          .alias("session_id"),
         x["device"].alias("device"), x["start_time"].alias("start_time"),
         F.flatten(F.transform(x["events"], interactions_of)).alias("ad_interactions")))
-    docs = docs.select("user_id", "location", out_sessions.alias("sessions"),
+    docs = docs.select("user_id", "part", "location", out_sessions.alias("sessions"),
                        F.lit(None).cast("int").alias("age"), F.lit("").alias("gender"),
                        F.array(F.lit("")).alias("interests"))
     if users is not None:
         return with_profiles(docs, users)
-    return docs.select("user_id", "age", "gender", F.coalesce(F.col("location"), F.lit("")).alias("location"),
-                       "interests", "sessions")
+    return docs.select("user_id", "part", "age", "gender",
+                       F.coalesce(F.col("location"), F.lit("")).alias("location"), "interests", "sessions")
 
 
 _DOCS_CACHE: dict[tuple[str, str], DataFrame] = {}
@@ -139,18 +167,20 @@ def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     if rebuild or key not in _DOCS_CACHE:
         star = load_star(spark, sf_dir)
         path = table_root(spark, "user_documents", fp) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
-        _DOCS_CACHE[key] = write_once(spark, path, lambda: build_user_documents(star))
+        _DOCS_CACHE[key] = write_once(
+            spark, path, lambda: build_user_documents(star, max_interactions=DOC_PART_INTERACTIONS))
     return _DOCS_CACHE[key]
 
 
 def flatten_documents(docs: DataFrame) -> DataFrame:
-    """Scalar summary per document (for comparisons): sessions, interactions,
-    first session start."""
-    n_ia = F.aggregate("sessions", F.lit(0).cast("bigint"),
-                       lambda acc, s: acc + F.size(s["ad_interactions"]).cast("bigint"))
-    return docs.select("user_id", F.size("sessions").cast("bigint").alias("n_sessions"),
-                       n_ia.alias("n_interactions"),
-                       F.array_min(F.transform("sessions", lambda s: s["start_time"])).alias("first_start"))
+    """Scalar summary per user (for comparisons): sessions, interactions and
+    first session start, over all parts of the user's document."""
+    frag = docs.select("user_id", F.explode("sessions").alias("s")).select(
+        "user_id", F.col("s.session_id").alias("sid"), F.col("s.start_time").alias("st"),
+        F.size("s.ad_interactions").cast("bigint").alias("n"))
+    return frag.groupBy("user_id").agg(
+        F.count_distinct("sid").alias("n_sessions"), F.sum("n").alias("n_interactions"),
+        F.min("st").alias("first_start"))
 
 
 def user_history(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -160,15 +190,16 @@ def user_history(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def last_sessions(docs: DataFrame, n: int = 5) -> DataFrame:
     """Per user the ``n`` latest sessions with their click counts, one row
-    per session. Sorting and slicing happen inside each document's array."""
-    keyed = F.transform("sessions", lambda s: F.struct(s["start_time"].alias("k"), s.alias("s")))
-    latest = F.slice(F.sort_array(keyed, asc=False), 1, n)
-    rows = docs.select("user_id", F.explode(latest).alias("x")).select("user_id", F.col("x.s").alias("s"))
-    return rows.select(
+    per session (fragments of a session stored in several document parts are
+    added up first). The per-user limit is a ``WindowGroupLimit``."""
+    frag = docs.select("user_id", F.explode("sessions").alias("s")).select(
         "user_id", F.col("s.session_id").alias("session_id"), F.col("s.device").alias("device"),
         F.col("s.start_time").alias("start_time"),
         F.size(F.filter("s.ad_interactions", lambda i: i["was_clicked"])).cast("bigint").alias("clicks"),
         F.size("s.ad_interactions").cast("bigint").alias("n_interactions"))
+    sessions = frag.groupBy("user_id", "session_id", "device", "start_time").agg(
+        F.sum("clicks").alias("clicks"), F.sum("n_interactions").alias("n_interactions"))
+    return top_n_per(sessions, ["user_id"], [F.col("start_time").desc(), F.col("session_id")], n)
 
 
 def interactions(docs: DataFrame) -> DataFrame:

@@ -34,9 +34,10 @@ def campaign_key(events: DataFrame) -> F.Column:
     return F.get_json_object(events["props"], "$.k").try_cast("int")
 
 
-def ad_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B1: one wide staging row per event (stands in for stg_ad_events)."""
-    e = read_table(spark, sf_dir, "events")
+def ad_staging(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """B1: one wide staging row per event (stands in for stg_ad_events).
+    ``events`` replaces the events table (e.g. a replicated copy for scaling runs)."""
+    e = read_table(spark, sf_dir, "events") if events is None else events
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")

@@ -50,3 +50,26 @@ def test_clicks_per_hour_and_fatigue_shapes(spark):
         "hour": 19, "campaign": "Campaign_172", "clicks": 1}
     assert docs.clicks_per_hour(doc, "Advertiser_18", 0).count() == 0
     assert docs.ad_fatigue(doc, 1).count() == 0  # every interaction was clicked
+
+
+def test_split_documents_reassemble(spark):
+    """Parts of a split user document hold exactly the unsplit document."""
+    from pyspark.sql import functions as F
+    from adlens.operators.star import load_star
+    star = load_star(spark, "/root/testdata/sf0.001")
+    whole = docs.build_user_documents(star)
+    parts = docs.build_user_documents(star, max_interactions=40)
+    assert parts.groupBy("user_id").count().where("count > 1").count() > 0   # some users were split
+    assert sorted(map(tuple, docs.flatten_documents(whole).collect())) == \
+        sorted(map(tuple, docs.flatten_documents(parts).collect()))
+    assert sorted(map(tuple, docs.last_sessions(whole, 5).collect())) == \
+        sorted(map(tuple, docs.last_sessions(parts, 5).collect()))
+
+    def ia(d):
+        return sorted(map(tuple, docs.interactions(d).select(
+            "user_id", "event_id", "campaign.targeting.interest", "was_clicked").collect()), key=repr)
+    assert ia(whole) == ia(parts)
+    # inside every part, sessions ascend by day and interactions by event id
+    s = parts.select(F.explode("sessions").alias("s")).select(
+        F.col("s.ad_interactions.event_id").alias("ids")).collect()
+    assert all(r.ids == sorted(r.ids) for r in s)

@@ -66,8 +66,9 @@ def _events_with_targets(star: Star, exact_targeting: bool) -> DataFrame:
 
 
 # Interactions one stored document part holds at most (about): users above
-# it are split into several parts so no single row or task grows with them.
-DOC_PART_INTERACTIONS = 100_000
+# it are split into several parts so no single row or task grows with them
+# (~8 MB of interactions, under the 16 MB a document store accepts).
+DOC_PART_INTERACTIONS = 20_000
 
 
 def build_user_documents(star: Star, users: DataFrame | None = None,

@@ -27,7 +27,8 @@ from adlens.sources.tables import read_table  # noqa: E402
 
 def main() -> None:
     sf_dir, ks = sys.argv[1], [int(k) for k in sys.argv[2:]] or [1, 10]
-    spark = get_spark(app="adlens-scaling", master="local[8]", shuffle_partitions=16)
+    spark = get_spark(app="adlens-scaling", master="local[8]", shuffle_partitions=16,
+                      **{"spark.driver.memory": "16g"})
     events = read_table(spark, sf_dir, "events")
     span = events.agg(F.max("event_id")).first()[0] + 1
     spark.range(1).count()  # warm up

@@ -12,9 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.star import load_staging, load_star
+from ..functions import clean
+from ..operators import sampling
+from ..operators.materialize import input_fingerprint, table_root
+from ..operators.quality import star_integrity
+from ..operators.star import denormalise, load_staging, load_star
+from ..operators.upsert import merge_upsert, upsert
 from ..oracle_sql import WINDOW
+from ..sources import fixtures
+from ..sources import io as io_
+from ..sources.tables import table_path
+from ..streaming import messages as msg
+from . import documents as docs_
 from . import reports
+from . import reviews as rv
+from . import serving
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -63,9 +75,6 @@ REGISTRY["rpt_click_revenue_by_location"] = lambda spark, sf: reports.click_reve
 
 # ---- serving tables, reads, lookups (W1-W10, L1-L3, U1) -------------------
 
-from . import serving  # noqa: E402
-from ..operators.upsert import merge_upsert, upsert  # noqa: E402
-from ..functions import clean  # noqa: E402
 
 MONTH = "2024-01"
 REGION_COUNTRY = "AMERICA"
@@ -138,7 +147,6 @@ def _uuid5_keys(spark, sf):
 
 # ---- product reviews (V1-V22) ---------------------------------------------
 
-from . import reviews as rv  # noqa: E402
 
 MIN_REVIEWS = 25   # FIXTURES.md §B2: few verified rows per product at sf0.01
 READ_FROM, READ_TO = "1996-01-01", "1998-12-31"
@@ -210,7 +218,6 @@ REGISTRY["read_top_backers"] = lambda spark, sf: rv.read_top(
 
 # ---- nested documents (N1-N7) ---------------------------------------------
 
-from . import documents as docs_  # noqa: E402
 
 ADVERTISER = " Brand#13 "   # trimmed by the query, as in the source
 
@@ -254,10 +261,6 @@ def _docs_profiles(spark, sf):
 
 # ---- sampling, integrity, denormalised rows, cleaning rules ---------------
 
-from ..operators import sampling  # noqa: E402
-from ..operators.quality import star_integrity  # noqa: E402
-from ..operators.star import denormalise  # noqa: E402
-from ..sources import fixtures  # noqa: E402
 
 SAMPLE_HEAD_N = 1000
 QUOTA, SEED = 2500, 42
@@ -327,11 +330,6 @@ def _clicked_flags(spark, sf):
 
 # ---- message stream, batch twins (T1-T4, S12-S14) --------------------------
 
-from ..operators.materialize import input_fingerprint, table_root, write_once  # noqa: E402
-from ..sources import io as io_  # noqa: E402
-from ..sources.tables import table_path  # noqa: E402
-from ..streaming import messages as msg  # noqa: E402
-
 
 def _io_root(spark, sf, *inputs):
     fp = input_fingerprint(spark, [table_path(sf, t) for t in inputs])
@@ -364,8 +362,6 @@ REGISTRY["topic_peek"] = lambda spark, sf: msg.topic_peek(_topic(spark, sf), 10)
 
 # ---- sources and sinks (S1-S4, S6, S7, S9) -----------------------------------
 
-from ..plans import documents as _d  # noqa: E402
-
 
 @register("src_reviews_csv")
 def _src_reviews_csv(spark, sf):
@@ -426,7 +422,7 @@ def _sink_nested(spark, sf):
     path = table_root(spark, "io", input_fingerprint(spark, [table_path(sf, "events")]),
                       f"user_docs-{uuid.uuid4().hex[:8]}")
     io_.write_documents(d, path, "parquet", "append")
-    return _d.flatten_documents(io_.read_documents(spark, path, d.schema, "parquet"))
+    return docs_.flatten_documents(io_.read_documents(spark, path, d.schema, "parquet"))
 
 
 @register("report_bundle")

@@ -21,9 +21,6 @@ from ..functions import clean
 # Fixed value: message fields and their JSON types as produced.
 MESSAGE_SCHEMA = ("id string, text string, user_id bigint, product_id string, "
                   "rating bigint, created_at string")
-# The consumer reads every field as text so any JSON value passes through
-# unchanged (an author id of any type is written out as it came).
-CONSUMER_SCHEMA = "user_id string, created_at string, text string"
 TEXT_LIMIT = 240
 TOPIC_FILE_SCHEMA = "offset bigint, key string, value string"
 
@@ -54,17 +51,50 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     return messages.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).alias("m")).select("m.*")
 
 
+def _py_truthy(v: Column) -> Column:
+    """Python truthiness of a JSON value held as VARIANT: NULL/missing, 0,
+    false, '' and empty arrays/objects are falsy; everything else is truthy."""
+    t = F.schema_of_variant(v)
+    return (F.when(v.isNull() | (t == "VOID"), F.lit(False))
+            .when(t == "STRING", F.try_variant_get(v, "$", "string") != "")
+            .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+            .when(t.startswith("ARRAY"), F.to_json(v) != "[]")
+            .when(t.startswith("OBJECT"), F.to_json(v) != "{}")
+            .otherwise(F.coalesce(F.try_variant_get(v, "$", "double") != 0, F.lit(True))))
+
+
+def _py_text(v: Column) -> Column:
+    """How the consumer writes a JSON scalar out (booleans as Python spells them)."""
+    t = F.schema_of_variant(v)
+    return (F.when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
+            .otherwise(F.try_variant_get(v, "$", "string")))
+
+
 def clean_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """T2 (C11-C13): decode, flatten the text and drop unusable messages.
 
-    Empty or invalid JSON, and JSON that is not an object, parse to an all-NULL
-    struct and drop out with the rest: author, time and cleaned text must all
-    be present and truthy (author ``0`` is dropped).
+    The payload is parsed once as VARIANT, so each field keeps its JSON type:
+    empty or invalid JSON and falsy payloads are dropped, and so are truthy
+    non-object payloads (``[1]``, ``5``), on which the source consumer fails.
+    Author, time and cleaned text must be truthy by Python's rules (author
+    ``0`` or ``false`` is dropped, the string ``"0"`` is kept); a time or text
+    that is not a string is dropped (the source fails on it).
     """
-    p = messages.select(F.from_json(F.col(value_col).cast("string"), CONSUMER_SCHEMA).alias("p"))
-    out = p.select(F.col("p.user_id").alias("author_id"), F.col("p.created_at").alias("created_at"),
-                   clean.one_line(F.col("p.text")).alias("text"))
-    return out.where(clean.truthy_text("author_id") & (F.col("created_at") != "") & (F.col("text") != ""))
+    v = F.try_parse_json(F.col(value_col).cast("string"))
+    author = F.try_variant_get(v, "$.user_id", "variant")
+    created = F.try_variant_get(v, "$.created_at", "variant")
+    text = F.try_variant_get(v, "$.text", "variant")
+    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    text_s = F.when(F.schema_of_variant(text) == "STRING", F.try_variant_get(text, "$", "string"))
+    text_ok = ~_py_truthy(text) | (F.schema_of_variant(text) == "STRING")   # falsy -> '', else must be text
+    p = messages.select(
+        is_obj.alias("_obj"), _py_truthy(author).alias("_a"), _py_text(author).alias("author_id"),
+        F.when(F.schema_of_variant(created) == "STRING", F.try_variant_get(created, "$", "string"))
+         .alias("created_at"),
+        F.coalesce(text_ok, F.lit(True)).alias("_t"), clean.one_line(text_s).alias("text"))
+    return (p.where(F.col("_obj") & F.col("_a") & F.col("_t") & (F.coalesce(F.col("created_at"), F.lit("")) != "")
+                    & (F.col("text") != ""))
+            .select("author_id", "created_at", "text"))
 
 
 def minute_buckets(cleaned: DataFrame) -> DataFrame:

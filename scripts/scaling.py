@@ -33,8 +33,7 @@ def main() -> None:
     span = events.agg(F.max("event_id")).first()[0] + 1
     spark.range(1).count()  # warm up
     for k in ks:
-        copies = spark.range(k).withColumnRenamed("id", "copy")
-        rep = events.crossJoin(F.broadcast(copies)).select(   # k is a small literal count of copies
+        rep = events.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).select(
             (F.col("event_id") + F.col("copy") * F.lit(span)).alias("event_id"),
             "ts", "user_id", "event_type", "value", "props")
         root = table_root(spark, "scaling", f"k{k}-{uuid.uuid4().hex[:8]}")

@@ -8,22 +8,30 @@ from pyspark.sql import functions as F
 from adlens.streaming import messages as msg
 
 
-BAD = ["", "not json", "{}", "[1]", "0", "null",
+BAD = ["", "not json", "{}", "[1]", "0", "null", "5",
+       json.dumps({"user_id": False, "created_at": "2024-01-01T00:00:00+00:00", "text": "x"}),
+       json.dumps({"user_id": 0.0, "created_at": "2024-01-01T00:00:00+00:00", "text": "x"}),
+       json.dumps({"user_id": [], "created_at": "2024-01-01T00:00:00+00:00", "text": "x"}),
+       json.dumps({"user_id": 3, "created_at": 1700000000, "text": "x"}),
+       json.dumps({"user_id": 3, "created_at": "2024-01-01T00:00:00+00:00", "text": 42}),
        json.dumps({"user_id": 0, "created_at": "2024-01-01T00:00:00+00:00", "text": "x"}),
        json.dumps({"user_id": 5, "text": "no time"}),
        json.dumps({"user_id": 5, "created_at": "2024-01-01T00:00:00+00:00", "text": " \n  "})]
 GOOD = [json.dumps({"user_id": 7, "created_at": "2024-01-01T10:00:01+05:30", "text": "a\nb "}),
         json.dumps({"user_id": "8", "created_at": "2024-01-01T10:00:02Z", "text": "c"}),
-        json.dumps({"user_id": 9, "created_at": "garbage", "text": "d"})]
+        json.dumps({"user_id": 9, "created_at": "garbage", "text": "d"}),
+        json.dumps({"user_id": "0", "created_at": "2024-01-01T10:00:03+00:00", "text": "e"}),
+        json.dumps({"user_id": True, "created_at": "2024-01-01T10:00:04+00:00", "text": "f"})]
 
 
 def test_clean_messages_drops_bad_payloads(spark):
     df = spark.createDataFrame([(v,) for v in BAD + GOOD], "value string")
     got = sorted(tuple(r) for r in msg.clean_messages(df).collect())
-    assert got == [("7", "2024-01-01T10:00:01+05:30", "a b"), ("8", "2024-01-01T10:00:02Z", "c"),
-                   ("9", "garbage", "d")]
+    assert got == [("0", "2024-01-01T10:00:03+00:00", "e"), ("7", "2024-01-01T10:00:01+05:30", "a b"),
+                   ("8", "2024-01-01T10:00:02Z", "c"), ("9", "garbage", "d"),
+                   ("True", "2024-01-01T10:00:04+00:00", "f")]
     good, rejects = msg.split_rejects(msg.minute_buckets(msg.clean_messages(df)))
-    assert sorted(r.minute for r in good.collect()) == ["01_01_2024_10_00", "01_01_2024_10_00"]
+    assert sorted(r.minute for r in good.collect()) == ["01_01_2024_10_00"] * 4
     assert [r.created_at for r in rejects.collect()] == ["garbage"]
 
 

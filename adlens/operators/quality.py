@@ -51,8 +51,11 @@ def star_integrity(star: Star) -> DataFrame:
         parts.append(_rule(f"unique:{table}.{cols[0]}",
                            dup.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations"))))
     for table, cols in NOT_NULL.items():
-        for c in cols:
-            parts.append(_rule(f"not_null:{table}.{c}", t[table].agg(F.count_if(F.col(c).isNull()).alias("violations"))))
+        # one scan per table for all its NOT NULL rules, unpivoted to rows
+        counts = t[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        rules = F.array(*[F.struct(F.lit(f"not_null:{table}.{c}").alias("rule"),
+                                   F.col(c).alias("violations")) for c in cols])
+        parts.append(counts.select(F.inline(rules)).select("rule", F.col("violations").cast("bigint")))
     for child, col, parent in FOREIGN_KEYS:
         pk = PRIMARY_KEYS[parent][0]
         orphans = t[child].where(F.col(col).isNotNull()).join(

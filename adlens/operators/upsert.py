@@ -39,9 +39,20 @@ def merge_upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str],
 
 def write_merged(spark: SparkSession, existing_path: str, updates: DataFrame, key: Sequence[str],
                  order: Sequence[str], out_path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Persisted merge: read the current table (if any), merge, write to ``out_path``."""
+    """Persisted merge: read the current table (if any), merge, write a new
+    version to ``out_path`` (never over the path being read). With
+    ``partition_by`` (a prefix of ``key``), only touched partitions are merged."""
     if existing_path and path_exists(spark, existing_path):
-        merged = merge_upsert(spark.read.parquet(existing_path), updates, key, order)
+        current = spark.read.parquet(existing_path)
+        if partition_by:
+            # only partitions the batch touches are merged; the rest are copied
+            # as they are (no shuffle, no aggregate) into the new version
+            touched = updates.select(*partition_by).distinct()
+            keep = current.join(touched, list(partition_by), "left_anti")
+            hit = current.join(touched, list(partition_by), "left_semi")
+            merged = keep.unionByName(merge_upsert(hit, updates, key, order))
+        else:
+            merged = merge_upsert(current, updates, key, order)
     else:
         merged = upsert(updates, key, order)
     w = merged.write.mode("overwrite")

@@ -19,12 +19,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
+def read_jdbc(spark: SparkSession, url: str, table: str | None = None, partition_column: str | None = None,
               lower: int | None = None, upper: int | None = None, num_partitions: int = 64,
-              **options: str) -> DataFrame:
-    """S5 over a database connection, split into ``num_partitions`` range reads
-    on ``partition_column`` so no single task pulls the whole table."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+              query: str | None = None, **options: str) -> DataFrame:
+    """S5 over a database connection: a whole table, split into
+    ``num_partitions`` range reads on ``partition_column`` so no single task
+    pulls it all, or a ``query`` the database runs itself (pushed down; a
+    query is read as a subquery so it can be split the same way)."""
+    if (table is None) == (query is None):
+        raise ValueError("give exactly one of table or query")
+    source = table if table is not None else f"({query}) AS q"
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", source)
     if partition_column is not None:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", str(lower)).option("upperBound", str(upper))

@@ -79,3 +79,14 @@ def test_quota_sample_exact_and_fallback(spark):
     for sig in (5.0, -50.0):   # -50 forces every stratum through the fallback
         got = sampling.stratified_quota(df, "g", 300, "k", 7, "stratum", sigmas=sig)
         assert set(map(tuple, got.collect())) == want
+
+
+def test_partitioned_merge_only_touches_batch_partitions(spark, tmp_dir):
+    old = spark.createDataFrame([("2024-01", "u", 1, "a"), ("2024-02", "u", 1, "b"), ("2024-02", "v", 1, "c")],
+                                "mnth string, user string, seq int, val string")
+    write_merged(spark, "", old, ["mnth", "user"], ["seq"], f"{tmp_dir}/v1", partition_by=["mnth"])
+    new = spark.createDataFrame([("2024-02", "u", 2, "B"), ("2024-03", "w", 1, "d")],
+                                "mnth string, user string, seq int, val string")
+    out = write_merged(spark, f"{tmp_dir}/v1", new, ["mnth", "user"], ["seq"], f"{tmp_dir}/v2", partition_by=["mnth"])
+    got = sorted((r.mnth, r.user, r.val) for r in out.collect())
+    assert got == [("2024-01", "u", "a"), ("2024-02", "u", "B"), ("2024-02", "v", "c"), ("2024-03", "w", "d")]

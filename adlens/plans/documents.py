@@ -168,8 +168,10 @@ def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     if rebuild or key not in _DOCS_CACHE:
         star = load_star(spark, sf_dir)
         path = table_root(spark, "user_documents", fp) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
+        # sorted by user inside each file (no shuffle): keyed reads skip row groups
         _DOCS_CACHE[key] = write_once(
-            spark, path, lambda: build_user_documents(star, max_interactions=DOC_PART_INTERACTIONS))
+            spark, path, lambda: build_user_documents(star, max_interactions=DOC_PART_INTERACTIONS)
+            .sortWithinPartitions("user_id", "part"))
     return _DOCS_CACHE[key]
 
 

@@ -38,11 +38,34 @@ def top_n_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
     return ranked.withColumnRenamed("_rn", rank_col) if rank_col else ranked.drop("_rn")
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes scaled by the projected
+    row width; no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _broadcast_threshold(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:   # e.g. "10MB"
+        return 10 * 1024 * 1024
+
+
 def keyed_read(table: DataFrame, keys: DataFrame, on: Sequence[str], order: Sequence[Column],
                limit: int) -> DataFrame:
     """Batch form of ``WHERE key = ? ORDER BY clustering LIMIT n`` for every
-    key in ``keys``: a left-semi join (unknown keys give no rows) followed by
-    a per-key limit."""
+    key in ``keys`` (unknown keys give no rows).
+
+    A few keys: left-semi join first (the keys side is small enough for Spark
+    to broadcast, so the table is filtered in place) and the per-key limit
+    after it. Many keys: the per-key limit first — ``WindowGroupLimit`` keeps
+    at most ``limit`` rows per key in every map task, so even a key holding a
+    third of the table ships only ``limit x tasks`` rows — then the semi join
+    on the reduced rows. Both orders give the same rows.
+    """
     check_limit(limit)
-    hits = table.join(keys.select(*on).distinct(), list(on), "left_semi")
-    return top_n_per(hits, on, order, limit)
+    k = keys.select(*on).distinct()
+    if estimated_bytes(k) <= _broadcast_threshold(table):
+        return top_n_per(table.join(k, list(on), "left_semi"), on, order, limit)
+    return top_n_per(table, on, order, limit).join(k, list(on), "left_semi")

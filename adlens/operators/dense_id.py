@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .stats import estimated_bytes
 
 # monotonically_increasing_id() keeps the record number within the partition
 # in its lower 33 bits (documented layout).
@@ -28,8 +29,10 @@ def _num_partitions(df: DataFrame) -> int:
 
 
 # Up to this many rows a single sorted window is cheaper than the
-# distributed path (one task sorts them; the count that decides is one job).
+# distributed path (one task sorts them; the count that decides is one job,
+# skipped when Catalyst's size estimate is already below SMALL_DIM_BYTES).
 SMALL_DIM_ROWS = 1_000_000
+SMALL_DIM_BYTES = 64 * 1024 * 1024
 
 
 def with_dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str,
@@ -44,7 +47,7 @@ def with_dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str,
     takes the distributed path.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if small_rows is not None and df.count() <= small_rows:
+    if small_rows is not None and (estimated_bytes(df) <= SMALL_DIM_BYTES or df.count() <= small_rows):
         w = Window.orderBy(*keys)
         return df.select((F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(id_col), *df.columns)
     return _dense_id_distributed(df, keys, id_col, start, num_partitions)

@@ -48,9 +48,12 @@ def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     """Write ``build()`` to ``path`` unless a committed copy exists; read it back
     (with ``schema`` when given, e.g. to keep partition values as text)."""
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        w = build().write.mode("overwrite")
+        df = build()
+        w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        if schema is None and not partition_by:
+            schema = df.schema   # known: skip the footer-reading job on read-back
     r = spark.read.schema(schema) if schema is not None else spark.read
     return r.parquet(path)

@@ -1,0 +1,24 @@
+"""Plan-statistics helpers: decide between two correct strategies without
+running a job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``: file sizes scaled by the projected
+    row width (unknown sources report the maximum). No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_threshold(df: DataFrame) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:   # a size string such as "10MB"
+        num = "".join(ch for ch in v if ch.isdigit())
+        unit = v[len(num):].strip().lower()
+        return int(num) * {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+                           "g": 1 << 30, "gb": 1 << 30}.get(unit, 1)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .stats import broadcast_threshold, estimated_bytes
+
 PERIOD_RE = re.compile(r"^\d{4}-\d{2}$")
 MAX_LIMIT = 1000
 
@@ -38,20 +40,6 @@ def top_n_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
     return ranked.withColumnRenamed("_rn", rank_col) if rank_col else ranked.drop("_rn")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file sizes scaled by the projected
-    row width; no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _broadcast_threshold(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        return int(v)
-    except ValueError:   # e.g. "10MB"
-        return 10 * 1024 * 1024
-
-
 def keyed_read(table: DataFrame, keys: DataFrame, on: Sequence[str], order: Sequence[Column],
                limit: int) -> DataFrame:
     """Batch form of ``WHERE key = ? ORDER BY clustering LIMIT n`` for every
@@ -66,6 +54,6 @@ def keyed_read(table: DataFrame, keys: DataFrame, on: Sequence[str], order: Sequ
     """
     check_limit(limit)
     k = keys.select(*on).distinct()
-    if estimated_bytes(k) <= _broadcast_threshold(table):
+    if estimated_bytes(k) <= broadcast_threshold(table):
         return top_n_per(table.join(k, list(on), "left_semi"), on, order, limit)
     return top_n_per(table, on, order, limit).join(k, list(on), "left_semi")

@@ -10,6 +10,10 @@ from __spark_entry__ import oracle_sql, queries
 from adlens.sources.tables import TEST_TABLES, table_path
 
 SF = "/root/testdata/sf0.001"
+# Spark type -> the DuckDB type name of the same values
+DUCK_TYPE = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+             "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN", "DateType()": "DATE",
+             "TimestampNTZType()": "TIMESTAMP"}
 QUERIES = queries()
 SQL = oracle_sql()
 
@@ -51,6 +55,9 @@ def test_matches_duckdb(spark, duck, name):
     d_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
     assert canon(df.columns, s_rows) == canon(d_cols, d_rows)
+    s_types = {f.name: DUCK_TYPE.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    d_types = {r[0]: r[1] for r in duck.execute(f"describe {SQL[name]}").fetchall()}
+    assert s_types == d_types
 
 
 def test_entry_smoke(spark):

@@ -438,3 +438,22 @@ def _report_bundle(spark, sf):
         "task7_ctr_by_device": reports.ctr_by_device(star),
     }
     return io_.report_rows(reps)
+
+
+@register("user_document_interactions")
+def _doc_interactions(spark, sf):
+    """The stored documents unwound to one row per interaction (content
+    check of N1 against a flat join)."""
+    d = _docs(spark, sf)
+    s = d.select("user_id", F.explode("sessions").alias("s"))
+    i = s.select("user_id", F.col("s.session_id").alias("session_id"), F.col("s.start_time").alias("start_time"),
+                 F.explode("s.ad_interactions").alias("i"))
+    return i.select("user_id", "session_id", "start_time", "i.event_id", "i.timestamp", "i.ad_slot_id",
+                    F.col("i.campaign.campaign_id").alias("campaign_id"),
+                    F.col("i.campaign.campaign_name").alias("campaign_name"),
+                    F.col("i.campaign.advertiser_name").alias("advertiser_name"),
+                    F.col("i.campaign.budget").alias("budget"),
+                    F.col("i.campaign.targeting.criteria").alias("criteria"),
+                    F.col("i.campaign.targeting.interest").alias("interest"),
+                    F.col("i.campaign.targeting.country").alias("country"),
+                    "i.bid_amount", "i.ad_cost", "i.ad_revenue", "i.was_clicked", "i.click_timestamp")

@@ -214,10 +214,17 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
     return queries
 
 
-def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: list[str] | None = None) -> None:
-    """Rewrite closed minutes as one CSV file each (many small files per
-    minute come from many micro-batches)."""
+def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: list[str] | None = None,
+                    rows_per_file: int = 5_000_000) -> None:
+    """Rewrite closed minutes with few, large files (micro-batches leave many
+    small ones). A minute gets ``ceil(rows / rows_per_file)`` files — one for
+    any ordinary minute — and its rows are spread over them by a hash, so a
+    minute holding a large share of the data is written by several tasks."""
     df = spark.read.option("header", True).csv(in_dir)
     if minutes:
         df = df.where(F.col("minute").isin(*minutes))
-    df.repartition("minute").write.mode("overwrite").partitionBy("minute").option("header", True).csv(out_dir)
+    sizes = df.groupBy("minute").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_file))).alias("_files"))
+    salted = df.join(sizes, "minute").withColumn(
+        "_salt", F.pmod(F.xxhash64("author_id", "created_at", "text"), F.col("_files")))
+    (salted.repartition("minute", "_salt").drop("_files", "_salt")
+     .write.mode("overwrite").partitionBy("minute").option("header", True).csv(out_dir))

@@ -50,3 +50,14 @@ def test_compact_minutes_one_file_per_minute(spark, tmp_dir):
         files = [f for f in os.listdir(f"{tmp_dir}/out/{m}") if f.endswith(".csv")]
         assert len(files) == 1
     assert spark.read.option("header", True).csv(f"{tmp_dir}/out").count() == 9
+
+
+def test_compact_splits_a_busy_minute(spark, tmp_dir):
+    rows = spark.range(0, 1000).select(F.col("id").cast("string").alias("author_id"),
+                                       F.lit("2024-01-01T10:00:01+00:00").alias("created_at"),
+                                       F.col("id").cast("string").alias("text"))
+    msg.minute_buckets(rows).write.partitionBy("minute").option("header", True).csv(f"{tmp_dir}/in")
+    msg.compact_minutes(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", rows_per_file=300)
+    files = [f for f in os.listdir(f"{tmp_dir}/out/minute=01_01_2024_10_00") if f.endswith(".csv")]
+    assert 2 <= len(files) <= 4
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/out").count() == 1000

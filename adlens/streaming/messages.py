@@ -226,5 +226,6 @@ def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: lis
     sizes = df.groupBy("minute").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_file))).alias("_files"))
     salted = df.join(sizes, "minute").withColumn(
         "_salt", F.pmod(F.xxhash64("author_id", "created_at", "text"), F.col("_files")))
-    (salted.repartition("minute", "_salt").drop("_files", "_salt")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))   # explicit: AQE must not merge salts back
+    (salted.repartition(n, "minute", "_salt").drop("_files", "_salt")
      .write.mode("overwrite").partitionBy("minute").option("header", True).csv(out_dir))

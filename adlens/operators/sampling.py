@@ -77,6 +77,18 @@ def stratified_quota(df: DataFrame, stratum: str | Column, quota: int, key: str,
     return kept.select(*cols).unionByName(rest.select(*cols))
 
 
+def stratified_fraction(df: DataFrame, stratum: str | Column, quota: int, seed: int = 42,
+                        stratum_name: str = "stratum") -> DataFrame:
+    """P3, approximate: each row of a stratum is kept with probability
+    ``quota / n`` (Bernoulli, seeded), so a stratum yields about ``quota``
+    rows — one pass plus the per-stratum counts, no ranking at all."""
+    s = df.withColumn(stratum_name, stratum if isinstance(stratum, Column) else F.col(stratum))
+    sizes = s.groupBy(stratum_name).agg(F.count(F.lit(1)).alias("_n"))
+    return (s.join(sizes, stratum_name)
+            .where(F.rand(seed) < F.least(F.lit(1.0), F.lit(float(quota)) / F.col("_n")))
+            .drop("_n"))
+
+
 def stratum_distribution(sample: DataFrame, stratum: str) -> DataFrame:
     """Rows per stratum after sampling (the total is their sum)."""
     return sample.groupBy(stratum).agg(F.count(F.lit(1)).alias("n_rows"))

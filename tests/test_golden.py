@@ -73,3 +73,24 @@ def test_split_documents_reassemble(spark):
     s = parts.select(F.explode("sessions").alias("s")).select(
         F.col("s.ad_interactions.event_id").alias("ids")).collect()
     assert all(r.ids == sorted(r.ids) for r in s)
+
+
+def test_report_shapes_match_golden_headers(spark):
+    """Column names and order of the source's golden report CSVs."""
+    from adlens.operators.star import load_star
+    from adlens.plans import reports
+    star = load_star(spark, "/root/testdata/sf0.001")
+    golden = {
+        "task1": (reports.top_campaigns_ctr(star, "2024-01-05", "2024-01-20"),
+                  ["name", "total_impressions", "total_clicks", "ctr"]),
+        "task2": (reports.top_advertisers_spend(star, "2024-01-05", "2024-01-20"),
+                  ["name", "total_impressions", "total_clicks", "ctr", "total_spending"]),
+        "task4": (reports.revenue_by_country(star), ["country", "total_revenue"]),
+        "task5": (reports.user_revenue_top(star), ["user_id", "location", "device", "total_revenue"]),
+        "task6": (reports.budget_over(star), ["name", "budget", "total_cost", "pct_spent"]),
+        "task7": (reports.ctr_by_device(star), ["device", "ctr"]),
+    }
+    for name, (df, cols) in golden.items():
+        assert df.columns == cols, name
+    assert reports.top_campaigns_ctr(star, "2024-01-05", "2024-01-20").count() == 5
+    assert reports.top_advertisers_spend(star, "2024-01-05", "2024-01-20").count() == 10

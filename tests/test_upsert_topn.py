@@ -90,3 +90,11 @@ def test_partitioned_merge_only_touches_batch_partitions(spark, tmp_dir):
     out = write_merged(spark, f"{tmp_dir}/v1", new, ["mnth", "user"], ["seq"], f"{tmp_dir}/v2", partition_by=["mnth"])
     got = sorted((r.mnth, r.user, r.val) for r in out.collect())
     assert got == [("2024-01", "u", "a"), ("2024-02", "u", "B"), ("2024-02", "v", "c"), ("2024-03", "w", "d")]
+
+
+def test_approximate_quota_sample(spark):
+    from adlens.operators import sampling
+    df = spark.range(0, 50000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 2).alias("g"))
+    got = {r.stratum: r.n_rows for r in sampling.stratum_distribution(
+        sampling.stratified_fraction(df, "g", 2000, 3), "stratum").collect()}
+    assert set(got) == {0, 1} and all(1700 < v < 2300 for v in got.values())

@@ -35,30 +35,45 @@ FOREIGN_KEYS = [
 ]
 
 
-def _rule(name: str, df: DataFrame) -> DataFrame:
-    return df.select(F.lit(name).alias("rule"), F.col("violations").cast("bigint"))
+def _unpivot(agg: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """One-row aggregate -> ``(rule, violations)`` rows."""
+    arr = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(col).cast("bigint").alias("violations"))
+                    for rule, col in rules.items()])
+    return agg.select(F.inline(arr))
+
+
+def _duplicates(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows beyond the first per non-NULL key (one grouped pass)."""
+    dup = (df.where(F.expr(" and ".join(f"`{c}` is not null" for c in cols)))
+           .groupBy(*cols).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1))
+    return dup.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("v"))
 
 
 def star_integrity(star: Star) -> DataFrame:
+    """All rules as ``(rule, violations)``. Per table: one grouped pass per
+    key rule, and one pass for its NOT NULL and foreign-key rules together
+    (the table left-joined to each parent's distinct keys)."""
     t = star.tables()
     parts = []
-    for table, cols in {**PRIMARY_KEYS}.items():
-        dup = t[table].where(F.expr(" and ".join(f"`{c}` is not null" for c in cols))) \
-            .groupBy(*cols).count().where(F.col("count") > 1)
-        parts.append(_rule(f"pk:{table}", dup.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations"))))
+    for table, cols in PRIMARY_KEYS.items():
+        parts.append(_unpivot(_duplicates(t[table], cols), {f"pk:{table}": "v"}))
     for table, cols in UNIQUE.items():
-        dup = t[table].where(F.col(cols[0]).isNotNull()).groupBy(*cols).count().where(F.col("count") > 1)
-        parts.append(_rule(f"unique:{table}.{cols[0]}",
-                           dup.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations"))))
-    for table, cols in NOT_NULL.items():
-        # one scan per table for all its NOT NULL rules, unpivoted to rows
-        counts = t[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        rules = F.array(*[F.struct(F.lit(f"not_null:{table}.{c}").alias("rule"),
-                                   F.col(c).alias("violations")) for c in cols])
-        parts.append(counts.select(F.inline(rules)).select("rule", F.col("violations").cast("bigint")))
-    for child, col, parent in FOREIGN_KEYS:
-        pk = PRIMARY_KEYS[parent][0]
-        orphans = t[child].where(F.col(col).isNotNull()).join(
-            t[parent].select(F.col(pk).alias(col)), col, "left_anti")
-        parts.append(_rule(f"fk:{child}.{col}", orphans.agg(F.count(F.lit(1)).alias("violations"))))
+        parts.append(_unpivot(_duplicates(t[table], cols), {f"unique:{table}.{cols[0]}": "v"}))
+    children = sorted(set(NOT_NULL) | {c for c, _, _ in FOREIGN_KEYS})
+    for table in children:
+        rows = t[table]
+        aggs, rules = [], {}
+        for c in NOT_NULL.get(table, []):
+            aggs.append(F.count_if(F.col(c).isNull()).alias(f"nn_{c}"))
+            rules[f"not_null:{table}.{c}"] = f"nn_{c}"
+        for child, col, parent in FOREIGN_KEYS:
+            if child != table:
+                continue
+            pk = PRIMARY_KEYS[parent][0]
+            mark = f"_in_{parent}"
+            keys = t[parent].select(F.col(pk).alias(col)).distinct().withColumn(mark, F.lit(True))
+            rows = rows.join(keys, col, "left")
+            aggs.append(F.count_if(F.col(col).isNotNull() & F.col(mark).isNull()).alias(f"fk_{col}"))
+            rules[f"fk:{table}.{col}"] = f"fk_{col}"
+        parts.append(_unpivot(rows.agg(*aggs), rules))
     return reduce(DataFrame.unionByName, parts)

@@ -79,26 +79,29 @@ REGISTRY["rpt_click_revenue_by_location"] = lambda spark, sf: reports.click_reve
 MONTH = "2024-01"
 REGION_COUNTRY = "AMERICA"
 
-REGISTRY["serve_campaign_performance"] = lambda spark, sf: serving.campaign_performance(load_star(spark, sf))
+def _ad(name):
+    return lambda spark, sf: serving.load_ad_serving_table(spark, sf, name)
+
+
+REGISTRY["serve_campaign_performance"] = _ad("campaign_performance")
 REGISTRY["serve_campaign_performance_daily"] = lambda spark, sf: serving.campaign_performance_daily(load_star(spark, sf))
-REGISTRY["serve_advertisers"] = lambda spark, sf: serving.advertisers_by_month(load_star(spark, sf))
+REGISTRY["serve_advertisers"] = _ad("advertisers")
 REGISTRY["serve_user_history"] = lambda spark, sf: serving.user_history_rows(load_star(spark, sf)).drop("event_id")
-REGISTRY["upsert_user_history"] = lambda spark, sf: serving.user_history(load_star(spark, sf))
-REGISTRY["serve_most_active_users"] = lambda spark, sf: serving.most_active_users(load_star(spark, sf))
-REGISTRY["serve_advertisers_by_region"] = lambda spark, sf: serving.advertisers_by_region(load_star(spark, sf))
-REGISTRY["read_campaign_ctr"] = lambda spark, sf: serving.read_campaign_ctr(serving.campaign_performance(load_star(spark, sf)))
+REGISTRY["upsert_user_history"] = _ad("user_history")
+REGISTRY["serve_most_active_users"] = _ad("most_active_users")
+REGISTRY["serve_advertisers_by_region"] = _ad("advertisers_by_regions")
+REGISTRY["read_campaign_ctr"] = lambda spark, sf: serving.read_campaign_ctr(_ad("campaign_performance")(spark, sf))
 REGISTRY["read_top5_advertisers"] = lambda spark, sf: serving.read_top_advertisers(
-    serving.advertisers_by_month(load_star(spark, sf)), MONTH, 5)
-REGISTRY["read_top10_users"] = lambda spark, sf: serving.read_top_users(
-    serving.most_active_users(load_star(spark, sf)), MONTH, 10)
+    _ad("advertisers")(spark, sf), MONTH, 5)
+REGISTRY["read_top10_users"] = lambda spark, sf: serving.read_top_users(_ad("most_active_users")(spark, sf), MONTH, 10)
 REGISTRY["read_top5_advertisers_country"] = lambda spark, sf: serving.read_top_advertisers_country(
-    serving.advertisers_by_region(load_star(spark, sf), trim_keys=True), MONTH, REGION_COUNTRY, 5)
+    _ad("advertisers_by_regions_trimmed")(spark, sf), MONTH, REGION_COUNTRY, 5)
 
 
 @register("read_user_last10_ads")
 def _read_user_last10_ads(spark, sf):
     star = load_star(spark, sf)
-    hist = serving.user_history(star)
+    hist = serving.load_ad_serving_table(spark, sf, "user_history")
     users = star.dim_user.select(clean.uuid5_key("user", F.col("user_id").try_cast("bigint")).alias("user_id"))
     return serving.read_user_last_ads(hist, users, *WINDOW, n=10)
 

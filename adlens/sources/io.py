@@ -7,6 +7,8 @@ arguments of the same writers; the defaults are parquet, CSV and JSON.
 
 from __future__ import annotations
 
+import logging
+import os
 import re
 from collections.abc import Mapping
 from functools import reduce
@@ -56,9 +58,16 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, **option
     return r.csv(path)
 
 
-def read_reviews_csv(spark: SparkSession, path: str, infer: bool = False,
+_log = logging.getLogger(__name__)
+
+
+def read_reviews_csv(spark: SparkSession, path: str | None = None, infer: bool = False,
                      schema: str = REVIEWS_SCHEMA) -> DataFrame:
-    """S1 (explicit schema, all nullable) and S2 (``infer=True``)."""
+    """S1 (explicit schema, all nullable) and S2 (``infer=True``). Without a
+    ``path`` the ``INPUT_PATH`` environment variable names the input."""
+    path = path or os.environ.get("INPUT_PATH")
+    if not path:
+        raise ValueError("no input path: pass path= or set INPUT_PATH")
     return read_csv(spark, path, None if infer else schema)
 
 
@@ -127,6 +136,7 @@ def write_report_bundle(reports: Mapping[str, DataFrame], out_dir: str) -> dict[
             ok[name] = df
         except Exception as e:  # one bad report must not stop the others
             status[name] = f"error: {type(e).__name__}: {e}"[:500]
+            _log.warning("report %s skipped: %s", name, status[name])
     if ok:
         report_rows(ok).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/full_report")
     return status

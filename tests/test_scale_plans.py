@@ -51,5 +51,8 @@ def test_document_fan_out_happens_after_grouping(spark):
     star = load_star(spark, SF)
     p = plan(documents.build_user_documents(star, max_interactions=20000))
     assert "Generate" not in p                       # no explode of the fan-out anywhere
-    assert re.search(r"partial_collect_list\(struct\(event_id.*targets", p)
+    nodes = re.split(r"\n\n(?=\(\d+\) )", p)
+    event_collects = [n for n in nodes if n.split("\n", 1)[0].endswith("ObjectHashAggregate")
+                      and "partial_collect_list(struct(event_id" in n]
+    assert event_collects and all("targets#" in n.split("Keys", 1)[0] for n in event_collects)
     assert "flatten" in p

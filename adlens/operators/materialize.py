@@ -11,6 +11,7 @@ lost job is rewritten).
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import checkpoint_dir
 
 
+# Serialises the one-time builds of materialised tables within a process
+# (re-entrant: a build may load the tables it depends on).
+BUILD_LOCK = threading.RLock()
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..operators.materialize import table_root, write_once
+from ..operators.materialize import BUILD_LOCK, table_root, write_once
 from ..operators.star import Star, denormalise
 from ..operators.topn import top_n_per
 
@@ -158,7 +158,7 @@ def build_user_documents(star: Star, users: DataFrame | None = None,
 _DOCS_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
-def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+def _load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """Documents of the test tables, materialised once per input."""
     import uuid
 
@@ -175,6 +175,12 @@ def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     return _DOCS_CACHE[key]
 
 
+def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """See ``_load_user_documents``; one build at a time per process."""
+    with BUILD_LOCK:
+        return _load_user_documents(spark, sf_dir, rebuild)
+
+
 def flatten_documents(docs: DataFrame) -> DataFrame:
     """Scalar summary per user (for comparisons): sessions, interactions and
     first session start, over all parts of the user's document."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..operators.materialize import BUILD_LOCK
 from ..operators.star import Star
 from ..operators.topn import check_period, keyed_read, top_n_per
 from ..operators.upsert import upsert
@@ -208,7 +209,7 @@ AD_TABLES = {
 _AD_CACHE: dict = {}
 
 
-def load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False) -> DataFrame:
+def _load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False) -> DataFrame:
     """One advertising serving table for the test tables, written once per
     input; reads then scan it instead of re-aggregating the fact. Partitioned
     tables are sorted by their clustering order inside each file (no
@@ -234,3 +235,10 @@ def load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False)
         _AD_CACHE[ck] = write_once(spark, path, lambda: laid, partition_by=parts,
                                    schema=table.schema).select(*table.columns)
     return _AD_CACHE[ck]
+
+
+
+def load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False) -> DataFrame:
+    """See ``_load_ad_serving_table``; one build at a time per process."""
+    with BUILD_LOCK:
+        return _load_ad_serving_table(spark, sf_dir, name, rebuild)
\ No newline at end of file

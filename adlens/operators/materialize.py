@@ -45,6 +45,15 @@ def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return h.hexdigest()[:16]
 
 
+def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Total size of the inputs (files or folders)."""
+    total = 0
+    for path in paths:
+        p, fs = _fs(spark, path)
+        total += int(fs.getContentSummary(p).getLength())
+    return total
+
+
 def table_root(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_dir(spark).rstrip("/"), "adlens-tables", *parts])
 

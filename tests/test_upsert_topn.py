@@ -98,3 +98,14 @@ def test_approximate_quota_sample(spark):
     got = {r.stratum: r.n_rows for r in sampling.stratum_distribution(
         sampling.stratified_fraction(df, "g", 2000, 3), "stratum").collect()}
     assert set(got) == {0, 1} and all(1700 < v < 2300 for v in got.values())
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from adlens.session import SHUFFLE_BYTES_PER_PARTITION, size_shuffle_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_for_input(spark, 1000) == int(before)          # small input: unchanged
+        n = size_shuffle_for_input(spark, 4000 * SHUFFLE_BYTES_PER_PARTITION)  # ~1 TB: raised
+        assert n == 4000 and spark.conf.get("spark.sql.shuffle.partitions") == "4000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -128,21 +128,28 @@ def minute_counts_stream(bucketed: DataFrame, watermark: str = "10 minutes") ->
 
 def read_stream(spark: SparkSession, source: str, *, topic: str | None = None,
                 bootstrap: str | None = None, group: str | None = None,
-                starting_offsets: str = "latest") -> DataFrame:
+                starting_offsets: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
     """A stream of raw message values (column ``value``).
 
     ``source="kafka"`` subscribes to ``topic`` from the latest offset;
     otherwise ``source`` is a folder of JSON-lines files holding one
     ``{offset, key, value}`` record per message (the layout ``write_messages``
-    produces).
+    produces). ``max_per_trigger`` bounds each micro-batch (offsets for Kafka,
+    files for folders), so a backlog after downtime is worked off in
+    bounded batches instead of one huge one.
     """
     if source == "kafka":
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
              .option("subscribe", topic).option("startingOffsets", starting_offsets))
         if group:
             r = r.option("kafka.group.id", group)
+        if max_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
         return r.load().select(F.col("value").cast("string").alias("value"))
-    return spark.readStream.schema(TOPIC_FILE_SCHEMA).json(source).select("value")
+    r = spark.readStream.schema(TOPIC_FILE_SCHEMA)
+    if max_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_per_trigger))
+    return r.json(source).select("value")
 
 
 def read_topic(spark: SparkSession, source: str, *, topic: str | None = None,

@@ -99,3 +99,14 @@ def test_minute_counts_stream_matches_batch(spark, tmp_dir):
     got = {r.minute: r.n_rows for r in spark.sql("select * from minute_counts_t").collect()}
     batch = msg.minute_counts(msg.minute_buckets(msg.clean_messages(msg.read_topic(spark, topic))))
     assert got == {r.minute: r.n_rows for r in batch.collect()}
+
+
+def test_bounded_micro_batches_give_the_same_files(spark, tmp_dir):
+    topic, out, ckpt = (os.path.join(tmp_dir, d) for d in ("topic", "out", "ckpt"))
+    for i in range(4):
+        _write_topic_file(topic, f"b{i}.json", [(i, _m(i + 1, f"2024-01-01T10:0{i}:00+00:00", f"t{i}"))])
+    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, topic, max_per_trigger=1)))
+    for q in msg.write_minute_files(stream, out, ckpt):
+        q.awaitTermination()
+        assert len(q.recentProgress) >= 4      # one file per micro-batch
+    assert spark.read.option("header", True).csv(out).count() == 4

@@ -124,7 +124,7 @@ def _lookup_campaign(spark, sf):
     # every campaign id plus the id after the last one (an unknown key)
     keys = star.dim_campaign.select("campaign_id").unionByName(
         star.dim_campaign.agg((F.max("campaign_id") + 1).alias("campaign_id")))
-    return serving.campaign_lookup(star, keys)
+    return serving.campaign_lookup(star, keys, _ad("campaign_stats")(spark, sf))
 
 
 @register("lookup_advertiser_spend")
@@ -132,13 +132,13 @@ def _lookup_advertiser(spark, sf):
     star = load_star(spark, sf)
     keys = star.dim_advertiser.select("advertiser_id").unionByName(
         star.dim_advertiser.agg((F.max("advertiser_id") + 1).alias("advertiser_id")))
-    return serving.advertiser_lookup(star, keys)
+    return serving.advertiser_lookup(star, keys, _ad("advertiser_spend")(spark, sf))
 
 
 @register("lookup_user_engagements")
 def _lookup_user(spark, sf):
     star = load_star(spark, sf)
-    out = serving.user_engagement_lookup(star, star.dim_user.select("user_id"))
+    out = serving.user_engagement_lookup(star, star.dim_user.select("user_id"), _ad("user_clicked_slots")(spark, sf))
     return out.select("user_id", F.array_join("ads_engaged", ",").alias("ads_engaged"), "count")
 
 

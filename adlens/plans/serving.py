@@ -151,10 +151,30 @@ def read_top_advertisers_country(by_region: DataFrame, month: str, country: str,
 
 # ---- keyed lookups (L1-L3) ----------------------------------------------------
 
-def campaign_lookup(star: Star, keys: DataFrame) -> DataFrame:
-    """L1: clicks, impressions, ctr, spend (2 digits) per requested campaign
-    id; unknown ids give zeros. The fact is aggregated per campaign first."""
+def campaign_stats(star: Star) -> DataFrame:
+    """Per-campaign impressions, clicks and cost (the lookup table of L1)."""
+    return fact_by(star.fact_event, ["campaign_id"]).select("campaign_id", "impressions", "clicks", "cost")
+
+
+def advertiser_spend(star: Star) -> DataFrame:
+    """Per-advertiser cost over its campaigns (the lookup table of L2)."""
     agg = fact_by(star.fact_event, ["campaign_id"])
+    return (star.dim_campaign.select("campaign_id", "advertiser_id").join(agg, "campaign_id", "left")
+            .groupBy("advertiser_id").agg(F.sum("cost").alias("cost")))
+
+
+def user_clicked_slots(star: Star) -> DataFrame:
+    """Per-user sorted distinct clicked ad slots (the lookup table of L3);
+    the list is bounded by the number of slots."""
+    return (star.fact_event.where(F.col("was_clicked")).select("user_id", "ad_slot_id").distinct()
+            .groupBy("user_id").agg(F.array_sort(F.collect_list("ad_slot_id")).alias("ads")))
+
+
+def campaign_lookup(star: Star, keys: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """L1: clicks, impressions, ctr, spend (2 digits) per requested campaign
+    id; unknown ids give zeros. Reads ``stats`` (``campaign_stats``, e.g. the
+    materialised table) when given, else aggregates the fact per campaign."""
+    agg = stats if stats is not None else campaign_stats(star)
     j = keys.select("campaign_id").join(agg, "campaign_id", "left")
     return j.select(
         "campaign_id",
@@ -164,21 +184,18 @@ def campaign_lookup(star: Star, keys: DataFrame) -> DataFrame:
         F.round(F.coalesce(F.col("cost"), F.lit(0)), 2).cast("double").alias("ad_spend"))
 
 
-def advertiser_lookup(star: Star, keys: DataFrame) -> DataFrame:
+def advertiser_lookup(star: Star, keys: DataFrame, spend: DataFrame | None = None) -> DataFrame:
     """L2: total spend (2 digits) per requested advertiser id; 0.0 if unknown."""
-    agg = fact_by(star.fact_event, ["campaign_id"])
-    per_adv = (star.dim_campaign.select("campaign_id", "advertiser_id").join(agg, "campaign_id", "left")
-               .groupBy("advertiser_id").agg(F.sum("cost").alias("cost")))
+    per_adv = spend if spend is not None else advertiser_spend(star)
     j = keys.select("advertiser_id").join(per_adv, "advertiser_id", "left")
     return j.select("advertiser_id",
                     F.round(F.coalesce(F.col("cost"), F.lit(0)), 2).cast("double").alias("total_spend"))
 
 
-def user_engagement_lookup(star: Star, keys: DataFrame) -> DataFrame:
+def user_engagement_lookup(star: Star, keys: DataFrame, slots: DataFrame | None = None) -> DataFrame:
     """L3: sorted distinct ad slots each requested user clicked, and their count."""
-    slots = (star.fact_event.where(F.col("was_clicked")).select("user_id", "ad_slot_id").distinct()
-             .groupBy("user_id").agg(F.array_sort(F.collect_list("ad_slot_id")).alias("ads")))
-    j = keys.select("user_id").join(slots, "user_id", "left")
+    per_user = slots if slots is not None else user_clicked_slots(star)
+    j = keys.select("user_id").join(per_user, "user_id", "left")
     ads = F.coalesce(F.col("ads"), F.array().cast("array<bigint>"))
     return j.select("user_id", ads.alias("ads_engaged"), F.size(ads).cast("bigint").alias("count"))
 
@@ -205,6 +222,10 @@ AD_TABLES = {
                                ["mnth", "country"]),
     "advertisers_by_regions_trimmed": (_by_region_trimmed, [("total_spend", True), ("advertiser_name", False)],
                                        ["mnth", "country"]),
+    # keyed lookup tables (the source's per-request queries behind a cache)
+    "campaign_stats": (campaign_stats, [("campaign_id", False)], []),
+    "advertiser_spend": (advertiser_spend, [("advertiser_id", False)], []),
+    "user_clicked_slots": (user_clicked_slots, [("user_id", False)], []),
 }
 _AD_CACHE: dict = {}
 

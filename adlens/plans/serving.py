@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators.materialize import BUILD_LOCK
 from ..operators.star import Star
-from ..operators.topn import check_period, keyed_read, top_n_per
+from ..operators.topn import check_period, keyed_read
 from ..operators.upsert import upsert
 from .reports import fact_by
 
@@ -200,11 +200,6 @@ def user_engagement_lookup(star: Star, keys: DataFrame, slots: DataFrame | None
     return j.select("user_id", ads.alias("ads_engaged"), F.size(ads).cast("bigint").alias("count"))
 
 
-def top_n_in_period(table: DataFrame, count_col: str, key_col: str, n: int = 10) -> DataFrame:
-    """Per period, the ``n`` highest counts (ties by key ascending)."""
-    return top_n_per(table, ["period_ym"], [F.col(count_col).desc(), F.col(key_col).asc()], n)
-
-
 # ---- materialised serving tables ----------------------------------------------
 
 def _by_region_trimmed(star: Star) -> DataFrame:

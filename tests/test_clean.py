@@ -87,3 +87,24 @@ def test_ci_key_join(spark):
     b = spark.createDataFrame([("Campaign_1",), ("Campaign_2",)], "y string")
     n = a.join(b, clean.ci_key(F.col("x")) == clean.ci_key(F.col("y"))).count()
     assert n == 2
+
+
+def test_coerce_day_and_now(spark):
+    df = spark.createDataFrame([("2024-01-05 10:11:12",), ("garbage",)], "v string")
+    got = df.select(clean.coerce_ts("v").isNull().alias("bad"), clean.day_of(clean.coerce_ts("v")).alias("d")).collect()
+    assert [r.bad for r in got] == [False, True] and got[0].d == dt.date(2024, 1, 5)
+    stamp = spark.range(1).select(clean.now_iso().alias("t")).first().t
+    assert len(stamp) == 32 and stamp.endswith("+00:00") and stamp[10] == "T"
+
+
+def test_period_keys_and_jdbc_arguments(spark):
+    import pytest
+    from adlens.plans.reviews import period_keys
+    from adlens.sources.tables import read_jdbc
+    assert [r.period_ym for r in period_keys(spark, "2005-09", "2024-01").collect()] == ["2005-09", "2024-01"]
+    with pytest.raises(ValueError):
+        period_keys(spark, "2005-9")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", table="t", query="select 1")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x")

@@ -6,10 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+UNKNOWN_SIZE = 2 ** 63 - 1
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``: file sizes scaled by the projected
-    row width (unknown sources report the maximum). No job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    row width (unknown sources report the maximum). No job runs; a plan
+    without statistics counts as unknown (the large-data path is taken)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:   # no statistics for this plan
+        return UNKNOWN_SIZE
 
 
 def broadcast_threshold(df: DataFrame) -> int:

@@ -21,6 +21,7 @@ from ..functions import clean
 from ..operators.materialize import BUILD_LOCK, table_root, write_once
 from ..operators.star import Star, denormalise
 from ..operators.topn import top_n_per
+from ..session import row_reader_for_nested
 
 
 def sessionize(star: Star, exact_targeting: bool = False) -> DataFrame:
@@ -177,6 +178,7 @@ def _load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False
 
 def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
     """See ``_load_user_documents``; one build at a time per process."""
+    row_reader_for_nested(spark)
     with BUILD_LOCK:
         return _load_user_documents(spark, sf_dir, rebuild)
 

@@ -103,6 +103,9 @@ def write_documents(df: DataFrame, path: str | None = None, fmt: str = "json", m
 
 
 def read_documents(spark: SparkSession, path: str, schema, fmt: str = "json") -> DataFrame:
+    if fmt == "parquet":
+        from ..session import row_reader_for_nested
+        row_reader_for_nested(spark)
     return spark.read.format(fmt).schema(schema).option("timestampNTZFormat", TS_FORMAT).load(path)
 
 

@@ -208,7 +208,8 @@ class Matcher:
         own = doc[hit]
         gap = np.full(len(hit), 1 << 30)
         near = np.where(own[1:] == own[:-1], hit[1:] - hit[:-1], 1 << 30)
-        gap[1:], gap[:-1] = np.minimum(gap[1:], near), np.minimum(gap[:-1], near)
+        gap[1:] = np.minimum(gap[1:], near)
+        gap[:-1] = np.minimum(gap[:-1], near)
         return pd.DataFrame({"doc": own, "start": a[hit] - at[own], "end": b[hit] - at[own], "weight": [w for w, _ in found],
                              "exact": [x for _, x in found], "told": told, "close": gap <= WINDOW})
 
@@ -293,7 +294,7 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", te
                 ends = np.cumsum([len(r) for r in raw])
                 starts = np.concatenate([[0], ends[:-1]])
                 f = f[own.may_hit(np.frombuffer(b"".join(raw), np.uint8), starts, ends)]
-                f = f[[own.match(w)[0] > 0 and w not in own.terms for w in f.word]]
+                f = f[np.array([own.match(w)[0] > 0 and w not in own.terms for w in f.word], bool)]
             yield f[["word"]]
 
     # words near a term that clean documents use as readily: at most a few per term

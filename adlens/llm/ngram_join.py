@@ -35,8 +35,8 @@ SHINGLE = 5
 BAND_GROWTH = 1.5
 #: Sets of up to this many shingles get a part per shingle, nearly.
 SMALL_SET, SMALL_PARTS = 32, 4096
-#: 64-bit words of the parity sketch.
-SKETCH = 16
+#: Bits of the smallest parity sketch, and of the filter of wanted ids.
+SKETCH_BITS, FILTER_BITS = 256, 1 << 24
 #: Members of a signature's group that meet in one task at a time.
 GROUP_BLOCK = 4096
 #: Sets that a task remembers to have signed, so that copies are signed once.
@@ -85,13 +85,16 @@ def set_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
                  for s in (0x243F6A8885A308D3, 0x13198A2E03707344))
 
 
-def parity_sketch(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """(sets x SKETCH, int64): per bit the parity of the shingles that fall on it."""
-    bits = SKETCH * 64
+def parity_sketch(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sketches end to end as int64, words of each): per bit the parity of
+    the shingles that fall on it. A sketch has two to four bits a shingle; its
+    halves xor-ed are the sketch of half the length."""
+    bits = np.maximum(SKETCH_BITS, 4 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64) - 1)
+    at = np.cumsum(bits) - bits
     own = np.repeat(np.arange(len(counts)), counts)
-    bit = (hashes >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
-    odd = np.bincount(own * bits + bit, minlength=len(counts) * bits).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(len(counts), bits), axis=1, bitorder="little").view(np.int64)
+    bit = (hashes & (bits - 1).astype(np.uint64)[own]).astype(np.int64)
+    odd = np.bincount(at[own] + bit, minlength=int(bits.sum())).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64), bits // 64
 
 
 def band_edges(top: int) -> np.ndarray:
@@ -158,10 +161,11 @@ def summarise(texts: DataFrame) -> DataFrame:
             for part, own in text_blocks(batch):
                 h, n = shingle_sets(own)
                 k1, k2 = set_keys(h, n)
-                sketch = parity_sketch(h, n)
+                sketch, words = parity_sketch(h, n)
+                ends = np.concatenate([[0], np.cumsum(words)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n), pa.array(k1), pa.array(k2),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * SKETCH), pa.array(sketch.ravel()))],
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(sketch))],
                     names=["doc_id", "n", "k1", "k2", "sketch"])
 
     return texts.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sketch array<long>")
@@ -228,18 +232,47 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     return signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(run, "sig long, k1 long, pivot long")
 
 
-def _may_be_similar(n_a: Column, n_b: Column, differ: Column) -> Column:
-    """Sizes and sketches don't rule out 100 * common >= 80 * union."""
-    return (100 * F.least(n_a, n_b) >= 80 * F.greatest(n_a, n_b)) & (9 * differ <= n_a + n_b)
+#: Bits in which the sketches sketch_a and sketch_b differ, the longer one folded once.
+_DIFFER = """aggregate(sequence(0, least(size(sketch_a), size(sketch_b)) - 1), 0, (s, i) -> s + bit_count(
+    sketch_a[i] ^ sketch_b[i]
+    ^ if(size(sketch_a) > size(sketch_b), sketch_a[i + size(sketch_b)], 0)
+    ^ if(size(sketch_b) > size(sketch_a), sketch_b[i + size(sketch_a)], 0)))"""
 
 
-_DIFFER = "aggregate(zip_with(sketch_a, sketch_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+def may_be_similar(pairs: DataFrame) -> DataFrame:
+    """Pairs (n_a, n_b, sketch_a, sketch_b) whose sizes and sketches don't rule
+    out 100 * common >= 80 * union, with ``differ``. Sizes that pass have
+    sketches of equal length, or one of twice the other's."""
+    like = pairs.withColumn("differ", F.when(100 * F.least("n_a", "n_b") >= 80 * F.greatest("n_a", "n_b"), F.expr(_DIFFER)))
+    return like.filter(9 * F.col("differ") <= F.col("n_a") + F.col("n_b"))
+
+
+def _place(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS))
+
+
+def wanted_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits (a fixed size) in which every id's bit is
+    set; it may pass other ids, never lose one."""
+    bit = ids.select((_place(F.col(ids.columns[0])) + 1).alias("bit"))      # buckets count from 1
+    parts = bit.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()
+    out = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for r in parts:
+        out[r.part - 1, :len(r.bits)] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out.ravel()
 
 
 def sets_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """rep, shingles of the documents named in ``reps`` (rep)."""
+    """rep, shingles of the documents named in ``reps`` (rep), and of a few
+    others that the filter lets pass: so texts need no shuffle."""
+    mask = texts.sparkSession.sparkContext.broadcast(wanted_filter(reps))
+    placed = texts.select("doc_id", "text", _place(F.col("doc_id")).alias("bit"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            bit = batch.column("bit").to_numpy().astype(np.int64)
+            batch = batch.filter(pa.array((mask.value[bit >> 3] >> (bit & 7)) & 1 == 1))
             for part, own in text_blocks(batch):
                 h, n = shingle_sets(own)
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
@@ -247,8 +280,7 @@ def sets_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
                     [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))],
                     names=["rep", "shingles"])
 
-    own = texts.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    return own.mapInArrow(run, "rep long, shingles array<long>").dropDuplicates(["rep"])
+    return placed.mapInArrow(run, "rep long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -268,12 +300,27 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def folded(parts: list[np.ndarray], words: np.ndarray) -> np.ndarray:
+    """Sketches (``words`` long each) as a matrix, folded to the shortest."""
+    flat, least = np.concatenate(parts).view(np.uint64), int(words.min())
+    at = np.cumsum(words) - words
+    out = np.zeros((len(words), least), np.uint64)
+    for n in np.unique(words).tolist():
+        own = np.flatnonzero(words == n)
+        rows = flat[at[own][:, None] + np.arange(n)[None, :]]
+        while rows.shape[1] > least:
+            half = rows.shape[1] // 2
+            rows = rows[:, :half] ^ rows[:, half:]
+        out[own] = rows
+    return out
+
+
 def cross_pairs(members: DataFrame) -> DataFrame:
     """u, v: members of one group (key; rep, n, comp, sketch, block, lo, hi)
     in different components that sizes and sketches allow to be similar."""
     def pairs(group: dict) -> tuple[np.ndarray, np.ndarray]:
         rep, n, comp, side = (np.concatenate(group[c]) for c in ("rep", "n", "comp", "block"))
-        sketch = np.concatenate(group["sketch"]).view(np.uint64).reshape(-1, SKETCH)
+        sketch = folded(group["sketch"], np.concatenate(group["words"]))
         lo, hi = group["lo"], group["hi"]
         left = np.flatnonzero(side == lo)
         right = np.flatnonzero(side == hi)
@@ -285,8 +332,9 @@ def cross_pairs(members: DataFrame) -> DataFrame:
             if lo == hi:
                 ok &= rep[a][:, None] < rep[right][None, :]
             i, j = np.nonzero(ok)
-            for k in range(0, len(i), 1 << 16):
-                x, y = a[i[k:k + (1 << 16)]], right[j[k:k + (1 << 16)]]
+            step = max(1, (1 << 20) // sketch.shape[1])
+            for k in range(0, len(i), step):
+                x, y = a[i[k:k + step]], right[j[k:k + step]]
                 differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
                 pass_ = 9 * differ <= n[x] + n[y]
                 us.append(rep[x[pass_]])
@@ -296,7 +344,7 @@ def cross_pairs(members: DataFrame) -> DataFrame:
         return np.concatenate(us), np.concatenate(vs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["rep", "n", "comp", "block", "sketch"]
+        names = ["rep", "n", "comp", "block", "words", "sketch"]
         key, group = None, None
 
         def close():
@@ -327,7 +375,7 @@ def cross_pairs(members: DataFrame) -> DataFrame:
         "block": F.expr(f"CAST((row_number() OVER {w} - 1) DIV {GROUP_BLOCK} AS INT)"),
         "blocks": F.expr(f"CAST((count(1) OVER (PARTITION BY sig) - 1) DIV {GROUP_BLOCK} AS INT)")})
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks)"))).select(
-        "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", "sketch")
+        "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", F.size("sketch").cast("long").alias("words"), "sketch")
     order = ["sig", "lo", "hi"]
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "u long, v long").distinct()
 
@@ -350,9 +398,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stars = shared.filter("k1 != pivot").select("k1", "pivot").distinct()
     of_a = classes.select("k1", F.col("rep").alias("u"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     of_b = classes.select(F.col("k1").alias("pivot"), F.col("rep").alias("v"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    close = (stars.join(of_a, "k1").join(of_b, "pivot").withColumn("differ", F.expr(_DIFFER))
-             .filter(_may_be_similar(F.col("n_a"), F.col("n_b"), F.col("differ")) & (F.col("u") != F.col("v")))
-             .groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v")))
+    close = may_be_similar(stars.join(of_a, "k1").join(of_b, "pivot").filter("u != v")).groupBy("u").agg(
+        F.min_by("v", F.struct("differ", "v")).alias("v"))
     first = cut(close)
     links = cut(verified(first, _sets_for(texts, first)))
     comps = components(links)
@@ -360,12 +407,16 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # then all others, across components, in the groups that hold several
     member = (classes.join(comps, F.col("rep") == F.col("node"), "left")
               .select("k1", "rep", F.coalesce("component", "rep").alias("comp")))
-    placed = shared.select("sig", "k1").join(member, "k1")
-    open_groups = (placed.withColumns({"least": F.expr("min(comp) OVER (PARTITION BY sig)"),
-                                       "most": F.expr("max(comp) OVER (PARTITION BY sig)")})
-                   .filter("least < most").select("sig", "rep", "comp"))
-    members = open_groups.join(classes.select("rep", "n", "sketch"), "rep")
-    second = cut(cross_pairs(members))
+    over = "OVER (PARTITION BY sig)"
+    open_groups = (shared.select("sig", "k1").join(member, "k1")
+                   .select("sig", "rep", "comp", F.expr(f"min(comp) {over}").alias("least"), F.expr(f"max(comp) {over}").alias("most"),
+                           F.expr(f"count(1) {over}").alias("size"), F.expr(f"bit_xor(xxhash64(rep)) {over}").alias("mark"),
+                           F.expr(f"bit_xor(xxhash64(rep, 'again')) {over}").alias("mark2"))
+                   .filter("least < most"))
+    # groups of the very same members count once
+    once = open_groups.groupBy("size", "mark", "mark2").agg(F.min("sig").alias("sig")).select("sig")
+    members = open_groups.join(once, "sig", "left_semi").select("sig", "rep", "comp").join(classes.select("rep", "n", "sketch"), "rep")
+    second = cut(cross_pairs(members).join(first, ["u", "v"], "left_anti"))
     more = cut(verified(second, _sets_for(texts, second)))
     final = components(links.unionByName(more))
 

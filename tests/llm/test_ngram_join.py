@@ -125,3 +125,23 @@ def test_one_of_each_stays(sf_docs):
     assert out.columns == sf_docs.columns
     want = {d for d, _, c in brute([(r.doc_id, r.text) for r in sf_docs.collect()]) if d == c}
     assert {r.doc_id for r in out.select("doc_id").collect()} == want
+
+
+def test_filter_passes_all_wanted(spark):
+    ids = spark.range(0, 5000, 7).selectExpr("id AS rep")
+    texts = spark.range(0, 5000).selectExpr("id AS doc_id", "concat('a b c d e f ', id) AS text")
+    got = {r.rep for r in nj.sets_of(texts, ids).select("rep").collect()}
+    assert got >= set(range(0, 5000, 7)) and len(got) < 800
+
+
+def test_sketches_fold():
+    rng = np.random.default_rng(5)
+    h, n = rng.integers(0, 2**64, 900, dtype=np.uint64), np.array([600, 0, 300])
+    flat, words = nj.parity_sketch(h, n)
+    assert words.tolist() == [32, 4, 16]
+    rows = nj.folded([flat], words)
+    for k, own in enumerate((h[:600], h[:0], h[600:])):
+        want = np.zeros(256, np.uint8)
+        for x in own.tolist():
+            want[x & 255] ^= 1
+        assert (np.unpackbits(rows[k].view(np.uint8), bitorder="little") == want).all()

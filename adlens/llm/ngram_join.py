@@ -37,6 +37,8 @@ BAND_GROWTH = 1.5
 SMALL_SET, SMALL_PARTS = 32, 4096
 #: Bits of the smallest parity sketch, and of the filter of wanted ids.
 SKETCH_BITS, FILTER_BITS = 256, 1 << 24
+#: Rounds of nearest members go on while they link this share of what they try.
+WORTHWHILE = 0.1
 #: Members of a signature's group that meet in one task at a time.
 GROUP_BLOCK = 4096
 #: Sets that a task remembers to have signed, so that copies are signed once.
@@ -315,41 +317,62 @@ def folded(parts: list[np.ndarray], words: np.ndarray) -> np.ndarray:
     return out
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """u, v: members of one group (key; rep, n, comp, sketch, block, lo, hi)
-    in different components that sizes and sketches allow to be similar."""
-    def pairs(group: dict) -> tuple[np.ndarray, np.ndarray]:
-        rep, n, comp, side = (np.concatenate(group[c]) for c in ("rep", "n", "comp", "block"))
-        sketch = folded(group["sketch"], np.concatenate(group["words"]))
-        lo, hi = group["lo"], group["hi"]
-        left = np.flatnonzero(side == lo)
-        right = np.flatnonzero(side == hi)
-        us, vs = [], []
-        for at in range(0, len(left), 32):
-            a = left[at:at + 32]
-            ok = comp[a][:, None] != comp[right][None, :]
-            ok &= (100 * np.minimum(n[a][:, None], n[right][None, :]) >= 80 * np.maximum(n[a][:, None], n[right][None, :]))
-            if lo == hi:
-                ok &= rep[a][:, None] < rep[right][None, :]
-            i, j = np.nonzero(ok)
-            step = max(1, (1 << 20) // sketch.shape[1])
-            for k in range(0, len(i), step):
-                x, y = a[i[k:k + step]], right[j[k:k + step]]
-                differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
-                pass_ = 9 * differ <= n[x] + n[y]
-                us.append(rep[x[pass_]])
-                vs.append(rep[y[pass_]])
-        if not us:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(us), np.concatenate(vs)
-
+def _compare(group: dict, nearest: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, v, differ): pairs of a group's two blocks, across components, that
+    sizes and sketches allow to be similar; of each member only the nearest
+    that it has not tried, or all pairs."""
+    rep, n, comp, side = (np.concatenate(group[c]) for c in ("rep", "n", "comp", "block"))
+    tried = [t for part in group["tried"] for t in part] if nearest else []
+    sketch = folded(group["sketch"], np.concatenate(group["words"]))
+    left, right = np.flatnonzero(side == group["lo"]), np.flatnonzero(side == group["hi"])
+    same = group["lo"] == group["hi"]
+    best, partner = np.full(len(rep), 1 << 40), np.full(len(rep), -1)
+    us, vs, ds = [], [], []
+    for at in range(0, len(left), 32):
+        a = left[at:at + 32]
+        ok = comp[a][:, None] != comp[right][None, :]
+        ok &= (100 * np.minimum(n[a][:, None], n[right][None, :]) >= 80 * np.maximum(n[a][:, None], n[right][None, :]))
+        if same and not nearest:
+            ok &= rep[a][:, None] < rep[right][None, :]
+        i, j = np.nonzero(ok)
+        step = max(1, (1 << 20) // sketch.shape[1])
+        for k in range(0, len(i), step):
+            x, y = a[i[k:k + step]], right[j[k:k + step]]
+            differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(1, dtype=np.int64)
+            may = 9 * differ <= n[x] + n[y]
+            x, y, differ = x[may], y[may], differ[may]
+            if not nearest:
+                us.append(rep[x])
+                vs.append(rep[y])
+                ds.append(differ)
+                continue
+            for p, q in ((x, y),) if same else ((x, y), (y, x)):
+                known = [t for t in np.unique(p).tolist() if tried[t]]
+                keep = np.ones(len(p), bool)
+                for t in known:
+                    keep &= ~((p == t) & np.isin(rep[q], tried[t]))
+                p, q, d = p[keep], q[keep], differ[keep]
+                order = np.lexsort((rep[q], d, p))
+                first = order[np.concatenate([[True], p[order][1:] != p[order][:-1]])] if len(order) else order
+                first = first[d[first] < best[p[first]]]
+                best[p[first]], partner[p[first]] = d[first], q[first]
+    if nearest:
+        own = np.flatnonzero(partner >= 0)
+        return rep[own], rep[partner[own]], best[own]
+    if not us:
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    return np.concatenate(us), np.concatenate(vs), np.concatenate(ds)
+
+
+def cross_pairs(members: DataFrame, nearest: bool) -> DataFrame:
+    """u, v, differ: see ``_compare``; ``members``: sig, rep, n, comp, sketch,
+    tried (members that it need not meet again)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["rep", "n", "comp", "block", "words", "sketch"]
+        names = ["rep", "n", "comp", "block", "words", "sketch", "tried"]
         key, group = None, None
 
         def close():
-            u, v = pairs(group)
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _compare(group, nearest)], names=["u", "v", "differ"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -358,14 +381,15 @@ def cross_pairs(members: DataFrame) -> DataFrame:
             heads = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, [len(keys)]])
             cols = {c: batch.column(c) for c in names}
             for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
-                if tuple(keys[a]) != key:
+                if tuple(keys[a].tolist()) != key:
                     if group is not None:
                         yield close()
                     key = tuple(keys[a].tolist())
                     group = {"lo": key[1], "hi": key[2], **{c: [] for c in names}}
                 for c in names:
                     part = cols[c].slice(a, b - a)
-                    group[c].append(part.flatten().to_numpy() if c == "sketch" else part.to_numpy())
+                    group[c].append(part.flatten().to_numpy() if c == "sketch" else
+                                    (part.to_pylist() if nearest else None) if c == "tried" else part.to_numpy())
         if group is not None:
             yield close()
 
@@ -375,9 +399,9 @@ def cross_pairs(members: DataFrame) -> DataFrame:
         "block": F.expr(f"CAST((row_number() OVER {w} - 1) DIV {GROUP_BLOCK} AS INT)"),
         "blocks": F.expr(f"CAST((count(1) OVER (PARTITION BY sig) - 1) DIV {GROUP_BLOCK} AS INT)")})
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks)"))).select(
-        "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", F.size("sketch").cast("long").alias("words"), "sketch")
+        "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", F.size("sketch").cast("long").alias("words"), "sketch", "tried")
     order = ["sig", "lo", "hi"]
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "u long, v long").distinct()
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "u long, v long, differ long")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -404,20 +428,28 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = cut(verified(first, _sets_for(texts, first)))
     comps = components(links)
 
-    # then all others, across components, in the groups that hold several
-    member = (classes.join(comps, F.col("rep") == F.col("node"), "left")
-              .select("k1", "rep", F.coalesce("component", "rep").alias("comp")))
-    over = "OVER (PARTITION BY sig)"
-    open_groups = (shared.select("sig", "k1").join(member, "k1")
-                   .select("sig", "rep", "comp", F.expr(f"min(comp) {over}").alias("least"), F.expr(f"max(comp) {over}").alias("most"),
-                           F.expr(f"count(1) {over}").alias("size"), F.expr(f"bit_xor(xxhash64(rep)) {over}").alias("mark"),
-                           F.expr(f"bit_xor(xxhash64(rep, 'again')) {over}").alias("mark2"))
-                   .filter("least < most"))
-    # groups of the very same members count once
-    once = open_groups.groupBy("size", "mark", "mark2").agg(F.min("sig").alias("sig")).select("sig")
-    members = open_groups.join(once, "sig", "left_semi").select("sig", "rep", "comp").join(classes.select("rep", "n", "sketch"), "rep")
-    second = cut(cross_pairs(members).join(first, ["u", "v"], "left_anti"))
-    more = cut(verified(second, _sets_for(texts, second)))
+    # then, in the groups that hold several components, every member tries the
+    # nearest of another component, as long as that links many
+    tried, live = first, None
+    while True:
+        comps = components(links)
+        members = _open_members(shared, classes, comps, tried, live)
+        chosen = (cross_pairs(members, nearest=True).groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v")))
+        chosen = cut(chosen)
+        live = chosen.select(F.col("u").alias("rep"))      # who found nobody never will: links and trials only grow
+        tests = cut(chosen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        new = cut(verified(tests, _sets_for(texts, tests)))
+        tried = cut(tried.unionByName(chosen))
+        links = cut(links.unionByName(new))
+        if new.count() < WORTHWHILE * tests.count() or tests.isEmpty():
+            break
+    # what is left: all pairs across components
+    comps = components(links)
+    rest = cross_pairs(_open_members(shared, classes, comps, tried, live), nearest=False).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    rest = cut(rest.join(done, ["u", "v"], "left_anti"))
+    more = cut(verified(rest, _sets_for(texts, rest)))
     final = components(links.unionByName(more))
 
     reps = (classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("node"), "left")
@@ -428,6 +460,28 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return linked.unionByName(alone)
 
 
+def _open_members(shared: DataFrame, classes: DataFrame, comps: DataFrame, tried: DataFrame, live: DataFrame | None) -> DataFrame:
+    """sig, rep, n, comp, sketch, tried of the groups' members (``live`` ones,
+    if given), of groups that hold several components; groups of the very same
+    members once."""
+    if live is not None:
+        classes = classes.join(live, "rep", "left_semi")
+    member = (classes.join(comps, F.col("rep") == F.col("node"), "left")
+              .select("k1", "rep", F.coalesce("component", "rep").alias("comp")))
+    over = "OVER (PARTITION BY sig)"
+    groups = (shared.select("sig", "k1").join(member, "k1")
+              .select("sig", "rep", "comp", F.expr(f"min(comp) {over}").alias("least"), F.expr(f"max(comp) {over}").alias("most"),
+                      F.expr(f"count(1) {over}").alias("size"), F.expr(f"bit_xor(xxhash64(rep)) {over}").alias("mark"),
+                      F.expr(f"bit_xor(xxhash64(rep, 'again')) {over}").alias("mark2"))
+              .filter("least < most"))
+    once = groups.groupBy("size", "mark", "mark2").agg(F.min("sig").alias("sig")).select("sig")
+    # a member tries one other a round, so its list is short
+    seen = tried.groupBy(F.col("u").alias("rep")).agg(F.collect_set("v").alias("tried"))
+    about = classes.select("rep", "n", "sketch").join(seen, "rep", "left").withColumn(
+        "tried", F.coalesce("tried", F.array().cast("array<bigint>")))
+    return groups.join(once, "sig", "left_semi").select("sig", "rep", "comp").join(about, "rep")
+
+
 def _sets_for(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     reps = pairs.select(F.col("u").alias("rep")).unionByName(pairs.select(F.col("v").alias("rep"))).distinct()
     return cut(sets_of(texts, reps))

@@ -110,7 +110,7 @@ def iso_utc(ts: str | Column) -> Column:
 
 def now_iso() -> Column:
     """Processing-time stamp in UTC, microseconds, ``+00:00``."""
-    return iso_utc(F.current_timestamp())
+    return iso_utc(F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")))
 
 
 def date_from_day_offset(n: str | Column) -> Column:
@@ -152,9 +152,11 @@ def truncate_text(c: str | Column, n: int = 240) -> Column:
 
 
 def int_or_zero(c: str | Column) -> Column:
-    """empty/NULL -> 0, else the integer value (NULL-safe, never raises)."""
+    """empty/NULL -> 0, else the integer value; NULL (never an error, never
+    0) for text that is no integer, so such rows can be told and set aside."""
     v = _col(c).cast("string")
-    return F.coalesce(_try_cast(F.nullif(v, F.lit("")), "bigint"), F.lit(0).cast("bigint"))
+    return F.when(F.coalesce(v, F.lit("")) == "", F.lit(0).cast("bigint")).otherwise(
+        F.when(v.rlike(r"^\s*[+-]?\d+\s*$"), _try_cast(v, "bigint")))
 
 
 def one_line(c: str | Column) -> Column:

@@ -13,11 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .stats import estimated_bytes
 
 # monotonically_increasing_id() keeps the record number within the partition
 # in its lower 33 bits (documented layout).
@@ -28,42 +27,25 @@ def _num_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-# Up to this many rows a single sorted window is cheaper than the
-# distributed path (one task sorts them; the count that decides is one job,
-# skipped when Catalyst's size estimate is already below SMALL_DIM_BYTES).
-SMALL_DIM_ROWS = 1_000_000
-SMALL_DIM_BYTES = 64 * 1024 * 1024
-
-
 def with_dense_id(df: DataFrame, order_by: Sequence[str | Column], id_col: str,
-                  start: int = 1, num_partitions: int | None = None,
-                  small_rows: int | None = SMALL_DIM_ROWS) -> DataFrame:
+                  start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = ``start`` + rank of the row in ``order_by`` order.
 
     ``order_by`` must be a total order over ``df`` (add the natural key) for
-    the ids to be reproducible. Frames of at most ``small_rows`` rows (checked
-    with a count) are numbered by one ``row_number()`` window; larger ones by
-    range partitions and per-partition offsets. ``small_rows=None`` always
-    takes the distributed path.
+    the ids to be reproducible. Rows are numbered by range partitions and
+    per-partition offsets, whatever their number.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if small_rows is not None and (estimated_bytes(df) <= SMALL_DIM_BYTES or df.count() <= small_rows):
-        w = Window.orderBy(*keys)
-        return df.select((F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(id_col), *df.columns)
-    return _dense_id_distributed(df, keys, id_col, start, num_partitions)
-
-
-def _dense_id_distributed(df: DataFrame, keys: list[Column], id_col: str, start: int,
-                          num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or _num_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
                            (F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).alias("_pos"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    cols = [c for c in df.columns]
-    return out.select((F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col), *cols)
+    # one row per partition, added up on the driver
+    offsets, at = [], 0
+    for r in sorted(tagged.groupBy("_pid").count().collect()):
+        offsets.append((r[0], at))
+        at += r[1]
+    out = tagged.join(F.broadcast(spark.createDataFrame(offsets, "_pid int, _off bigint")), "_pid")
+    return out.select((F.col("_off") + F.col("_pos") + F.lit(start)).cast("bigint").alias(id_col), *df.columns)

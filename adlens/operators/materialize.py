@@ -22,6 +22,8 @@ from ..session import checkpoint_dir
 # Serialises the one-time builds of materialised tables within a process
 # (re-entrant: a build may load the tables it depends on).
 BUILD_LOCK = threading.RLock()
+#: Part of every fingerprint: raise it when a table's build changes.
+BUILD_VERSION = "2"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -36,26 +38,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Hash of each input's path, length and modification time."""
-    h = hashlib.sha1()
+    """Hash of the build version and of every input file below the paths: its
+    path, length and modification time (an object store's folders carry no
+    time of their own, and a file can change inside an unchanged folder)."""
+    h = hashlib.sha1(BUILD_VERSION.encode())
     for path in sorted(paths):
         p, fs = _fs(spark, path)
-        st = fs.getFileStatus(p)
-        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()};".encode())
+        h.update(f"{path};".encode())
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()};")
+        h.update("".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
-def input_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
-    """Total size of the inputs (files or folders)."""
-    total = 0
-    for path in paths:
-        p, fs = _fs(spark, path)
-        total += int(fs.getContentSummary(p).getLength())
-    return total
-
-
 def table_root(spark: SparkSession, *parts: str) -> str:
-    return "/".join([checkpoint_dir(spark).rstrip("/"), "adlens-tables", *parts])
+    """Below the shared folder itself, not the sub-folder that Spark makes in
+    it for each application: a later application finds the same tables."""
+    shared = checkpoint_dir(spark).rstrip("/").rsplit("/", 1)[0]
+    return "/".join([shared, "adlens-tables", *parts])
 
 
 def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],

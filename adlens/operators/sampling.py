@@ -2,11 +2,8 @@
 
 The source reads a CSV in chunks and stops early once every month has its
 quota. Here the quota sample is exact and deterministic: rows are ranked
-inside their stratum by a seeded hash of their key and the first ``quota``
-kept. ``row_number() <= quota`` is planned as a ``WindowGroupLimit``, so each
-map task forwards at most ``quota`` rows per stratum to the shuffle — a
-stratum holding most of the data costs ``quota x tasks`` shuffled rows, not
-its full size.
+inside their stratum by a seeded hash of their key, bucket by bucket of that
+hash, and the first ``quota`` kept.
 """
 
 from __future__ import annotations
@@ -16,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .topn import top_n_per
-
 
 def head_sample(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """The first ``n`` rows in ``order`` (file order needs an explicit key;
@@ -39,42 +34,27 @@ def seeded_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-# md5 text is fixed-width lower-case hex, so its first 12 digits read as a
-# number are monotone in the text order: rows below a threshold on that
-# number are a prefix of the full order.
-_PREFIX_DIGITS = 12
-_PREFIX_SPAN = float(16 ** _PREFIX_DIGITS)
-
-
 def stratified_quota(df: DataFrame, stratum: str | Column, quota: int, key: str,
-                     seed: int = 42, stratum_name: str = "stratum", sigmas: float = 5.0) -> DataFrame:
+                     seed: int = 42, stratum_name: str = "stratum") -> DataFrame:
     """At most ``quota`` rows per stratum, the first by a seeded hash of ``key``.
 
-    Exact, without sending a whole stratum through one window: per stratum
-    the share ``quota / n`` of the hash range (plus ``sigmas`` standard
-    deviations) is kept as candidates — a prefix of the hash order — and only
-    those are ranked, so a stratum holding most of the data ships about
-    ``quota`` rows to its window task. A stratum whose candidates fall short
-    of ``min(quota, n)`` (a ``sigmas``-sigma event) is ranked over all of its
-    rows instead, so the result always equals ranking every row.
+    Ranked in two stages, so no window holds a stratum: the hash's first two
+    digits put a stratum's rows in 256 buckets that follow one another in hash
+    order. Counts per bucket, added up, give the rank at which each bucket
+    starts; rows of the buckets that start below the quota are ranked within
+    their bucket.
     """
     s = df.withColumn(stratum_name, stratum if isinstance(stratum, Column) else F.col(stratum))
-    s = s.withColumn("_h", seeded_order(key, seed)).withColumn(
-        "_u", F.conv(F.substring("_h", 1, _PREFIX_DIGITS), 16, 10).cast("double") / F.lit(_PREFIX_SPAN))
-    sizes = s.groupBy(stratum_name).agg(F.count(F.lit(1)).alias("_n"))
-    share = (F.lit(float(quota)) + F.lit(sigmas) * F.sqrt(F.lit(float(quota))) + F.lit(10.0)) / F.col("_n")
-    cand = (s.join(sizes.select(stratum_name, "_n", F.least(F.lit(1.0), share).alias("_p")), stratum_name)
-            .where(F.col("_u") <= F.col("_p")))
-    w = Window.partitionBy(stratum_name)
-    ranked = (cand.withColumn("_rn", F.row_number().over(w.orderBy("_h", key)))
-              .withColumn("_c", F.count(F.lit(1)).over(w)))
-    exact = F.col("_c") >= F.least(F.col("_n"), F.lit(quota))
-    kept = ranked.where(exact & (F.col("_rn") <= quota))
-    covered = ranked.where(exact).select(stratum_name).distinct()
-    short = sizes.join(covered, stratum_name, "left_anti").select(stratum_name)
-    rest = top_n_per(s.join(short, stratum_name, "left_semi"), [stratum_name], [F.col("_h"), F.col(key)], quota)
-    cols = [c for c in s.columns if c not in ("_h", "_u")]
-    return kept.select(*cols).unionByName(rest.select(*cols))
+    s = s.withColumn("_h", seeded_order(key, seed)).withColumn("_b", F.substring("_h", 1, 2))
+    before = Window.partitionBy(stratum_name).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (s.groupBy(stratum_name, "_b").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .where(F.col("_start") < quota)
+              .select(F.col(stratum_name).alias("_s"), F.col("_b").alias("_sb"), "_start"))
+    near = s.join(starts, F.col(stratum_name).eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb")))
+    rank = F.row_number().over(Window.partitionBy(stratum_name, "_b").orderBy("_h", key))
+    return near.withColumn("_rn", rank).where(F.col("_start") + F.col("_rn") <= quota).select(
+        *[c for c in s.columns if c not in ("_h", "_b")])
 
 
 def stratified_fraction(df: DataFrame, stratum: str | Column, quota: int, seed: int = 42,

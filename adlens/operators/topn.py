@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stats import broadcast_threshold, estimated_bytes
-
 PERIOD_RE = re.compile(r"^\d{4}-\d{2}$")
 MAX_LIMIT = 1000
 
@@ -41,19 +39,16 @@ def top_n_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
 
 
 def keyed_read(table: DataFrame, keys: DataFrame, on: Sequence[str], order: Sequence[Column],
-               limit: int) -> DataFrame:
+               limit: int | None = None) -> DataFrame:
     """Batch form of ``WHERE key = ? ORDER BY clustering LIMIT n`` for every
-    key in ``keys`` (unknown keys give no rows).
-
-    A few keys: left-semi join first (the keys side is small enough for Spark
-    to broadcast, so the table is filtered in place) and the per-key limit
-    after it. Many keys: the per-key limit first — ``WindowGroupLimit`` keeps
-    at most ``limit`` rows per key in every map task, so even a key holding a
-    third of the table ships only ``limit x tasks`` rows — then the semi join
-    on the reduced rows. Both orders give the same rows.
+    key in ``keys`` (unknown keys give no rows); without a limit all rows of
+    the keys.
+
+    The per-key limit comes first: ``WindowGroupLimit`` keeps at most ``limit``
+    rows per key in every map task, so even a key holding a third of the table
+    ships only ``limit x tasks`` rows, and the semi join sees the reduced rows.
     """
-    check_limit(limit)
     k = keys.select(*on).distinct()
-    if estimated_bytes(k) <= broadcast_threshold(table):
-        return top_n_per(table.join(k, list(on), "left_semi"), on, order, limit)
-    return top_n_per(table, on, order, limit).join(k, list(on), "left_semi")
+    if limit is None:
+        return table.join(k, list(on), "left_semi")
+    return top_n_per(table, on, order, check_limit(limit)).join(k, list(on), "left_semi")

@@ -353,6 +353,8 @@ def _topic(spark, sf):
 
 
 REGISTRY["produce_messages"] = lambda spark, sf: msg.parse_messages(_messages(spark, sf))
+REGISTRY["produce_messages_cut"] = lambda spark, sf: msg.parse_messages(
+    msg.to_messages(fixtures.tweets(spark, sf), text_limit=240))
 REGISTRY["stream_tweets_clean"] = lambda spark, sf: msg.clean_messages(_topic(spark, sf))
 REGISTRY["stream_minute_files"] = lambda spark, sf: msg.split_rejects(
     msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))[0]

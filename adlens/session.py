@@ -70,21 +70,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS) for this cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="adlens-ckpt-"))
     return sc._jsc.sc().getCheckpointDir().get()
-
-
-# Target bytes of input per shuffle partition, and an upper bound on the
-# partition count (map outputs index every partition).
-SHUFFLE_BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def size_shuffle_for_input(spark: SparkSession, input_bytes: int) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of this input gives
-    partitions of about 256 MB (never lowers the setting; AQE coalesces small
-    shuffles back down). Returns the setting in force."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, -(-int(input_bytes) // SHUFFLE_BYTES_PER_PARTITION))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current

@@ -110,10 +110,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw review-stream rows before JSON encoding."""
+    """Raw review-stream rows before JSON encoding, one per event; texts
+    are dealt out in turn."""
     e = read_table(spark, sf_dir, "events")
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    j = e.join(d, e.event_id == d.doc_id)
+    j = e.join(d, e.event_id % F.lit(max(1, d.count())) == d.doc_id)
     return j.select(
         F.col("event_id").cast("string").alias("message_key"),
         F.col("user_id"),

@@ -138,7 +138,7 @@ def write_report_bundle(reports: Mapping[str, DataFrame], out_dir: str) -> dict[
             status[name] = "written"
             ok[name] = df
         except Exception as e:  # one bad report must not stop the others
-            status[name] = f"error: {type(e).__name__}: {e}"[:500]
+            status[name] = f"error: {type(e).__name__}: {e}"
             _log.warning("report %s skipped: %s", name, status[name])
     if ok:
         report_rows(ok).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/full_report")

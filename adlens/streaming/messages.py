@@ -21,24 +21,26 @@ from ..functions import clean
 # Fixed value: message fields and their JSON types as produced.
 MESSAGE_SCHEMA = ("id string, text string, user_id bigint, product_id string, "
                   "rating bigint, created_at string")
-TEXT_LIMIT = 240
 TOPIC_FILE_SCHEMA = "offset bigint, key string, value string"
 
 
 def to_messages(rows: DataFrame, created_at: str | Column = "created_at", key_col: str = "message_key",
-                id_mode: str = "uuid5") -> DataFrame:
+                id_mode: str = "uuid5", text_limit: int | None = None) -> DataFrame:
     """Review rows -> ``(key, value)`` with ``value`` the JSON message.
 
     ``id_mode="uuid5"`` derives the message id from the row key so a replay
     produces the same ids; ``"random"`` draws a fresh UUID per message as the
-    source does.
+    source does. The whole text is sent; ``text_limit`` cuts it to its first
+    code points, as the source does with 240. An id or rating that is no
+    number becomes NULL (``bad_numbers`` lists such rows), an absent one 0.
     """
     mid = (clean.uuid5_from_name(F.concat(F.lit("msg_"), F.col(key_col).cast("string")))
            if id_mode == "uuid5" else F.expr("uuid()"))
     ts = F.col(created_at) if isinstance(created_at, str) else created_at
     msg = F.struct(
         mid.alias("id"),
-        clean.truncate_text("review_body", TEXT_LIMIT).alias("text"),
+        (F.coalesce("review_body", F.lit("")) if text_limit is None
+         else clean.truncate_text("review_body", text_limit)).alias("text"),
         clean.int_or_zero("user_id").alias("user_id"),
         F.col("product_id"),
         clean.int_or_zero("rating").alias("rating"),
@@ -46,6 +48,14 @@ def to_messages(rows: DataFrame, created_at: str | Column = "created_at", key_co
     return rows.select(F.col(key_col).cast("string").alias("key"), F.to_json(msg).alias("value"))
 
 
+def bad_numbers(rows: DataFrame, cols: tuple[str, ...] = ("user_id", "rating")) -> DataFrame:
+    """Rows with a value in ``cols`` that is neither absent nor an integer."""
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | clean.int_or_zero(c).isNull()
+    return rows.where(bad)
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """The produced message fields back from ``value``."""
     return messages.select(F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA).alias("m")).select("m.*")
@@ -114,10 +124,14 @@ def minute_counts(bucketed: DataFrame) -> DataFrame:
     return bucketed.where(F.col("minute").isNotNull()).groupBy("minute").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def minute_counts_stream(bucketed: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """T4 (stream): rows per event-time minute with a watermark, so minute
-    state is dropped once the watermark passes it."""
-    wall = F.to_timestamp(F.substring("created_at", 1, 19), "yyyy-MM-dd'T'HH:mm:ss")
+def minute_counts_stream(bucketed: DataFrame, watermark: str | None = None) -> DataFrame:
+    """T4 (stream): rows per event-time minute. Every row counts, however late
+    (one number of state per minute seen); times that don't parse have no
+    minute, see ``split_rejects``. An explicit ``watermark`` drops the state of
+    a minute, and rows that come later than it, once it has passed."""
+    if watermark is None:
+        return minute_counts(bucketed)
+    wall = F.try_to_timestamp(F.substring("created_at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     return (bucketed.withColumn("event_time", wall).where(F.col("event_time").isNotNull())
             .withWatermark("event_time", watermark)
             .groupBy(F.window("event_time", "1 minute")).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -226,7 +240,8 @@ def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: lis
     """Rewrite closed minutes with few, large files (micro-batches leave many
     small ones). A minute gets ``ceil(rows / rows_per_file)`` files — one for
     any ordinary minute — and its rows are spread over them by a hash, so a
-    minute holding a large share of the data is written by several tasks."""
+    minute holding a large share of the data is written by several tasks. Only
+    the minutes rewritten are replaced in ``out_dir``; others there stay."""
     df = spark.read.option("header", True).csv(in_dir)
     if minutes:
         df = df.where(F.col("minute").isin(*minutes))
@@ -235,4 +250,4 @@ def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: lis
         "_salt", F.pmod(F.xxhash64("author_id", "created_at", "text"), F.col("_files")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))   # explicit: AQE must not merge salts back
     (salted.repartition(n, "minute", "_salt").drop("_files", "_salt")
-     .write.mode("overwrite").partitionBy("minute").option("header", True).csv(out_dir))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute").option("header", True).csv(out_dir))

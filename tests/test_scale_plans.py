@@ -17,7 +17,7 @@ def plan(df, mode="formatted"):
 
 def test_many_keys_read_limits_before_any_shuffle(spark):
     table = spark.range(0, 5000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
-    keys = spark.range(0, 7).select(F.col("id").alias("k")).repartition(3)   # size unknown: treated as many
+    keys = spark.range(0, 7).select(F.col("id").alias("k")).repartition(3)
     p = plan(keyed_read(table, keys, ["k"], [F.col("v").desc()], 3), "simple")
     assert "WindowGroupLimit" in p and "Partial" in p
     # the partial limit sits below the first exchange on the table side

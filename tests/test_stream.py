@@ -83,7 +83,8 @@ def test_messages_round_trip(spark):
          ("2", 7, None, "P2", None, "2024-01-01T00:00:01.000000+00:00")],
         "message_key string, user_id bigint, review_body string, product_id string, rating int, created_at string")
     parsed = {r.user_id: r for r in msg.parse_messages(msg.to_messages(rows)).collect()}
-    assert parsed[0].text == "x" * 240 and parsed[7].text == "" and parsed[7].rating == 0
+    cut = msg.parse_messages(msg.to_messages(rows, text_limit=240)).where("user_id = 0").first()
+    assert cut.text == "x" * 240 and parsed[0].text == "x" * 300 and parsed[7].text == "" and parsed[7].rating == 0
     again = {r.user_id: r.id for r in msg.parse_messages(msg.to_messages(rows)).collect()}
     assert again == {k: v.id for k, v in parsed.items()}  # replayable ids
 
@@ -101,6 +102,40 @@ def test_minute_counts_stream_matches_batch(spark, tmp_dir):
     assert got == {r.minute: r.n_rows for r in batch.collect()}
 
 
+def test_late_rows_and_bad_times_in_the_count_stream(spark, tmp_dir):
+    topic, ckpt, out = (os.path.join(tmp_dir, d) for d in ("topic", "ckpt", "out"))
+
+    def run():
+        stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, topic)))
+        counts = msg.minute_counts_stream(stream)
+        q = (counts.writeStream.outputMode("complete").option("checkpointLocation", ckpt).trigger(availableNow=True)
+             .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start())
+        q.awaitTermination()
+        return {r.minute: r.n_rows for r in spark.read.parquet(out).collect()}
+
+    _write_topic_file(topic, "b1.json", [(0, _m(1, "2024-01-01T10:00:01+00:00", "one")), (1, _m(2, "2024-01-01T11:30:00+00:00", "two")),
+                                         (2, _m(3, "garbage", "three"))])
+    assert run() == {"01_01_2024_10_00": 1, "01_01_2024_11_30": 1}
+    _write_topic_file(topic, "b2.json", [(3, _m(4, "2024-01-01T10:00:59+00:00", "late"))])
+    assert run() == {"01_01_2024_10_00": 2, "01_01_2024_11_30": 1}
+
+
+def test_compacting_one_minute_keeps_the_others(spark, tmp_dir):
+    rows = [(str(i), "t", f"x{i}", f"m{i % 3}") for i in range(9)]
+    spark.createDataFrame(rows, "author_id string, created_at string, text string, minute string").write.partitionBy(
+        "minute").option("header", True).csv(f"{tmp_dir}/in")
+    for m in ("m0", "m1", "m0"):
+        msg.compact_minutes(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", [m])
+    out = spark.read.option("header", True).csv(f"{tmp_dir}/out")
+    assert {r.minute: r["count"] for r in out.groupBy("minute").count().collect()} == {"m0": 3, "m1": 3}
+
+
+def test_rows_with_bad_numbers_are_told(spark):
+    rows = spark.createDataFrame([("1", "7", "a", "3"), ("2", "abc", "b", "4"), ("3", "", "c", "4.5"), ("4", None, "d", None)],
+                                 "message_key string, user_id string, review_body string, rating string")
+    assert sorted(r.message_key for r in msg.bad_numbers(rows).collect()) == ["2", "3"]
+
+
 def test_bounded_micro_batches_give_the_same_files(spark, tmp_dir):
     topic, out, ckpt = (os.path.join(tmp_dir, d) for d in ("topic", "out", "ckpt"))
     for i in range(4):

@@ -34,6 +34,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """A sixteenth of the shuffle partitions, for tables far smaller than the
+    texts (links, components): fewer and larger shuffle files."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does just that for text of ASCII bytes
     alone and is much faster than ``translate``."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, few
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -13,20 +13,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least node around it. ``edges``: u, v, each pair once."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    around = both.join(least, "u")
+    around = few(both.join(least, "u"))
     if large:
         out = around.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = around.filter("v < u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.filter("m < u").select("u", F.col("m").alias("v")))
-    return out.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+            few(least).filter("m < u").select("u", F.col("m").alias("v")))
+    return few(out.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of ``edges`` (u, v,
     distinct ends). Rounds grow with the logarithm of the chains' length; the
     lineage is cut after each."""
-    now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
+    now = cut(few(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()))
     sign = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (cut, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
+from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
                      word_slices)
 from .components import components
 
@@ -424,8 +424,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     of_b = classes.select(F.col("k1").alias("pivot"), F.col("rep").alias("v"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     close = may_be_similar(stars.join(of_a, "k1").join(of_b, "pivot").filter("u != v")).groupBy("u").agg(
         F.min_by("v", F.struct("differ", "v")).alias("v"))
-    first = cut(close)
-    links = cut(verified(first, _sets_for(texts, first)))
+    first = cut(few(close))
+    links = cut(few(verified(first, _sets_for(texts, first))))
     comps = components(links)
 
     # then, in the groups that hold several components, every member tries the
@@ -435,12 +435,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         comps = components(links)
         members = _open_members(shared, classes, comps, tried, live)
         chosen = (cross_pairs(members, nearest=True).groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v")))
-        chosen = cut(chosen)
+        chosen = cut(few(chosen))
         live = chosen.select(F.col("u").alias("rep"))      # who found nobody never will: links and trials only grow
-        tests = cut(chosen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        new = cut(verified(tests, _sets_for(texts, tests)))
-        tried = cut(tried.unionByName(chosen))
-        links = cut(links.unionByName(new))
+        tests = cut(few(chosen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+        new = cut(few(verified(tests, _sets_for(texts, tests))))
+        tried = cut(few(tried.unionByName(chosen)))
+        links = cut(few(links.unionByName(new)))
         if new.count() < WORTHWHILE * tests.count() or tests.isEmpty():
             break
     # what is left: all pairs across components
@@ -448,8 +448,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = cross_pairs(_open_members(shared, classes, comps, tried, live), nearest=False).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    rest = cut(rest.join(done, ["u", "v"], "left_anti"))
-    more = cut(verified(rest, _sets_for(texts, rest)))
+    rest = cut(few(rest.join(done, ["u", "v"], "left_anti")))
+    more = cut(few(verified(rest, _sets_for(texts, rest))))
     final = components(links.unionByName(more))
 
     reps = (classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("node"), "left")

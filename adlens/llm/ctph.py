@@ -35,7 +35,7 @@ def rolling(data: np.ndarray) -> np.ndarray:
     factor = np.uint32(1)
     wide = data.astype(np.uint32) + np.uint32(1)
     for k in range(ROLL):
-        out[k:] += wide[:len(wide) - k] * factor
+        out[k:] += wide[:max(0, len(wide) - k)] * factor
         factor = np.uint32(int(factor) * 0x01000193 % (1 << 32))
     out ^= out >> np.uint32(15)
     out *= np.uint32(0x2C1B3C6D)

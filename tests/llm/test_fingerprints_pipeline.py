@@ -28,6 +28,12 @@ def test_rows(which, request):
         assert near[len(near) // 10] > 0.4 and sum(r.near_next > 0.5 for r in got) < 0.1 * len(got)
 
 
+def test_texts_shorter_than_the_rolling_window():
+    for n in range(12):
+        prints = {ctph.fingerprint("abcdefghijkl"[:n]), ctph.fingerprint("abcdefghijkl"[:n])}
+        assert len(prints) == 1 and prints.pop().startswith("3:")
+
+
 def test_single_row(spark):
     r, = ctph.fingerprints(spark.createDataFrame([(5, "abcdefgh " * 30)], "doc_id long, text string")).collect()
     assert r.near_next == 1.0 and r.n_chars == 270

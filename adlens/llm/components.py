@@ -22,18 +22,28 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return few(out.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether all that is left is stars: every larger end has one edge and
+    is no other's least node."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("hub")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("hub")))
+    at = few(ends.groupBy("node").agg((F.sum("out") + F.max("hub")).alias("roles")))
+    return (at.agg(F.max("roles")).first()[0] or 1) == 1
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of every node of ``edges`` (u, v,
     distinct ends). Rounds grow with the logarithm of the chains' length; the
     lineage is cut after each."""
     now = cut(few(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()))
-    sign = None
-    while True:
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == sign or not state[0]:
-            break
-        sign = state
+    while not _settled(now):
         now = cut(_star(_star(now, True), False))
     # stars now: every node but the least points at it
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def extended(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of all links so far: those behind ``known`` (stars, each
+    component's nodes to its least) and the further ``links``."""
+    return components(known.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links.select("u", "v")))

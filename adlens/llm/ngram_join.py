@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
                      word_slices)
-from .components import components
+from .components import components, extended
 
 SHINGLE = 5
 #: Bands of sizes grow by this factor (over 100/80, so that partners lie in
@@ -299,7 +299,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+    return few(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")).mapInArrow(run, "u long, v long")
 
 
 def folded(parts: list[np.ndarray], words: np.ndarray) -> np.ndarray:
@@ -425,34 +425,34 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     close = may_be_similar(stars.join(of_a, "k1").join(of_b, "pivot").filter("u != v")).groupBy("u").agg(
         F.min_by("v", F.struct("differ", "v")).alias("v"))
     first = cut(few(close))
-    links = cut(few(verified(first, _sets_for(texts, first))))
-    comps = components(links)
+    comps = components(verified(first, _sets_for(texts, first)))
 
     # then, in the groups that hold several components, every member tries the
     # nearest of another component, as long as that links many
     tried, live = first, None
     while True:
-        comps = components(links)
         members = _open_members(shared, classes, comps, tried, live)
         chosen = (cross_pairs(members, nearest=True).groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v")))
         chosen = cut(few(chosen))
         live = chosen.select(F.col("u").alias("rep"))      # who found nobody never will: links and trials only grow
         tests = cut(few(chosen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
-        new = cut(few(verified(tests, _sets_for(texts, tests))))
-        tried = cut(few(tried.unionByName(chosen)))
-        links = cut(few(links.unionByName(new)))
-        if new.count() < WORTHWHILE * tests.count() or tests.isEmpty():
+        n_tests = tests.count()
+        if not n_tests:
+            break
+        new = cut(verified(tests, _sets_for(texts, tests)))
+        tried = few(tried.unionByName(chosen))
+        comps = extended(comps, new)
+        if new.count() < WORTHWHILE * n_tests:
             break
     # what is left: all pairs across components
-    comps = components(links)
-    rest = cross_pairs(_open_members(shared, classes, comps, tried, live), nearest=False).select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    rest = cut(few(rest.join(done, ["u", "v"], "left_anti")))
-    more = cut(few(verified(rest, _sets_for(texts, rest))))
-    final = components(links.unionByName(more))
-
-    reps = (classes.select("k1", "k2", "n", "rep").join(final, F.col("rep") == F.col("node"), "left")
+    if n_tests:
+        rest = cross_pairs(_open_members(shared, classes, comps, tried, live), nearest=False).select(
+            F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        rest = cut(few(rest.join(done, ["u", "v"], "left_anti")))
+        comps = extended(comps, verified(rest, _sets_for(texts, rest)))
+
+    reps = (classes.select("k1", "k2", "n", "rep").join(comps, F.col("rep") == F.col("node"), "left")
             .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")))
     linked = named.select("doc_id", "k1", "k2", "n").join(reps, ["k1", "k2", "n"]).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")

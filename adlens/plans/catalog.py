@@ -307,10 +307,12 @@ def _coerce_dates(spark, sf):
 def _ci_match(spark, sf):
     """Staging names upper-cased still find their campaign under a
     case-insensitive collation."""
-    s = load_staging(spark, sf).select(F.upper("campaign_name").alias("shout"))
+    # counted per name first: the collated join sees a row per name, not per event
+    s = (load_staging(spark, sf).groupBy(F.upper("campaign_name").alias("shout"))
+         .agg(F.count(F.lit(1)).alias("n")))
     c = load_star(spark, sf).dim_campaign.select("campaign_id", "name")
     j = s.join(c, clean.ci_key(F.col("shout")) == clean.ci_key(F.col("name")))
-    return j.groupBy("campaign_id", "name").agg(F.count(F.lit(1)).alias("n_events"))
+    return j.groupBy("campaign_id", "name").agg(F.sum("n").alias("n_events"))
 
 
 @register("date_from_day_offset")
@@ -374,7 +376,7 @@ def _src_reviews_csv(spark, sf):
     path = _io_root(spark, sf, "lineitem", "orders", "part") + "/reviews_csv"
     if not path_exists(spark, path + "/_SUCCESS"):
         io_.write_csv(fixtures.reviews(spark, sf), path)
-    return io_.read_reviews_csv(spark, path)
+    return io_.read_reviews_csv(spark, path, schema=io_.REVIEWS_SCHEMA)
 
 
 @register("src_reviews_infer")

@@ -70,14 +70,14 @@ def user_history(star: Star, layout_partitions: int | None = None) -> DataFrame:
     """W3 table: PK (user, day); several events a day collapse to the last
     write, taken as the greatest event id (the source writes in key order).
 
-    With ``layout_partitions`` one range shuffle on (user, day desc) serves
-    both the upsert and the clustering order of the stored table."""
-    rows = user_history_rows(star)
+    The upsert collapses map-side first, so a busy user's day is a row per
+    task; with ``layout_partitions`` its result is then range-partitioned in
+    the clustering order of the stored table."""
+    rows = upsert(user_history_rows(star), ["user_id", "date_event"], ["event_id"]).drop("event_id")
     if layout_partitions is None:
-        return upsert(rows, ["user_id", "date_event"], ["event_id"]).drop("event_id")
+        return rows
     order = [F.col("user_id").asc(), F.col("date_event").desc()]
-    return (upsert(rows.repartitionByRange(layout_partitions, *order), ["user_id", "date_event"], ["event_id"])
-            .drop("event_id").sortWithinPartitions(*order))
+    return rows.repartitionByRange(layout_partitions, *order).sortWithinPartitions(*order)
 
 
 def most_active_users(star: Star) -> DataFrame:
@@ -228,8 +228,9 @@ _AD_CACHE: dict = {}
 def _load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False) -> DataFrame:
     """One advertising serving table for the test tables, written once per
     input; reads then scan it instead of re-aggregating the fact. Partitioned
-    tables are sorted by their clustering order inside each file (no
-    shuffle); the user history is range-partitioned on its primary key."""
+    tables are rebalanced by their partition columns (few files each, a hot
+    one split) and sorted by their clustering order inside each file; the
+    user history is range-partitioned on its primary key."""
     import uuid
 
     from ..operators.materialize import table_root, write_once
@@ -245,7 +246,8 @@ def _load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False)
             laid = table
         else:
             table = build(star)
-            laid = table.sortWithinPartitions(*parts, *[F.col(c).desc() if d else F.col(c).asc()
+            dealt = table.hint("rebalance", *[F.col(c) for c in parts]) if parts else table
+            laid = dealt.sortWithinPartitions(*parts, *[F.col(c).desc() if d else F.col(c).asc()
                                                         for c, d in order])
         path = table_root(spark, "ad_tables", fp, name) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
         _AD_CACHE[ck] = write_once(spark, path, lambda: laid, partition_by=parts,

@@ -37,7 +37,7 @@ STAGING_SCHEMA = (
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 _CSV_OPTIONS = {
-    "header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "true",
+    "header": "true", "sep": ",", "quote": '"', "escape": '"',
     "mode": "PERMISSIVE", "timestampNTZFormat": TS_FORMAT,
     # keep leading blanks (" Germany"): the CSV writer strips them by default
     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
@@ -52,8 +52,12 @@ _READ_NULL = "\u0000"
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, **options: str) -> DataFrame:
     """Header CSV, ``,`` separated, ``"`` quoted; explicit schema,
-    or inferred types when ``schema`` is None."""
-    r = spark.read.options(**{**_CSV_OPTIONS, "nullValue": _READ_NULL, **options})
+    or inferred types when ``schema`` is None.
+
+    One record per line, so that a large file is split over many tasks; pass
+    ``multiLine="true"`` for quoted line breaks (one task per file). A header
+    that differs from the schema fails instead of shifting columns."""
+    r = spark.read.options(**{**_CSV_OPTIONS, "nullValue": _READ_NULL, "enforceSchema": "false", **options})
     r = r.schema(schema) if schema else r.option("inferSchema", "true")
     return r.csv(path)
 
@@ -62,13 +66,13 @@ _log = logging.getLogger(__name__)
 
 
 def read_reviews_csv(spark: SparkSession, path: str | None = None, infer: bool = False,
-                     schema: str = REVIEWS_SCHEMA) -> DataFrame:
-    """S1 (explicit schema, all nullable) and S2 (``infer=True``). Without a
-    ``path`` the ``INPUT_PATH`` environment variable names the input."""
+                     schema: str = REVIEWS_SCHEMA_FULL, **options: str) -> DataFrame:
+    """S1 (explicit schema of 15 columns, all nullable) and S2 (``infer=True``).
+    Without a ``path`` the ``INPUT_PATH`` environment variable names the input."""
     path = path or os.environ.get("INPUT_PATH")
     if not path:
         raise ValueError("no input path: pass path= or set INPUT_PATH")
-    return read_csv(spark, path, None if infer else schema)
+    return read_csv(spark, path, None if infer else schema, **options)
 
 
 def load_staging(spark: SparkSession, path: str, schema: str = STAGING_SCHEMA) -> DataFrame:

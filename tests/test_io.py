@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from adlens.sources import io
@@ -15,6 +16,33 @@ def test_csv_round_trip_keeps_leading_blanks_and_nulls(spark, tmp_dir):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
 
 
+def test_csv_is_split_and_quoted_line_breaks_are_an_option(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/big")
+    with open(f"{tmp_dir}/big/a.csv", "w") as f:
+        f.write("a,b\n" + "".join(f"{i},{'x' * 50}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = io.read_csv(spark, f"{tmp_dir}/big", "a int, b string")
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    with open(f"{tmp_dir}/t.csv", "w") as f:
+        f.write('a,b\n1,"two\nlines"\n')
+    got = io.read_csv(spark, f"{tmp_dir}/t.csv", "a int, b string", multiLine="true").collect()
+    assert [tuple(r) for r in got] == [(1, "two\nlines")]
+
+
+def test_reviews_csv_has_fifteen_columns_and_its_header_is_checked(spark, tmp_dir):
+    names = [c.split()[0] for c in io.REVIEWS_SCHEMA_FULL.split(", ")]
+    with open(f"{tmp_dir}/r.csv", "w") as f:
+        f.write(",".join(names) + "\nUS,7,R1,P1,3,Title,Books,5,1,2,0,1,Head,Body,2015-01-02\n")
+    r = io.read_reviews_csv(spark, f"{tmp_dir}/r.csv").first()
+    assert (r.customer_id, r.review_id, r.star_rating, r.review_date) == (7, "R1", 5, "2015-01-02")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_reviews_csv(spark, f"{tmp_dir}/r.csv", schema=io.REVIEWS_SCHEMA).collect()
+
+
 def test_report_bundle_records_errors_and_empties(spark, tmp_dir):
     ok = spark.createDataFrame([(1, "x")], "n int, s string")
     empty = spark.createDataFrame([], "n int")

@@ -37,6 +37,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def input_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     """Hash of the build version and of every input file below the paths: its
     path, length and modification time (an object store's folders carry no

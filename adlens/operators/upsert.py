@@ -5,7 +5,8 @@ one ``groupBy(key).agg(max_by(struct(rest), struct(order)))``, which Spark
 aggregates partially on the map side (no window sort, and a hot key costs a
 single partial row per task). ``merge_upsert`` applies a new batch to an
 existing table; ``write_merged`` persists the result to a *new* path, never
-overwriting the path being read.
+overwriting the path being read, ``merge_partitions`` into a stored table of
+which it replaces only the partitions touched.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .materialize import path_exists
 
 
@@ -60,3 +62,26 @@ def write_merged(spark: SparkSession, existing_path: str, updates: DataFrame, ke
         w = w.partitionBy(*partition_by)
     w.parquet(out_path)
     return spark.read.parquet(out_path)
+
+
+def merge_partitions(spark: SparkSession, path: str, updates: DataFrame, key: Sequence[str],
+                     order: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Persisted merge into the table at ``path``: only partitions that the
+    batch touches are read, merged and replaced; no other file changes.
+
+    ``partition_by`` must be part of ``key``. The merged rows go to a reliable
+    checkpoint first, so the files that are replaced are no longer read then.
+    The same batch merged again (after a lost job) gives the same table."""
+    by = list(partition_by)
+    if not set(by) <= set(key):
+        raise ValueError(f"partition columns {by} must be part of the key {list(key)}")
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        current = spark.read.schema(updates.schema).parquet(path)
+        touched = updates.select(*by).distinct()
+        merged = merge_upsert(current.join(touched, by, "left_semi"), updates, key, order)
+    else:
+        merged = upsert(updates, key, order)
+    checkpoint_dir(spark)
+    (merged.checkpoint(eager=True).hint("rebalance", *by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    return spark.read.schema(updates.schema).parquet(path)

@@ -8,6 +8,7 @@ whole input. The SQL twin of every entry lives in ``adlens.oracle_sql``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ..operators import sampling
 from ..operators.materialize import input_fingerprint, table_root
 from ..operators.quality import star_integrity
 from ..operators.star import denormalise, load_staging, load_star
-from ..operators.upsert import merge_upsert, upsert
+from ..operators.upsert import merge_partitions, merge_upsert, upsert
 from ..oracle_sql import WINDOW
 from ..sources import fixtures
 from ..sources import io as io_
@@ -106,18 +107,32 @@ def _read_user_last10_ads(spark, sf):
     return serving.read_user_last_ads(hist, users, *WINDOW, n=10)
 
 
-@register("upsert_merge")
-def _upsert_merge(spark, sf):
+def _two_loads(spark, sf):
     """Two loads of the user history: days before the 15th, then an
-    overlapping batch from the 10th on; the second batch's rows replace the
-    first's for the keys they share."""
+    overlapping batch from the 10th on."""
     rows = serving.user_history_rows(load_star(spark, sf))
     day = F.col("date_event")
-    first = upsert(rows.where(day < F.lit("2024-01-15").cast("date")), ["user_id", "date_event"], ["event_id"])
-    second = rows.where(day >= F.lit("2024-01-10").cast("date"))
+    return rows.where(day < F.lit("2024-01-15").cast("date")), rows.where(day >= F.lit("2024-01-10").cast("date"))
+
+
+@register("upsert_merge")
+def _upsert_merge(spark, sf):
+    """The second batch's rows replace the first's for the keys they share."""
+    first, second = _two_loads(spark, sf)
+    first = upsert(first, ["user_id", "date_event"], ["event_id"])
     return merge_upsert(first, second, ["user_id", "date_event"], ["event_id"]).drop("event_id")
 
 
+@register("upsert_persisted")
+def _upsert_persisted(spark, sf):
+    """The same two loads into a stored table, one folder a day: the second
+    replaces the days it touches."""
+    path = _new_version(_io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/user_history")
+    for batch in _two_loads(spark, sf):
+        table = merge_partitions(spark, path, batch, ["user_id", "date_event"], ["event_id"], ["date_event"])
+    return table.drop("event_id")
+
+
 @register("lookup_campaign_performance")
 def _lookup_campaign(spark, sf):
     star = load_star(spark, sf)
@@ -341,6 +356,12 @@ def _io_root(spark, sf, *inputs):
     return table_root(spark, "io", fp)
 
 
+def _new_version(path):
+    """A folder of this run's own: what an earlier result still reads stays."""
+    import uuid
+    return f"{path}-{uuid.uuid4().hex[:8]}"
+
+
 def _messages(spark, sf):
     return msg.to_messages(fixtures.tweets(spark, sf))
 
@@ -360,6 +381,22 @@ REGISTRY["produce_messages_cut"] = lambda spark, sf: msg.parse_messages(
 REGISTRY["stream_tweets_clean"] = lambda spark, sf: msg.clean_messages(_topic(spark, sf))
 REGISTRY["stream_minute_files"] = lambda spark, sf: msg.split_rejects(
     msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))[0]
+
+
+@register("stream_minute_files_run")
+def _stream_run(spark, sf):
+    """S11 to S13 as a stream: the topic folder read to its end in bounded
+    micro-batches, its minutes and rejects written, the minutes read back."""
+    _topic(spark, sf)
+    root = _io_root(spark, sf, "events", "documents")
+    out = _new_version(root + "/minutes")
+    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, root + "/topic_tweets", max_per_trigger=1000)))
+    for q in msg.write_minute_files(stream, out + "/files", out + "/checkpoint", rejects_dir=out + "/rejects", by_day=True):
+        q.awaitTermination()
+    return (spark.read.option("header", True).schema("author_id string, created_at string, text string, minute string, day string")
+            .csv(out + "/files").drop("day"))
+
+
 REGISTRY["tweet_minute_counts"] = lambda spark, sf: msg.minute_counts(
     msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))
 REGISTRY["topic_count"] = lambda spark, sf: msg.topic_count(_topic(spark, sf))
@@ -444,7 +481,18 @@ def _report_bundle(spark, sf):
         "task6_budget_consumption_over80": reports.budget_over(star),
         "task7_ctr_by_device": reports.ctr_by_device(star),
     }
-    return io_.report_rows(reps)
+    for name, query in (("analytics_clicks_per_hour", "doc_clicks_per_hour_all"),
+                        ("analytics_ad_fatigue", "doc_ad_fatigue"), ("analytics_top_categories", "doc_top_categories")):
+        reps[name] = REGISTRY[query](spark, sf)
+    out = _new_version(_io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/reports")
+    status = io_.write_report_bundle(reps, out)
+    failed = {k: v for k, v in status.items() if v.startswith("error")}
+    if failed:
+        raise RuntimeError(f"reports failed: {failed}")
+    parts = [io_.report_fields(io_.read_report(spark, out, k, reps[k].schema), k, reps[k].columns[0])
+             for k, v in status.items() if v == "written"]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame(
+        [], "report string, row_key string, field string, value string")
 
 
 @register("user_document_interactions")

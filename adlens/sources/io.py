@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.materialize import remove_path
+
 # The reviews CSV layout of the source jobs (15 columns) and the
 # stand-in layout used with the test tables (9 columns).
 REVIEWS_SCHEMA_FULL = (
@@ -128,22 +130,46 @@ def report_rows(reports: Mapping[str, DataFrame]) -> DataFrame:
 def write_report_bundle(reports: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
     """One CSV folder per report plus one JSON bundle of all rows.
 
-    A report that fails is recorded and skipped; an empty report writes no
-    file. Returns ``{report: "written" | "empty" | "error: ..."}``.
+    Every report runs once: it is written, and all that follows reads what was
+    written. A report that fails is recorded and skipped; an empty report
+    leaves no file. Returns ``{report: "written" | "empty" | "error: ..."}``.
     """
     status: dict[str, str] = {}
     ok: dict[str, DataFrame] = {}
     for name, df in reports.items():
+        path = report_path(out_dir, name)
         try:
-            if df.isEmpty():
+            write_csv(df, path)
+            stored = read_report(df.sparkSession, out_dir, name, df.schema)
+            if stored.isEmpty():
+                remove_path(df.sparkSession, path)
                 status[name] = "empty"
                 continue
-            write_csv(df, f"{out_dir.rstrip('/')}/{safe_name(name)}")
             status[name] = "written"
-            ok[name] = df
+            ok[name] = stored
         except Exception as e:  # one bad report must not stop the others
             status[name] = f"error: {type(e).__name__}: {e}"
             _log.warning("report %s skipped: %s", name, status[name])
     if ok:
         report_rows(ok).write.mode("overwrite").json(f"{out_dir.rstrip('/')}/full_report")
     return status
+
+
+def report_path(out_dir: str, name: str) -> str:
+    return f"{out_dir.rstrip('/')}/{safe_name(name)}"
+
+
+def read_report(spark: SparkSession, out_dir: str, name: str, schema) -> DataFrame:
+    """A written report, with its types."""
+    return read_csv(spark, report_path(out_dir, name), schema)
+
+
+def report_fields(report: DataFrame, name: str, key: str) -> DataFrame:
+    """A report in long form: ``(report, row_key, field, value)``, one row per
+    value; fractions with six decimals, so that engines spell them alike."""
+    fields = [f for f in report.schema.fields if f.name != key]
+    texts = [(F.col(f.name).cast("decimal(38,6)") if f.dataType.typeName() == "double" else F.col(f.name))
+             .cast("string").alias(f.name) for f in fields]
+    return (report.select(F.col(key).cast("string").alias("row_key"), *texts)
+            .unpivot("row_key", [f.name for f in fields], "field", "value")
+            .select(F.lit(name).alias("report"), "row_key", "field", "value"))

@@ -80,6 +80,15 @@ def _py_text(v: Column) -> Column:
             .otherwise(F.try_variant_get(v, "$", "string")))
 
 
+def _repeated_keys(raw: Column) -> Column:
+    """The used fields of an object that names a key twice, which a VARIANT
+    can't hold; NULL for anything else that doesn't parse. Read as the one
+    element of an array, so that text after the object makes it invalid."""
+    rows = F.from_json(F.concat(F.lit("["), raw, F.lit("]")),
+                       "array<struct<user_id: variant, created_at: variant, text: variant>>")
+    return F.when(F.ltrim(raw).startswith("{") & (F.size(rows) == 1), F.get(rows, F.lit(0)))
+
+
 def clean_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """T2 (C11-C13): decode, flatten the text and drop unusable messages.
 
@@ -88,13 +97,18 @@ def clean_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     non-object payloads (``[1]``, ``5``), on which the source consumer fails.
     Author, time and cleaned text must be truthy by Python's rules (author
     ``0`` or ``false`` is dropped, the string ``"0"`` is kept); a time or text
-    that is not a string is dropped (the source fails on it).
+    that is not a string is dropped (the source fails on it). Of a repeated
+    key the last value counts.
     """
-    v = F.try_parse_json(F.col(value_col).cast("string"))
-    author = F.try_variant_get(v, "$.user_id", "variant")
-    created = F.try_variant_get(v, "$.created_at", "variant")
-    text = F.try_variant_get(v, "$.text", "variant")
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    raw = F.col(value_col).cast("string")
+    v = F.try_parse_json(raw)
+    again = _repeated_keys(raw)
+
+    def field(name: str) -> Column:
+        return F.when(v.isNull(), again[name]).otherwise(F.try_variant_get(v, f"$.{name}", "variant"))
+
+    author, created, text = field("user_id"), field("created_at"), field("text")
+    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), again.isNotNull())
     text_s = F.when(F.schema_of_variant(text) == "STRING", F.try_variant_get(text, "$", "string"))
     text_ok = ~_py_truthy(text) | (F.schema_of_variant(text) == "STRING")   # falsy -> '', else must be text
     p = messages.select(
@@ -205,8 +219,10 @@ def write_messages(messages: DataFrame, sink: str, *, topic: str | None = None,
 
 
 def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
-                       available_now: bool = True, rejects_dir: str | None = None) -> list:
+                       available_now: bool = True, rejects_dir: str | None = None, by_day: bool = False) -> list:
     """Append each message to its minute's CSV folder (header per file).
+    ``by_day`` keeps the minutes of a day in one folder, with ``minute`` as a
+    column: few files for long backlogs.
 
     Late rows land in their own minute however late they are (no watermark,
     nothing is dropped, no state is kept). Both outputs use Spark's file sink,
@@ -216,6 +232,9 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
     Returns the started queries.
     """
     good, bad = split_rejects(bucketed)
+    rows, folder = good.select("author_id", "created_at", "text", "minute"), "minute"
+    if by_day:
+        rows, folder = rows.withColumn("day", F.substring("minute", 1, 10)), "day"
 
     def start(df: DataFrame, fmt: str, path: str, ckpt: str, partition: bool):
         w = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", ckpt)
@@ -223,12 +242,11 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
         if fmt == "csv":
             w = w.option("header", True)
         if partition:
-            w = w.partitionBy("minute")
+            w = w.partitionBy(folder)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
         return w.start()
 
-    queries = [start(good.select("author_id", "created_at", "text", "minute"), "csv", out_dir,
-                     checkpoint, True)]
+    queries = [start(rows, "csv", out_dir, checkpoint, True)]
     if rejects_dir:
         queries.append(start(bad.select("author_id", "created_at", "text"), "json", rejects_dir,
                              checkpoint.rstrip("/") + "-rejects", False))

@@ -35,6 +35,20 @@ def test_clean_messages_drops_bad_payloads(spark):
     assert [r.created_at for r in rejects.collect()] == ["garbage"]
 
 
+def test_repeated_key_keeps_the_last_value(spark):
+    t = '"created_at": "2024-01-01T10:00:0%d+00:00", "text": "%s"}'
+    rows = ['{"user_id": 1, "user_id": 2, ' + t % (1, "a"),
+            ' {"text": "x", "user_id": 0, "user_id": "3", ' + t % (2, "b"),
+            '{"user_id": 5, "user_id": 0, ' + t % (3, "last is falsy"),
+            '{"user_id": 6, "user_id": 7, ' + t % (4, "tail") + " tail",
+            '{"user_id": 6, "user_id": 7, ' + t % (5, "two") + ', {"user_id": 1}',
+            '{"user_id": 6, "user_id": 7, "created_at": "2024',
+            '[{"user_id": 6, "user_id": 7, ' + t % (6, "list") + "]"]
+    df = spark.createDataFrame([(v,) for v in rows], "value string")
+    assert sorted(tuple(r) for r in msg.clean_messages(df).collect()) == [
+        ("2", "2024-01-01T10:00:01+00:00", "a"), ("3", "2024-01-01T10:00:02+00:00", "b")]
+
+
 def _write_topic_file(path, name, rows):
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w") as f:

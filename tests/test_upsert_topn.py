@@ -132,3 +132,27 @@ def test_fingerprint_sees_a_changed_file_in_a_folder(spark, tmp_dir):
         f.write("bb")
     os.utime(f"{tmp_dir}/t", (times.st_atime, times.st_mtime))
     assert input_fingerprint(spark, [f"{tmp_dir}/t"]) != before
+
+
+def test_merge_partitions_replaces_only_touched(spark, tmp_dir):
+    import os
+
+    from adlens.operators.upsert import merge_partitions
+    schema = "day string, k int, v string, seq int"
+    path = f"{tmp_dir}/table"
+
+    def load(rows):
+        return merge_partitions(spark, path, spark.createDataFrame(rows, schema), ["day", "k"], ["seq"], ["day"])
+
+    def files(day):
+        return sorted(f for f in os.listdir(f"{path}/day={day}") if f.endswith(".parquet"))
+
+    load([("2024-01", 1, "a", 1), ("2024-01", 1, "b", 2), ("2024-02", 1, "c", 1)])
+    before = files("2024-01")
+    batch = [("2024-02", 1, "d", 0), ("2024-02", 2, "e", 0), ("2024-03", 1, "f", 0)]
+    want = [("2024-01", 1, "b", 2), *batch]
+    for _ in range(2):      # the same batch again changes nothing
+        got = load(batch).select("day", "k", "v", "seq")
+        assert sorted(map(tuple, got.collect())) == want
+        assert files("2024-01") == before
+    assert len(files("2024-02")) == 1

@@ -4,7 +4,9 @@ The lexicon is learnt: words that labelled toxic documents use in far more
 different contexts than clean ones do (contexts, not documents: copies of one
 text count once). A trie holds its terms; a word of a text is looked up by
 walking the trie together with the word's Levenshtein automaton, which finds
-all terms within one edit. Variants that clean text itself uses are no hits.
+all terms within one edit, or two of long terms; two swapped letters are one
+edit, and a digit that looks like the term's letter is none. Variants that
+clean text itself uses are no hits.
 Every hit is weighed by a window of words around it: quoted or reported terms
 count apart from plain abuse, hits close to other hits count more. A logistic
 model over these sums gives the score.
@@ -29,8 +31,11 @@ SAMPLE = 40_000
 #: A term is used in this many contexts of toxic documents at least, and this
 #: many times as often there as in clean ones. TERMS bounds the lexicon.
 LEAST_CONTEXTS, LEAST_RATIO, TERMS = 6, 8.0, 4096
-#: Terms of this many letters or more are found within one edit.
-FUZZY_FROM = 4
+#: Terms of this many letters or more are found within one edit, and, in a
+#: lexicon with a growing bound, of this many or more within two.
+FUZZY_FROM, TWO_FROM = 4, 7
+#: Digits and the letters that they stand for
+ALIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b"}
 #: Words before and after a hit that are looked at.
 WINDOW = 6
 THRESHOLD = 0.3
@@ -43,76 +48,158 @@ QUOTES = ['"', "“", "”", "„", "«", "»", "‘", "’"]
 
 
 class Automaton:
-    """Levenshtein automaton of a word for one edit: states are the word's
-    positions with the edits left, reached by reading a candidate term."""
+    """Levenshtein automaton of a word: states are the word's positions with
+    the edits left, reached by reading a candidate term. With ``loose``, two
+    swapped neighbours are one edit (a third entry is set between them) and a
+    digit is also any letter it looks like."""
 
-    def __init__(self, word: str, edits: int = 1):
-        self.word, self.edits = word, edits
+    def __init__(self, word: str, edits: int = 1, loose: bool = False):
+        self.word, self.edits, self.loose = word, edits, loose
 
-    def _close(self, states: set[tuple[int, int]]) -> frozenset[tuple[int, int]]:
+    def _close(self, states: set[tuple[int, int, bool]]) -> frozenset[tuple[int, int, bool]]:
         """With the word's letters that the term leaves out."""
         out = set(states)
-        for i, left in states:
-            while left and i < len(self.word):
+        for i, left, swapped in states:
+            while left and i < len(self.word) and not swapped:
                 i, left = i + 1, left - 1
-                out.add((i, left))
+                out.add((i, left, False))
         return frozenset(out)
 
-    def start(self) -> frozenset[tuple[int, int]]:
-        return self._close({(0, self.edits)})
+    def _same(self, i: int, letter: str) -> bool:
+        own = self.word[i]
+        return own == letter or (self.loose and letter in ALIKE.get(own, ""))
 
-    def step(self, states: frozenset[tuple[int, int]], letter: str) -> frozenset[tuple[int, int]]:
+    def start(self) -> frozenset[tuple[int, int, bool]]:
+        return self._close({(0, self.edits, False)})
+
+    def step(self, states: frozenset[tuple[int, int, bool]], letter: str) -> frozenset[tuple[int, int, bool]]:
         out = set()
-        for i, left in states:
-            if i < len(self.word) and self.word[i] == letter:
-                out.add((i + 1, left))
+        for i, left, swapped in states:
+            if swapped:      # the word's letter after this one has been read
+                if self._same(i, letter):
+                    out.add((i + 2, left, False))
+                continue
+            if i < len(self.word) and self._same(i, letter):
+                out.add((i + 1, left, False))
             if left:
-                out.add((i, left - 1))          # a letter that the word lacks
+                out.add((i, left - 1, False))          # a letter that the word lacks
                 if i < len(self.word):
-                    out.add((i + 1, left - 1))  # another letter
+                    out.add((i + 1, left - 1, False))  # another letter
+                if self.loose and i + 1 < len(self.word) and self._same(i + 1, letter):
+                    out.add((i, left - 1, True))
         return self._close(out) if out else frozenset()
 
-    def accepts(self, states: frozenset[tuple[int, int]]) -> bool:
-        return any(i == len(self.word) for i, _ in states)
+    def used(self, states: frozenset[tuple[int, int, bool]]) -> int:
+        """Edits between the word and the term read; more than the bound if
+        there are none as few."""
+        return min((self.edits - left for i, left, swapped in states if i == len(self.word) and not swapped), default=self.edits + 1)
+
+
+def _folds() -> np.ndarray:
+    """Code points below 128, those that may stand for each other as one."""
+    table = np.arange(128, dtype=np.uint64)
+    for digit, letters in ALIKE.items():
+        table[[ord(digit), *map(ord, letters)]] = ord(letters[0])
+    return table
+
+
+_FOLDS = _folds()
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Variants of words that are hashed in one step, about.
+VARIANTS = 1 << 18
+
+
+def deletions(letters: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Hashes of words of one length (words x letters) without 0, 1, ... up to
+    ``most`` (two) of their letters: words x ways to leave that many out."""
+    m, n = letters.shape
+    t = mix64(letters + np.uint64(1))
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]), dtype=np.uint64)
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    # sums before each letter, where d letters before it are left out
+    sums = []
+    for d in range(most + 1):
+        p = np.zeros((m, n + 1), np.uint64)
+        np.cumsum(t * powers[:n], axis=1, out=p[:, 1:])
+        for _ in range(d):
+            p *= inverse
+        sums.append(p)
+
+    def done(h: np.ndarray, size: int) -> np.ndarray:
+        h = mix64(h + np.uint64((size + 1) * 0xD6E8FEB86659FD93 % 2**64))
+        return (h - (h == np.uint64(2**64 - 1))).view(np.int64)
+
+    yield done(sums[0][:, n:], n)
+    if most >= 1 and n >= 1:
+        i = np.arange(n)
+        yield done(sums[0][:, i] + sums[1][:, n:] - sums[1][:, i + 1], n - 1)
+    if most >= 2 and n >= 2:
+        i, j = np.triu_indices(n, 1)
+        yield done(sums[0][:, i] + sums[1][:, j] - sums[1][:, i + 1] + sums[2][:, n:] - sums[2][:, j + 1], n - 2)
 
 
 class Lexicon:
     """Terms with weights in a trie; exceptions are words that are never a
-    near hit."""
+    near hit. ``growing``: long terms are found within two edits, and swaps
+    and look-alikes count as ``Automaton`` says; else all within one plain edit."""
 
-    def __init__(self, terms: dict[str, float], exceptions: set[str]):
-        self.terms, self.exceptions = terms, exceptions
+    def __init__(self, terms: dict[str, float], exceptions: set[str], growing: bool = False):
+        self.terms, self.exceptions, self.growing = terms, exceptions, growing
         self.trie: dict = {}
-        heads, tails = set(), set()
         for t in terms:
             node = self.trie
             for c in t:
                 node = node.setdefault(c, {})
             node[""] = t
-            if len(t) >= FUZZY_FROM:
-                raw = t.encode()
-                heads.add(raw[:len(raw) // 2])
-                tails.add(raw[len(raw) // 2:])
-        # a word within one edit of a term keeps one of the term's halves, at
-        # the same end (cut between bytes: within a letter one half is whole still)
-        self.halves = []
-        for parts in (heads, tails):
-            by_size: dict[int, HashIndex] = {}
-            for n in {len(p) for p in parts}:
-                own = sorted(p for p in parts if len(p) == n)
-                data = np.frombuffer(b"".join(own), np.uint8)
-                at = np.arange(len(own)) * n
-                by_size[n] = HashIndex(len(own))
-                by_size[n].put(slice_hashes(data, at, at + n).view(np.int64), np.zeros(len(own), np.int32))
-            self.halves.append(by_size)
+        # A word within k edits (swaps too) of a term becomes equal to it if
+        # at most k letters of either are left out.
+        found: list[set[int]] = [set(), set(), set()]
+        self.lengths: list[set[int]] = [set(), set(), set()]
+        by_size: dict[int, list[str]] = {}
+        for t in terms:
+            by_size.setdefault(len(t), []).append(t)
+        for n, own in by_size.items():
+            k = self.bound(n)
+            self.lengths[k].add(n)
+            step = max(1, VARIANTS // (n * n + 1))
+            for at in range(0, len(own), step):
+                for h in deletions(self._letters("".join(own[at:at + step])).reshape(-1, n), k):
+                    found[k].update(h.ravel().tolist())
+        self.variants = []
+        for keys in found:
+            index = HashIndex(len(keys))
+            index.put(np.array(sorted(keys), np.int64), np.zeros(len(keys), np.int32))
+            self.variants.append(index)
+
+    def bound(self, letters: int) -> int:
+        """Edits allowed of a term with so many letters."""
+        return 0 if letters < FUZZY_FROM else 2 if self.growing and letters >= TWO_FROM else 1
+
+    @staticmethod
+    def _letters(text: str) -> np.ndarray:
+        cps = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        return np.where(cps < 128, _FOLDS[np.minimum(cps, np.uint64(127)).astype(np.intp)], cps)
 
     def may_hit(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.zeros(len(starts), bool)
-        for side, by_size in enumerate(self.halves):
-            for n, index in by_size.items():
-                at = np.flatnonzero(ends - starts >= n)
-                a = starts[at] if side == 0 else ends[at] - n
-                out[at] |= index.find(slice_hashes(data, a, a + n).view(np.int64)) >= 0
+        if not len(starts):
+            return out
+        letters = self._letters(data.tobytes().decode("utf-8", "replace"))
+        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        first = at[starts]
+        size = at[ends] - first
+        for n in np.unique(size).tolist():
+            reach = [k for k in range(3) if any(abs(n - m) <= k for m in self.lengths[k])]
+            if not reach:
+                continue
+            rows = np.flatnonzero(size == n)
+            step = max(1, VARIANTS // (n * n + 1))
+            for lo in range(0, len(rows), step):
+                own = rows[lo:lo + step]
+                for d, h in enumerate(deletions(letters[first[own][:, None] + np.arange(n)], reach[-1])):
+                    for k in reach:
+                        if d <= k:
+                            out[own] |= (self.variants[k].find(h.ravel()) >= 0).reshape(h.shape).any(1)
         return out
 
     def match(self, word: str) -> tuple[float, bool]:
@@ -121,12 +208,12 @@ class Lexicon:
             return self.terms[word], True
         if len(word) < FUZZY_FROM - 1 or word in self.exceptions:
             return 0.0, False
-        automaton, best = Automaton(word), 0.0
+        automaton, best = Automaton(word, 2 if self.growing else 1, self.growing), 0.0
         stack = [(self.trie, automaton.start())]
         while stack:
             node, states = stack.pop()
             term = node.get("")
-            if term is not None and len(term) >= FUZZY_FROM and automaton.accepts(states):
+            if term is not None and len(term) >= FUZZY_FROM and automaton.used(states) <= self.bound(len(term)):
                 best = max(best, self.terms[term])
             for c, child in node.items():
                 if c and (to := automaton.step(states, c)):
@@ -277,17 +364,17 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", te
         F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")).filter("toxic > 0 OR clean > 1"))
     total = seen.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
     if not total[0] or not total[1]:
-        return Lexicon({}, set())
+        return Lexicon({}, set(), growing=True)
     ratio = ((F.col("toxic") + 0.5) / total[0]) / ((F.col("clean") + 0.5) / total[1])
     rated = seen.withColumn("ratio", ratio)
     top = (rated.filter((F.col("toxic") >= LEAST_CONTEXTS) & (F.col("ratio") >= LEAST_RATIO))
            .orderBy(F.col("toxic").desc(), "word").limit(TERMS).toPandas())      # TERMS rows
     terms = dict(zip(top.word, np.log(top.ratio), strict=True))
-    lexicon = Lexicon(terms, set())
+    lexicon = Lexicon(terms, set(), growing=True)
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def clean_variants(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Lexicon(shared.value, set())
+        own = Lexicon(shared.value, set(), growing=True)
         for f in frames:
             if len(f):
                 raw = [w.encode() for w in f.word]
@@ -331,7 +418,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     shared = spark.sparkContext.broadcast((lexicon.terms, lexicon.exceptions))
 
     def summed(batches: Iterator[pa.RecordBatch], extra: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        matcher = Matcher(Lexicon(*shared.value))
+        matcher = Matcher(Lexicon(*shared.value, growing=True))
         for batch in batches:
             for part, texts in text_blocks(batch):
                 yield part, matcher.sums(texts)

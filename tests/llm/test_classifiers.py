@@ -159,6 +159,42 @@ def test_lookup_finds_all_terms_within_one_edit():
             assert lex.may_hit(data, np.array([0]), np.array([len(data)]))[0]
 
 
+def swap_distance(a, b):
+    """As ``distance``, two swapped neighbours being one edit."""
+    d = [[i + j if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_edits_grow_with_the_term():
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcä"), rng.integers(3, 11))) for _ in range(700)]
+    terms = {w: 1.0 + k for k, w in enumerate(sorted(set(words[:60])))}
+    lex = toxicity.Lexicon(terms, set(), growing=True)
+    tried = set()
+    for w in words[60:]:
+        near = [v for t, v in terms.items() if len(t) >= 4 and swap_distance(w, t) <= (2 if len(t) >= 7 else 1)]
+        tried |= {len(t) for t in terms if swap_distance(w, t) == 2 and len(t) >= 7}
+        want = (terms[w], True) if w in terms else (max(near, default=0.0) if len(w) >= 3 else 0.0, False)
+        assert lex.match(w) == want
+        data = np.frombuffer(w.encode(), np.uint8)
+        if near or w in terms:
+            assert lex.may_hit(data, np.array([0]), np.array([len(data)]))[0]
+    assert len(tried) > 2
+
+
+def test_common_misspellings_are_hits():
+    terms = dict.fromkeys(["idiot", "stupid", "moron", "worthless", "disgusting", "fag"], 2.0)
+    m = toxicity.Matcher(toxicity.Lexicon(terms, set(), growing=True))
+    bad = ["idoit", "stupdi", "m0r0n", "w0rthles", "disgsuting", "1d10t", "fag"]
+    h = m.hits([*bad, "studio", "minor", "worth", "discuss it", "fog"])
+    assert sorted(h.doc) == list(range(len(bad))) and [bool(x) for x in h.sort_values("doc").exact] == [False] * 6 + [True]
+
+
 def test_windows_tell_quotation_from_abuse():
     m = toxicity.Matcher(toxicity.Lexicon({"scumbag": 2.0, "moron": 2.0}, {"morons"}))
     texts = ["You are a SCUMBAG, really, and a moron too.", 'They were called "scumbag" in the hall that day by all.',

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import HashIndex
+from .bpe import LETTER, NUMBER, SPACE, HashIndex, _class_table
 from .common import (bounded_sample, cut, held_out, join_texts, may_learn, mix64, of_text, read_documents, read_labels,
                      slice_hashes, text_blocks, word_slices)
 
@@ -221,21 +221,40 @@ class Lexicon:
         return best, False
 
 
-_LETTERY = np.zeros(256, bool)
-_LETTERY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+class Words:
+    """The words of a block of texts, lower-cased: runs of letters and digits
+    of any script, and, where signs stand inside a run without white space, also
+    the whole run from its first letter to its last (``joined``)."""
 
-
-def cores(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words without the signs (ASCII, neither letter nor digit) at their ends."""
-    n = np.arange(len(data))
-    sign = ~_LETTERY[data]
-    following = np.minimum.accumulate(np.where(sign, len(data), n)[::-1])[::-1]      # next letter
-    before = np.maximum.accumulate(np.where(sign, -1, n))                            # last letter
-    a = np.minimum(following[starts], ends)
-    return a, np.maximum(before[np.maximum(ends - 1, 0)] + 1, a)
-
-
-_QUOTE_BYTES = [q.encode() for q in QUOTES]
+    def __init__(self, texts: list[str]):
+        lowered = [t.lower() for t in texts]
+        self.data, self.at = join_texts(lowered)
+        self.cps = np.frombuffer("".join(f"{t} " for t in lowered).encode("utf-32-le"), np.uint32)
+        cls = _class_table()[self.cps]
+        self.wordy = (cls == LETTER) | (cls == NUMBER)
+        # ends of words and of runs without white space; the last code point is a blank
+        edge = np.flatnonzero(np.diff(self.wordy, prepend=False))
+        self.first, self.last = edge[0::2], edge[1::2]      # in code points
+        run = np.cumsum(cls == SPACE)[self.first] if len(edge) else edge[0::2]
+        opens = np.flatnonzero(np.diff(run, prepend=-1))
+        closes = np.append(opens[1:], len(run))[:len(opens)]
+        several = closes - opens > 1
+        self.opens, self.closes = opens[several], closes[several]      # words of each joined run: from, to
+        byte = np.append(np.flatnonzero((self.data & 0xC0) != 0x80), len(self.data))
+        self.starts, self.ends = byte[self.first], byte[self.last]
+        self.joined = self.starts[self.opens], self.ends[self.closes - 1]
+
+    def quotes_upto(self) -> np.ndarray:
+        """Quotation marks before each code point; ' set as ‘ or ’ inside a word isn't one."""
+        mark = np.isin(self.cps, _QUOTE_POINTS)
+        inside = np.isin(self.cps, _APOSTROPHES)
+        inside[1:] &= self.wordy[:-1]
+        inside[:-1] &= self.wordy[1:]
+        return np.concatenate([[0], np.cumsum(mark & ~inside)])
+
+
+_QUOTE_POINTS = [ord(q) for q in QUOTES]
+_APOSTROPHES = [ord("‘"), ord("’")]
 SUMS = ["plain", "near", "told", "close", "share"]
 
 
@@ -267,12 +286,10 @@ class Matcher:
         """doc (index of the text), start, end (in the lower-cased text's
         bytes), weight, exact, told (quoted or reported), close (another hit
         in the window)."""
-        lowered = [t.lower() for t in texts]
-        data, at = join_texts(lowered)
-        s, e = word_slices(data)
-        a, b = cores(data, s, e)
-        keep = b > a
-        s, e, a, b = s[keep], e[keep], a[keep], b[keep]
+        words = Words(texts)
+        data, at = words.data, words.at
+        n = len(words.starts)
+        a, b = (np.concatenate(x) for x in zip((words.starts, words.ends), words.joined, strict=True))
         empty = pd.DataFrame({"doc": np.zeros(0, np.int64), "start": [], "end": [], "weight": [], "exact": [], "told": [], "close": []})
         if not len(a):
             return empty
@@ -286,35 +303,41 @@ class Matcher:
             where = missing[where]
             self._learn(new, data, a[where], b[where])
             entry[missing] = self.seen.find(keys[missing])
+        # a joined run counts if none of its words is a hit
+        upto = np.concatenate([[0], np.cumsum(entry[:n] > 0)])
+        entry[n:][upto[words.closes] > upto[words.opens]] = 0
         hit = np.flatnonzero(entry > 0)
         if not len(hit):
             return empty
-        doc = of_text(a, at)
+        hit = hit[np.argsort(a[hit], kind="stable")]
+        run = hit >= n
+        first = np.where(run, np.append(words.opens, 0)[np.where(run, hit - n, -1)], hit)      # words that the hit spans
+        last = np.where(run, np.append(words.closes, 0)[np.where(run, hit - n, -1)] - 1, hit)
         found = [self.found[k - 1] for k in entry[hit].tolist()]
-        told = self._told(data, at, s, e, hit, doc, keys)
-        own = doc[hit]
+        own = of_text(a[hit], at)
+        told = self._told(words, keys[:n], first, last, own)
         gap = np.full(len(hit), 1 << 30)
-        near = np.where(own[1:] == own[:-1], hit[1:] - hit[:-1], 1 << 30)
+        near = np.where(own[1:] == own[:-1], first[1:] - last[:-1], 1 << 30)
         gap[1:] = np.minimum(gap[1:], near)
         gap[:-1] = np.minimum(gap[:-1], near)
         return pd.DataFrame({"doc": own, "start": a[hit] - at[own], "end": b[hit] - at[own], "weight": [w for w, _ in found],
                              "exact": [x for _, x in found], "told": told, "close": gap <= WINDOW})
 
-    def _told(self, data, at, s, e, hit, doc, keys) -> np.ndarray:
+    def _told(self, words: Words, keys: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Quotation marks enclose the hit within its window, or a reporting
         word stands in the window before it."""
-        out = np.zeros(len(hit), bool)
-        report = np.isin(keys, self.reporting)
-        upto = np.concatenate([[0], np.cumsum(report)])
-        for k, (h, d) in enumerate(zip(hit.tolist(), doc[hit].tolist(), strict=True)):
-            lo = max(h - WINDOW, int(np.searchsorted(s, at[d])))
-            hi = min(h + WINDOW, int(np.searchsorted(s, at[d + 1])) - 1)
-            if upto[h] > upto[max(lo, h - 3)]:
-                out[k] = True
-                continue
-            left, right = data[s[lo]:s[h] + 4].tobytes(), data[max(s[h], e[h] - 4):e[hi]].tobytes()
-            out[k] = any(q in left for q in _QUOTE_BYTES) and any(q in right for q in _QUOTE_BYTES)
-        return out
+        of_doc = np.searchsorted(words.starts, words.at)      # words before each text
+        lo = np.maximum(first - WINDOW, of_doc[doc])
+        hi = np.minimum(last + WINDOW, of_doc[doc + 1] - 1)
+        report = np.concatenate([[0], np.cumsum(np.isin(keys, self.reporting))])
+        reported = report[first] > report[np.maximum(lo, first - 3)]
+        # signs between a text's border or the word beyond the window and the hit
+        marks = words.quotes_upto()
+        text_at = np.searchsorted(np.flatnonzero((words.data & 0xC0) != 0x80), words.at)
+        left = np.where(lo > of_doc[doc], words.last[np.maximum(lo - 1, 0)], text_at[doc])
+        right = np.where(hi < of_doc[doc + 1] - 1, words.first[np.minimum(hi + 1, len(keys) - 1)], text_at[doc + 1])
+        quoted = (marks[words.first[first]] > marks[left]) & (marks[right] > marks[words.last[last]])
+        return reported | quoted
 
     def sums(self, texts: list[str]) -> np.ndarray:
         """Per text: weight of plain exact hits, of plain near hits, of told
@@ -339,15 +362,21 @@ def word_contexts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, own in text_blocks(batch):
-                data, at = join_texts([t.lower() for t in own])
-                s, e = word_slices(data)
-                a, b = cores(data, s, e)
+                found = Words(own)
+                data, at = found.data, found.at
+                a, b = found.starts, found.ends
                 a, b = a[b - a >= 3], b[b - a >= 3]
-                if not len(a):
-                    continue
                 h = slice_hashes(data, a, b)
-                left, right = np.roll(h, 1), np.roll(h, -1)
-                context = mix64(left * np.uint64(3) + right)
+                # neighbours of words and of joined runs
+                x, y = (np.concatenate(z) for z in zip((a, b), found.joined, strict=True))
+                long = y - x >= 3
+                x, y = x[long], y[long]
+                if not len(x):
+                    continue
+                round_h = np.concatenate([h[-1:], h, h[:1]]) if len(h) else np.zeros(2, np.uint64)
+                before, after = np.searchsorted(a, x), np.searchsorted(a, y)
+                context = mix64(round_h[before] * np.uint64(3) + round_h[np.minimum(after + 1, len(round_h) - 1)])
+                h, a, b = slice_hashes(data, x, y), x, y
                 label = np.asarray(part.column("label"))[of_text(a, at)]
                 _, first = np.unique(mix64(context ^ h) ^ label.astype(np.uint64), return_index=True)
                 raw = data.tobytes()

@@ -207,6 +207,19 @@ def test_windows_tell_quotation_from_abuse():
     assert s[0, 0] > 0 and s[1, 0] == 0 < s[1, 2] and s[3, 1] > 0 and not s[4:].any()
 
 
+def test_terms_among_typographic_signs_are_hits():
+    m = toxicity.Matcher(toxicity.Lexicon(dict.fromkeys(["idiot", "moron", "stupid", "scumbag", "дурак"], 2.0), set(), growing=True))
+    plain = ["“idiot", "You idiot!”", "idiot—you", "idiot/moron", "you\u00a0idiot\u00a0there", "Ты—дурак!", "scum-bag", "st*pid",
+             "You’re an idiot, aren’t you"]
+    told = ["“idiot”", "«idiot»", "‘idiot’", "„idiot“", "He got “You idiot!” for it", "« idiot »"]
+    h = m.hits([*plain, *told, "—“”—", "...", "re-read"])
+    assert set(h.doc) == set(range(len(plain) + len(told))) and len(h) == len(plain) + len(told) + 1
+    assert set(h.doc[h.told]) == set(range(len(plain), len(plain) + len(told)))
+    assert set(h.doc[h.close]) == {3} and set(h.doc[~h.exact.astype(bool)]) == {6, 7}
+    r = h[h.doc == 5].iloc[0]
+    assert "Ты—дурак!".lower().encode()[int(r.start):int(r.end)].decode() == "дурак"
+
+
 def test_toxicity_on_held_out_labels(documents, labels):
     got = {r.doc_id: r for r in toxicity.score(documents, labels).collect()}
     assert len(got) == documents.count()

@@ -16,6 +16,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -224,8 +225,8 @@ def parse_ranks(data: bytes) -> list[bytes]:
 
 def read_vocabulary(path: str) -> bytes:
     """Rank lines (base64 bytes, rank) of a vocabulary file: a ``.tiktoken``
-    file has them, a byte-level BPE ``.json`` file is rewritten (its special
-    tokens are left out: their strings are ordinary text)."""
+    file has them, a byte-level BPE ``.json`` file is rewritten without its
+    special tokens (see ``added_tokens``)."""
     with open(path, "rb") as f:
         data = f.read()
     if not path.endswith(".json"):
@@ -242,12 +243,31 @@ def read_vocabulary(path: str) -> bytes:
                     if token not in special)
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings that a ``.json`` vocabulary cuts out of a text before all else,
+    with their ids; none of a ``.tiktoken`` file."""
+    if not path.endswith(".json"):
+        return {}
+    with open(path, "rb") as f:
+        added = json.load(f).get("added_tokens", ())
+    if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path}: added tokens that look at their neighbours aren't supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 class Encoder:
-    """Encodes blocks of texts with one vocabulary; keeps merged slices."""
+    """Encodes blocks of texts with one vocabulary; keeps merged slices.
+    ``added``: strings that are one token wherever they stand, the leftmost
+    first and the longest of those; without it they are ordinary text."""
 
-    def __init__(self, rank_file: bytes):
+    def __init__(self, rank_file: bytes, added: dict[str, int] | None = None):
         self.tokens = parse_ranks(rank_file)
         ranks = {t: i for i, t in enumerate(self.tokens) if t}
+        self.added = added or {}
+        for t, i in self.added.items():
+            self.tokens += [b""] * (i + 1 - len(self.tokens))
+            self.tokens[i] = t.encode()
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.ranks = ranks
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         keys, values = [], []
@@ -381,6 +401,28 @@ class Encoder:
     def encode_slices(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """As ``encode``, with the texts' UTF-8 bytes end to end and the byte
         offset at which each id starts."""
+        if not any(a in t for t in texts for a in self.added):
+            return self._encode_ordinary(texts)
+        stretches, owner, follows = [], [], []      # follows: id of the added token after a stretch, or -1
+        for k, t in enumerate(texts):
+            cuts = self.marks.split(t)
+            stretches += cuts[0::2]
+            owner += [k] * len(cuts[0::2])
+            follows += [*(self.added[c] for c in cuts[1::2]), -1]
+        follow = np.array(follows, np.int32)
+        own, counts, _, _ = self._encode_ordinary(stretches)
+        counts = counts + (follow >= 0)
+        marked = (np.cumsum(counts) - 1)[follow >= 0]
+        ids = np.zeros(int(counts.sum()), np.int32)
+        inner = np.ones(len(ids), bool)
+        inner[marked] = False
+        ids[marked], ids[inner] = follow[follow >= 0], own
+        total = np.zeros(len(texts), np.int64)
+        np.add.at(total, owner, counts)
+        lengths = self.token_len[ids]
+        return ids, total, np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum(lengths) - lengths
+
+    def _encode_ordinary(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         joined = "".join(texts)
         chars = np.array([len(t) for t in texts], np.int64)
         first = np.cumsum(chars) - chars
@@ -420,11 +462,11 @@ class Encoder:
 _encoders: dict[bytes, Encoder] = {}
 
 
-def encoder(rank_file: bytes) -> Encoder:
+def encoder(rank_file: bytes, added: dict[str, int] | None = None) -> Encoder:
     """The worker's encoder for this vocabulary (its kept slices live on from
     task to task in a reused Python worker)."""
-    key = hashlib.sha256(rank_file).digest()
+    key = hashlib.sha256(rank_file + json.dumps(added or {}, sort_keys=True).encode()).digest()
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(rank_file)
+        _encoders[key] = Encoder(rank_file, added)
     return _encoders[key]

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import Encoder, encoder, read_vocabulary
+from .bpe import Encoder, added_tokens, encoder, read_vocabulary
 from .common import read_documents, text_blocks
 
 CONTEXT = 2048
@@ -149,14 +149,16 @@ def pack(docs: DataFrame, context: int = CONTEXT, end_id: int = END_ID, vocabula
     """One row per piece: doc_id, start (ids of its document before it),
     length, ids_crc32, doc_tokens, sequence_id, offset (in its sequence).
 
-    Null text is empty: the document is its end id alone. Documents follow in
+    Null text is empty: the document is its end id alone. The vocabulary's added
+    tokens are one id wherever their strings stand. Documents follow in
     id order (null ids first, rows of one id in text order); each range
     partition packs its own stretch of that order, numbering sequences from
     partition << 33. An empty table gives no rows."""
-    vocab = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary or default_vocabulary()))
+    path = vocabulary or default_vocabulary()
+    vocab = docs.sparkSession.sparkContext.broadcast((read_vocabulary(path), added_tokens(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(encoder(vocab.value), context, end_id, TaskContext.get().partitionId() << 33)
+        packer = Packer(encoder(*vocab.value), context, end_id, TaskContext.get().partitionId() << 33)
         for batch in batches:
             for part, texts in text_blocks(batch):
                 yield from packer.add(part.column("doc_id").to_pylist(), texts)

@@ -140,6 +140,26 @@ def test_awkward_pieces(edge_docs, no_docs, monkeypatch):
     check_pieces(distinct, [type("R", (), x) for x in got], 512, 0.1)
 
 
+def test_added_tokens_are_one_id(spark):
+    path = P.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)      # as it comes
+    enc = bpe.Encoder(bpe.read_vocabulary(path), bpe.added_tokens(path))
+    texts = fuzz(2000, 8) + ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x<|endoftext|", "it<|endoftext|>'s é<|endoftext|>"]
+    want = [x.ids for x in lib.encode_batch(texts, add_special_tokens=False)]
+    ids, counts, data, starts = enc.encode_slices(texts)
+    assert split(ids, counts) == want and want[-4] == [64, 220, 50256, 275]
+    assert enc.decode(ids).tobytes() == "".join(texts).encode() == data.tobytes()
+    assert (np.diff(starts) == enc.token_len[ids[:-1]]).all()
+    docs = spark.createDataFrame(list(enumerate(texts[-6:])), "doc_id long, text string")
+    lengths = {r.doc_id: r for r in packing.pack(docs, context=1 << 15).collect()}
+    for k, own in enumerate(want[-6:]):
+        r = lengths[k]
+        assert (r.start, r.length, r.doc_tokens) == (0, len(own) + 1, len(own) + 1)
+        assert r.ids_crc32 == zlib.crc32(np.array([*own, 1], "<u4").tobytes())
+    few = bpe.Encoder(bpe.read_vocabulary(path), {"ab": 50256, "abc": 50257})      # the longest at a place
+    assert few.encode(["xabcab"])[0].tolist()[1:] == [50257, 50256]
+
+
 def test_cuts_are_optimal():
     rng = random.Random(7)
 

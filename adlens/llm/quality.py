@@ -1,12 +1,13 @@
 """Quality classifier: a naive Bayes support vector machine.
 
-A document is the set of its n-grams over two abstract alphabets: four-grams
-of byte classes (letters by case, digits, bytes above 127; punctuation and
-blanks as themselves) and one- to three-grams of word shapes (case, length,
-how the word ends, whether it repeats one of the two words before). Indicators
-are scaled by the classes' log-count ratios and a linear hinge-loss model is
-fit by dual coordinate descent, in a few parts of the sample at once whose
-weights are averaged; a logistic curve on the margins gives the score.
+A document is the set of its n-grams over four alphabets: character four-grams
+and one- and two-grams of words (runs of letters and digits) of the lower-cased
+text; four-grams of byte classes (letters by case, digits, bytes above 127;
+punctuation and blanks as themselves); and one- to three-grams of word shapes
+(case, length, how the word ends, whether it repeats one of the two words
+before). Indicators are scaled by the classes' log-count ratios and one linear
+hinge-loss model is fit to the whole sample by dual coordinate descent; a
+logistic curve on the margins gives the score.
 """
 
 from __future__ import annotations
@@ -19,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import LETTER, NUMBER, _class_table
 from .common import (bounded_sample, cut, held_out, join_texts, lower_bytes, may_learn, mix64, of_text, read_documents,
                      read_labels, slice_hashes, text_blocks, word_slices)
 
 #: n-grams are hashed to this many features.
-FEATURES = 1 << 14
+FEATURES = 1 << 18
 #: Labelled rows that are learnt from, about, at most (see ``bounded_sample``).
 SAMPLE = 12_000
-#: Parts of the sample that are fit side by side.
-PARTS = 4
+#: Bytes of text that n-grams are made of in one step (or one longer document).
+STEP_BYTES = 1 << 19
 #: Weight of the log-count ratios' own direction left in the model, and the
 #: cost of a margin error.
 INTERPOLATION, COST, EPOCHS = 0.25, 0.1, 12
@@ -45,14 +47,49 @@ _CLASSES = _byte_classes()
 
 
 def features(texts: list[str]) -> np.ndarray:
-    """Indicator matrix (texts x FEATURES, bool)."""
-    data, starts = join_texts(texts)
+    """Indicator matrix (texts x FEATURES, bool), for a few texts."""
     out = np.zeros((len(texts), FEATURES), bool)
-    flat = out.reshape(-1)
+    out[active(texts)] = True
+    return out
 
-    def mark(doc: np.ndarray, code: np.ndarray) -> None:
-        flat[doc * FEATURES + (mix64(code) >> np.uint64(50)).astype(np.int64)] = True
 
+def active(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the text, feature) of all n-grams, distinct and in order."""
+    found = [*shape_grams(texts), *letter_grams(texts)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    both = np.unique(np.concatenate([doc * FEATURES + (mix64(code) >> np.uint64(46)).astype(np.int64) for doc, code in found]))
+    return both // FEATURES, both % FEATURES
+
+
+def letter_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, code) of the character four-grams and of the one- and two-grams
+    of words, of the lower-cased texts."""
+    lowered = [t.lower() for t in texts]
+    data, starts = join_texts(lowered)
+    cps = np.frombuffer("".join(f"{t} " for t in lowered).encode("utf-32-le"), np.uint32)
+    byte = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    first = np.searchsorted(byte, starts)      # of each text, in code points
+    if len(cps) >= 4:
+        c = cps.astype(np.uint64)
+        code = mix64(c[:-3] | c[1:-2] << np.uint64(21) | c[2:-1] << np.uint64(42)) + c[3:]
+        doc = of_text(np.arange(len(code)), first)
+        inside = np.arange(len(code)) + 3 < first[doc + 1] - 1
+        yield doc[inside], code[inside] ^ np.uint64(1 << 62)
+    cls = _class_table()[cps]
+    edge = np.flatnonzero(np.diff((cls == LETTER) | (cls == NUMBER), prepend=False))      # the last one is a blank
+    a, b = byte[edge[0::2]], byte[edge[1::2]]
+    if len(a):
+        doc = of_text(a, starts)
+        h = slice_hashes(data, a, b)
+        yield doc, mix64(h + np.uint64(1 << 50))
+        whole = doc[1:] == doc[:-1]
+        yield doc[1:][whole], (mix64(h[:-1] + np.uint64(1 << 51)) ^ h[1:])[whole]
+
+
+def shape_grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, code) of the n-grams of byte classes and of word shapes."""
+    data, starts = join_texts(texts)
     cls = _CLASSES[data]
     if len(data) >= 4:
         code = cls[:-3] | cls[1:-2] << np.uint64(8) | cls[2:-1] << np.uint64(16) | cls[3:] << np.uint64(24)
@@ -61,10 +98,10 @@ def features(texts: list[str]) -> np.ndarray:
         at = np.flatnonzero(change)
         doc = of_text(at, starts)
         inside = at + 3 < starts[doc + 1]
-        mark(doc[inside], code[at[inside]])
+        yield doc[inside], code[at[inside]]
     a, b = word_slices(data)
     if not len(a):
-        return out
+        return
     doc = of_text(a, starts)
     low = slice_hashes(lower_bytes(data), a, b)
     upper = np.concatenate([[0], np.cumsum((data >= 65) & (data <= 90))])
@@ -86,8 +123,7 @@ def features(texts: list[str]) -> np.ndarray:
     for n in (1, 2, 3):
         gram = mix64(gram[:len(a) - n + 1] + np.uint64(n)) ^ shape[n - 1:]
         whole = doc[:len(a) - n + 1] == doc[n - 1:]
-        mark(doc[:len(a) - n + 1][whole], gram[whole] + np.uint64(n << 40))
-    return out
+        yield doc[:len(a) - n + 1][whole], gram[whole] + np.uint64(n << 40)
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, labels: np.ndarray, cost: float = COST,
@@ -146,21 +182,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     chosen = F.broadcast(bounded_sample(marked, F.col("_id"), sample))      # bounded by `sample`
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text")).join(chosen, "_id")
 
-    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, own in text_blocks(batch):
-                found = [np.flatnonzero(r).astype(np.int32) for r in features(own)]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("label"),
-                                                  pa.array(found, pa.list_(pa.int32()))], names=["_id", "label", "found"])
+            for part, own in text_blocks(batch, limit=STEP_BYTES):
+                doc, feature = active(own)
+                upto = np.searchsorted(doc, np.arange(len(own) + 1))
+                found = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(feature, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("label"), found], names=["_id", "label", "found"])
 
-    rows = cut(texts.mapInArrow(active, "_id long, label int, found array<int>"))
+    rows = cut(texts.mapInArrow(grams, "_id long, label int, found array<int>"))
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if ones in (0, n):
         share = (ones + 1) / (n + 1)
         return np.zeros(FEATURES), 0.0, 0.0, float(np.log(share / max(1 - share, 1e-9)))
+
+    def tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, n = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
+        for frame in frames:
+            for label, found in zip(frame.label, frame.found, strict=True):
+                n[found] += 1
+                p[found] += label
+        f = np.flatnonzero(n)
+        yield pd.DataFrame({"f": f, "p": p[f], "n": n[f]})
+
     # one row per feature, at most FEATURES
-    counts = rows.select("label", F.explode("found").alias("f")).groupBy("f").agg(
-        F.sum("label").alias("p"), F.count(F.lit(1)).alias("n")).toPandas()
+    counts = rows.mapInPandas(tally, "f int, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).toPandas()
     pos, neg = np.ones(FEATURES), np.ones(FEATURES)
     pos[counts.f] += counts.p
     neg[counts.f] += counts.n - counts.p
@@ -169,20 +215,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     known[counts.f] = True
     ratio[~known] = 0.0
 
-    def fit_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_id", kind="stable")
-        found = [np.asarray(f, np.int64) for f in pdf.found]
-        w, bias = dual_coordinate_descent(found, ratio, np.where(pdf.label.to_numpy() == 1, 1.0, -1.0))
+    scale = spark.sparkContext.broadcast(ratio)
+
+    def fit_all(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, own, found = [], [], []
+        for frame in frames:
+            ids += frame["_id"].tolist()
+            own += frame.label.tolist()
+            found += [np.array(x, np.int32) for x in frame.found]
+        order = np.argsort(np.array(ids, np.int64), kind="stable").tolist()
+        w, bias = dual_coordinate_descent([found[k] for k in order], scale.value, np.array([1.0 if own[k] == 1 else -1.0 for k in order]))
         w = INTERPOLATION * w + (1 - INTERPOLATION) * np.abs(w).mean() * np.sign(w)
-        return pd.DataFrame({"w": [w * ratio], "bias": [bias]})
+        yield pd.DataFrame({"w": [w * scale.value], "bias": [bias]})
 
-    parts = rows.groupBy(F.pmod(F.xxhash64(F.col("_id"), F.lit("part")), F.lit(PARTS)).alias("part")).applyInPandas(
-        fit_part, "w array<double>, bias double").toPandas()
-    w, bias = np.mean(np.stack(parts.w.to_list()), 0), float(parts.bias.mean())
+    # one task: the descent goes through the sample row by row
+    model = rows.coalesce(1).mapInPandas(fit_all, "w array<double>, bias double").first()
+    w, bias = np.array(model.w), model.bias
+    weights = spark.sparkContext.broadcast(w)
 
     def margins(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"label": f.label, "m": [float(w[np.asarray(x, np.int64)].sum()) + bias for x in f.found]})
+            yield pd.DataFrame({"label": f.label, "m": [float(weights.value[x].sum()) + bias for x in f.found]})
 
     seen = rows.mapInPandas(margins, "label int, m double").toPandas()      # two numbers a sampled row
     slope, offset = logistic_curve(seen.m.to_numpy(float), seen.label.to_numpy(float))
@@ -195,7 +248,8 @@ def _scorer(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_c
     model = docs.sparkSession.sparkContext.broadcast(w.astype(np.float32))      # FEATURES numbers
 
     def scores(texts: list[str]) -> np.ndarray:
-        m = np.array([float(model.value[r].sum()) for r in features(texts)]) + bias
+        doc, feature = active(texts)
+        m = np.bincount(doc, model.value[feature], len(texts)) + bias
         return 1 / (1 + np.exp(-np.clip(slope * m + offset, -50, 50)))
 
     return scores
@@ -208,7 +262,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_blocks(batch):
+            for part, texts in text_blocks(batch, limit=STEP_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores(texts))], names=["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
@@ -223,7 +277,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_blocks(batch, text_col):
+            for part, texts in text_blocks(batch, text_col, STEP_BYTES):
                 yield part.filter(pa.array(scores(texts) >= THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

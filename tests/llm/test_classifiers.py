@@ -61,6 +61,25 @@ def test_features_see_repeats():
     assert (both[1] == a).all()
 
 
+def test_texts_of_one_shape_are_told_by_their_words(spark):
+    good, bad = ["river", "stone", "cloud", "green", "apple"], ["pills", "cheap", "order", "click", "bonus"]
+    rng = np.random.default_rng(3)
+    rows = [(d, " ".join(rng.choice([good, bad][d % 2], 12)), 1 - d % 2) for d in range(240)]
+    one, two = quality.features(["the river stone", "the pills cheap"])
+    assert (one != two).any()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    want = {d: q for d, _, q in rows if is_held_out(d)}
+    got = {r.doc_id: r.score for r in quality.score(docs, labels).collect() if r.held_out}
+    assert len(want) > 20 and all((got[d] >= 0.5) == (q == 1) for d, q in want.items())
+
+
+def test_grams_do_not_depend_on_neighbours():
+    texts = ["Ärger über", "", "漢字 x", "a b c d", "Ärger über", "İx"]
+    all_ = quality.features(texts)
+    assert all((quality.features([t])[0] == r).all() for t, r in zip(texts, all_, strict=True))
+
+
 # ---- language -------------------------------------------------------------------
 
 

@@ -2,5 +2,5 @@
 
 Nothing else in the library imports this subpackage. Each module holds one
 operator and its thin ``opN_*`` query; ``catalog.py`` lists the queries and
-``oracle.py`` their DuckDB statements.
+their DuckDB statements, where there are any.
 """

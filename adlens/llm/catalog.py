@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_codec, ctph, exact_dedup, langid, ngram_join, packing, quality, sharding, token_counts, toxicity
+from . import bpe_codec, ctph, exact_dedup, langid, mixing, ngram_join, packing, quality, sharding, spelling, token_counts, toxicity, vector_codes
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_mixing": mixing.op11_mixing,
+    "op12_spelling": spelling.op12_spelling,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op11_mixing": mixing.ORACLE, "op13_vector_codes": vector_codes.ORACLE}

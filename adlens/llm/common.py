@@ -40,6 +40,20 @@ def few(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
 
 
+#: Rows up to which ``join_small`` broadcasts its smaller side.
+SMALL_ROWS = 1 << 16
+
+
+def join_small(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join (nulls meet) with a table of one row a key, cut before: by
+    broadcast if its rows are counted to be few, else by shuffling, where
+    Spark splits the partition of a hot key."""
+    small = small.withColumnRenamed(key, "_small_key")
+    if small.count() <= SMALL_ROWS:
+        small = F.broadcast(small)
+    return rows.join(small, F.col(key).eqNullSafe(F.col("_small_key"))).drop("_small_key")
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does just that for text of ASCII bytes
     alone and is much faster than ``translate``."""

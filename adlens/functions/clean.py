@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 CLICKED_VALUES = ("1", "TRUE", "true")
 # The zero date a MySQL DATETIME column holds for "no value".
 ZERO_DATETIME = "0000-00-00 00:00:00"
-# Falsy author values dropped by the stream consumer, as JSON text.
-FALSY_AUTHOR_TEXT = ("", "0", "0.0", "-0", "-0.0", "false", "[]", "{}")
 # Characters Python's str.strip() removes (str.isspace), as a Java regex class.
 PY_WHITESPACE = (r"[\t\n\x0B\f\r \x1C-\x1F\x85\xA0\u1680\u2000-\u200A"
                  r"\u2028\u2029\u202F\u205F\u3000]")
@@ -164,9 +162,26 @@ def one_line(c: str | Column) -> Column:
     return trim_all(F.replace(F.coalesce(_col(c), F.lit("")), F.lit("\n"), F.lit(" ")))
 
 
-def truthy_text(c: str | Column) -> Column:
-    """Present and not one of the falsy spellings; NULL -> false."""
-    return F.coalesce(~_col(c).cast("string").isin(*FALSY_AUTHOR_TEXT), F.lit(False))
+#: Escapes of ``one_record``: a character and the letter behind the backslash.
+_ESCAPES = (("\n", "n"), ("\r", "r"), ("\0", "0"), ("\\", "s"))
+
+
+def one_record(c: str | Column) -> Column:
+    """Text without line breaks, for formats of one record a line: a line feed,
+    carriage return, NUL or backslash becomes a backslash and a letter. As no
+    other backslash is left, ``whole_text`` undoes it exactly."""
+    v = _col(c)
+    for char, letter in reversed(_ESCAPES):       # the backslash itself first
+        v = F.replace(v, F.lit(char), F.lit("\\" + letter))
+    return v
+
+
+def whole_text(c: str | Column) -> Column:
+    """Undoes ``one_record``."""
+    v = _col(c)
+    for char, letter in _ESCAPES:                 # the backslash itself last
+        v = F.replace(v, F.lit("\\" + letter), F.lit(char))
+    return v
 
 
 def uuid5_from_name(name: str | Column) -> Column:

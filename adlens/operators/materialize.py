@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from ..session import checkpoint_dir
 # (re-entrant: a build may load the tables it depends on).
 BUILD_LOCK = threading.RLock()
 #: Part of every fingerprint: raise it when a table's build changes.
-BUILD_VERSION = "2"
+BUILD_VERSION = "3"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -37,6 +38,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def committed_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path`` whose write was committed."""
+    if not path_exists(spark, path):
+        return []
+    p, fs = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
@@ -66,17 +76,45 @@ def table_root(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared, "adlens-tables", *parts])
 
 
+def _commit(spark: SparkSession, built: str, path: str) -> None:
+    """Give a finished folder its shared name, unless another application was
+    first: then its copy stays and this one goes."""
+    src, fs = _fs(spark, built)
+    dst, _ = _fs(spark, path)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst) and not path_exists(spark, f"{path}/_SUCCESS"):
+        fs.delete(dst, True)                     # half a copy of a lost job
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
+        return
+    inner, _ = _fs(spark, f"{path}/{src.getName()}")
+    if fs.exists(inner):                         # both came at once: a rename into the other's folder
+        fs.delete(inner, True)
+
+
 def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-               partition_by: Sequence[str] = (), schema=None) -> DataFrame:
+               partition_by: Sequence[str] = (), schema=None, write: Callable[[DataFrame, str], object] | None = None) -> DataFrame | None:
     """Write ``build()`` to ``path`` unless a committed copy exists; read it back
-    (with ``schema`` when given, e.g. to keep partition values as text)."""
+    (with ``schema`` when given, e.g. to keep partition values as text).
+
+    Every writer fills a folder of its own and renames it when it is done, so
+    of several applications one copy wins and none deletes what another reads.
+    ``write(df, folder)`` stands in for the parquet writer; nothing is read
+    back then."""
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df = build()
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        if schema is None and not partition_by:
-            schema = df.schema   # known: skip the footer-reading job on read-back
+        own = f"{path}.{uuid.uuid4().hex[:12]}"
+        if write is not None:
+            write(df, own)
+        else:
+            w = df.write
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(own)
+            if schema is None and not partition_by:
+                schema = df.schema   # known: skip the footer-reading job on read-back
+        _commit(spark, own, path)
+    if write is not None:
+        return None
     r = spark.read.schema(schema) if schema is not None else spark.read
     return r.parquet(path)

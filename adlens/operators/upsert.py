@@ -75,7 +75,7 @@ def merge_partitions(spark: SparkSession, path: str, updates: DataFrame, key: Se
     by = list(partition_by)
     if not set(by) <= set(key):
         raise ValueError(f"partition columns {by} must be part of the key {list(key)}")
-    if path_exists(spark, f"{path}/_SUCCESS"):
+    if path_exists(spark, path):             # replacing partitions leaves no _SUCCESS
         current = spark.read.schema(updates.schema).parquet(path)
         touched = updates.select(*by).distinct()
         merged = merge_upsert(current.join(touched, by, "left_semi"), updates, key, order)

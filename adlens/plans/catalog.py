@@ -8,6 +8,7 @@ whole input. The SQL twin of every entry lives in ``adlens.oracle_sql``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import sampling
-from ..operators.materialize import input_fingerprint, table_root
+from ..operators.materialize import input_fingerprint, table_root, write_once
 from ..operators.quality import star_integrity
-from ..operators.star import denormalise, load_staging, load_star
+from ..operators.star import build_star, denormalise, load_staging, load_star
 from ..operators.upsert import merge_partitions, merge_upsert, upsert
 from ..oracle_sql import WINDOW
 from ..sources import fixtures
@@ -25,7 +26,7 @@ from ..sources import io as io_
 from ..sources.tables import table_path
 from ..streaming import messages as msg
 from . import documents as docs_
-from . import reports
+from . import periods, reports
 from . import reviews as rv
 from . import serving
 
@@ -60,6 +61,18 @@ def _fact_event(spark, sf):
     return _money(load_star(spark, sf).fact_event, {"bid_amount", "ad_cost", "ad_revenue"})
 
 
+@register("fact_event_ci")
+def _fact_event_ci(spark, sf):
+    """The star of names spelt in several ways, built under a collation
+    that ignores case and accents."""
+    star = load_star(spark, sf)
+    ci = build_star(*fixtures.respelt(star.staging, star.campaigns), collation="UNICODE_CI_AI")
+    rows = (ci.fact_event.join(ci.dim_campaign.select("campaign_id", "name"), "campaign_id")
+            .join(ci.dim_targeting.drop("campaign_id"), "targeting_id").join(ci.dim_ad_slot, "ad_slot_id"))
+    return rows.select("event_id", "campaign_id", "targeting_id", "ad_slot_id",
+                       *[F.col(c).cast("string").alias(c) for c in ("name", "criteria", "interest", "country", "size")])
+
+
 # ---- KPI reports (R1-R9) --------------------------------------------------
 
 REGISTRY["rpt_top5_campaigns_ctr_30d"] = lambda spark, sf: reports.top_campaigns_ctr(load_star(spark, sf), *WINDOW, n=5)
@@ -74,6 +87,13 @@ REGISTRY["rpt_top10_clicking_users"] = lambda spark, sf: reports.most_clicking_u
 REGISTRY["rpt_click_revenue_by_location"] = lambda spark, sf: reports.click_revenue_by_location(load_star(spark, sf))
 
 
+# any window of days, from the running day aggregate
+REGISTRY["rpt_top5_campaigns_ctr_window"] = lambda spark, sf: reports.top_campaigns_ctr(
+    load_star(spark, sf), *WINDOW, n=5, days=_ad("campaign_running")(spark, sf))
+REGISTRY["rpt_top10_advertisers_window"] = lambda spark, sf: reports.top_advertisers_spend(
+    load_star(spark, sf), *WINDOW, n=10, days=_ad("campaign_running")(spark, sf))
+
+
 # ---- serving tables, reads, lookups (W1-W10, L1-L3, U1) -------------------
 
 
@@ -127,12 +147,29 @@ def _upsert_merge(spark, sf):
 def _upsert_persisted(spark, sf):
     """The same two loads into a stored table, one folder a day: the second
     replaces the days it touches."""
-    path = _new_version(_io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/user_history")
+    path = _new_version(_io_root(spark, sf, *STAR_INPUTS) + "/user_history")
     for batch in _two_loads(spark, sf):
         table = merge_partitions(spark, path, batch, ["user_id", "date_event"], ["event_id"], ["date_event"])
     return table.drop("event_id")
 
 
+def _refreshed(spark, sf):
+    """The day aggregate and the advertisers' months after two batches of
+    events that touch the same days, the second batch merged twice."""
+    star = load_star(spark, sf)
+    root = _new_version(_io_root(spark, sf, *STAR_INPUTS) + "/periods")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for batch, part in enumerate((0, 1, 1)):
+        delta = periods.campaign_days(star.fact_event.where(half == part))
+        days = periods.merge_days(spark, root + "/campaign_days", delta, min(batch, 1))
+        months = periods.refresh_periods(spark, root + "/advertisers", days, delta, star)
+    return days, months
+
+
+REGISTRY["refresh_campaign_days"] = lambda spark, sf: _money(_refreshed(spark, sf)[0].drop("batch"), {"cost", "click_cost", "revenue"})
+REGISTRY["refresh_advertisers"] = lambda spark, sf: _refreshed(spark, sf)[1]
+
+
 @register("lookup_campaign_performance")
 def _lookup_campaign(spark, sf):
     star = load_star(spark, sf)
@@ -241,20 +278,38 @@ ADVERTISER = " Brand#13 "   # trimmed by the query, as in the source
 
 
 def _docs(spark, sf):
-    return docs_.load_user_documents(spark, sf)
+    return docs_.load_engagement(spark, sf)
+
+
+REGISTRY["user_documents"] = lambda spark, sf: docs_.user_summaries(_docs(spark, sf))
+REGISTRY["user_sessions"] = lambda spark, sf: docs_.sessionize(_docs(spark, sf)).select(
+    "user_id", "session_id", "device", "start_time", "n_interactions")
 
 
-REGISTRY["user_documents"] = lambda spark, sf: docs_.flatten_documents(_docs(spark, sf))
-REGISTRY["user_sessions"] = lambda spark, sf: docs_.sessionize(load_star(spark, sf))
+def _history(spark, sf):
+    """The documents of the ten users with the most clicks."""
+    return docs_.user_documents(_docs(spark, sf), reports.most_clicking_users(load_star(spark, sf), 10))
 
 
 @register("doc_user_history")
 def _doc_user_history(spark, sf):
-    keys = reports.most_clicking_users(load_star(spark, sf), 10)
-    return docs_.flatten_documents(docs_.user_history(_docs(spark, sf), keys))
+    s = _history(spark, sf).select("user_id", F.inline("sessions"))
+    return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum(F.size("ad_interactions")).alias("n_interactions"),
+                                    F.min("start_time").alias("first_start"))
+
+
+REGISTRY["doc_user_history_leaves"] = lambda spark, sf: docs_.leaves(_history(spark, sf))
+REGISTRY["doc_last_sessions"] = lambda spark, sf: docs_.last_sessions(_docs(spark, sf), 5).drop("session_date")
+
+
+@register("doc_last_sessions_whole")
+def _last_sessions_whole(spark, sf):
+    d = docs_.last_sessions_whole(_docs(spark, sf), 5)
+    i = d.select("user_id", "session_id", "device", "start_time", "clicks", F.explode("ad_interactions").alias("i"))
+    return i.select("user_id", "session_id", "device", "start_time", "clicks", "i.event_id", "i.was_clicked",
+                    "i.campaign.campaign_id", "i.campaign.targeting.*")
 
 
-REGISTRY["doc_last_sessions"] = lambda spark, sf: docs_.last_sessions(_docs(spark, sf), 5)
 REGISTRY["doc_clicks_per_hour"] = lambda spark, sf: docs_.clicks_per_hour(_docs(spark, sf), ADVERTISER, 0)
 REGISTRY["doc_clicks_per_hour_all"] = lambda spark, sf: docs_.clicks_per_hour(_docs(spark, sf), ADVERTISER, None)
 REGISTRY["doc_ad_fatigue"] = lambda spark, sf: docs_.ad_fatigue(_docs(spark, sf), 4).select(
@@ -264,17 +319,15 @@ REGISTRY["doc_top_categories"] = lambda spark, sf: docs_.top_categories(_docs(sp
 
 @register("interests_split")
 def _interests_split(spark, sf):
-    prof = docs_.user_profiles(load_star(spark, sf))
+    prof = docs_.targeted_interests(load_star(spark, sf))
     return prof.select("user_id", F.posexplode(clean.split_list("interests")).alias("pos", "interest"))
 
 
 @register("user_documents_profiles")
 def _docs_profiles(spark, sf):
-    star = load_star(spark, sf)
-    d = docs_.with_profiles(_docs(spark, sf), docs_.user_profiles(star))
-    frag = d.select("user_id", F.array_join("interests", ",").alias("interests"),
-                    F.explode("sessions").alias("s"))
-    return frag.groupBy("user_id", "interests").agg(F.count_distinct("s.session_id").alias("n_sessions"))
+    e = _docs(spark, sf)
+    return docs_.profiled(docs_.user_summaries(e), e.users).select(
+        "user_id", "age", "gender", F.array_join("interests", "|").alias("interests"), "n_sessions")
 
 
 # ---- sampling, integrity, denormalised rows, cleaning rules ---------------
@@ -305,6 +358,19 @@ REGISTRY["sample_distribution"] = lambda spark, sf: sampling.stratum_distributio
 REGISTRY["star_integrity"] = lambda spark, sf: star_integrity(load_star(spark, sf))
 
 
+@register("star_integrity_damaged")
+def _damaged(spark, sf):
+    """M7 over a star with rows repeated, keys lost and parents missing."""
+    star = load_star(spark, sf)
+    n = F.expr("CAST(substring(event_id, 4) AS BIGINT)")
+    fact = star.fact_event
+    bad = fact.withColumns({"user_id": F.when(n % 17 != 0, F.col("user_id")),
+                            "campaign_id": F.when(n % 19 == 0, -1).otherwise(F.col("campaign_id"))}).unionByName(fact.where(n % 23 == 0))
+    slots = star.dim_ad_slot.unionByName(star.dim_ad_slot.where("ad_slot_id = 1"))
+    return star_integrity(replace(star, fact_event=bad, dim_ad_slot=slots,
+                                  dim_advertiser=star.dim_advertiser.where("advertiser_id % 2 = 1")))
+
+
 @register("denormalised_events")
 def _denorm(spark, sf):
     d = denormalise(load_star(spark, sf))
@@ -366,39 +432,58 @@ def _messages(spark, sf):
     return msg.to_messages(fixtures.tweets(spark, sf))
 
 
-def _topic(spark, sf):
-    """The produced messages written to a topic folder once, read back."""
-    from ..operators.materialize import path_exists
+def _topic_path(spark, sf):
+    """The produced messages written to a topic folder once."""
     path = _io_root(spark, sf, "events", "documents") + "/topic_tweets"
-    if not path_exists(spark, path + "/_SUCCESS"):
-        msg.write_messages(_messages(spark, sf), path, mode="overwrite")
-    return msg.read_topic(spark, path)
+    write_once(spark, path, lambda: _messages(spark, sf), write=lambda df, folder: msg.write_messages(df, folder, mode="overwrite"))
+    return path
+
+
+def _topic(spark, sf):
+    return msg.read_topic(spark, _topic_path(spark, sf))
+
+
+def _cleaned(spark, sf):
+    """The topic's usable messages, cleaned once and stored."""
+    path = _io_root(spark, sf, "events", "documents") + "/cleaned_tweets"
+    return write_once(spark, path, lambda: msg.clean_messages(_topic(spark, sf)))
 
 
 REGISTRY["produce_messages"] = lambda spark, sf: msg.parse_messages(_messages(spark, sf))
 REGISTRY["produce_messages_cut"] = lambda spark, sf: msg.parse_messages(
     msg.to_messages(fixtures.tweets(spark, sf), text_limit=240))
 REGISTRY["stream_tweets_clean"] = lambda spark, sf: msg.clean_messages(_topic(spark, sf))
-REGISTRY["stream_minute_files"] = lambda spark, sf: msg.split_rejects(
-    msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))[0]
+REGISTRY["stream_minute_files"] = lambda spark, sf: msg.split_rejects(msg.minute_buckets(_cleaned(spark, sf)))[0]
 
 
 @register("stream_minute_files_run")
 def _stream_run(spark, sf):
     """S11 to S13 as a stream: the topic folder read to its end in bounded
     micro-batches, its minutes and rejects written, the minutes read back."""
-    _topic(spark, sf)
-    root = _io_root(spark, sf, "events", "documents")
-    out = _new_version(root + "/minutes")
-    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, root + "/topic_tweets", max_per_trigger=1000)))
+    topic = _topic_path(spark, sf)
+    out = _new_version(_io_root(spark, sf, "events", "documents") + "/minutes")
+    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, topic, max_per_trigger=1000)))
     for q in msg.write_minute_files(stream, out + "/files", out + "/checkpoint", rejects_dir=out + "/rejects", by_day=True):
         q.awaitTermination()
-    return (spark.read.option("header", True).schema("author_id string, created_at string, text string, minute string, day string")
-            .csv(out + "/files").drop("day"))
+    return msg.read_minute_files(spark, out + "/files", by_day=True)
+
+
+REGISTRY["tweet_minute_counts"] = lambda spark, sf: msg.minute_counts(msg.minute_buckets(_cleaned(spark, sf)))
+@register("tweet_minute_counts_run")
+def _counts_run(spark, sf):
+    """T4/T5 as a stream: half of the messages are counted, the stream ends, the
+    other half (late for nearly every minute) arrives, and the stream goes on
+    from its checkpoint."""
+    root = _new_version(_io_root(spark, sf, "events", "documents") + "/counts")
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    topic = _topic(spark, sf)
+    for part in (0, 1):
+        msg.write_messages(topic.where(half == part), root + "/topic")
+        rows = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, root + "/topic", max_per_trigger=4)))
+        msg.write_minute_counts(rows, root + "/minutes", root + "/checkpoint", fold_every=2).awaitTermination()
+    return msg.read_minute_counts(spark, root + "/minutes")
 
 
-REGISTRY["tweet_minute_counts"] = lambda spark, sf: msg.minute_counts(
-    msg.minute_buckets(msg.clean_messages(_topic(spark, sf))))
 REGISTRY["topic_count"] = lambda spark, sf: msg.topic_count(_topic(spark, sf))
 REGISTRY["topic_peek"] = lambda spark, sf: msg.topic_peek(_topic(spark, sf), 10).select(
     "offset", "key", F.from_json("value", msg.MESSAGE_SCHEMA).alias("m")).select("offset", "key", "m.*")
@@ -407,66 +492,95 @@ REGISTRY["topic_peek"] = lambda spark, sf: msg.topic_peek(_topic(spark, sf), 10)
 # ---- sources and sinks (S1-S4, S6, S7, S9) -----------------------------------
 
 
-@register("src_reviews_csv")
-def _src_reviews_csv(spark, sf):
-    from ..operators.materialize import path_exists
-    path = _io_root(spark, sf, "lineitem", "orders", "part") + "/reviews_csv"
-    if not path_exists(spark, path + "/_SUCCESS"):
-        io_.write_csv(fixtures.reviews(spark, sf), path)
-    return io_.read_reviews_csv(spark, path, schema=io_.REVIEWS_SCHEMA)
+STAR_INPUTS = ("events", "part", "customer", "nation", "region")
+REVIEW_INPUTS = ("lineitem", "orders", "part")
 
 
-@register("src_reviews_infer")
-def _src_reviews_infer(spark, sf):
-    _src_reviews_csv(spark, sf)
-    return io_.read_reviews_csv(spark, _io_root(spark, sf, "lineitem", "orders", "part") + "/reviews_csv",
-                                infer=True)
+def _csv_once(spark, sf, name, build, *inputs):
+    """Folder of a CSV that is written once per input."""
+    path = f"{_io_root(spark, sf, *inputs)}/{name}"
+    write_once(spark, path, build, write=io_.write_csv)
+    return path
 
 
-@register("stg_ad_events_load")
-def _stg_load(spark, sf):
-    from ..operators.materialize import path_exists
-    path = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/ad_events_csv"
-    if not path_exists(spark, path + "/_SUCCESS"):
-        io_.write_csv(load_staging(spark, sf), path)
-    return _money(io_.load_staging(spark, path), {"budget", "remaining_budget", "bid_amount", "ad_cost",
-                                                  "ad_revenue"})
+def _reviews_csv(spark, sf):
+    return _csv_once(spark, sf, "reviews_csv", lambda: fixtures.reviews(spark, sf), *REVIEW_INPUTS)
 
 
-CAMPAIGN_COLS = ["advertiser_name", "campaign_name", "campaign_start_date", "campaign_end_date", "budget",
-                 "remaining_budget"]
-CAMPAIGN_SCHEMA = ("advertiser_name string, campaign_name string, campaign_start_date date, "
-                   "campaign_end_date date, budget decimal(12,2), remaining_budget decimal(12,2)")
+REGISTRY["src_reviews_csv"] = lambda spark, sf: io_.read_reviews_csv(
+    spark, _reviews_csv(spark, sf), schema=io_.REVIEWS_SCHEMA, escaped=True)
+REGISTRY["src_reviews_infer"] = lambda spark, sf: io_.read_reviews_csv(spark, _reviews_csv(spark, sf), infer=True, escaped=True)
+
+
+@register("stg_ad_events_load")
+def _stg_load(spark, sf):
+    path = _csv_once(spark, sf, "ad_events_csv", lambda: load_staging(spark, sf), *STAR_INPUTS)
+    return _money(io_.load_staging(spark, path, escaped=True), {"budget", "remaining_budget", "bid_amount", "ad_cost",
+                                                                "ad_revenue"})
 
 
 @register("staging_row_counts")
 def _row_counts(spark, sf):
-    s = load_staging(spark, sf)
-    root = _io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/replace_load"
-    return io_.replace_load(spark, {"stg_ad_events": (s, io_.STAGING_SCHEMA),
-                                    "stg_campaigns": (s.select(*CAMPAIGN_COLS).distinct(), CAMPAIGN_SCHEMA)},
-                            root)
+    """The three inputs replaced, counted by their writes."""
+    star = load_star(spark, sf)
+    root = _new_version(_io_root(spark, sf, *STAR_INPUTS) + "/replace_load")
+    return io_.replace_load(spark, {"stg_ad_events": star.staging, "stg_campaigns": star.campaigns, "stg_users": star.users}, root)
+
+
+REGISTRY["stg_campaigns_load"] = lambda spark, sf: _money(
+    io_.load_staging(spark, _csv_once(spark, sf, "campaigns_csv", lambda: load_star(spark, sf).campaigns, *STAR_INPUTS),
+                     io_.CAMPAIGNS_SCHEMA, escaped=True), {"budget", "remaining_budget"})
+REGISTRY["stg_users_load"] = lambda spark, sf: io_.load_staging(
+    spark, _csv_once(spark, sf, "users_csv", lambda: load_star(spark, sf).users, *STAR_INPUTS), io_.USERS_SCHEMA, escaped=True)
+
+
+def _notes(spark, sf):
+    """Stand-in records with every character that a CSV can stumble over: whole
+    texts with line breaks and quotes, and ratings some of which are no number."""
+    d = spark.read.parquet(table_path(sf, "documents"))
+    text = F.concat_ws("\r\n", "text", F.concat(F.lit('"\\n, '), "source", F.lit('"\r\\')))
+    return d.select("doc_id", F.when(F.col("doc_id") % 7 == 3, "n/a").otherwise((F.col("doc_id") % 5 + 1).cast("string")).alias("rating"),
+                    text.alias("note"), F.when(F.col("doc_id") % 11 == 0, "2024-13-45").otherwise("2024-02-29").alias("day"))
+
+
+@register("csv_rejects_roundtrip")
+def _csv_rejects(spark, sf):
+    """Records written one a line, read with types; those that don't fit
+    come back whole as rejects, all fields as text."""
+    path = _csv_once(spark, sf, "notes_csv", lambda: _notes(spark, sf), "documents")
+    rows, rejects = io_.read_with_rejects(spark, path, "doc_id bigint, rating int, note string, day date", escaped=True)
+    texts = [F.col(c).cast("string").alias(c) for c in ("doc_id", "rating", "note", "day")]
+    return rows.select(*texts, F.lit(False).alias("rejected")).unionByName(rejects.select(*texts, F.lit(True).alias("rejected")))
 
 
 @register("sink_documents_roundtrip")
 def _sink_docs(spark, sf):
     pm = rv.product_metrics(_rv(spark, sf))
-    path = _io_root(spark, sf, "lineitem", "orders", "part") + "/product_metrics_json"
+    path = _new_version(_io_root(spark, sf, *REVIEW_INPUTS) + "/product_metrics_json")
     io_.write_documents(pm, path, "json", "overwrite")
     return io_.read_documents(spark, path, pm.schema)
 
 
+def _inserted(spark, sf):
+    """The session documents appended to an empty collection (JSON here; a
+    document-store connector takes the same path)."""
+    d = docs_.session_documents(_docs(spark, sf))
+    path = _new_version(_io_root(spark, sf, *STAR_INPUTS) + "/session_documents")
+    return d, path, io_.write_documents(d, path, "json", "append")
+
+
 @register("sink_nested_roundtrip")
 def _sink_nested(spark, sf):
-    """Append the documents to an (empty) collection and read them back.
-    Nested parquet here; ``fmt="json"`` or a document-store connector take
-    the same path."""
-    import uuid
-    d = _docs(spark, sf)
-    path = table_root(spark, "io", input_fingerprint(spark, [table_path(sf, "events")]),
-                      f"user_docs-{uuid.uuid4().hex[:8]}")
-    io_.write_documents(d, path, "parquet", "append")
-    return docs_.flatten_documents(io_.read_documents(spark, path, d.schema, "parquet"))
+    d, path, _ = _inserted(spark, sf)
+    return io_.read_documents(spark, path, d.schema).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_sessions"), F.sum(F.size("ad_interactions")).alias("n_interactions"),
+        F.min("start_time").alias("first_start"))
+
+
+@register("sink_insert_count")
+def _sink_count(spark, sf):
+    """How many documents the insert says it wrote, as counted by the write."""
+    return spark.createDataFrame([("session_documents", _inserted(spark, sf)[2])], "collection string, n_inserted bigint")
 
 
 @register("report_bundle")
@@ -484,7 +598,7 @@ def _report_bundle(spark, sf):
     for name, query in (("analytics_clicks_per_hour", "doc_clicks_per_hour_all"),
                         ("analytics_ad_fatigue", "doc_ad_fatigue"), ("analytics_top_categories", "doc_top_categories")):
         reps[name] = REGISTRY[query](spark, sf)
-    out = _new_version(_io_root(spark, sf, "events", "part", "customer", "nation", "region") + "/reports")
+    out = _new_version(_io_root(spark, sf, *STAR_INPUTS) + "/reports")
     status = io_.write_report_bundle(reps, out)
     failed = {k: v for k, v in status.items() if v.startswith("error")}
     if failed:
@@ -497,18 +611,10 @@ def _report_bundle(spark, sf):
 
 @register("user_document_interactions")
 def _doc_interactions(spark, sf):
-    """The stored documents unwound to one row per interaction (content
-    check of N1 against a flat join)."""
-    d = _docs(spark, sf)
-    s = d.select("user_id", F.explode("sessions").alias("s"))
-    i = s.select("user_id", F.col("s.session_id").alias("session_id"), F.col("s.start_time").alias("start_time"),
-                 F.explode("s.ad_interactions").alias("i"))
-    return i.select("user_id", "session_id", "start_time", "i.event_id", "i.timestamp", "i.ad_slot_id",
-                    F.col("i.campaign.campaign_id").alias("campaign_id"),
-                    F.col("i.campaign.campaign_name").alias("campaign_name"),
-                    F.col("i.campaign.advertiser_name").alias("advertiser_name"),
-                    F.col("i.campaign.budget").alias("budget"),
-                    F.col("i.campaign.targeting.criteria").alias("criteria"),
-                    F.col("i.campaign.targeting.interest").alias("interest"),
-                    F.col("i.campaign.targeting.country").alias("country"),
-                    "i.bid_amount", "i.ad_cost", "i.ad_revenue", "i.was_clicked", "i.click_timestamp")
+    """One row per interaction of all documents (content check of the flat
+    form against a plain join)."""
+    e = _docs(spark, sf)
+    rows = docs_.unwound(e).join(docs_.sessionize(e).select(*docs_.SESSION, "session_id", "start_time"), docs_.SESSION)
+    return rows.select("user_id", "session_id", "start_time", "event_id", "timestamp", "ad_slot_id", "campaign_id", "campaign_name",
+                       "advertiser_name", "budget", "criteria", "interest", "country", "bid_amount", "ad_cost", "ad_revenue",
+                       "was_clicked", "click_timestamp")

@@ -1,259 +1,233 @@
-"""Nested per-user session documents and the queries over them.
-
-Documents are built in two aggregation levels: interactions are collected
-per session ``(user, day, device)`` first, so partial rows shrink before the
-per-user collect, then sessions are collected per user. Both arrays are
-ordered with ``array_sort`` over structs whose leading fields are the sort
-key. The queries use higher-order functions on the arrays (``slice``,
-``filter``, ``aggregate``) where the source unwinds in Python, and
-``explode`` where the source unwinds in the document store.
-
-A user's document is one row by definition; a user holding a large share of
-all events makes one large row (the document store has the same limit).
+"""Per-user session documents and the queries over them (N1-N8), kept flat.
+
+The source joins targeting on the campaign only, so a user's document repeats
+every event once per targeting row of its campaign (about 24 times). Stored
+here is what that repetition is made from: one row per event
+(``interactions``), and one row per campaign with its targeting rows and their
+number (``cards``). Sums over a document's interactions are sums over events
+times that number: they are grouped per campaign first, then weighted, and
+nothing is repeated. Nested documents are assembled on request, for the users
+or sessions asked for; a session (one user's day on one device) is the largest
+row that a whole collection is written as.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators.materialize import BUILD_LOCK, table_root, write_once
-from ..operators.star import Star, denormalise
+from ..operators.star import Star
 from ..operators.topn import top_n_per
-from ..session import row_reader_for_nested
-
-
-def sessionize(star: Star, exact_targeting: bool = False) -> DataFrame:
-    """The session rule alone, one row per (user, day, device) with its
-    start and size; plain aggregates, no arrays built."""
-    flat = denormalise(star, exact_targeting).where(
-        F.col("user_id").isNotNull() & F.col("device").isNotNull())
-    g = flat.groupBy("user_id", F.to_date("timestamp").alias("session_date"), "device").agg(
-        F.min("timestamp").alias("start_time"), F.count(F.lit(1)).alias("n_interactions"))
-    return g.select("user_id", F.concat_ws("_", "user_id", "device", F.date_format("session_date", "yyyy-MM-dd"))
-                    .alias("session_id"), "device", "start_time", "n_interactions")
-
-
-def with_profiles(docs: DataFrame, users: DataFrame) -> DataFrame:
-    """N1 profile fields (age, gender, interests) from a users frame, on
-    existing documents."""
-    d = docs.drop("age", "gender", "interests").join(
-        users.select("user_id", "age", "gender", "interests"), "user_id", "left")
-    part = ["part"] if "part" in docs.columns else []
-    return d.select("user_id", *part, F.col("age").cast("int").alias("age"),
-                    F.coalesce(F.col("gender"), F.lit("")).alias("gender"),
-                    F.coalesce(F.col("location"), F.lit("")).alias("location"),
-                    clean.split_list(F.coalesce(F.col("interests"), F.lit(""))).alias("interests"), "sessions")
-
-
-def _events_with_targets(star: Star, exact_targeting: bool) -> DataFrame:
-    """One row per fact event with its user, campaign and advertiser fields
-    and the sorted array of targeting rows the event fans out to (all rows
-    of its campaign, or its own row with ``exact_targeting``)."""
-    f = star.fact_event.alias("f")
-    u = star.dim_user.select("user_id", "device", "location")
-    c = star.dim_campaign.select(
-        "campaign_id", "advertiser_id", F.col("name").alias("campaign_name"), "start_date", "end_date",
-        "budget", "remaining_budget")
-    a = star.dim_advertiser.select("advertiser_id", F.col("name").alias("advertiser_name"))
+
+SESSION = ["user_id", "session_date", "device"]
+EVENT = ["event_id", "timestamp", "ad_slot_id", "campaign_id", "bid_amount", "ad_cost", "ad_revenue", "was_clicked", "click_timestamp"]
+CARD = ["campaign_id", "campaign_name", "advertiser_name", "start_date", "end_date", "budget", "remaining_budget"]
+
+
+@dataclass
+class Engagement:
+    """``interactions``: one row per event of a known user and device (user_id,
+    location, session_date, device and the event's own fields). ``cards``: one
+    row per campaign (``CARD``), ``targets`` (its targeting rows, sorted; one
+    of NULLs if it has none) and ``n_targets``. ``users``: profiles, or None."""
+    interactions: DataFrame
+    cards: DataFrame
+    users: DataFrame | None = None
+
+
+def interactions_of(star: Star) -> DataFrame:
+    f, u = star.fact_event, star.dim_user.select("user_id", "device", "location")
+    rows = f.where(F.col("user_id").isNotNull()).join(u, "user_id").where(F.col("device").isNotNull())
+    return rows.select(
+        "user_id", "location", F.to_date("timestamp").alias("session_date"), "device", "event_id", "timestamp", "ad_slot_id",
+        "campaign_id", *[F.col(c).cast("double").alias(c) for c in ("bid_amount", "ad_cost", "ad_revenue")],
+        clean.clicked_from_ts("click_timestamp").alias("was_clicked"), "click_timestamp")
+
+
+def cards_of(star: Star) -> DataFrame:
+    """One row per campaign; its targeting rows are those of a dimension, not
+    of its events."""
     target = F.struct("criteria", "interest", "country")
-    key = "targeting_id" if exact_targeting else "campaign_id"
-    targets = (star.dim_targeting.groupBy(key)
-               .agg(F.array_sort(F.collect_list(target)).alias("targets")))
-    ev = (f.join(u, "user_id", "left").join(c, "campaign_id", "left").join(a, "advertiser_id", "left")
-          .join(targets, key, "left"))
-    return ev.where(F.col("user_id").isNotNull() & F.col("device").isNotNull())
-
-
-# Interactions one stored document part holds at most (about): users above
-# it are split into several parts so no single row or task grows with them
-# (~8 MB of interactions, under the 16 MB a document store accepts).
-DOC_PART_INTERACTIONS = 20_000
-
-
-def build_user_documents(star: Star, users: DataFrame | None = None,
-                         exact_targeting: bool = False,
-                         max_interactions: int | None = None) -> DataFrame:
-    """Nested per-user documents.
-
-    Sessions are ``(day, device)`` groups ordered by day then device; each
-    holds its interactions ordered by event id. As in the source, targeting
-    joins on the campaign only, so an event appears once per targeting row
-    of its campaign (``exact_targeting=True``: once). The two groupings
-    shuffle one compact row per *event* carrying its campaign's targeting
-    array; the repetition is applied in the final projection, so the shuffles
-    do not grow with the fan-out.
-
-    ``max_interactions=None`` gives one document per user (``part`` 0), the
-    source's layout. With a bound, a user with more interactions is split
-    into ``ceil(n / bound)`` parts by a hash of the event id (the bucket
-    pattern of document stores): every part holds about ``bound``
-    interactions, a session may appear in several parts (same id, same
-    start), and all parts of a user together hold exactly the user's
-    document. Users under the bound keep one part.
-
-    ``users`` (user_id, age, gender, interests as comma text) fills the
-    profile fields; without it they take the source's defaults (age NULL,
-    gender '', interests ['']).
-    """
-    ev = _events_with_targets(star, exact_targeting)
-    ev = ev.withColumn("session_date", F.to_date("timestamp"))
-    skey = ["user_id", "session_date", "device"]
-    starts = ev.groupBy(*skey).agg(F.min("timestamp").alias("start_time"))
-    if max_interactions is None:
-        ev = ev.withColumn("part", F.lit(0))
-    else:
-        weight = F.greatest(F.coalesce(F.size("targets"), F.lit(0)), F.lit(1))
-        per_user = ev.groupBy("user_id").agg(F.sum(weight).alias("_n"))
-        n_parts = F.ceil(F.col("_n") / F.lit(float(max_interactions))).cast("long")
-        ev = (ev.join(per_user, "user_id")
-              .withColumn("part", F.pmod(F.xxhash64("event_id"), n_parts).cast("int")).drop("_n"))
-    event = F.struct(
-        "event_id", "timestamp", "ad_slot_id", "campaign_id", "campaign_name", "advertiser_name",
-        F.col("start_date").cast("timestamp_ntz").alias("start_date"),
-        F.col("end_date").cast("timestamp_ntz").alias("end_date"),
-        F.col("budget").cast("double").alias("budget"),
-        F.col("remaining_budget").cast("double").alias("remaining_budget"),
-        F.col("bid_amount").cast("double").alias("bid_amount"),
-        F.col("ad_cost").cast("double").alias("ad_cost"),
-        F.col("ad_revenue").cast("double").alias("ad_revenue"),
-        clean.clicked_from_ts("click_timestamp").alias("was_clicked"), "click_timestamp", "targets")
-    sessions = (ev.groupBy("user_id", "location", "part", *skey[1:])
-                .agg(F.array_sort(F.collect_list(event)).alias("events"))
-                .join(starts, skey))
-    sess = F.struct("session_date", "device", "user_id", "start_time", "events")
-    docs = sessions.groupBy("user_id", "location", "part").agg(F.array_sort(F.collect_list(sess)).alias("_s"))
-
-    no_target = F.array(F.struct(F.lit(None).cast("string").alias("criteria"),
-                                 F.lit(None).cast("string").alias("interest"),
-                                 F.lit(None).cast("string").alias("country")))
-
-    def interactions_of(e):
-        ts = F.when(F.size(e["targets"]) > 0, e["targets"]).otherwise(no_target)
-        return F.transform(ts, lambda t: F.struct(
-            e["event_id"].alias("event_id"), e["timestamp"].alias("timestamp"),
-            e["ad_slot_id"].alias("ad_slot_id"),
-            F.struct(e["campaign_id"].alias("campaign_id"), e["campaign_name"].alias("campaign_name"),
-                     e["advertiser_name"].alias("advertiser_name"), e["start_date"].alias("start_date"),
-                     e["end_date"].alias("end_date"), e["budget"].alias("budget"),
-                     e["remaining_budget"].alias("remaining_budget"), t.alias("targeting")).alias("campaign"),
-            e["bid_amount"].alias("bid_amount"), e["ad_cost"].alias("ad_cost"),
-            e["ad_revenue"].alias("ad_revenue"), e["was_clicked"].alias("was_clicked"),
-            e["click_timestamp"].alias("click_timestamp")))
-
-    out_sessions = F.transform("_s", lambda x: F.struct(
-        F.concat_ws("_", x["user_id"], x["device"], F.date_format(x["session_date"], "yyyy-MM-dd"))
-         .alias("session_id"),
-        x["device"].alias("device"), x["start_time"].alias("start_time"),
-        F.flatten(F.transform(x["events"], interactions_of)).alias("ad_interactions")))
-    docs = docs.select("user_id", "part", "location", out_sessions.alias("sessions"),
-                       F.lit(None).cast("int").alias("age"), F.lit("").alias("gender"),
-                       F.array(F.lit("")).alias("interests"))
-    if users is not None:
-        return with_profiles(docs, users)
-    return docs.select("user_id", "part", "age", "gender",
-                       F.coalesce(F.col("location"), F.lit("")).alias("location"), "interests", "sessions")
-
-
-_DOCS_CACHE: dict[tuple[str, str], DataFrame] = {}
-
-
-def _load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """Documents of the test tables, materialised once per input."""
+    none = F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in ("criteria", "interest", "country")]))
+    targets = star.dim_targeting.groupBy("campaign_id").agg(F.array_sort(F.collect_list(target)).alias("targets"))
+    c = (star.dim_campaign.withColumnRenamed("name", "campaign_name")
+         .join(star.dim_advertiser.withColumnRenamed("name", "advertiser_name"), "advertiser_id", "left")
+         .join(targets, "campaign_id", "left").withColumn("targets", F.coalesce("targets", none)))
+    return c.select("campaign_id", "campaign_name", "advertiser_name",
+                    *[F.col(x).cast("timestamp_ntz").alias(x) for x in ("start_date", "end_date")],
+                    *[F.col(x).cast("double").alias(x) for x in ("budget", "remaining_budget")],
+                    "targets", F.size("targets").cast("bigint").alias("n_targets"))
+
+
+def engagement(star: Star) -> Engagement:
+    return Engagement(interactions_of(star), cards_of(star), star.users)
+
+
+def from_documents(docs: DataFrame) -> Engagement:
+    """The flat form of nested documents (a collection read back)."""
+    s = docs.select("user_id", "location", F.explode("sessions").alias("s"))
+    i = s.select("user_id", "location", "s.device", F.explode("s.ad_interactions").alias("i"))
+    flat = i.select("user_id", "location", "device", "i.*").select("*", "campaign.*").drop("campaign")
+    events = flat.drop("targeting", *CARD[1:]).dropDuplicates(["event_id", "campaign_id"]).withColumn("session_date", F.to_date("timestamp"))
+    # every event of a campaign carries all its targeting rows
+    of_event = flat.groupBy(*CARD, "event_id").agg(F.array_sort(F.collect_list("targeting")).alias("targets"))
+    cards = of_event.groupBy(*CARD).agg(F.min("targets").alias("targets")).withColumn("n_targets", F.size("targets").cast("bigint"))
+    return Engagement(events, cards, docs.select("user_id", "age", "gender", F.array_join("interests", ",").alias("interests")))
+
+
+def load_engagement(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Engagement:
+    """The flat tables of the test tables, materialised once per input. One
+    range shuffle on (user, event) lays them out, so that reads by user skip
+    row groups and a hot user spreads over several files."""
     import uuid
 
     from ..operators.star import load_star, star_fingerprint
-    fp = star_fingerprint(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, fp)
-    if rebuild or key not in _DOCS_CACHE:
+    with BUILD_LOCK:
         star = load_star(spark, sf_dir)
-        path = table_root(spark, "user_documents", fp) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
-        # sorted by user inside each file (no shuffle): keyed reads skip row groups
-        _DOCS_CACHE[key] = write_once(
-            spark, path, lambda: build_user_documents(star, max_interactions=DOC_PART_INTERACTIONS)
-            .sortWithinPartitions("user_id", "part"))
-    return _DOCS_CACHE[key]
+        root = table_root(spark, "engagement", star_fingerprint(spark, sf_dir)) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
+        e = engagement(star)
+        by = ["user_id", "event_id"]
+        rows = write_once(spark, f"{root}/interactions", lambda: e.interactions.repartitionByRange(*by).sortWithinPartitions(*by))
+        return Engagement(rows, write_once(spark, f"{root}/cards", lambda: e.cards), e.users)
 
 
-def load_user_documents(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
-    """See ``_load_user_documents``; one build at a time per process."""
-    row_reader_for_nested(spark)
-    with BUILD_LOCK:
-        return _load_user_documents(spark, sf_dir, rebuild)
+def session_id() -> Column:
+    return F.concat_ws("_", "user_id", "device", F.date_format("session_date", "yyyy-MM-dd")).alias("session_id")
 
 
-def flatten_documents(docs: DataFrame) -> DataFrame:
-    """Scalar summary per user (for comparisons): sessions, interactions and
-    first session start, over all parts of the user's document."""
-    frag = docs.select("user_id", F.explode("sessions").alias("s")).select(
-        "user_id", F.col("s.session_id").alias("sid"), F.col("s.start_time").alias("st"),
-        F.size("s.ad_interactions").cast("bigint").alias("n"))
-    return frag.groupBy("user_id").agg(
-        F.count_distinct("sid").alias("n_sessions"), F.sum("n").alias("n_interactions"),
-        F.min("st").alias("first_start"))
+def sessionize(e: Engagement) -> DataFrame:
+    """One row per (user, day, device) with its start, interactions and
+    clicks: events are counted per campaign, then weighted."""
+    per = e.interactions.groupBy(*SESSION, "campaign_id").agg(
+        F.min("timestamp").alias("start_time"), F.count(F.lit(1)).alias("n"), F.count_if("was_clicked").alias("clicked"))
+    return (per.join(e.cards.select("campaign_id", "n_targets"), "campaign_id").groupBy(*SESSION).agg(
+        F.min("start_time").alias("start_time"), F.sum(F.col("n") * F.col("n_targets")).alias("n_interactions"),
+        F.sum(F.col("clicked") * F.col("n_targets")).alias("clicks")).withColumn("session_id", session_id()))
 
 
-def user_history(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Whole documents of the requested users (semi join with a keys frame)."""
-    return docs.join(keys.select("user_id").distinct(), "user_id", "left_semi")
+def user_summaries(e: Engagement) -> DataFrame:
+    """Sessions, interactions and first session start of every user's document."""
+    return sessionize(e).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("n_interactions").alias("n_interactions"),
+                                                F.min("start_time").alias("first_start"))
 
 
-def last_sessions(docs: DataFrame, n: int = 5) -> DataFrame:
+def profiled(rows: DataFrame, users: DataFrame | None) -> DataFrame:
+    """N1 profile fields (age, gender, interests) of each row's ``user_id``;
+    the source's defaults (NULL, '', ['']) for users without a profile."""
+    if users is None:
+        known = rows.withColumns({c: F.lit(None).cast(t) for c, t in (("age", "int"), ("gender", "string"), ("interests", "string"))})
+    else:
+        known = rows.join(users.select("user_id", F.col("age").cast("int").alias("age"), "gender", "interests"), "user_id", "left")
+    return known.withColumns({"gender": F.coalesce("gender", F.lit("")),
+                              "interests": clean.split_list(F.coalesce("interests", F.lit("")))})
+
+
+def interactions_nested(e: Column) -> Column:
+    """The array of an event's interactions, one per targeting row of its
+    campaign, with the source's nesting."""
+    return F.transform(e["targets"], lambda t: F.struct(
+        e["event_id"].alias("event_id"), e["timestamp"].alias("timestamp"), e["ad_slot_id"].alias("ad_slot_id"),
+        F.struct(*[e[c].alias(c) for c in CARD], t.alias("targeting")).alias("campaign"),
+        *[e[c].alias(c) for c in ("bid_amount", "ad_cost", "ad_revenue", "was_clicked", "click_timestamp")]))
+
+
+def session_documents(e: Engagement, sessions: DataFrame | None = None) -> DataFrame:
+    """One row per session, with all its interactions in the order of their
+    event ids; only ``sessions`` (user_id, session_date, device), if given.
+    Events are grouped unrepeated; repetition is the last projection."""
+    rows = e.interactions if sessions is None else e.interactions.join(sessions.select(*SESSION).distinct(), SESSION, "left_semi")
+    event = F.struct(*EVENT, *CARD[1:], "targets")
+    grouped = rows.join(e.cards, "campaign_id").groupBy(*SESSION, "location").agg(
+        F.min("timestamp").alias("start_time"), F.array_sort(F.collect_list(event)).alias("events"))
+    return grouped.select("user_id", "location", "session_date", session_id(), "device", "start_time",
+                          F.flatten(F.transform("events", interactions_nested)).alias("ad_interactions"))
+
+
+def user_documents(e: Engagement, keys: DataFrame) -> DataFrame:
+    """Whole documents of the requested users (``user_id``): profile,
+    location, sessions by day and device, each with its interactions. A
+    document is one row by definition, so ask for users, not for all."""
+    wanted = keys.select("user_id").distinct()
+    some = Engagement(e.interactions.join(wanted, "user_id", "left_semi"), e.cards, e.users)
+    session = F.struct("session_date", "device", "session_id", "start_time", "ad_interactions")
+    docs = session_documents(some).groupBy("user_id", "location").agg(F.array_sort(F.collect_list(session)).alias("s"))
+    sessions = F.transform("s", lambda x: F.struct(*[x[c].alias(c) for c in ("session_id", "device", "start_time", "ad_interactions")]))
+    return profiled(docs, e.users).select("user_id", "age", "gender", F.coalesce("location", F.lit("")).alias("location"),
+                                          "interests", sessions.alias("sessions"))
+
+
+def last_sessions(e: Engagement, n: int = 5) -> DataFrame:
     """Per user the ``n`` latest sessions with their click counts, one row
-    per session (fragments of a session stored in several document parts are
-    added up first). The per-user limit is a ``WindowGroupLimit``."""
-    frag = docs.select("user_id", F.explode("sessions").alias("s")).select(
-        "user_id", F.col("s.session_id").alias("session_id"), F.col("s.device").alias("device"),
-        F.col("s.start_time").alias("start_time"),
-        F.size(F.filter("s.ad_interactions", lambda i: i["was_clicked"])).cast("bigint").alias("clicks"),
-        F.size("s.ad_interactions").cast("bigint").alias("n_interactions"))
-    sessions = frag.groupBy("user_id", "session_id", "device", "start_time").agg(
-        F.sum("clicks").alias("clicks"), F.sum("n_interactions").alias("n_interactions"))
-    return top_n_per(sessions, ["user_id"], [F.col("start_time").desc(), F.col("session_id")], n)
+    per session. The per-user limit is a ``WindowGroupLimit``."""
+    return top_n_per(sessionize(e), ["user_id"], [F.col("start_time").desc(), F.col("session_id")], n).select(
+        "user_id", "session_id", "session_date", "device", "start_time", "clicks", "n_interactions")
 
 
-def interactions(docs: DataFrame) -> DataFrame:
-    """N8 ``$unwind`` twice: one row per interaction (empty arrays vanish)."""
-    s = docs.select("user_id", F.explode("sessions").alias("s"))
-    return s.select("user_id", F.explode("s.ad_interactions").alias("i")).select("user_id", "i.*")
+def last_sessions_whole(e: Engagement, n: int = 5) -> DataFrame:
+    """N4 as the source returns it: the ``n`` latest sessions of every user,
+    whole, with ``clicks`` added."""
+    latest = last_sessions(e, n)
+    return session_documents(e, latest).join(latest.select(*SESSION, "clicks"), SESSION).select(
+        "user_id", "session_id", "device", "start_time", "ad_interactions", "clicks")
 
 
-def clicks_per_hour(docs: DataFrame, advertiser: str, hour: int | None = 0) -> DataFrame:
+def unwound(e: Engagement) -> DataFrame:
+    """N8 ``$unwind`` twice: one row per interaction. The repetition is the
+    result here; it is made after the join, in the last projection."""
+    return e.interactions.join(e.cards, "campaign_id").select("user_id", "location", "session_date", *EVENT, *CARD[1:], "device",
+                                                              F.inline("targets"))
+
+
+def clicks_per_hour(e: Engagement, advertiser: str, hour: int | None = 0) -> DataFrame:
     """Clicked interactions of one advertiser (name trimmed) per (hour,
     campaign); ``hour=None`` keeps all 24 hours."""
-    i = interactions(docs).where(F.col("was_clicked")
-                                 & (F.col("campaign.advertiser_name") == advertiser.strip()))
     h = clean.hour_of("click_timestamp")
-    if hour is not None:
-        i = i.where(h == hour)
-    return (i.groupBy(h.alias("hour"), F.col("campaign.campaign_name").alias("campaign"))
-            .agg(F.count(F.lit(1)).alias("clicks")).orderBy("hour", "campaign"))
+    clicked = e.interactions.where(F.col("was_clicked") if hour is None else F.col("was_clicked") & (h == hour))
+    per = clicked.groupBy(h.alias("hour"), "campaign_id").agg(F.count(F.lit(1)).alias("n"))
+    mine = e.cards.where(F.col("advertiser_name") == advertiser.strip()).select("campaign_id", F.col("campaign_name").alias("campaign"), "n_targets")
+    return (per.join(mine, "campaign_id").groupBy("hour", "campaign").agg(F.sum(F.col("n") * F.col("n_targets")).alias("clicks"))
+            .orderBy("hour", "campaign"))
 
 
-def ad_fatigue(docs: DataFrame, min_views: int = 4) -> DataFrame:
+def ad_fatigue(e: Engagement, min_views: int = 4) -> DataFrame:
     """Per user, the ad slots shown at least ``min_views`` times without a click."""
-    i = interactions(docs).where(~F.col("was_clicked"))
-    per_slot = (i.groupBy("user_id", "ad_slot_id").agg(F.count(F.lit(1)).alias("views"))
-                .where(F.col("views") >= min_views))
-    return per_slot.groupBy("user_id").agg(F.array_sort(F.collect_list("ad_slot_id")).alias("ad_fatigue_ads"))
-
-
-def top_categories(docs: DataFrame, n: int = 3, keys: DataFrame | None = None) -> DataFrame:
-    """Per user the ``n`` targeting interests with the most clicks
-    (trimmed; ties by name)."""
-    d = docs if keys is None else user_history(docs, keys)
-    i = interactions(d).where(F.col("was_clicked"))
-    g = (i.groupBy("user_id", clean.trim_dim("campaign.targeting.interest").alias("category"))
-         .agg(F.count(F.lit(1)).alias("clicks")))
+    per = e.interactions.where(~F.col("was_clicked")).groupBy("user_id", "ad_slot_id", "campaign_id").agg(F.count(F.lit(1)).alias("n"))
+    tired = (per.join(e.cards.select("campaign_id", "n_targets"), "campaign_id").groupBy("user_id", "ad_slot_id")
+             .agg(F.sum(F.col("n") * F.col("n_targets")).alias("views")).where(F.col("views") >= min_views))
+    return tired.groupBy("user_id").agg(F.array_sort(F.collect_list("ad_slot_id")).alias("ad_fatigue_ads"))
+
+
+def top_categories(e: Engagement, n: int = 3, keys: DataFrame | None = None) -> DataFrame:
+    """Per user (all, or those of ``keys``) the ``n`` targeting interests
+    with the most clicks (trimmed; ties by name): clicks per campaign times the
+    campaign's targeting rows of an interest."""
+    clicked = e.interactions.where("was_clicked")
+    if keys is not None:
+        clicked = clicked.join(keys.select("user_id").distinct(), "user_id", "left_semi")
+    per = clicked.groupBy("user_id", "campaign_id").agg(F.count(F.lit(1)).alias("n"))
+    # of the campaigns' own rows: one per targeting row of the dimension
+    interests = (e.cards.select("campaign_id", F.inline("targets")).groupBy("campaign_id", clean.trim_dim("interest").alias("category"))
+                 .agg(F.count(F.lit(1)).alias("times")))
+    g = per.join(interests, "campaign_id").groupBy("user_id", "category").agg(F.sum(F.col("n") * F.col("times")).alias("clicks"))
     return top_n_per(g, ["user_id"], [F.col("clicks").desc(), F.col("category").asc()], n)
 
 
-def user_profiles(star: Star) -> DataFrame:
-    """A users frame for N1: the trimmed interests a user's events targeted,
-    as sorted comma text (the shape of the source's users CSV)."""
-    f = star.fact_event.select("user_id", "targeting_id").join(
-        star.dim_targeting.select("targeting_id", "interest"), "targeting_id")
-    g = f.groupBy("user_id").agg(F.array_sort(F.collect_set(clean.trim_dim("interest"))).alias("i"))
-    return g.select("user_id", F.lit(None).cast("int").alias("age"), F.lit(None).cast("string").alias("gender"),
-                    F.array_join("i", ",").alias("interests"))
+def leaves(docs: DataFrame) -> DataFrame:
+    """Every leaf of nested documents, one row per interaction."""
+    s = docs.select("user_id", "age", "gender", "location", F.array_join("interests", ",").alias("interests"), F.explode("sessions").alias("s"))
+    i = s.select("user_id", "age", "gender", "location", "interests", "s.session_id", "s.device", "s.start_time",
+                 F.explode("s.ad_interactions").alias("i"))
+    return i.select(*[c for c in i.columns if c != "i"], *[f"i.{c}" for c in EVENT if c != "campaign_id"],
+                    *[f"i.campaign.{c}" for c in CARD], "i.campaign.targeting.*")
+
+
+def targeted_interests(star: Star) -> DataFrame:
+    """user_id, interests: the trimmed interests a user's events targeted, as
+    sorted comma text (the shape of the users CSV)."""
+    seen = star.fact_event.select("user_id", "targeting_id").distinct().join(star.dim_targeting.select("targeting_id", "interest"), "targeting_id")
+    g = seen.groupBy("user_id").agg(F.array_sort(F.collect_set(clean.trim_dim("interest"))).alias("i"))
+    return g.select("user_id", F.array_join("i", ",").alias("interests"))

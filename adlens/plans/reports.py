@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators.star import Star
+from .periods import window
 
 
 def _clicks() -> Column:
@@ -45,9 +46,10 @@ def _ctr(clicks: Column, impressions: Column, digits: int) -> Column:
     return clean.round_to(clean.safe_ratio(clicks, impressions), digits)
 
 
-def top_campaigns_ctr(star: Star, first_day: str, last_day: str, n: int = 5) -> DataFrame:
-    """Per campaign name, impressions/clicks/CTR inside the day window."""
-    agg = fact_by(star.fact_event, ["campaign_id"], (first_day, last_day))
+def top_campaigns_ctr(star: Star, first_day: str, last_day: str, n: int = 5, days: DataFrame | None = None) -> DataFrame:
+    """Per campaign name, impressions/clicks/CTR inside the day window; from
+    the running day aggregate (``periods.running``), if given, without the fact."""
+    agg = fact_by(star.fact_event, ["campaign_id"], (first_day, last_day)) if days is None else window(days, first_day, last_day)
     j = star.dim_campaign.select("campaign_id", "name").join(agg, "campaign_id", "left")
     g = j.groupBy("name").agg(F.coalesce(F.sum("impressions"), F.lit(0)).alias("total_impressions"),
                               F.sum("clicks").alias("clicks"))
@@ -57,9 +59,10 @@ def top_campaigns_ctr(star: Star, first_day: str, last_day: str, n: int = 5) ->
             .orderBy(F.col("ctr").desc_nulls_last(), F.col("name").asc_nulls_first()).limit(n))
 
 
-def top_advertisers_spend(star: Star, first_day: str, last_day: str, n: int = 10) -> DataFrame:
-    """R2: per advertiser, engagement and spend inside the day window."""
-    agg = fact_by(star.fact_event, ["campaign_id"], (first_day, last_day))
+def top_advertisers_spend(star: Star, first_day: str, last_day: str, n: int = 10, days: DataFrame | None = None) -> DataFrame:
+    """R2: per advertiser, engagement and spend inside the day window; ``days``
+    as in ``top_campaigns_ctr``."""
+    agg = fact_by(star.fact_event, ["campaign_id"], (first_day, last_day)) if days is None else window(days, first_day, last_day)
     j = (star.dim_campaign.select("campaign_id", "advertiser_id").join(agg, "campaign_id", "left")
          .join(star.dim_advertiser, "advertiser_id", "left"))
     g = j.groupBy("name").agg(F.coalesce(F.sum("impressions"), F.lit(0)).alias("total_impressions"),

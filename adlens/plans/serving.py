@@ -17,6 +17,7 @@ from ..operators.materialize import BUILD_LOCK
 from ..operators.star import Star
 from ..operators.topn import check_period, keyed_read
 from ..operators.upsert import upsert
+from .periods import campaign_days, running
 from .reports import fact_by
 
 
@@ -206,6 +207,10 @@ def _by_region_trimmed(star: Star) -> DataFrame:
     return advertisers_by_region(star, trim_keys=True)
 
 
+def _running_days(star: Star) -> DataFrame:
+    return running(campaign_days(star.fact_event))
+
+
 # name -> (builder, clustering order, partition columns). Partition columns are
 # the low-cardinality partition keys of the source tables (month, country).
 AD_TABLES = {
@@ -219,6 +224,7 @@ AD_TABLES = {
                                        ["mnth", "country"]),
     # keyed lookup tables (the source's per-request queries behind a cache)
     "campaign_stats": (campaign_stats, [("campaign_id", False)], []),
+    "campaign_running": (_running_days, [("campaign_id", False), ("day", False)], []),
     "advertiser_spend": (advertiser_spend, [("advertiser_id", False)], []),
     "user_clicked_slots": (user_clicked_slots, [("user_id", False)], []),
 }

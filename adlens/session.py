@@ -22,13 +22,6 @@ DEFAULT_CONF = {
 }
 
 
-def row_reader_for_nested(spark: SparkSession) -> None:
-    """Read nested parquet (the user documents) row by row: the columnar
-    reader's 4096-row batches of wide document rows exhaust task memory.
-    Flat tables keep the vectorized reader."""
-    spark.conf.set("spark.sql.parquet.enableNestedColumnVectorizedReader", "false")
-
-
 def get_spark(app: str = "adlens", master: str | None = None,
               shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Build (or reuse) a session with the library defaults."""

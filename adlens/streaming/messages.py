@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from ..operators.materialize import committed_folders
+from ..sources.io import CSV_OPTIONS
 
 # Fixed value: message fields and their JSON types as produced.
 MESSAGE_SCHEMA = ("id string, text string, user_id bigint, product_id string, "
                   "rating bigint, created_at string")
+MINUTE_FIELDS = ("author_id", "created_at", "text")
 TOPIC_FILE_SCHEMA = "offset bigint, key string, value string"
 
 
@@ -220,7 +223,8 @@ def write_messages(messages: DataFrame, sink: str, *, topic: str | None = None,
 
 def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
                        available_now: bool = True, rejects_dir: str | None = None, by_day: bool = False) -> list:
-    """Append each message to its minute's CSV folder (header per file).
+    """Append each message to its minute's CSV folder (header per file),
+    one record a line: line breaks in a text are escaped (``read_minute_files``).
     ``by_day`` keeps the minutes of a day in one folder, with ``minute`` as a
     column: few files for long backlogs.
 
@@ -232,7 +236,7 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
     Returns the started queries.
     """
     good, bad = split_rejects(bucketed)
-    rows, folder = good.select("author_id", "created_at", "text", "minute"), "minute"
+    rows, folder = good.select(*[clean.one_record(c).alias(c) for c in MINUTE_FIELDS], "minute"), "minute"
     if by_day:
         rows, folder = rows.withColumn("day", F.substring("minute", 1, 10)), "day"
 
@@ -240,7 +244,7 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
         w = (df.writeStream.format(fmt).option("path", path).option("checkpointLocation", ckpt)
              .outputMode("append"))
         if fmt == "csv":
-            w = w.option("header", True)
+            w = w.options(**CSV_OPTIONS)
         if partition:
             w = w.partitionBy(folder)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
@@ -253,6 +257,53 @@ def write_minute_files(bucketed: DataFrame, out_dir: str, checkpoint: str, *,
     return queries
 
 
+def merge_minute_counts(batch: DataFrame, batch_id: int, counts_dir: str, fold_every: int = 16) -> None:
+    """T4: one micro-batch's rows per minute, merged into the counts below
+    ``counts_dir``. The batch id guards it: a batch has one folder, which a
+    repeated batch replaces, so none counts twice. Every ``fold_every`` batches
+    the folders are added up into one, which readers then start from."""
+    minute_counts(batch).write.mode("overwrite").parquet(f"{counts_dir}/batch-{batch_id}")
+    if (batch_id + 1) % fold_every == 0:
+        read_minute_counts(batch.sparkSession, counts_dir, batch_id).write.mode("overwrite").parquet(f"{counts_dir}/upto-{batch_id}")
+
+
+def read_minute_counts(spark: SparkSession, counts_dir: str, last: int | None = None) -> DataFrame:
+    """minute, n_rows over all batches merged so far (up to ``last``): the last
+    folded folder and the batches after it."""
+    done: dict[str, list[int]] = {"upto": [], "batch": []}
+    for name in committed_folders(spark, counts_dir):
+        kind, _, number = name.rpartition("-")
+        if kind in done and (last is None or int(number) <= last):
+            done[kind].append(int(number))
+    # a folded folder of this very batch is one of a try before: read what it was made of
+    base = max((b for b in done["upto"] if b != last), default=None)
+    paths = [f"{counts_dir}/batch-{b}" for b in sorted(done["batch"]) if base is None or b > base]
+    paths += [f"{counts_dir}/upto-{base}"] if base is not None else []
+    schema = "minute string, n_rows bigint"
+    rows = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    return rows.groupBy("minute").agg(F.sum("n_rows").alias("n_rows"))
+
+
+def write_minute_counts(bucketed: DataFrame, counts_dir: str, checkpoint: str, fold_every: int = 16):
+    """T4 as a stream without state: rows per event-time minute, however late
+    they come; started from ``checkpoint``, it goes on where it stopped.
+    Returns the started query, which ends when the source is read up."""
+    return (bucketed.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+            .foreachBatch(lambda batch, batch_id: merge_minute_counts(batch, batch_id, counts_dir, fold_every)).start())
+
+
+def _minute_records(spark: SparkSession, in_dir: str, by_day: bool = False) -> DataFrame:
+    """Minute files as they are, texts still escaped."""
+    schema = ", ".join(f"{c} string" for c in (*MINUTE_FIELDS, "minute", *(["day"] if by_day else [])))
+    rows = spark.read.options(**CSV_OPTIONS).schema(schema).csv(in_dir)
+    return rows.drop("day")
+
+
+def read_minute_files(spark: SparkSession, in_dir: str, by_day: bool = False) -> DataFrame:
+    """author_id, created_at, text, minute of all minute files."""
+    return _minute_records(spark, in_dir, by_day).select(*[clean.whole_text(c).alias(c) for c in MINUTE_FIELDS], "minute")
+
+
 def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: list[str] | None = None,
                     rows_per_file: int = 5_000_000) -> None:
     """Rewrite closed minutes with few, large files (micro-batches leave many
@@ -260,7 +311,7 @@ def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: lis
     any ordinary minute — and its rows are spread over them by a hash, so a
     minute holding a large share of the data is written by several tasks. Only
     the minutes rewritten are replaced in ``out_dir``; others there stay."""
-    df = spark.read.option("header", True).csv(in_dir)
+    df = _minute_records(spark, in_dir)
     if minutes:
         df = df.where(F.col("minute").isin(*minutes))
     sizes = df.groupBy("minute").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(rows_per_file))).alias("_files"))
@@ -268,4 +319,5 @@ def compact_minutes(spark: SparkSession, in_dir: str, out_dir: str, minutes: lis
         "_salt", F.pmod(F.xxhash64("author_id", "created_at", "text"), F.col("_files")))
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))   # explicit: AQE must not merge salts back
     (salted.repartition(n, "minute", "_salt").drop("_files", "_salt")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute").option("header", True).csv(out_dir))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("minute")
+     .options(**CSV_OPTIONS).csv(out_dir))

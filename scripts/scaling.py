@@ -1,4 +1,4 @@
-"""Scaling run: star build (fact_event) and user documents over k-times
+"""Scaling run: star build (fact_event) and the flat interactions with their summaries over k-times
 replicated events. Copies get shifted event ids and keep users, campaigns and
 times, so hot users and campaigns grow with k.
 
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from adlens.operators.materialize import table_root  # noqa: E402
 from adlens.operators.star import materialize_star  # noqa: E402
-from adlens.plans.documents import DOC_PART_INTERACTIONS, build_user_documents  # noqa: E402
+from adlens.plans.documents import engagement, user_summaries  # noqa: E402
 from adlens.session import get_spark  # noqa: E402
-from adlens.sources.fixtures import ad_staging  # noqa: E402
+from adlens.sources.fixtures import ad_staging, campaigns, users  # noqa: E402
 from adlens.sources.tables import read_table  # noqa: E402
 
 
@@ -38,15 +38,18 @@ def main() -> None:
             "ts", "user_id", "event_type", "value", "props")
         root = table_root(spark, "scaling", f"k{k}-{uuid.uuid4().hex[:8]}")
         t0 = time.perf_counter()
-        star = materialize_star(spark, lambda: ad_staging(spark, sf_dir, events=rep), root)
+        star = materialize_star(spark, {
+            "stg_ad_events": lambda: ad_staging(spark, sf_dir, events=rep), "stg_campaigns": lambda: campaigns(spark, sf_dir),
+            "stg_users": lambda: users(spark, sf_dir)}, root)
         t_star = time.perf_counter() - t0
         n_fact = star.fact_event.count()
         t1 = time.perf_counter()
-        (build_user_documents(star, max_interactions=DOC_PART_INTERACTIONS)
-         .write.mode("overwrite").parquet(f"{root}/user_documents"))
+        e = engagement(star)
+        e.interactions.repartitionByRange("user_id", "event_id").sortWithinPartitions("user_id", "event_id").write.parquet(f"{root}/interactions")
+        user_summaries(e).write.parquet(f"{root}/summaries")
         t_docs = time.perf_counter() - t1
         print(json.dumps({"sf_dir": sf_dir, "k": k, "fact_rows": n_fact, "build_star_sec": round(t_star, 2),
-                          "user_documents_sec": round(t_docs, 2)}), flush=True)
+                          "engagement_sec": round(t_docs, 2)}), flush=True)
     spark.stop()
 
 

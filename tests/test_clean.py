@@ -69,10 +69,6 @@ def test_one_line_strips_like_python(spark):
     assert col_values(spark, vals, clean.one_line("v")) == [v.replace("\n", " ").strip() if v else "" for v in vals]
 
 
-def test_truthy_author(spark):
-    vals = ["", "0", "0.0", "false", None, "12", "abc", "true"]
-    assert col_values(spark, vals, clean.truthy_text("v")) == [False, False, False, False, False, True, True, True]
-
 
 def test_between_days_is_inclusive(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 20, 23, 59, 59),), (dt.datetime(2024, 1, 21, 0, 0),),

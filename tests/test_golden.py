@@ -4,6 +4,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from adlens.plans import documents as docs
 
 DOC_SCHEMA = (
@@ -34,45 +36,62 @@ def golden_doc(spark):
     return spark.createDataFrame([("309169", None, "", "UK", [""], [s1, s2])], DOC_SCHEMA)
 
 
+def golden(spark):
+    return docs.from_documents(golden_doc(spark))
+
+
 def test_last_sessions_golden(spark):
-    got = [tuple(r) for r in docs.last_sessions(golden_doc(spark), 5).select("session_id", "clicks").collect()]
-    assert got == [("309169_Tablet_2024-12-05", 1), ("309169_Tablet_2024-12-03", 1)]
+    want = [("309169_Tablet_2024-12-05", 1), ("309169_Tablet_2024-12-03", 1)]
+    got = docs.last_sessions(golden(spark), 5)
+    assert [tuple(r) for r in got.orderBy(F.desc("start_time")).select("session_id", "clicks").collect()] == want
+    whole = docs.last_sessions_whole(golden(spark), 5).orderBy(F.desc("start_time")).collect()
+    assert [(r.session_id, r.clicks) for r in whole] == want
+    assert whole[0].ad_interactions == golden_doc(spark).first().sessions[1].ad_interactions
+    assert [r.session_id for r in docs.last_sessions_whole(golden(spark), 1).collect()] == ["309169_Tablet_2024-12-05"]
+
+
+def test_document_golden(spark):
+    keys = spark.createDataFrame([("309169",), ("309169",), ("nobody",)], "user_id string")
+    assert docs.user_documents(golden(spark), keys).collect() == golden_doc(spark).collect()
 
 
 def test_top_categories_golden(spark):
-    got = {(r.category, r.clicks) for r in docs.top_categories(golden_doc(spark), 3).collect()}
+    got = {(r.category, r.clicks) for r in docs.top_categories(golden(spark), 3).collect()}
     assert got == {("Health", 1), ("Finance", 1)}
 
 
 def test_clicks_per_hour_and_fatigue_shapes(spark):
-    doc = golden_doc(spark)
-    assert docs.clicks_per_hour(doc, " Advertiser_18 ", None).collect()[0].asDict() == {
+    e = golden(spark)
+    assert docs.clicks_per_hour(e, " Advertiser_18 ", None).collect()[0].asDict() == {
         "hour": 19, "campaign": "Campaign_172", "clicks": 1}
-    assert docs.clicks_per_hour(doc, "Advertiser_18", 0).count() == 0
-    assert docs.ad_fatigue(doc, 1).count() == 0  # every interaction was clicked
+    assert docs.clicks_per_hour(e, "Advertiser_18", 0).count() == 0
+    assert docs.ad_fatigue(e, 1).count() == 0  # every interaction was clicked
 
 
-def test_split_documents_reassemble(spark):
-    """Parts of a split user document hold exactly the unsplit document."""
-    from pyspark.sql import functions as F
-    from adlens.operators.star import load_star
-    star = load_star(spark, "/root/testdata/sf0.001")
-    whole = docs.build_user_documents(star)
-    parts = docs.build_user_documents(star, max_interactions=40)
-    assert parts.groupBy("user_id").count().where("count > 1").count() > 0   # some users were split
-    assert sorted(map(tuple, docs.flatten_documents(whole).collect())) == \
-        sorted(map(tuple, docs.flatten_documents(parts).collect()))
-    assert sorted(map(tuple, docs.last_sessions(whole, 5).collect())) == \
-        sorted(map(tuple, docs.last_sessions(parts, 5).collect()))
-
-    def ia(d):
-        return sorted(map(tuple, docs.interactions(d).select(
-            "user_id", "event_id", "campaign.targeting.interest", "was_clicked").collect()), key=repr)
-    assert ia(whole) == ia(parts)
-    # inside every part, sessions ascend by day and interactions by event id
-    s = parts.select(F.explode("sessions").alias("s")).select(
-        F.col("s.ad_interactions.event_id").alias("ids")).collect()
+def test_flat_and_nested_hold_the_same(spark):
+    """Nested documents of all users, flattened again, give every answer of the
+    flat tables that they were assembled from."""
+    e = docs.load_engagement(spark, "/root/testdata/sf0.001")
+    nested = docs.user_documents(e, e.interactions.select("user_id")).cache()
+    back = docs.from_documents(nested)
+
+    def same(query):
+        a, b = (sorted(map(tuple, query(x).collect()), key=repr) for x in (e, back))
+        assert a and a == b
+
+    for query in (docs.user_summaries, docs.last_sessions, docs.ad_fatigue, docs.top_categories,
+                  lambda x: docs.clicks_per_hour(x, "Brand#13", None), lambda x: docs.unwound(x).select(*sorted(docs.unwound(e).columns))):
+        same(query)
+    s = nested.select(F.explode("sessions").alias("s")).select(F.col("s.ad_interactions.event_id").alias("ids")).collect()
     assert all(r.ids == sorted(r.ids) for r in s)
+    assert nested.count() == e.interactions.select("user_id").distinct().count()
+    # profiles come from the users input, with the source's defaults where there is none
+    known = {r.user_id: r for r in e.users.collect()}
+    for r in nested.select("user_id", "age", "gender", "interests").collect():
+        u = known.get(r.user_id)
+        assert (r.age, r.gender) == ((u.age, u.gender or "") if u else (None, ""))
+        assert r.interests == ((u.interests if u and u.interests else "").split(","))
+    nested.unpersist()
 
 
 def test_report_shapes_match_golden_headers(spark):

@@ -59,12 +59,59 @@ def test_report_bundle_records_errors_and_empties(spark, tmp_dir):
 def test_replace_load_counts(spark, tmp_dir):
     a = spark.range(5).select(F.col("id").cast("string").alias("x"))
     b = spark.range(3).select(F.col("id").cast("string").alias("y"))
-    got = {r.table_name: r.n_rows for r in io.replace_load(spark, {"a": (a, "x string"), "b": (b, "y string")},
+    got = {r.table_name: r.n_rows for r in io.replace_load(spark, {"a": a, "b": b},
                                                             tmp_dir).collect()}
     assert got == {"a": 5, "b": 3}
-    got = {r.table_name: r.n_rows for r in io.replace_load(spark, {"a": (b.withColumnRenamed("y", "x"), "x string")},
+    got = {r.table_name: r.n_rows for r in io.replace_load(spark, {"a": b.withColumnRenamed("y", "x")},
                                                             tmp_dir).collect()}
     assert got == {"a": 3}  # replaced, not appended
+    assert io.read_csv(spark, f"{tmp_dir}/a", "x string").count() == 3
+
+
+AWKWARD = ["two\nlines", "a\r\nb\r", "back\\slash \\n \\s", 'q"uo"te', ' , "x', "\0nul\0", "", " ", "\n", "\\", "ends in \\", None, "plain", "é\u2028\x85"]
+
+
+def test_texts_survive_one_record_a_line(spark, tmp_dir):
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(AWKWARD)], "id int, a string, b string").repartition(3)
+    io.write_csv(df, f"{tmp_dir}/t")
+    back = io.read_csv(spark, f"{tmp_dir}/t", "id int, a string, b string", escaped=True)
+    assert [r.a for r in back.orderBy("id").collect()] == AWKWARD and [r.b for r in back.orderBy("id").collect()] == AWKWARD
+    lines = sum(open(os.path.join(tmp_dir, "t", f), newline="").read().count("\n") for f in os.listdir(f"{tmp_dir}/t") if f.endswith(".csv"))
+    assert lines == len(AWKWARD) + 3 and io.replace_load(spark, {"x": df}, tmp_dir).first().n_rows == len(AWKWARD)
+
+
+def test_rejects_are_whole_and_nothing_is_lost(spark, tmp_dir):
+    raw = spark.createDataFrame([(str(i), "7" if i % 3 else "n/a", t) for i, t in enumerate(AWKWARD)], "id string, n string, t string")
+    io.write_csv(raw, f"{tmp_dir}/t")
+    rows, rejects = io.read_with_rejects(spark, f"{tmp_dir}/t", "id int, n int, t string", escaped=True)
+    assert {r.id: (r.n, r.t) for r in rows.collect()} == {i: (7, t) for i, t in enumerate(AWKWARD) if i % 3}
+    assert {r.id: (r.n, r.t) for r in rejects.collect()} == {str(i): ("n/a", t) for i, t in enumerate(AWKWARD) if not i % 3}
+    assert rows.count() + rejects.count() == len(AWKWARD)       # whatever columns are read
+    with open(f"{tmp_dir}/short.csv", "w") as f:
+        f.write("id,n,t\n1,2\n3,4,x,y\n5,6,z\n")
+    rows, rejects = io.read_with_rejects(spark, f"{tmp_dir}/short.csv", "id int, n int, t string")
+    assert [tuple(r) for r in rows.collect()] == [(5, 6, "z")]
+    assert sorted(r._record for r in rejects.collect()) == ["1,2", "3,4,x,y"]
+
+
+def test_documents_written_are_counted(spark, tmp_dir):
+    docs = spark.range(7).select("id", F.array(F.lit("x")).alias("a"))
+    assert io.write_documents(docs, f"{tmp_dir}/c") == 7
+    assert io.write_documents(docs.limit(2), f"{tmp_dir}/c", mode="append") == 2
+    assert io.write_documents(docs.limit(0), f"{tmp_dir}/none") == 0
+    assert io.read_documents(spark, f"{tmp_dir}/c", docs.schema).count() == 9
+
+
+def test_one_of_two_builders_wins(spark, tmp_dir):
+    from adlens.operators.materialize import _commit, write_once
+    path = f"{tmp_dir}/shared/t"
+    one = write_once(spark, path, lambda: spark.range(3))
+    spark.range(5).write.parquet(f"{path}.late")
+    _commit(spark, f"{path}.late", path)                     # another application comes second
+    assert one.count() == 3 and write_once(spark, path, lambda: spark.range(9)).count() == 3
+    assert os.listdir(f"{tmp_dir}/shared") == ["t"]
+    os.remove(f"{path}/_SUCCESS")                            # a lost job's half copy
+    assert write_once(spark, path, lambda: spark.range(4)).count() == 4
 
 
 def test_compact_minutes_one_file_per_minute(spark, tmp_dir):

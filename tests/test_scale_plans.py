@@ -45,14 +45,24 @@ def test_small_dimensions_are_broadcast_into_the_fact(spark):
     assert p.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in p
 
 
-def test_document_fan_out_happens_after_grouping(spark):
-    """The groupings collect one struct per event carrying its targeting
-    array; the repetition (flatten/transform) only appears in the results."""
-    star = load_star(spark, SF)
-    p = plan(documents.build_user_documents(star, max_interactions=20000))
-    assert "Generate" not in p                       # no explode of the fan-out anywhere
-    nodes = re.split(r"\n\n(?=\(\d+\) )", p)
-    event_collects = [n for n in nodes if n.split("\n", 1)[0].endswith("ObjectHashAggregate")
-                      and "partial_collect_list(struct(event_id" in n]
-    assert event_collects and all("targets#" in n.split("Keys", 1)[0] for n in event_collects)
-    assert "flatten" in p
+def test_documents_are_counted_without_repeating_events(spark):
+    """Sums over documents group events per campaign and weight them; no event
+    row is exploded, and events are grouped before any join."""
+    e = documents.load_engagement(spark, SF)
+    for df in (documents.clicks_per_hour(e, "Brand#13", None), documents.ad_fatigue(e), documents.user_summaries(e)):
+        p = plan(df, "simple")
+        assert "Generate" not in p and ("partial_count" in p or "partial_sum" in p)
+        # the events meet the campaigns after a count
+        lines = p.splitlines()
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "was_clicked" in line)
+        assert any("HashAggregate" in line and "partial_" in line for line in lines[max(0, scan - 4):scan])
+    # the one array taken apart is a campaign's targeting, read with the cards
+    p = plan(documents.top_categories(e))
+    taken = [part for part in re.split(r"\n\n(?=\(\d+\) )", p) if part.split("\n", 1)[0].endswith(") Generate")]
+    assert len(taken) == 1 and "targets" in taken[0]
+
+
+def test_window_report_reads_no_fact(spark):
+    from adlens.plans.catalog import REGISTRY
+    p = plan(REGISTRY["rpt_top5_campaigns_ctr_window"](spark, SF))
+    assert "fact_event" not in p and "campaign_running" in p and "LessThanOrEqual(day,2024-01-20)" in p

@@ -159,3 +159,38 @@ def test_bounded_micro_batches_give_the_same_files(spark, tmp_dir):
         q.awaitTermination()
         assert len(q.recentProgress) >= 4      # one file per micro-batch
     assert spark.read.option("header", True).csv(out).count() == 4
+
+
+def test_line_breaks_survive_minute_files(spark, tmp_dir):
+    topic, out = os.path.join(tmp_dir, "topic"), os.path.join(tmp_dir, "out")
+    texts = ["a\rb", 'quo"te,', "back\\r\\n", "x\r\ny"]
+    _write_topic_file(topic, "b.json", [(i, _m(i + 1, "2024-01-01T10:00:01+00:00", t)) for i, t in enumerate(texts)])
+    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, topic)))
+    for q in msg.write_minute_files(stream, out, os.path.join(tmp_dir, "ckpt")):
+        q.awaitTermination()
+    want = ["a\rb", 'quo"te,', "back\\r\\n", "x\r y"]          # the consumer makes a line feed a blank
+    assert [r.text for r in msg.read_minute_files(spark, out).orderBy("author_id").collect()] == want
+    msg.compact_minutes(spark, out, out + "-compact")
+    assert [r.text for r in msg.read_minute_files(spark, out + "-compact").orderBy("author_id").collect()] == want
+
+
+def test_counted_batches_restart_and_repeat(spark, tmp_dir):
+    topic, counts, ckpt = (os.path.join(tmp_dir, d) for d in ("topic", "counts", "ckpt"))
+
+    def run():
+        rows = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, topic, max_per_trigger=1)))
+        msg.write_minute_counts(rows, counts, ckpt, fold_every=2).awaitTermination()
+        return {r.minute: r.n_rows for r in msg.read_minute_counts(spark, counts).collect()}
+
+    for k in range(5):
+        _write_topic_file(topic, f"b{k}.json", [(k, _m(1, f"2024-01-01T10:0{k % 2}:01+00:00", "x")), (9, _m(1, "bad", "x"))])
+        if k == 2:
+            assert run() == {"01_01_2024_10_00": 2, "01_01_2024_10_01": 1}
+    want = {"01_01_2024_10_00": 3, "01_01_2024_10_01": 2}
+    assert run() == want and run() == want                   # late rows count; a restart adds nothing
+    # a batch that is tried again, before and after it was folded
+    again = spark.createDataFrame([("2024-01-01T10:00:01+00:00", "01_01_2024_10_00")], "created_at string, minute string")
+    for batch in (4, 4):
+        msg.merge_minute_counts(again, batch, counts, fold_every=5)
+        assert {r.minute: r.n_rows for r in msg.read_minute_counts(spark, counts).collect()} == want
+    assert msg.read_minute_counts(spark, os.path.join(tmp_dir, "none")).count() == 0

@@ -54,6 +54,14 @@ def join_small(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
     return rows.join(small, F.col(key).eqNullSafe(F.col("_small_key"))).drop("_small_key")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` has not (whatever the case of its letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does just that for text of ASCII bytes
     alone and is much faster than ``translate``."""
@@ -116,7 +124,7 @@ _powers: list[np.ndarray] = []
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n``."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + (BLOCK_BYTES >> 1))
+        size = max(n + (n >> 2), 1 << 16)       # as long as the longest block yet
         _powers[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, x, np.uint64)]), dtype=np.uint64)
                       for x in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64)))]
     return _powers[0], _powers[1]

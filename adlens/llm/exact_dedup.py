@@ -12,10 +12,10 @@ can be frequent, so the rest shuffles evenly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, read_documents
+from .common import ascii_lower, cut, read_documents, unused_name
 
 #: Digests that are named as frequent, at most: the bound of the broadcast.
 HEAVY = 128
@@ -26,10 +26,15 @@ TRACKED = 4096
 BLOCKS = 64
 
 
+def digest_of(text: Column) -> Column:
+    """SHA-256 of the normalised text, as bytes."""
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, digest) of every row; null text counts as empty."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)).alias("digest"))
+                       digest_of(F.col(text_col)).alias("digest"))
 
 
 def frequent_digests(prints: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
@@ -69,9 +74,13 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = duplicate_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of equal texts
+    those with the largest id. Other texts under the same id stay."""
+    gone = duplicate_groups(docs, id_col, text_col).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("gone_id"), F.unhex("text_sha256").alias("gone_digest")).distinct()
+    key = unused_name(docs, "key")
+    own = F.struct(F.col(id_col).cast("long").alias("gone_id"), digest_of(F.col(text_col)).alias("gone_digest"))
+    return docs.withColumn(key, own).join(gone.select(F.struct("gone_id", "gone_digest").alias(key)), key, "left_anti").drop(key)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dense_id import with_dense_id
 from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
-                     word_slices)
+                     unused_name, word_slices)
 from .components import components, extended
 
 SHINGLE = 5
@@ -41,8 +42,11 @@ SKETCH_BITS, FILTER_BITS = 256, 1 << 24
 WORTHWHILE = 0.1
 #: Members of a signature's group that meet in one task at a time.
 GROUP_BLOCK = 4096
-#: Sets that a task remembers to have signed, so that copies are signed once.
-REMEMBERED = 500_000
+#: Places of the table in which a task remembers the sets it has signed, so
+#: that most copies are signed once.
+REMEMBERED = 1 << 18
+#: Bytes of text whose shingles are made at a time.
+SHINGLE_BYTES = 1 << 19
 
 
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +164,7 @@ def summarise(texts: DataFrame) -> DataFrame:
     """doc_id, n, k1, k2 (hashes of the set), sketch of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, own in text_blocks(batch):
+            for part, own in text_blocks(batch, limit=SHINGLE_BYTES):
                 h, n = shingle_sets(own)
                 k1, k2 = set_keys(h, n)
                 sketch, words = parity_sketch(h, n)
@@ -176,18 +180,16 @@ def summarise(texts: DataFrame) -> DataFrame:
 def sign(texts: DataFrame) -> DataFrame:
     """sig, k1: the signatures of every set; copies within a task once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
+        done = np.zeros(REMEMBERED, np.int64)
         for batch in batches:
-            for _, own in text_blocks(batch):
+            for _, own in text_blocks(batch, limit=SHINGLE_BYTES):
                 h, n = shingle_sets(own)
                 k1 = set_keys(h, n)[0]
+                place = k1 & (REMEMBERED - 1)
                 fresh = np.zeros(len(n), bool)
-                for i, k in enumerate(k1.tolist()):
-                    if k not in done:
-                        done.add(k)
-                        fresh[i] = True
-                if len(done) > REMEMBERED:
-                    done.clear()
+                fresh[np.unique(k1, return_index=True)[1]] = True
+                fresh &= done[place] != k1
+                done[place] = k1
                 sig, own_set = signatures(h[np.repeat(fresh, n)], n[fresh])
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[fresh][own_set])], names=["sig", "k1"])
 
@@ -275,7 +277,7 @@ def sets_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             bit = batch.column("bit").to_numpy().astype(np.int64)
             batch = batch.filter(pa.array((mask.value[bit >> 3] >> (bit & 7)) & 1 == 1))
-            for part, own in text_blocks(batch):
+            for part, own in text_blocks(batch, limit=SHINGLE_BYTES):
                 h, n = shingle_sets(own)
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -287,19 +289,11 @@ def sets_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) whose sets are similar, checked on the sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            ok = []
-            for i in range(batch.num_rows):
-                x, y = a[i].values.to_numpy(), b[i].values.to_numpy()
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * common >= 80 * (len(x) + len(y) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
-
     left = sets.select(F.col("rep").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
-    return few(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")).mapInArrow(run, "u long, v long")
+    both = pairs.join(left, "u").join(right, "v").select(
+        "u", "v", F.size(F.array_intersect("a", "b")).alias("common"), (F.size("a") + F.size("b")).alias("sizes"))
+    return both.filter("100L * common >= 80L * (sizes - common)").select("u", "v")
 
 
 def folded(parts: list[np.ndarray], words: np.ndarray) -> np.ndarray:
@@ -365,8 +359,8 @@ def _compare(group: dict, nearest: bool) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def cross_pairs(members: DataFrame, nearest: bool) -> DataFrame:
-    """u, v, differ: see ``_compare``; ``members``: sig, rep, n, comp, sketch,
-    tried (members that it need not meet again)."""
+    """u, v, differ: see ``_compare``; ``members``: sig, size (of its group),
+    rep, n, comp, sketch, tried (members that it need not meet again)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["rep", "n", "comp", "block", "words", "sketch", "tried"]
         key, group = None, None
@@ -393,11 +387,9 @@ def cross_pairs(members: DataFrame, nearest: bool) -> DataFrame:
         if group is not None:
             yield close()
 
-    # a group of more than GROUP_BLOCK members meets block by block
-    w = "(PARTITION BY sig ORDER BY n, rep)"
-    placed = members.withColumns({
-        "block": F.expr(f"CAST((row_number() OVER {w} - 1) DIV {GROUP_BLOCK} AS INT)"),
-        "blocks": F.expr(f"CAST((count(1) OVER (PARTITION BY sig) - 1) DIV {GROUP_BLOCK} AS INT)")})
+    # a group of more than GROUP_BLOCK members, about, meets block by block
+    placed = members.withColumn("blocks", F.expr(f"CAST((size - 1) DIV {GROUP_BLOCK} AS INT)")).withColumn(
+        "block", F.expr("CAST(pmod(xxhash64(rep), blocks + 1) AS INT)"))
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks)"))).select(
         "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", F.size("sketch").cast("long").alias("words"), "sketch", "tried")
     order = ["sig", "lo", "hi"]
@@ -461,25 +453,24 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _open_members(shared: DataFrame, classes: DataFrame, comps: DataFrame, tried: DataFrame, live: DataFrame | None) -> DataFrame:
-    """sig, rep, n, comp, sketch, tried of the groups' members (``live`` ones,
+    """sig, size, rep, n, comp, sketch, tried of the groups' members (``live`` ones,
     if given), of groups that hold several components; groups of the very same
     members once."""
     if live is not None:
         classes = classes.join(live, "rep", "left_semi")
     member = (classes.join(comps, F.col("rep") == F.col("node"), "left")
               .select("k1", "rep", F.coalesce("component", "rep").alias("comp")))
-    over = "OVER (PARTITION BY sig)"
-    groups = (shared.select("sig", "k1").join(member, "k1")
-              .select("sig", "rep", "comp", F.expr(f"min(comp) {over}").alias("least"), F.expr(f"max(comp) {over}").alias("most"),
-                      F.expr(f"count(1) {over}").alias("size"), F.expr(f"bit_xor(xxhash64(rep)) {over}").alias("mark"),
-                      F.expr(f"bit_xor(xxhash64(rep, 'again')) {over}").alias("mark2"))
-              .filter("least < most"))
-    once = groups.groupBy("size", "mark", "mark2").agg(F.min("sig").alias("sig")).select("sig")
+    rows = shared.select("sig", "k1").join(member, "k1").select("sig", "rep", "comp")
+    # what a group is, added up before anything is shuffled
+    groups = rows.groupBy("sig").agg(
+        F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("size"),
+        F.expr("bit_xor(xxhash64(rep))").alias("mark"), F.expr("bit_xor(xxhash64(rep, 'again'))").alias("mark2")).filter("least < most")
+    once = groups.groupBy("size", "mark", "mark2").agg(F.min("sig").alias("sig")).select("sig", "size")
     # a member tries one other a round, so its list is short
     seen = tried.groupBy(F.col("u").alias("rep")).agg(F.collect_set("v").alias("tried"))
     about = classes.select("rep", "n", "sketch").join(seen, "rep", "left").withColumn(
         "tried", F.coalesce("tried", F.array().cast("array<bigint>")))
-    return groups.join(once, "sig", "left_semi").select("sig", "rep", "comp").join(about, "rep")
+    return rows.join(once, "sig").join(about, "rep")
 
 
 def _sets_for(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -487,11 +478,38 @@ def _sets_for(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return cut(sets_of(texts, reps))
 
 
+def _own_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """own_id, doc_id, text, digest of every row: an id for each text. It is the
+    document's, or a new one where several texts share an id or have none."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"))
+    per = rows.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("doc_id IS NULL OR a < b").select("doc_id")
+    per = cut(per)
+    if per.isEmpty():
+        return rows.withColumn("own_id", F.col("doc_id"))
+    several = rows.select("doc_id", "digest").join(per.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    lo, hi = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    numbered = with_dense_id(several.distinct(), ["doc_id", "digest"], "place")
+    first = 0 if hi is None else hi if hi < 1 << 62 else lo - (1 << 62)
+    new = numbered.select(F.struct("doc_id", "digest").alias("key"), (F.col("place") + first).alias("new_id"))
+    return cut(rows.withColumn("key", F.struct("doc_id", "digest")).join(new, "key", "left").select(
+        F.coalesce("new_id", "doc_id").alias("own_id"), "doc_id", "text", "digest"))
+
+
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns: of each component the
-    document with the least id, and every row without an id."""
-    gone = similar_components(docs, id_col, text_col).filter("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, all columns: of each group of linked
+    texts the one with the least id (null ids last; ties: the least SHA-256),
+    with its repetitions. Texts are told apart even where they share an id or
+    have none; texts without words stay."""
+    own = _own_ids(docs, id_col, text_col)
+    found = similar_components(own, "own_id").select(F.col("doc_id").alias("own_id"), "component_id")
+    linked = cut(own.select("own_id", "doc_id", "digest").distinct().join(found.distinct(), "own_id"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    best = linked.groupBy("component_id").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    gone = linked.join(best, "component_id").filter(rank != F.col("best")).select("doc_id", "digest")
+    key = unused_name(docs, "key")
+    mine = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("digest"))
+    return docs.withColumn(key, mine).join(gone.select(F.struct("doc_id", "digest").alias(key)), key, "left_anti").drop(key)
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,15 @@ def test_empty(no_docs):
     assert sharding.assign_shards(no_docs).count() == 0
 
 
+def test_only_copies_go(spark):
+    rows = [(1, "a"), (1, "unique text"), (2, "A"), (2, "a"), (None, "a"), (None, "b"), (None, "b"), (None, None), (4, ""), (1, "Unique text")]
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, key int")
+    docs = docs.withColumnRenamed("key", "gone_id")
+    out = exact_dedup.drop_duplicates(docs)
+    assert out.columns == docs.columns and sorted(r.gone_id for r in out.collect()) == [1, 2, 3, 5, 6, 8, 9]
+    assert exact_dedup.drop_duplicates(docs.limit(0)).count() == 0
+
+
 def brute_shards(rows, shards):
     order = sorted(((d is not None, d or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for d, t in rows))
     total, at, out, count = sum(x[3] for x in order), 0, [], defaultdict(int)

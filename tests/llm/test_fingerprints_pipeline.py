@@ -1,9 +1,12 @@
 import hashlib
+import itertools
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adlens.llm import ctph
+from adlens.llm import ctph, langid, quality
 
 
 def brute(rows):
@@ -49,15 +52,47 @@ def test_fingerprint_of_edits(spark):
     assert max(map(len, ctph.fingerprint(text).split(":")[1:])) <= ctph.LETTERS
 
 
+def plainly_kept(spark, name, rows, sf, labels):
+    """Ids that a stage keeps of (doc_id, text) rows, without its joins: the
+    rules in plain Python, the classifiers by their operators' scores."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    if name == "exact_dedup":
+        return set({t.translate(lower): d for d, t in sorted((d, t or "") for d, t in rows)}.values())
+    if name == "ngram_join":
+        sets, root = {}, {d: d for d, _ in rows}
+        for d, t in rows:
+            w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(lower))
+            sets[d] = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+        def top(d):
+            while root[d] != d:
+                d = root[d]
+            return d
+
+        for a, b in itertools.combinations(sorted(sets), 2):
+            x, y = sets[a], sets[b]
+            if x and y and 100 * min(len(x), len(y)) >= 80 * max(len(x), len(y)) and 100 * len(x & y) >= 80 * len(x | y):
+                u, v = sorted((top(a), top(b)))
+                root[v] = u
+        return {d for d in root if top(d) == d}
+    frame = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("doc_id").isin([d for d, _ in rows]))
+    if name == "quality":
+        return {r.doc_id for r in quality.score(frame, labels).where("predicted = 1").collect()}
+    return {r.doc_id for r in langid.keep_identified(frame).collect()}
+
+
 def test_pipeline_stages(spark, sf_docs):
     sf, docs = "/root/testdata/sf0.001", sf_docs
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality", "language", "exact_dedup", "ngram_join", "packing"]
     before = docs.count()
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, sf)
         assert out.columns == sf_docs.columns
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
         docs = out.cache()
+        assert {r.doc_id for r in docs.select("doc_id").collect()} == plainly_kept(spark, name, rows, sf, labels), name
         after = docs.count()
         assert 0 < after <= before and docs.select("doc_id").distinct().count() == after, name
         before = after

@@ -1,8 +1,10 @@
+import hashlib
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adlens.llm import ngram_join as nj
 
@@ -127,6 +129,25 @@ def test_one_of_each_stays(sf_docs):
     assert {r.doc_id for r in out.select("doc_id").collect()} == want
 
 
+def test_only_copies_go(spark):
+    """Texts of their own stay, though an id repeats, is missing, or a column
+    bears a name that the join uses."""
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(3, a), (5, a + " tail"), (5, "a text of its own under a repeated id"), (5, b), (None, b + " more"), (None, "alone and unnamed"),
+            (None, None), (5, ""), (7, "x y"), (7, "X Y"), (7, "x y"), (2 ** 63 - 1, "last one")]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, key int")
+    docs = docs.withColumns({"own_id": F.lit("c"), "digest": F.lit("c")})
+    out = nj.keep_one_of_each(docs)
+    gone = {1, 4, 9} if min(map(sha, ("x y", "X Y"))) == sha("x y") else {1, 4, 8, 10}
+    assert out.columns == docs.columns
+    assert {r.key for r in out.collect()} == set(range(len(rows))) - gone
+    assert nj.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def sha(t):
+    return hashlib.sha256(t.encode()).hexdigest()
+
+
 def test_filter_passes_all_wanted(spark):
     ids = spark.range(0, 5000, 7).selectExpr("id AS rep")
     texts = spark.range(0, 5000).selectExpr("id AS doc_id", "concat('a b c d e f ', id) AS text")

@@ -3,10 +3,11 @@
 The pieces are the letter tokens of a fixed public vocabulary. Per language
 every piece has a probability, learnt by one pass of piece counts and one of
 expected counts (forward-backward). A word's probability in a language is the
-sum over all its segmentations into pieces, by the forward algorithm; segments
-don't cross word borders, so a text's log-probability is the sum of its
-words', and a word's is worked out once per worker (new words of a block
-together, position by position).
+sum over all its segmentations into pieces, by the forward algorithm over the
+whole word, however long: it keeps the last positions that a piece can reach
+back to, scaled so that nothing underflows. Segments don't cross word borders,
+so a text's log-probability is the sum of its words', and a word's is worked
+out once per worker (new words of a block together, position by position).
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTER, HashIndex, _class_table, parse_ranks, read_vocabulary
 from .bpe_codec import default_vocabulary
-from .common import cut, held_out, may_learn, ragged_arange, read_documents, slice_hashes, text_blocks
+from .common import cut, held_out, may_learn, read_documents, slice_hashes, text_blocks
 
 #: Documents of each language that are learnt from, about, at most.
 SAMPLE = 2_000
-#: Bytes of the longest piece; longer words are scored in stretches of WORD.
-PIECE, WORD = 12, 24
+#: Words of like size that are scored together, at most, and positions after
+#: which their probabilities are scaled.
+TOGETHER, RESCALE = 4096, 8
 #: Added to every piece's count, as a share of an even distribution.
 SMOOTHING = 0.5
 #: Words kept by a worker.
@@ -45,7 +47,7 @@ class Pieces:
         first, inner = set(), set()
         for t in parse_ranks(rank_file):
             own = t[1:] if t[:1] == b" " else t
-            if 0 < len(own) <= PIECE and all(97 <= b <= 122 or b >= 128 for b in own):
+            if own and all(97 <= b <= 122 or b >= 128 for b in own):
                 (first if t[:1] == b" " else inner).add(own)
         single = {bytes([b]) for b in range(256)}
         entries = [(0, t) for t in sorted(first | single)] + [(1, t) for t in sorted(inner | single)]
@@ -53,31 +55,27 @@ class Pieces:
         size = np.array([len(t) for _, t in entries])
         ends = np.cumsum(size)
         self.n = len(entries)
+        self.lengths = np.unique(size)              # of pieces, in bytes
         keys = slice_hashes(data, ends - size, ends).view(np.int64)
         place = np.array([k for k, _ in entries])
         self.index = [HashIndex(self.n), HashIndex(self.n)]
         for k in (0, 1):
             self.index[k].put(keys[place == k], np.flatnonzero(place == k).astype(np.int32))
 
-    def lattice(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, opens: np.ndarray) -> list[list[tuple]]:
-        """For every end position 1..WORD: (piece length, words, pieces) of all
-        pieces that end there; ``opens``: the slice starts a word."""
-        out: list[list[tuple]] = [[]]
+    def ending(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple]:
+        """For every end position from 1 on: (length, word, piece) of all pieces
+        that end there, word by word."""
         for end in range(1, int(sizes.max()) + 1):
-            row = []
-            long = np.flatnonzero(sizes >= end)
-            for length in range(1, min(end, PIECE) + 1):
-                a = starts[long] + end - length
-                keys = slice_keys(data, a, a + length)
-                if length == end:
-                    piece = np.where(opens[long], self.index[0].find(keys), self.index[1].find(keys))
-                else:
-                    piece = self.index[1].find(keys)
-                hit = piece >= 0
-                if hit.any():
-                    row.append((length, long[hit], piece[hit]))
-            out.append(row)
-        return out
+            words = np.flatnonzero(sizes >= end)
+            reach = self.lengths[:np.searchsorted(self.lengths, end, side="right")]
+            b = np.repeat(starts[words] + end, len(reach))
+            length = np.tile(reach, len(words))
+            keys = slice_keys(data, b - length, b)
+            opens = length == end
+            piece = self.index[1].find(keys)
+            piece[opens] = self.index[0].find(keys[opens])
+            hit = np.flatnonzero(piece >= 0)
+            yield length[hit], words[hit // len(reach)], piece[hit]
 
 
 class _Prefix:
@@ -98,30 +96,65 @@ def slice_keys(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h - (h == np.uint64(2**64 - 1))).view(np.int64)
 
 
-def forward(lattice: list[list[tuple]], sizes: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """alpha[position, word, language]: probability of all segmentations of
-    the word's first ``position`` bytes."""
-    alpha = np.zeros((len(lattice), len(sizes), prob.shape[1]))
+def like_sizes(sizes: np.ndarray, together: int = TOGETHER) -> Iterator[np.ndarray]:
+    """Indices of words in groups of like size."""
+    order = np.argsort(sizes, kind="stable")
+    lo = 0
+    while lo < len(order):
+        # sizes up to a quarter more, and at most so many words
+        hi = int(np.searchsorted(sizes[order], sizes[order[lo]] * 5 // 4 + 2, side="right"))
+        hi = min(hi, lo + together)
+        yield order[lo:hi]
+        lo = hi
+
+
+def log_totals(book: Pieces, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over all segmentations, by word and language.
+
+    Only the positions within reach of a piece are kept, in a ring, each word
+    and language scaled by its own factor every RESCALE positions."""
+    n_lang, ring = prob.shape[1], int(book.lengths[-1]) + 1
+    alpha = np.zeros((ring, len(sizes), n_lang))
     alpha[0] = 1.0
-    for end, row in enumerate(lattice[1:], 1):
-        for length, word, piece in row:
-            alpha[end, word] += alpha[end - length, word] * prob[piece]
-    return alpha
+    scale = np.zeros((len(sizes), n_lang))
+    out = np.zeros((len(sizes), n_lang))
+    for end, (length, word, piece) in enumerate(book.ending(data, starts, sizes), 1):
+        now = alpha[end % ring]
+        now[:] = 0.0
+        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        now[word[heads]] = np.add.reduceat(alpha[(end - length) % ring, word] * prob[piece], heads)
+        done = np.flatnonzero(sizes == end)
+        out[done] = np.log(now[done]) + scale[done]
+        if end % RESCALE == 0:
+            top = alpha.max(0)
+            top[top == 0] = 1.0
+            alpha /= top
+            scale += np.log(top)
+    return out
 
 
-def expected_counts(lattice: list[list[tuple]], sizes: np.ndarray, prob: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """Expected uses of each piece in words that occur ``weight`` times."""
-    alpha = forward(lattice, sizes, prob)
-    beta = np.zeros_like(alpha)
+def expected_counts(book: Pieces, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, prob: np.ndarray,
+                    weight: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in words that occur ``weight`` times, in
+    one language (``prob`` by piece)."""
+    rows = list(book.ending(data, starts, sizes))
     words = np.arange(len(sizes))
-    beta[sizes, words] = 1.0
-    total = alpha[sizes, words, 0]
-    out = np.zeros(n)
-    for end in range(len(lattice) - 1, 0, -1):
-        for length, word, piece in lattice[end]:
-            use = prob[piece, 0] * beta[end, word, 0]
-            beta[end - length, word, 0] += use
-            out += np.bincount(piece, alpha[end - length, word, 0] * use / total[word] * weight[word], n)
+    with np.errstate(divide="ignore"):
+        lp = np.log(prob)
+    alpha = np.full((len(rows) + 1, len(sizes)), -np.inf)
+    alpha[0] = 0.0
+    for end, (length, word, piece) in enumerate(rows, 1):
+        heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        alpha[end, word[heads]] = np.logaddexp.reduceat(alpha[end - length, word] + lp[piece], heads)
+    beta = np.full_like(alpha, -np.inf)
+    beta[sizes, words] = 0.0
+    total = alpha[sizes, words]
+    out = np.zeros(book.n)
+    for end in range(len(rows), 0, -1):
+        length, word, piece = rows[end - 1]
+        use = lp[piece] + beta[end, word]
+        np.logaddexp.at(beta, (end - length, word), use)
+        out += np.bincount(piece, np.exp(alpha[end - length, word] + use - total[word]) * weight[word], book.n)
     return out
 
 
@@ -139,15 +172,6 @@ def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return data, edge[0::2], edge[1::2], doc
 
 
-def stretches(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words in stretches of at most WORD bytes: (word, start, size, opens)."""
-    n = -(-(ends - starts) // WORD)
-    word = np.repeat(np.arange(len(starts)), n)
-    k = ragged_arange(n)
-    a = starts[word] + k * WORD
-    return word, a, np.minimum(ends[word] - a, WORD), k == 0
-
-
 @functools.lru_cache(2)
 def pieces(rank_file: bytes) -> Pieces:
     return Pieces(rank_file)
@@ -166,19 +190,8 @@ class Scorer:
 
     def _learn(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         value = np.zeros((len(keys), self.prob.shape[1]))
-        word, a, size, opens = stretches(starts, ends)
-        for at in range(0, len(word), 20_000):
-            sl = slice(at, at + 20_000)
-            order = np.argsort(size[sl], kind="stable")
-            w, s, o, p = word[sl][order], size[sl][order], opens[sl][order], a[sl][order]
-            lo = 0
-            for width in (4, 8, 12, 16, WORD):      # words of like size together
-                hi = int(np.searchsorted(s, width, side="right"))
-                if hi > lo:
-                    lattice = self.pieces.lattice(data, p[lo:hi], s[lo:hi], o[lo:hi])
-                    alpha = forward(lattice, s[lo:hi], self.prob)
-                    np.add.at(value, w[lo:hi], np.log(alpha[s[lo:hi], np.arange(hi - lo)]))
-                lo = hi
+        for own in like_sizes(ends - starts):
+            value[own] = log_totals(self.pieces, data, starts[own], (ends - starts)[own], self.prob)
         first = self.seen.size
         while first + len(keys) > len(self.value):
             self.value = np.concatenate([self.value, np.zeros_like(self.value)])
@@ -257,19 +270,16 @@ def fit(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, id_col: str = "d
                 ends = np.cumsum(size)
                 data = np.frombuffer(b"".join(own), np.uint8)
                 weight = batch.column("n").to_numpy().astype(float)
-                word, a, length, opens = stretches(ends - size, ends)
                 for k in range(len(langs)):
-                    for width_lo, width_hi in ((0, 6), (6, 12), (12, WORD)):
-                        take = np.flatnonzero((lang[word] == k) & (length > width_lo) & (length <= width_hi))
-                        if not len(take):
-                            continue
-                        lat = book.lattice(data, a[take], length[take], opens[take])
+                    mine = np.flatnonzero(lang == k)
+                    for own in like_sizes(size[mine]):
+                        take = mine[own]
+                        a, length = (ends - size)[take], size[take]
                         if prob is None:
-                            for row in lat[1:]:
-                                for _, w, piece in row:
-                                    total[:, k] += np.bincount(piece, weight[word[take[w]]], n)
+                            for _, w, piece in book.ending(data, a, length):
+                                total[:, k] += np.bincount(piece, weight[take[w]], n)
                         else:
-                            total[:, k] += expected_counts(lat, length[take], prob[:, k:k + 1], weight[word[take]], n)
+                            total[:, k] += expected_counts(book, data, a, length, prob[:, k], weight[take])
             piece, k = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int32)), pa.array(k.astype(np.int32)), pa.array(total[piece, k])],
                                              names=["piece", "k", "uses"])

@@ -1,4 +1,6 @@
+import functools
 import zlib
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -84,50 +86,70 @@ def test_grams_do_not_depend_on_neighbours():
 
 
 def all_segmentations(word, book, prob):
-    """Probability of a word by plain recursion over its segmentations."""
+    """Logarithm of a word's probability, by recursion over its segmentations
+    into pieces of any length, in decimals that don't underflow."""
     def index(place, piece):
         from adlens.llm.common import slice_hashes
         data = np.frombuffer(piece, np.uint8)
         return int(book.index[place].find(slice_hashes(data, np.array([0]), np.array([len(data)])).view(np.int64))[0])
 
+    @functools.lru_cache(None)
     def rest(at):
         if at == len(word):
-            return 1.0
-        total = 0.0
-        for to in range(at + 1, min(len(word), at + langid.PIECE) + 1):
+            return Decimal(1)
+        total = Decimal(0)
+        for to in range(at + 1, len(word) + 1):
             k = index(0 if at == 0 else 1, word[at:to])
             if k >= 0:
-                total += prob[k] * rest(to)
+                total += Decimal(float(prob[k])) * rest(to)
         return total
 
-    return rest(0)
+    return float(rest(0).ln())
+
+
+LONG_WORDS = ("internationalisierungsbemühungen", "understandingunderstandings", "неопределённостями", "котораякоторыекоторых", "ä" * 40,
+              "donaudampfschifffahrtsgesellschaft" * 3)
 
 
 def test_forward_sums_all_segmentations():
     rank_file = bpe.read_vocabulary(default_vocabulary())
     book = langid.pieces(rank_file)
+    assert book.lengths[-1] > 24
     rng = np.random.default_rng(2)
     prob = rng.random((book.n, 2)) / book.n
     scorer = langid.Scorer(rank_file, prob)
-    for text in ("reading", "für", "straße", "añadir", "zzxqy"):
+    for text in ("reading", "für", "straße", "añadir", "zzxqy", "understanding", *LONG_WORDS):
         got, words = scorer.texts([text])
         assert words[0] == 1
         for k in range(2):
-            assert got[0, k] == pytest.approx(np.log(all_segmentations(text.encode(), book, prob[:, k])), rel=1e-5)
+            assert got[0, k] == pytest.approx(all_segmentations(text.encode(), book, prob[:, k]), rel=1e-5)
+    together, _ = scorer.texts([" ".join(LONG_WORDS), "reading"])
+    assert together[0].tolist() == pytest.approx(sum(scorer.texts([w])[0][0] for w in LONG_WORDS).tolist(), rel=1e-5)
+    endless, _ = langid.Scorer(rank_file, prob).texts(["x" * 20_000])
+    assert np.isfinite(endless).all()
 
 
 def test_expected_counts_add_up():
     book = langid.pieces(bpe.read_vocabulary(default_vocabulary()))
-    data = np.frombuffer(b"readingthe", np.uint8)
-    sizes = np.array([7, 3])
-    lat = book.lattice(data, np.array([0, 7]), sizes, np.array([True, True]))
-    prob = np.full((book.n, 1), 1 / book.n)
-    total = langid.expected_counts(lat, sizes, prob, np.array([1.0, 1.0]), book.n)
+    words = [w.encode() for w in ("reading", "the", *LONG_WORDS)]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    sizes = np.array([len(w) for w in words])
+    starts = np.cumsum(sizes) - sizes
+    rng = np.random.default_rng(5)
+    prob = rng.random(book.n) / book.n
     lengths = np.zeros(book.n)
-    for row in lat[1:]:
-        for length, _, piece in row:
-            lengths[piece] = length
-    assert (total @ lengths) == pytest.approx(10)      # every byte is used once
+    for length, _, piece in book.ending(data, starts, sizes):
+        lengths[piece] = length
+    total = langid.expected_counts(book, data, starts, sizes, prob, np.ones(len(words)))
+    assert (total @ lengths) == pytest.approx(sizes.sum())      # every byte is used once
+    # one word by brute force: the derivative of its total by each piece
+    data, sizes = np.frombuffer(b"theist", np.uint8), np.array([6])
+    total = langid.expected_counts(book, data, np.array([0]), sizes, prob, np.array([2.0]))
+    for piece in np.flatnonzero(total).tolist():
+        more = prob.copy()
+        more[piece] *= 1 + 1e-6
+        slope = (all_segmentations(b"theist", book, more) - all_segmentations(b"theist", book, prob)) / 1e-6
+        assert total[piece] == pytest.approx(2 * slope, rel=1e-3, abs=1e-6)
 
 
 def test_language_on_held_out_documents(documents):

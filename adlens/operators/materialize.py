@@ -24,7 +24,7 @@ from ..session import checkpoint_dir
 # (re-entrant: a build may load the tables it depends on).
 BUILD_LOCK = threading.RLock()
 #: Part of every fingerprint: raise it when a table's build changes.
-BUILD_VERSION = "3"
+BUILD_VERSION = "4"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -92,15 +92,23 @@ def _commit(spark: SparkSession, built: str, path: str) -> None:
         fs.delete(inner, True)
 
 
+def bloom_options(cols: Sequence[str]) -> dict[str, str]:
+    """Parquet writer options: a bloom filter per row group for each column, as
+    large as its distinct values need (up to the format's 1 MB)."""
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in cols} | (
+        {"parquet.bloom.filter.adaptive.enabled": "true"} if cols else {})
+
+
 def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-               partition_by: Sequence[str] = (), schema=None, write: Callable[[DataFrame, str], object] | None = None) -> DataFrame | None:
+               partition_by: Sequence[str] = (), schema=None, blooms: Sequence[str] = (), write: Callable[[DataFrame, str], object] | None = None) -> DataFrame | None:
     """Write ``build()`` to ``path`` unless a committed copy exists; read it back
     (with ``schema`` when given, e.g. to keep partition values as text).
 
     Every writer fills a folder of its own and renames it when it is done, so
     of several applications one copy wins and none deletes what another reads.
-    ``write(df, folder)`` stands in for the parquet writer; nothing is read
-    back then."""
+    ``blooms`` names columns that get a bloom filter a row group, for reads of
+    single keys. ``write(df, folder)`` stands in for the parquet writer;
+    nothing is read back then."""
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df = build()
         own = f"{path}.{uuid.uuid4().hex[:12]}"
@@ -110,7 +118,7 @@ def write_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
             w = df.write
             if partition_by:
                 w = w.partitionBy(*partition_by)
-            w.parquet(own)
+            w.options(**bloom_options(blooms)).parquet(own)
             if schema is None and not partition_by:
                 schema = df.schema   # known: skip the footer-reading job on read-back
         _commit(spark, own, path)

@@ -248,6 +248,25 @@ REGISTRY["read_reviews_product_to"] = _product_read(None, READ_TO)
 REGISTRY["read_reviews_product_range"] = _product_read(READ_FROM, READ_TO)
 
 
+@register("read_reviews_products_named")
+def _read_named(spark, sf):
+    """V16 for keys that come from elsewhere, most of them unknown, at most 20
+    reviews each."""
+    n = F.col("n_nationkey")
+    keys = spark.read.parquet(table_path(sf, "nation")).select(
+        F.concat(F.lit("P"), F.lpad((n * n * 13).cast("string"), 9, "0")).alias("product_id"))
+    return rv.read_reviews_product(rv.load_serving_table(spark, sf, "reviews_by_product"), keys, limit=20)
+
+
+@register("read_users_named")
+def _read_users_named(spark, sf):
+    """W8 for 50 users, most of them unknown: the last three days each."""
+    n = F.col("n_nationkey")
+    keys = spark.read.parquet(table_path(sf, "nation")).select(
+        F.explode(F.array(n, n * 1001)).alias("u")).select(clean.uuid5_key("user", "u").alias("user_id"))
+    return serving.read_user_last_ads(_ad("user_history")(spark, sf), keys, *WINDOW, n=3)
+
+
 @register("read_reviews_product_rating")
 def _read_pr(spark, sf):
     t = rv.load_serving_table(spark, sf, "reviews_by_product_and_rating")

@@ -256,7 +256,7 @@ def _load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False)
             laid = dealt.sortWithinPartitions(*parts, *[F.col(c).desc() if d else F.col(c).asc()
                                                         for c, d in order])
         path = table_root(spark, "ad_tables", fp, name) + (f"-{uuid.uuid4().hex[:8]}" if rebuild else "")
-        _AD_CACHE[ck] = write_once(spark, path, lambda: laid, partition_by=parts,
+        _AD_CACHE[ck] = write_once(spark, path, lambda: laid, partition_by=parts, blooms=[] if parts else [order[0][0]],
                                    schema=table.schema).select(*table.columns)
     return _AD_CACHE[ck]
 

@@ -156,3 +156,39 @@ def test_merge_partitions_replaces_only_touched(spark, tmp_dir):
         assert sorted(map(tuple, got.collect())) == want
         assert files("2024-01") == before
     assert len(files("2024-02")) == 1
+
+
+def _rows_scanned(df):
+    """Rows that the file scan handed on."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_unknown_keys_skip_row_groups(spark, tmp_dir):
+    from adlens.operators.materialize import write_once
+    from adlens.operators.topn import keyed_read, named_in_scan, short_keys
+    # keys in no order: a row group's least and greatest key say nothing
+    table = spark.range(0, 400_000, 2, 1).selectExpr("sha1(CAST(id AS STRING)) AS k", "id AS v").repartition(2, "v")
+    with_bloom = write_once(spark, f"{tmp_dir}/a", lambda: table, blooms=["k"])
+    without = write_once(spark, f"{tmp_dir}/b", lambda: table)
+    unknown = spark.range(1, 20, 2).selectExpr("sha1(CAST(id AS STRING)) AS k")
+    assert _rows_scanned(named_in_scan(with_bloom, ["k"], short_keys(unknown, ["k"]))) == 0
+    assert _rows_scanned(named_in_scan(without, ["k"], short_keys(unknown, ["k"]))) == 200_000
+    some = unknown.unionByName(spark.range(0, 6, 2).selectExpr("sha1(CAST(id AS STRING)) AS k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    for t in (with_bloom, without):
+        got = keyed_read(t, some, ["k"], [F.col("v")], 5)
+        assert sorted(r.v for r in got.collect()) == [0, 2, 4]
+    many = spark.range(0, 1000).selectExpr("sha1(CAST(id AS STRING)) AS k")
+    assert keyed_read(with_bloom, many, ["k"], [F.col("v")], 5).count() == 500
+    assert keyed_read(with_bloom, many.limit(0), ["k"], [F.col("v")]).count() == 0
+    two = spark.createDataFrame([(some.first().k, 1), (table.where("v = 4").first().k, 4)], "k string, v long")
+    assert [r.v for r in keyed_read(with_bloom, two, ["k", "v"], [F.col("v")], 5).collect()] == [4]
+
+
+def test_limits_bite_per_key(spark):
+    from adlens.operators.topn import keyed_read
+    table = spark.range(0, 1000).selectExpr("id % 3 AS k", "id AS v")
+    keys = spark.createDataFrame([(0,), (2,), (9,)], "k long")
+    got = keyed_read(table, keys, ["k"], [F.col("v").desc()], 4).collect()
+    assert sorted((r.k, r.v) for r in got) == [(0, v) for v in (990, 993, 996, 999)] + [(2, v) for v in (989, 992, 995, 998)]

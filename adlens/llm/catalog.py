@@ -20,4 +20,4 @@ QUERIES = {
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op11_mixing": mixing.ORACLE, "op13_vector_codes": vector_codes.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op3_ngram_join": ngram_join.ORACLE, "op11_mixing": mixing.ORACLE, "op13_vector_codes": vector_codes.ORACLE}

@@ -514,3 +514,23 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(read_documents(spark, sf_dir))
+
+
+ORACLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM t, range(1, greatest(len(w) - 3, 2)) AS r(i) WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT u, v FROM (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN size x ON x.doc_id = u JOIN size y ON y.doc_id = v WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM t
+  UNION
+  SELECT doc_id, v AS r FROM reach JOIN link ON u = r)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""

@@ -225,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
             found += [np.array(x, np.int32) for x in frame.found]
         order = np.argsort(np.array(ids, np.int64), kind="stable").tolist()
         w, bias = dual_coordinate_descent([found[k] for k in order], scale.value, np.array([1.0 if own[k] == 1 else -1.0 for k in order]))
-        w = INTERPOLATION * w + (1 - INTERPOLATION) * np.abs(w).mean() * np.sign(w)
+        w = INTERPOLATION * w + (1 - INTERPOLATION) * np.abs(w).mean()      # an even weight: the ratios' own direction
         yield pd.DataFrame({"w": [w * scale.value], "bias": [bias]})
 
     # one task: the descent goes through the sample row by row

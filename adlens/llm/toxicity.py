@@ -29,8 +29,8 @@ from .common import (bounded_sample, cut, held_out, join_texts, may_learn, mix64
 #: Labelled rows that are learnt from, about, at most.
 SAMPLE = 40_000
 #: A term is used in this many contexts of toxic documents at least, and this
-#: many times as often there as in clean ones. TERMS bounds the lexicon.
-LEAST_CONTEXTS, LEAST_RATIO, TERMS = 6, 8.0, 4096
+#: many times as often there as in clean ones. The sample bounds the lexicon.
+LEAST_CONTEXTS, LEAST_RATIO = 6, 8.0
 #: Terms of this many letters or more are found within one edit, and, in a
 #: lexicon with a growing bound, of this many or more within two.
 FUZZY_FROM, TWO_FROM = 4, 7
@@ -397,7 +397,7 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", te
     ratio = ((F.col("toxic") + 0.5) / total[0]) / ((F.col("clean") + 0.5) / total[1])
     rated = seen.withColumn("ratio", ratio)
     top = (rated.filter((F.col("toxic") >= LEAST_CONTEXTS) & (F.col("ratio") >= LEAST_RATIO))
-           .orderBy(F.col("toxic").desc(), "word").limit(TERMS).toPandas())      # TERMS rows
+           .orderBy(F.col("toxic").desc(), "word").toPandas())      # terms of the bounded sample
     terms = dict(zip(top.word, np.log(top.ratio), strict=True))
     lexicon = Lexicon(terms, set(), growing=True)
     shared = docs.sparkSession.sparkContext.broadcast(terms)
@@ -413,7 +413,7 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", te
                 f = f[np.array([own.match(w)[0] > 0 and w not in own.terms for w in f.word], bool)]
             yield f[["word"]]
 
-    # words near a term that clean documents use as readily: at most a few per term
+    # words near a term that clean documents of the bounded sample use as readily
     common = rated.filter((F.col("clean") > 0) & (F.col("ratio") < LEAST_RATIO)).select("word")
     lexicon.exceptions |= set(common.mapInPandas(clean_variants, "word string").toPandas().word)
     return lexicon

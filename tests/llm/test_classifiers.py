@@ -82,6 +82,30 @@ def test_grams_do_not_depend_on_neighbours():
     assert all((quality.features([t])[0] == r).all() for t, r in zip(texts, all_, strict=True))
 
 
+def test_quality_fit_against_a_dense_one(spark, sf_docs):
+    """Ratios, hinge solution and interpolation from dense matrices: counts by
+    adding rows, the dual problem by projected gradient steps."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    own = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None and not is_held_out(r.doc_id)}
+    rows = sorted((r.doc_id, r.text) for r in sf_docs.collect() if r.doc_id in own)
+    x, y = quality.features([t or "" for _, t in rows]), np.array([own[d] for d, _ in rows])
+    pos, neg = 1.0 + x[y == 1].sum(0), 1.0 + x[y == 0].sum(0)
+    ratio = np.where(x.any(0), np.log(pos / pos.sum()) - np.log(neg / neg.sum()), 0.0)
+    z, sign = x[:, x.any(0)] * ratio[x.any(0)], 2.0 * y - 1
+    q = (z @ z.T + 1.0) * sign[:, None] * sign[None, :]
+    alpha, step = np.zeros(len(y)), 1.0 / np.linalg.eigvalsh(q)[-1]
+    for _ in range(20_000):
+        alpha = np.clip(alpha - step * (q @ alpha - 1.0), 0.0, quality.COST)
+    dense = np.zeros(x.shape[1])
+    dense[x.any(0)] = (alpha * sign) @ z
+    want = (quality.INTERPOLATION * dense + (1 - quality.INTERPOLATION) * np.abs(dense).mean()) * ratio
+    w, bias, slope, offset = quality.fit(sf_docs, labels)
+    assert np.abs(w - want).max() <= 0.02 * np.abs(want).max() and bias == pytest.approx((alpha * sign).sum(), abs=0.02)
+    margin = x @ want + bias
+    assert slope > 0 and np.corrcoef(slope * margin + offset, y)[0, 1] > 0.8
+    assert (np.sign(want[ratio != 0]) == np.sign(ratio[ratio != 0])).mean() > 0.9     # the ratios' own direction
+
+
 # ---- language -------------------------------------------------------------------
 
 

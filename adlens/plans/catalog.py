@@ -105,7 +105,8 @@ def _ad(name):
 
 
 REGISTRY["serve_campaign_performance"] = _ad("campaign_performance")
-REGISTRY["serve_campaign_performance_daily"] = lambda spark, sf: serving.campaign_performance_daily(load_star(spark, sf))
+REGISTRY["serve_campaign_performance_daily"] = lambda spark, sf: serving.campaign_performance_daily(
+    load_star(spark, sf), _ad("campaign_days")(spark, sf))
 REGISTRY["serve_advertisers"] = _ad("advertisers")
 REGISTRY["serve_user_history"] = lambda spark, sf: serving.user_history_rows(load_star(spark, sf)).drop("event_id")
 REGISTRY["upsert_user_history"] = _ad("user_history")

@@ -9,6 +9,8 @@ Reads are batch forms: a keys frame is semi-joined and a per-key limit taken.
 
 from __future__ import annotations
 
+from inspect import signature
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +19,20 @@ from ..operators.materialize import BUILD_LOCK
 from ..operators.star import Star
 from ..operators.topn import check_period, keyed_read
 from ..operators.upsert import upsert
-from .periods import campaign_days, running
-from .reports import fact_by
+from . import periods
+from .periods import added, campaign_days, running
+
 
+def _added(star: Star, keys: list[str], days: DataFrame | None) -> DataFrame:
+    """Sums per ``keys`` (``campaign_id``, ``mnth``) from the (campaign, day)
+    aggregate, which is made here unless ``days`` has it stored."""
+    days = campaign_days(star.fact_event) if days is None else days
+    return added(days.withColumn("mnth", clean.month_key(F.col("day").cast("timestamp_ntz"))), keys)
 
-def campaign_performance(star: Star) -> DataFrame:
+
+def campaign_performance(star: Star, days: DataFrame | None = None) -> DataFrame:
     """Impressions, clicks and CTR (0 when no events) per campaign name, all time."""
-    agg = fact_by(star.fact_event, ["campaign_id"])
-    j = star.dim_campaign.select("campaign_id", "name").join(agg, "campaign_id", "left")
+    j = star.dim_campaign.select("campaign_id", "name").join(_added(star, ["campaign_id"], days), "campaign_id", "left")
     g = j.groupBy(F.col("name").alias("campaign_name")).agg(
         F.coalesce(F.sum("impressions"), F.lit(0)).alias("total_impressions"),
         F.coalesce(F.sum("clicks"), F.lit(0)).cast("bigint").alias("total_clicks"))
@@ -32,26 +40,19 @@ def campaign_performance(star: Star) -> DataFrame:
             .withColumn("ctr", clean.safe_ratio("total_clicks", "total_impressions", zero_if_null=True)))
 
 
-def campaign_performance_daily(star: Star) -> DataFrame:
+def campaign_performance_daily(star: Star, days: DataFrame | None = None) -> DataFrame:
     """W1 as its title says: per campaign name and event day."""
-    agg = fact_by(star.fact_event.withColumn("event_date", F.to_date("timestamp")),
-                  ["campaign_id", "event_date"])
-    j = agg.join(star.dim_campaign.select("campaign_id", "name"), "campaign_id")
-    g = j.groupBy(F.col("name").alias("campaign_name"), "event_date").agg(
+    days = campaign_days(star.fact_event) if days is None else days
+    j = days.join(star.dim_campaign.select("campaign_id", "name"), "campaign_id")
+    g = j.groupBy(F.col("name").alias("campaign_name"), F.col("day").alias("event_date")).agg(
         F.sum("impressions").alias("total_impressions"),
         F.sum("clicks").cast("bigint").alias("total_clicks"))
     return g.withColumn("ctr", clean.safe_ratio("total_clicks", "total_impressions", zero_if_null=True))
 
 
-def advertisers_by_month(star: Star) -> DataFrame:
+def advertisers_by_month(star: Star, days: DataFrame | None = None) -> DataFrame:
     """Spend of clicked events per (month, advertiser)."""
-    f = star.fact_event.withColumn("mnth", clean.month_key("timestamp"))
-    agg = fact_by(f, ["campaign_id", "mnth"], only_clicked=True)
-    j = (agg.join(star.dim_campaign.select("campaign_id", "advertiser_id"), "campaign_id")
-         .join(star.dim_advertiser.select("advertiser_id", F.col("name").alias("advertiser_name")),
-               "advertiser_id"))
-    g = j.groupBy("mnth", "advertiser_name").agg(F.sum("cost").cast("double").alias("total_spend"))
-    return g.where(F.col("mnth").isNotNull() & F.col("total_spend").isNotNull())
+    return periods.advertisers_by_month(campaign_days(star.fact_event) if days is None else days, star)
 
 
 def user_history_rows(star: Star) -> DataFrame:
@@ -91,15 +92,14 @@ def most_active_users(star: Star) -> DataFrame:
         "total_clicks")
 
 
-def advertisers_by_region(star: Star, trim_keys: bool = False) -> DataFrame:
+def advertisers_by_region(star: Star, trim_keys: bool = False, days: DataFrame | None = None) -> DataFrame:
     """Spend per (month, advertiser, targeting country), all events.
 
     Targeting joins on campaign only (the source's fan-out): the per
     (campaign, month) cost is multiplied by the number of targeting rows of
     that campaign in each country instead of repeating raw events.
     """
-    f = star.fact_event.withColumn("mnth", clean.month_key("timestamp"))
-    agg = fact_by(f, ["campaign_id", "mnth"])
+    agg = _added(star, ["campaign_id", "mnth"], days)
     country = clean.trim_dim("country") if trim_keys else F.col("country")
     tcount = (star.dim_targeting.groupBy("campaign_id", country.alias("country"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
@@ -152,15 +152,14 @@ def read_top_advertisers_country(by_region: DataFrame, month: str, country: str,
 
 # ---- keyed lookups (L1-L3) ----------------------------------------------------
 
-def campaign_stats(star: Star) -> DataFrame:
+def campaign_stats(star: Star, days: DataFrame | None = None) -> DataFrame:
     """Per-campaign impressions, clicks and cost (the lookup table of L1)."""
-    return fact_by(star.fact_event, ["campaign_id"]).select("campaign_id", "impressions", "clicks", "cost")
+    return _added(star, ["campaign_id"], days).select("campaign_id", "impressions", "clicks", "cost")
 
 
-def advertiser_spend(star: Star) -> DataFrame:
+def advertiser_spend(star: Star, days: DataFrame | None = None) -> DataFrame:
     """Per-advertiser cost over its campaigns (the lookup table of L2)."""
-    agg = fact_by(star.fact_event, ["campaign_id"])
-    return (star.dim_campaign.select("campaign_id", "advertiser_id").join(agg, "campaign_id", "left")
+    return (star.dim_campaign.select("campaign_id", "advertiser_id").join(_added(star, ["campaign_id"], days), "campaign_id", "left")
             .groupBy("advertiser_id").agg(F.sum("cost").alias("cost")))
 
 
@@ -203,12 +202,16 @@ def user_engagement_lookup(star: Star, keys: DataFrame, slots: DataFrame | None
 
 # ---- materialised serving tables ----------------------------------------------
 
-def _by_region_trimmed(star: Star) -> DataFrame:
-    return advertisers_by_region(star, trim_keys=True)
+def _by_region_trimmed(star: Star, days: DataFrame | None = None) -> DataFrame:
+    return advertisers_by_region(star, True, days)
+
+
+def _days(star: Star) -> DataFrame:
+    return campaign_days(star.fact_event)
 
 
-def _running_days(star: Star) -> DataFrame:
-    return running(campaign_days(star.fact_event))
+def _running_days(star: Star, days: DataFrame | None = None) -> DataFrame:
+    return running(_days(star) if days is None else days)
 
 
 # name -> (builder, clustering order, partition columns). Partition columns are
@@ -224,6 +227,7 @@ AD_TABLES = {
                                        ["mnth", "country"]),
     # keyed lookup tables (the source's per-request queries behind a cache)
     "campaign_stats": (campaign_stats, [("campaign_id", False)], []),
+    "campaign_days": (_days, [("campaign_id", False), ("day", False)], []),
     "campaign_running": (_running_days, [("campaign_id", False), ("day", False)], []),
     "advertiser_spend": (advertiser_spend, [("advertiser_id", False)], []),
     "user_clicked_slots": (user_clicked_slots, [("user_id", False)], []),
@@ -251,7 +255,9 @@ def _load_ad_serving_table(spark, sf_dir: str, name: str, rebuild: bool = False)
             table = build(star, layout_partitions=int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
             laid = table
         else:
-            table = build(star)
+            # all that adds up campaign days starts from the stored aggregate
+            stored = "days" in signature(build).parameters
+            table = build(star, days=_load_ad_serving_table(spark, sf_dir, "campaign_days")) if stored else build(star)
             dealt = table.hint("rebalance", *[F.col(c) for c in parts]) if parts else table
             laid = dealt.sortWithinPartitions(*parts, *[F.col(c).desc() if d else F.col(c).asc()
                                                         for c, d in order])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,15 @@ def few(df: DataFrame) -> DataFrame:
     return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of what finished steps left behind. Spark removes shuffle files,
+    broadcasts and checkpoints, and the driver its plans and compiled classes,
+    only once the driver's garbage is collected, which a job of many small
+    rounds may not bring about by itself."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows up to which ``join_small`` broadcasts its smaller side.
 SMALL_ROWS = 1 << 16
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, few
+from .common import cut, few, tidy
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,6 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(few(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()))
     while not _settled(now):
         now = cut(_star(_star(now, True), False))
+        tidy(now.sparkSession)
     # stars now: every node but the least points at it
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

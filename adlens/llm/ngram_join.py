@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dense_id import with_dense_id
-from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
+from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks, tidy,
                      unused_name, word_slices)
 from .components import components, extended
 
@@ -419,6 +419,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     first = cut(few(close))
     comps = components(verified(first, _sets_for(texts, first)))
 
+    tidy(docs.sparkSession)
+
     # then, in the groups that hold several components, every member tries the
     # nearest of another component, as long as that links many
     tried, live = first, None
@@ -434,7 +436,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         new = cut(verified(tests, _sets_for(texts, tests)))
         tried = few(tried.unionByName(chosen))
         comps = extended(comps, new)
-        if new.count() < WORTHWHILE * n_tests:
+        n_new = new.count()
+        del members, chosen, tests, new
+        tidy(docs.sparkSession)
+        if n_new < WORTHWHILE * n_tests:
             break
     # what is left: all pairs across components
     if n_tests:
@@ -443,6 +448,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         rest = cut(few(rest.join(done, ["u", "v"], "left_anti")))
         comps = extended(comps, verified(rest, _sets_for(texts, rest)))
+        tidy(docs.sparkSession)
 
     reps = (classes.select("k1", "k2", "n", "rep").join(comps, F.col("rep") == F.col("node"), "left")
             .select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id")))
@@ -501,6 +507,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts the one with the least id (null ids last; ties: the least SHA-256),
     with its repetitions. Texts are told apart even where they share an id or
     have none; texts without words stay."""
+    tidy(docs.sparkSession)
     own = _own_ids(docs, id_col, text_col)
     found = similar_components(own, "own_id").select(F.col("doc_id").alias("own_id"), "component_id")
     linked = cut(own.select("own_id", "doc_id", "digest").distinct().join(found.distinct(), "own_id"))

@@ -170,8 +170,9 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review-stream rows before JSON encoding, one per event; texts
     are dealt out in turn."""
     e = read_table(spark, sf_dir, "events")
-    d = with_dense_id(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], "turn")
-    j = e.join(d, e.event_id % F.lit(max(1, d.count())) + 1 == d.turn)
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    turns = with_dense_id(d.select("doc_id"), ["doc_id"], "turn")        # ids may have gaps
+    j = e.join(turns, e.event_id % F.lit(max(1, turns.count())) + 1 == turns.turn).join(d, "doc_id")
     return j.select(
         F.col("event_id").cast("string").alias("message_key"),
         F.col("user_id"),

@@ -35,10 +35,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few_partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+
+
 def few(df: DataFrame) -> DataFrame:
     """A sixteenth of the shuffle partitions, for tables far smaller than the
     texts (links, components): fewer and larger shuffle files."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16))
+    return df.coalesce(few_partitions(df))
 
 
 def tidy(spark: SparkSession) -> None:

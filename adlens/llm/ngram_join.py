@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dense_id import with_dense_id
-from .common import (cut, few, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks, tidy,
+from .common import (cut, few, few_partitions, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks, tidy,
                      unused_name, word_slices)
 from .components import components, extended
 
@@ -293,7 +293,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("rep").alias("v"), F.col("shingles").alias("b"))
     both = pairs.join(left, "u").join(right, "v").select(
         "u", "v", F.size(F.array_intersect("a", "b")).alias("common"), (F.size("a") + F.size("b")).alias("sizes"))
-    return both.filter("100L * common >= 80L * (sizes - common)").select("u", "v")
+    found = both.filter("100L * common >= 80L * (sizes - common)").select("u", "v")
+    # links are few: shuffled, not coalesced, so that the sets are still compared in all partitions
+    return found.repartition(few_partitions(found))
 
 
 def folded(parts: list[np.ndarray], words: np.ndarray) -> np.ndarray:
@@ -428,6 +430,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         members = _open_members(shared, classes, comps, tried, live)
         chosen = (cross_pairs(members, nearest=True).groupBy("u").agg(F.min_by("v", F.struct("differ", "v")).alias("v")))
         chosen = cut(few(chosen))
+        del members
+        tidy(docs.sparkSession)
         live = chosen.select(F.col("u").alias("rep"))      # who found nobody never will: links and trials only grow
         tests = cut(few(chosen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
         n_tests = tests.count()
@@ -437,7 +441,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         tried = few(tried.unionByName(chosen))
         comps = extended(comps, new)
         n_new = new.count()
-        del members, chosen, tests, new
+        del chosen, tests, new
         tidy(docs.sparkSession)
         if n_new < WORTHWHILE * n_tests:
             break
@@ -447,6 +451,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         done = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         rest = cut(few(rest.join(done, ["u", "v"], "left_anti")))
+        tidy(docs.sparkSession)
         comps = extended(comps, verified(rest, _sets_for(texts, rest)))
         tidy(docs.sparkSession)
 

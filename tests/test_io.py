@@ -136,3 +136,27 @@ def test_compact_splits_a_busy_minute(spark, tmp_dir):
     files = [f for f in os.listdir(f"{tmp_dir}/out/minute=01_01_2024_10_00") if f.endswith(".csv")]
     assert 2 <= len(files) <= 4   # 4 salts, hashed over the shuffle partitions
     assert spark.read.option("header", True).csv(f"{tmp_dir}/out").count() == 1000
+
+
+def test_written_documents_are_packed(spark, tmp_dir):
+    docs = spark.createDataFrame([(i, [("text " * 20 + str(i), 1.5)] * 200) for i in range(5)],
+                                 "id int, parts array<struct<t: string, x: double>>").coalesce(1)
+    assert io.write_documents(docs, f"{tmp_dir}/d", "json", "append") == 5
+    assert io.write_documents(docs, f"{tmp_dir}/d", "json", "append") == 5
+    files = [f for f in os.listdir(f"{tmp_dir}/d") if f.startswith("part-")]
+    assert len(files) == 2 and all(f.endswith(".json.gz") for f in files)
+    assert sum(os.path.getsize(f"{tmp_dir}/d/{f}") for f in files) < 20_000       # 1.1 MB as text
+    back = io.read_documents(spark, f"{tmp_dir}/d", docs.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, docs.union(docs).collect()))
+
+
+def test_texts_without_line_breaks_are_left_as_they_are(spark):
+    from adlens.functions import clean
+    texts = ["plain", "", None, "\\", "a\nb", "a\rb", "a\0b", "\\n", "\\\\s", "\n\r\0\\"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = df.select(clean.one_record("t").alias("one"), clean.whole_text(clean.one_record("t")).alias("whole"))
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "Contains" in plan                             # looked at before they are rewritten
+    rows = both.collect()
+    assert [r.whole for r in rows] == texts
+    assert not [r.one for r in rows if r.one and set(r.one) & set("\n\r\0")]

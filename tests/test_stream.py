@@ -194,3 +194,33 @@ def test_counted_batches_restart_and_repeat(spark, tmp_dir):
         msg.merge_minute_counts(again, batch, counts, fold_every=5)
         assert {r.minute: r.n_rows for r in msg.read_minute_counts(spark, counts).collect()} == want
     assert msg.read_minute_counts(spark, os.path.join(tmp_dir, "none")).count() == 0
+
+
+def test_topic_files_are_packed_and_bounded(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(msg, "FILE_MESSAGES", 2)
+    rows = [(str(i), _m(i + 1, "2024-01-01T10:00:01+00:00", "line\nbreak \\ é")) for i in range(5)]
+    msg.write_messages(spark.createDataFrame(rows, "key string, value string").coalesce(1), f"{tmp_dir}/topic")
+    files = [f for f in os.listdir(f"{tmp_dir}/topic") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)
+    topic = msg.read_topic(spark, f"{tmp_dir}/topic")
+    assert sorted(map(tuple, topic.collect())) == [(int(k), k, v) for k, v in rows]
+    assert msg.topic_count(topic).first().n_messages == 5
+    stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, f"{tmp_dir}/topic", max_per_trigger=1)))
+    for q in msg.write_minute_files(stream, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", rejects_dir=f"{tmp_dir}/rejects"):
+        q.awaitTermination()
+    found = [f for _, _, names in os.walk(f"{tmp_dir}/out") for f in names if f.startswith("part-")]
+    assert found and all(f.endswith(".csv.gz") for f in found)
+    assert msg.read_minute_files(spark, f"{tmp_dir}/out").count() == 5
+
+
+def test_texts_meet_events_by_one_shuffle_at_every_size(spark, tmp_dir):
+    from adlens.sources import fixtures
+    docs = [(4, "a"), (9, "b"), (9, "c"), (12, None)]          # gaps, a repeated id, no text
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    events = spark.range(8).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 10:00:00' as ts", "id as user_id", "'{\"k\": 7}' as props")
+    events.write.parquet(f"{tmp_dir}/events.parquet")
+    tweets = fixtures.tweets(spark, tmp_dir)
+    assert "SortMergeJoin" in _plan(tweets) and "BuildLeft" not in _plan(tweets)
+    got = sorted((int(r.message_key), r.review_body or "") for r in tweets.collect())
+    turns = [["a"], ["b", "c"], ["b", "c"], [""]]              # both rows of a repeated id, at each of its turns
+    assert got == sorted((i, t) for i in range(8) for t in turns[i % 4])

@@ -213,6 +213,14 @@ def test_topic_files_are_packed_and_bounded(spark, tmp_dir, monkeypatch):
     assert msg.read_minute_files(spark, f"{tmp_dir}/out").count() == 5
 
 
+def test_peek_does_not_sort_the_topic(spark):
+    rows = [(i, str(i), _m(i, "2024-01-01T10:00:01+00:00", f"t{i}")) for i in (5, 3, 9, 1, 7)]
+    first = msg.topic_peek(spark.createDataFrame(rows, "offset bigint, key string, value string"), 3)
+    fields = first.select("offset", F.from_json("value", msg.MESSAGE_SCHEMA).alias("m")).select("offset", "m.*")
+    assert "TakeOrderedAndProject" in _plan(fields) and "rangepartitioning" not in _plan(fields)
+    assert [(r.offset, r.text) for r in fields.collect()] == [(1, "t1"), (3, "t3"), (5, "t5")]
+
+
 def test_texts_meet_events_by_one_shuffle_at_every_size(spark, tmp_dir):
     from adlens.sources import fixtures
     docs = [(4, "a"), (9, "b"), (9, "c"), (12, None)]          # gaps, a repeated id, no text

@@ -196,6 +196,16 @@ def test_counted_batches_restart_and_repeat(spark, tmp_dir):
     assert msg.read_minute_counts(spark, os.path.join(tmp_dir, "none")).count() == 0
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_message_is_parsed_once(spark):
+    cleaned = msg.clean_messages(spark.createDataFrame([(v,) for v in GOOD], "value string"))
+    assert _plan(cleaned).count("parseJson") == 1
+    assert "regexp" not in _plan(cleaned)
+
+
 def test_topic_files_are_packed_and_bounded(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(msg, "FILE_MESSAGES", 2)
     rows = [(str(i), _m(i + 1, "2024-01-01T10:00:01+00:00", "line\nbreak \\ é")) for i in range(5)]

@@ -21,7 +21,7 @@ import unicodedata
 
 import numpy as np
 
-from .common import ragged_arange, slice_hashes
+from .common import kept, ragged_arange, slice_hashes
 
 # ---- pre-tokens --------------------------------------------------------------
 
@@ -163,7 +163,7 @@ def pretoken_starts(cps: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 #: New slices are merged together up to this many bytes; longer ones singly.
 MATRIX_WIDTH = 48
 #: Slices kept by a worker; beyond it the store starts anew.
-CACHE_SLICES = 1_500_000
+CACHE_SLICES = 1_000_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -459,14 +459,8 @@ class Encoder:
         return self.blob[np.repeat(self.token_at[ids], lengths) + ragged_arange(lengths)]
 
 
-_encoders: dict[bytes, Encoder] = {}
-
-
 def encoder(rank_file: bytes, added: dict[str, int] | None = None) -> Encoder:
     """The worker's encoder for this vocabulary (its kept slices live on from
     task to task in a reused Python worker)."""
     key = hashlib.sha256(rank_file + json.dumps(added or {}, sort_keys=True).encode()).digest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(rank_file, added)
-    return _encoders[key]
+    return kept(key, lambda: Encoder(rank_file, added))

@@ -16,6 +16,9 @@ from ..session import checkpoint_dir
 #: Bytes of text that one vectorised step works on; bounds a task's memory
 #: whatever the size of the Arrow batch (a longer document is one step).
 BLOCK_BYTES = 1 << 21
+#: The same for steps whose arrays take many times the text. A worker keeps the
+#: room of its largest step for all stages of a job.
+STEP_BYTES = 1 << 19
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -121,6 +124,30 @@ def text_blocks(batch: pa.RecordBatch, column: str = "text",
         start, base = stop, int(ends[stop - 1])
 
 
+_kept: dict = {}
+
+
+def kept(key, make):
+    """What ``make`` returns, made once in a worker for all tasks with this
+    key. A reused worker holds one such thing at a time: that of a finished
+    stage goes when the next stage's is made."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def text_steps(texts: list[str], limit: int = STEP_BYTES) -> Iterator[list[str]]:
+    """The texts in stretches of at most ``limit`` code points (or one text)."""
+    ends = np.cumsum([len(t) for t in texts])
+    start = 0
+    while start < len(texts):
+        base = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield texts[start:stop]
+        start = stop
+
+
 def ragged_arange(lengths: np.ndarray) -> np.ndarray:
     """0..n-1 for every n in ``lengths``, one after the other."""
     total = int(lengths.sum())

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTER, HashIndex, _class_table, parse_ranks, read_vocabulary
 from .bpe_codec import default_vocabulary
-from .common import cut, held_out, may_learn, read_documents, slice_hashes, text_blocks
+from .common import STEP_BYTES, cut, held_out, kept, may_learn, read_documents, slice_hashes, text_blocks
 
 #: Documents of each language that are learnt from, about, at most.
 SAMPLE = 2_000
@@ -218,9 +218,6 @@ class Scorer:
         return out, np.bincount(doc, minlength=len(texts))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def fit(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, probability by piece and language), learnt from the rows
@@ -242,7 +239,7 @@ def fit(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, id_col: str = "d
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_blocks(batch):
+            for part, texts in text_blocks(batch, limit=STEP_BYTES):
                 data, a, b, doc = words_of(texts)
                 raw = data.tobytes()
                 frame = pd.DataFrame({"lang": np.array(part.column("lang").to_pylist(), object)[doc],
@@ -307,11 +304,8 @@ def _identifier(docs: DataFrame, vocabulary: str | None, sample: int, id_col: st
         if not langs:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         rank_file, raw, shape = model.value
-        key = hash(raw)
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(rank_file, np.frombuffer(raw).reshape(shape))
-        value, words = _scorers[key].texts(texts)
+        scorer = kept(hash(raw), lambda: Scorer(rank_file, np.frombuffer(raw).reshape(shape)))
+        value, words = scorer.texts(texts)
         post = 1 / np.exp(value - value.max(1, keepdims=True)).sum(1)
         post[words == 0] = 0.0
         return [langs[b] if w else UNKNOWN for b, w in zip(value.argmax(1), words, strict=True)], post
@@ -328,7 +322,7 @@ def identify(docs: DataFrame, vocabulary: str | None = None, sample: int = SAMPL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_blocks(batch):
+            for part, texts in text_blocks(batch, limit=STEP_BYTES):
                 pred, post = predict(texts)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(pred, pa.string()), pa.array(post)],
                                                  names=["doc_id", "lang_pred", "score"])
@@ -346,7 +340,7 @@ def keep_identified(docs: DataFrame, vocabulary: str | None = None, sample: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in text_blocks(batch, text_col):
+            for part, texts in text_blocks(batch, text_col, STEP_BYTES):
                 pred, post = predict(texts)
                 yield part.filter(pa.array([p != UNKNOWN and x >= least for p, x in zip(pred, post, strict=True)], pa.bool_()))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, added_tokens, encoder, read_vocabulary
-from .common import read_documents, text_blocks
+from .common import read_documents, text_blocks, text_steps
 
 CONTEXT = 2048
 #: Id that ends every document.
@@ -83,7 +83,8 @@ class Packer:
         self.size = 0
 
     def add(self, doc_ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        ids, counts = self.enc.encode(texts)
+        coded = [self.enc.encode(own) for own in text_steps(texts)]
+        ids, counts = (np.concatenate(x) for x in zip(*coded, strict=True))
         ends = np.cumsum(counts + 1) - 1
         line = np.full(len(ids) + len(texts), self.end_id, np.int32)
         inner = np.ones(len(line), bool)

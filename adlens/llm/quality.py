@@ -21,15 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import LETTER, NUMBER, _class_table
-from .common import (bounded_sample, cut, held_out, join_texts, lower_bytes, may_learn, mix64, of_text, read_documents,
-                     read_labels, slice_hashes, text_blocks, word_slices)
+from .common import (STEP_BYTES, bounded_sample, cut, held_out, join_texts, lower_bytes, may_learn, mix64, of_text,
+                     read_documents, read_labels, slice_hashes, text_blocks, word_slices)
 
 #: n-grams are hashed to this many features.
 FEATURES = 1 << 18
 #: Labelled rows that are learnt from, about, at most (see ``bounded_sample``).
 SAMPLE = 12_000
-#: Bytes of text that n-grams are made of in one step (or one longer document).
-STEP_BYTES = 1 << 19
 #: Weight of the log-count ratios' own direction left in the model, and the
 #: cost of a margin error.
 INTERPOLATION, COST, EPOCHS = 0.25, 0.1, 12

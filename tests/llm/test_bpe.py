@@ -1,6 +1,8 @@
 import base64
+import gc
 import hashlib
 import random
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from adlens.llm import bpe, bpe_codec, packing, token_counts
+from adlens.llm.common import STEP_BYTES, kept
 
 MULTI = P.path("byte_bpe_multi_50k.tiktoken")
 PARTS = ["'s", "'t", "'re", "'ll", " ", "  ", "\n", "\t", "a", "B", "é", "1", "२", "!", "'", "''", "漢字", "😀", "ing", "  \n ", "\r\n",
@@ -160,6 +163,40 @@ def test_added_tokens_are_one_id(spark):
     assert few.encode(["xabcab"])[0].tolist()[1:] == [50257, 50256]
 
 
+def test_packer_encodes_in_small_steps():
+    """One block of text is not encoded at once: its arrays take many times the text."""
+    class Watched(bpe.Encoder):
+        def encode(self, texts):
+            steps.append(sum(map(len, texts)))
+            return super().encode(texts)
+
+    steps, path = [], P.path("byte_bpe_50k.json")
+    texts = ["", *(f"Document {k} has its words. " * 4000 for k in range(20)), "long " * 200_000, "", "end"]
+    enc = Watched(bpe.read_vocabulary(path))
+    packer = packing.Packer(enc, packing.CONTEXT, packing.END_ID, 0)
+    rows = [r for b in [*packer.add(list(range(len(texts))), texts), packer.solve(True)] for r in b.to_pylist()]
+    assert sorted(steps)[-2] <= STEP_BYTES < len(texts[-3]) == max(steps) and sum(steps) == sum(map(len, texts))
+    ids, counts = enc.encode(texts)
+    lengths = Counter()
+    for r in rows:
+        own = split(ids, counts)[r["doc_id"]] + [packing.END_ID] if r["doc_id"] in (0, 1, 21, 23) else None
+        if own:
+            piece = np.array(own[r["start"]:r["start"] + r["length"]], "<u4")
+            assert (len(piece), zlib.crc32(piece), len(own)) == (r["length"], r["ids_crc32"], r["doc_tokens"])
+        lengths[r["doc_id"]] += r["length"]
+    assert [lengths[k] for k in range(len(texts))] == (counts + 1).tolist()
+
+
+def test_worker_lets_go_of_a_finished_stages_tables():
+    first = bpe.encoder(bpe.read_vocabulary(MULTI))
+    assert bpe.encoder(bpe.read_vocabulary(MULTI)) is first
+    gone = weakref.ref(first)
+    del first
+    assert kept("the next stage's", lambda: 5) == kept("the next stage's", lambda: 6) == 5
+    gc.collect()
+    assert gone() is None
+
+
 def test_cuts_are_optimal():
     rng = random.Random(7)
 

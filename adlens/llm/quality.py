@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import LETTER, NUMBER, _class_table
-from .common import (STEP_BYTES, bounded_sample, cut, held_out, join_texts, lower_bytes, may_learn, mix64, of_text,
+from .common import (STEP_BYTES, bounded_sample, cut, distinct, held_out, join_texts, lower_bytes, may_learn, mix64, of_text,
                      read_documents, read_labels, slice_hashes, text_blocks, word_slices)
 
 #: n-grams are hashed to this many features.
@@ -56,7 +56,9 @@ def active(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     found = [*shape_grams(texts), *letter_grams(texts)]
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    both = np.unique(np.concatenate([doc * FEATURES + (mix64(code) >> np.uint64(46)).astype(np.int64) for doc, code in found]))
+    kind = np.uint32 if len(texts) * FEATURES <= 1 << 32 else np.int64
+    both = distinct(np.concatenate([(doc * FEATURES + (mix64(code) >> np.uint64(46)).astype(np.int64)).astype(kind)
+                                    for doc, code in found])).astype(np.int64)
     return both // FEATURES, both % FEATURES
 
 

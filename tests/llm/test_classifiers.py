@@ -1,4 +1,5 @@
 import functools
+import time
 import zlib
 from decimal import Decimal
 
@@ -7,6 +8,7 @@ import pytest
 
 from adlens.llm import bpe, langid, quality, toxicity
 from adlens.llm.bpe_codec import default_vocabulary
+from adlens.llm.common import distinct
 
 CHECK = "/root/testdata/sf0.01"
 
@@ -82,6 +84,28 @@ def test_grams_do_not_depend_on_neighbours():
     assert all((quality.features([t])[0] == r).all() for t, r in zip(texts, all_, strict=True))
 
 
+def test_grams_of_many_short_texts():
+    texts = [f"{k % 977} a{k % 13}!" for k in range(20_000)]      # more than 32 bits number with all features
+    doc, feature = quality.active(texts)
+    for k in (0, 1, 976, 977, 16_384, 19_999):
+        assert feature[doc == k].tolist() == quality.active([texts[k]])[1].tolist()
+
+
+def test_distinct_values_are_told_fast():
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 50, 999).astype(np.uint32), rng.integers(-9, 1 << 40, 1000), np.zeros(0, np.int64)):
+        assert distinct(values.copy()).tolist() == np.unique(values).tolist()
+    texts = [" ".join(f"w{x:x}" for x in rng.integers(0, 1 << 24, 300)) for _ in range(240)]
+
+    def seconds(work):
+        t = time.process_time()
+        work()
+        return time.process_time() - t
+
+    grams = min(seconds(lambda: [*quality.shape_grams(texts), *quality.letter_grams(texts)]) for _ in range(5))
+    assert min(seconds(lambda: quality.active(texts)) for _ in range(5)) < 3 * grams
+
+
 def test_quality_fit_against_a_dense_one(spark, sf_docs):
     """Ratios, hinge solution and interpolation from dense matrices: counts by
     adding rows, the dual problem by projected gradient steps."""

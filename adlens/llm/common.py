@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +139,41 @@ def kept(key, make):
     return _kept[key]
 
 
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):        # not glibc
+        return lambda pad: 0
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system; Arrow's pool and
+    glibc's heap hold on to the room of their largest step."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def let_go() -> None:
+    """Drop what ``kept`` holds."""
+    if _kept:
+        _kept.clear()
+        give_back()
+
+
+def lean(run: Callable[[Iterator], Iterator], tables: bool = False) -> Callable[[Iterator], Iterator]:
+    """``run`` (for mapInArrow or mapInPandas) for workers that stay for later
+    stages: an idle one holds no more than an empty process, beside the JVM
+    whose stages run then. ``tables``: ``run`` uses ``kept``, so what that
+    holds stays; else it goes first."""
+    def task(batches: Iterator) -> Iterator:
+        if not tables:
+            let_go()
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def text_steps(texts: list[str], limit: int = STEP_BYTES) -> Iterator[list[str]]:
     """The texts in stretches of at most ``limit`` code points (or one text)."""
     ends = np.cumsum([len(t) for t in texts])

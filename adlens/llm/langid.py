@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .bpe import LETTER, HashIndex, _class_table, parse_ranks, read_vocabulary
 from .bpe_codec import default_vocabulary
-from .common import STEP_BYTES, cut, held_out, kept, may_learn, read_documents, slice_hashes, text_blocks
+from .common import STEP_BYTES, cut, held_out, kept, lean, may_learn, read_documents, slice_hashes, text_blocks
 
 #: Documents of each language that are learnt from, about, at most.
 SAMPLE = 2_000
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, id_col: str = "d
 
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counted = cut(rows.filter(F.col("lang").isNotNull() & may_learn(F.col("_id")) & pick).select("lang", "text")
-                  .mapInArrow(words, "lang string, word binary, n long")
+                  .mapInArrow(lean(words), "lang string, word binary, n long")
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
     def uses(prob: np.ndarray | None):
@@ -285,7 +285,7 @@ def fit(docs: DataFrame, vocabulary: str, sample: int = SAMPLE, id_col: str = "d
     prob = None
     for _ in range(2):
         # at most pieces x languages rows
-        got = counted.mapInArrow(uses(prob), "piece int, k int, uses double").groupBy("piece", "k").agg(
+        got = counted.mapInArrow(lean(uses(prob)), "piece int, k int, uses double").groupBy("piece", "k").agg(
             F.sum("uses").alias("uses")).toPandas()
         total = np.zeros((n, len(langs)))
         total[got.piece, got.k] = got.uses
@@ -328,7 +328,7 @@ def identify(docs: DataFrame, vocabulary: str | None = None, sample: int = SAMPL
                                                  names=["doc_id", "lang_pred", "score"])
 
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double")
+        lean(run, tables=True), "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
@@ -344,7 +344,7 @@ def keep_identified(docs: DataFrame, vocabulary: str | None = None, sample: int
                 pred, post = predict(texts)
                 yield part.filter(pa.array([p != UNKNOWN and x >= least for p, x in zip(pred, post, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run, tables=True), docs.schema)
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dense_id import with_dense_id
-from .common import (cut, few, few_partitions, join_texts, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks, tidy,
-                     unused_name, word_slices)
+from .common import (cut, few, few_partitions, join_texts, lean, lower_bytes, mix64, of_text, ragged_arange, read_documents, slice_hashes, text_blocks,
+                     tidy, unused_name, word_slices)
 from .components import components, extended
 
 SHINGLE = 5
@@ -174,7 +174,7 @@ def summarise(texts: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(sketch))],
                     names=["doc_id", "n", "k1", "k2", "sketch"])
 
-    return texts.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sketch array<long>")
+    return texts.mapInArrow(lean(run), "doc_id long, n long, k1 long, k2 long, sketch array<long>")
 
 
 def sign(texts: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def sign(texts: DataFrame) -> DataFrame:
                 sig, own_set = signatures(h[np.repeat(fresh, n)], n[fresh])
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(k1[fresh][own_set])], names=["sig", "k1"])
 
-    return texts.mapInArrow(run, "sig long, k1 long")
+    return texts.mapInArrow(lean(run), "sig long, k1 long")
 
 
 def shared_signatures(signed: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(3)],
                                              names=["sig", "k1", "pivot"])
 
-    return signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(run, "sig long, k1 long, pivot long")
+    return signed.repartition("sig").sortWithinPartitions("sig", "k1").mapInArrow(lean(run), "sig long, k1 long, pivot long")
 
 
 #: Bits in which the sketches sketch_a and sketch_b differ, the longer one folded once.
@@ -284,7 +284,7 @@ def sets_of(texts: DataFrame, reps: DataFrame) -> DataFrame:
                     [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))],
                     names=["rep", "shingles"])
 
-    return placed.mapInArrow(run, "rep long, shingles array<long>")
+    return placed.mapInArrow(lean(run), "rep long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -395,7 +395,7 @@ def cross_pairs(members: DataFrame, nearest: bool) -> DataFrame:
     dealt = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks)"))).select(
         "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n", "comp", F.size("sketch").cast("long").alias("words"), "sketch", "tried")
     order = ["sig", "lo", "hi"]
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "u long, v long, differ long")
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(lean(run), "u long, v long, differ long")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, added_tokens, encoder, read_vocabulary
-from .common import read_documents, text_blocks, text_steps
+from .common import lean, read_documents, text_blocks, text_steps
 
 CONTEXT = 2048
 #: Id that ends every document.
@@ -168,7 +168,7 @@ def pack(docs: DataFrame, context: int = CONTEXT, end_id: int = END_ID, vocabula
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(
-        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+        lean(run, tables=True), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

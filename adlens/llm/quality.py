@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import LETTER, NUMBER, _class_table
-from .common import (STEP_BYTES, bounded_sample, cut, distinct, held_out, join_texts, lower_bytes, may_learn, mix64, of_text,
+from .common import (STEP_BYTES, bounded_sample, cut, distinct, held_out, join_texts, lean, lower_bytes, may_learn, mix64, of_text,
                      read_documents, read_labels, slice_hashes, text_blocks, word_slices)
 
 #: n-grams are hashed to this many features.
@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
                 found = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(feature, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("label"), found], names=["_id", "label", "found"])
 
-    rows = cut(texts.mapInArrow(grams, "_id long, label int, found array<int>"))
+    rows = cut(texts.mapInArrow(lean(grams), "_id long, label int, found array<int>"))
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if ones in (0, n):
         share = (ones + 1) / (n + 1)
@@ -206,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         yield pd.DataFrame({"f": f, "p": p[f], "n": n[f]})
 
     # one row per feature, at most FEATURES
-    counts = rows.mapInPandas(tally, "f int, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInPandas(lean(tally), "f int, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).toPandas()
     pos, neg = np.ones(FEATURES), np.ones(FEATURES)
     pos[counts.f] += counts.p
     neg[counts.f] += counts.n - counts.p
@@ -229,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         yield pd.DataFrame({"w": [w * scale.value], "bias": [bias]})
 
     # one task: the descent goes through the sample row by row
-    model = rows.coalesce(1).mapInPandas(fit_all, "w array<double>, bias double").first()
+    model = rows.coalesce(1).mapInPandas(lean(fit_all), "w array<double>, bias double").first()
     w, bias = np.array(model.w), model.bias
     weights = spark.sparkContext.broadcast(w)
 
@@ -237,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         for f in frames:
             yield pd.DataFrame({"label": f.label, "m": [float(weights.value[x].sum()) + bias for x in f.found]})
 
-    seen = rows.mapInPandas(margins, "label int, m double").toPandas()      # two numbers a sampled row
+    seen = rows.mapInPandas(lean(margins), "label int, m double").toPandas()      # two numbers a sampled row
     slope, offset = logistic_curve(seen.m.to_numpy(float), seen.label.to_numpy(float))
     return w, bias, slope, offset
 
@@ -266,7 +266,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores(texts))], names=["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, score double")
+        lean(run), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -280,7 +280,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col:
             for part, texts in text_blocks(batch, text_col, STEP_BYTES):
                 yield part.filter(pa.array(scores(texts) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

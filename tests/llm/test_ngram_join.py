@@ -3,10 +3,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from adlens.llm import ngram_join as nj
+from adlens.llm.common import kept
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -166,3 +168,36 @@ def test_sketches_fold():
         for x in own.tolist():
             want[x & 255] ^= 1
         assert (np.unpackbits(rows[k].view(np.uint8), bitorder="little") == want).all()
+
+
+class Steps:
+    """Stands in for a table: notes the function given to ``mapInArrow``."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def own_memory():
+    with open("/proc/self/smaps_rollup") as f:
+        return sum(int(kb) for kb in re.findall(r"\nAnonymous:\s+(\d+)", f.read())) << 10
+
+
+@pytest.mark.parametrize("step", [nj.summarise, nj.sign])
+def test_workers_hold_nothing_between_tasks(step):
+    texts = Steps()
+    step(texts)
+    row = " ".join(f"word{k % 977}" for k in range(2_000))
+
+    def batches(n):
+        for k in range(n):
+            yield pa.RecordBatch.from_arrays([pa.array(range(2_000)), pa.array([f"{k} {d} {row}" for d in range(2_000)])], names=["doc_id", "text"])
+
+    # a worker that has run the step before, and that another stage left with its tables
+    assert sum(b.num_rows for b in texts.run(batches(1))) >= 2_000
+    kept("an earlier stage's", lambda: np.ones(6 << 20))
+    start = own_memory()
+    assert sum(b.num_rows for b in texts.run(batches(3))) >= 6_000
+    # the tables (48 MB) are gone, and no room of a finished step is held
+    assert own_memory() < start - (24 << 20)
+    assert kept("an earlier stage's", lambda: "made anew") == "made anew"

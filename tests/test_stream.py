@@ -242,3 +242,75 @@ def test_texts_meet_events_by_one_shuffle_at_every_size(spark, tmp_dir):
     got = sorted((int(r.message_key), r.review_body or "") for r in tweets.collect())
     turns = [["a"], ["b", "c"], ["b", "c"], [""]]              # both rows of a repeated id, at each of its turns
     assert got == sorted((i, t) for i in range(8) for t in turns[i % 4])
+
+
+def _tables(spark, folder, docs, n_events):
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    (spark.range(n_events).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 10:00:00' + make_interval(0, 0, 0, int(id % 3)) as ts",
+                                      "id + 1 as user_id", "'{\"k\": 7}' as props").write.parquet(f"{folder}/events.parquet"))
+
+
+def test_long_repeated_texts_are_stored_once(spark, tmp_dir):
+    import random
+
+    from adlens.plans import catalog
+    draw = random.Random(4)
+    texts = ["".join(draw.choices("abcdefghijklmnop", k=60_000)) for _ in range(2)]    # 30 KB each, however packed
+    _tables(spark, tmp_dir, list(enumerate(texts)), 60)
+    rows = catalog.REGISTRY["stream_minute_files_run"](spark, tmp_dir)
+    got = sorted((int(r.author_id) - 1, r.text, r.minute) for r in rows.collect())
+    assert got == [(i, texts[i % 2], f"0{i % 3 + 1}_01_2024_10_00") for i in range(60)]
+    root = catalog._io_root(spark, tmp_dir, "events", "documents")
+    sizes = {d: sum(os.path.getsize(f"{p}/{f}") for p, _, names in os.walk(f"{root.removeprefix('file:')}/{d}") for f in names)
+             for d in os.listdir(root.removeprefix("file:"))}
+    topic, minutes = sizes["topic_tweets"], next(n for d, n in sizes.items() if d.startswith("minutes-"))
+    assert topic < 200_000 and minutes < 400_000          # gzip: over 1.8 MB each
+    conf = spark.conf.get("parquet.compression.codec.zstd.level", None)
+    assert conf is None                                   # the session's own writes keep their level
+
+
+def test_wide_packed_files_are_read_beside_gzip(spark, tmp_dir):
+    from adlens.sources.io import PACKED_WIDE
+    rows = [(str(i), _m(i + 1, "2024-01-01T10:00:01+00:00", "line\nbreak \\ é")) for i in range(4)]
+    df = spark.createDataFrame(rows, "key string, value string").coalesce(1)
+    msg.write_messages(df.where("key < 2"), f"{tmp_dir}/topic")
+    msg.write_messages(df.where("key >= 2"), f"{tmp_dir}/topic", packed=PACKED_WIDE)
+    kinds = {f.rpartition(".")[2] for f in os.listdir(f"{tmp_dir}/topic") if f.startswith("part-")}
+    assert kinds == {"gz", "zstd"}
+    assert sorted(map(tuple, msg.read_topic(spark, f"{tmp_dir}/topic").collect())) == [(int(k), k, v) for k, v in rows]
+    for packed in (None, PACKED_WIDE):
+        stream = msg.minute_buckets(msg.clean_messages(msg.read_stream(spark, f"{tmp_dir}/topic")))
+        kw = {"packed": packed} if packed else {}
+        for q in msg.write_minute_files(stream, f"{tmp_dir}/out{len(kw)}", f"{tmp_dir}/ckpt{len(kw)}", **kw):
+            q.awaitTermination()
+        back = msg.read_minute_files(spark, f"{tmp_dir}/out{len(kw)}")
+        assert sorted((r.author_id, r.text) for r in back.collect()) == [(str(i + 1), "line break \\ é") for i in range(4)]
+    msg.compact_minutes(spark, f"{tmp_dir}/out1", f"{tmp_dir}/compact")
+    assert msg.read_minute_files(spark, f"{tmp_dir}/compact").count() == 4
+
+
+def test_texts_move_once(spark, tmp_dir, capsys):
+    import re
+
+    from adlens.sources import fixtures
+    _tables(spark, tmp_dir, [(4, "a"), (9, "b")], 4)
+    fixtures.tweets(spark, tmp_dir).explain("formatted")
+    moved = re.findall(r"\) \w*Exchange\nInput \[\d+\]: \[([^\]]*)\]", capsys.readouterr().out)
+    assert moved and sum("text#" in columns for columns in moved) == 1
+
+
+def test_a_released_build_leaves_no_shuffle_files(spark, tmp_dir):
+    import time
+
+    from adlens.operators.materialize import write_once
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffles():
+        return {f for top in dirs for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before = shuffles()
+    write_once(spark, f"{tmp_dir}/t", lambda: spark.range(100).repartition(4, "id"), release=True)
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
